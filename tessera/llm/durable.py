@@ -1,0 +1,17 @@
+"""Cuts of lineage that outlive executors."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """`df` written to the shared folder that the session names in spark.checkpoint.dir.
+
+    Only where the session names none, as in tests, a temporary folder stands in."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-checkpoint-"))
+    return df.checkpoint(eager=True)

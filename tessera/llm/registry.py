@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import substrings
+from tessera.llm import substrings, url_filters
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_url_filters": url_filters.query,
         "op6_substring_dedup": substrings.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_url_filters": url_filters.ORACLE,
+    }
