@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import substrings, url_filters
+from tessera.llm import mixing, quality_classifier, quality_rules, substrings, url_filters
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filters": url_filters.query,
+        "op2_quality_rules": quality_rules.query,
+        "op3_quality_classifier": quality_classifier.query,
+        "op4_source_mixing": mixing.query,
         "op6_substring_dedup": substrings.query,
     }
 
