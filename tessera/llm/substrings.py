@@ -4,7 +4,7 @@ Rabin-Karp hashes of every window of a fixed number of words are dealt out by ha
 starts in a document with a smaller id is removed, and neighbouring ones merge into maximal intervals of words.
 
 The exchange carries each window once, as eight bytes of hash and about one of position: a slice of documents
-becomes one packed row for each bucket of hashes, in document order. A bucket holds about a quarter of what a
+becomes one packed row for each bucket of hashes, in document order. A bucket holds about half of what a
 shuffle partition should hold, so `spark.sql.shuffle.partitions` is the one thing to size. A hot window is only a run
 of equal numbers in a sorted array.
 
@@ -35,9 +35,9 @@ _HASHED_SCHEMA = _SCHEMA.append(pa.field("hashes", pa.binary()))
 
 
 def bucket_bits(df: DataFrame) -> int:
-    """As many bits of a hash as give four buckets to a shuffle partition."""
+    """As many bits of a hash as give two buckets to a shuffle partition."""
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(4, (4 * partitions - 1).bit_length())
+    return max(4, (2 * partitions - 1).bit_length())
 
 
 def _packed(bucket: int, ids: np.ndarray, keys: np.ndarray, at: np.ndarray) -> dict:
@@ -65,7 +65,7 @@ def _unpacked(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     steps = np.cumsum(unpack(row["at"], n, np.uint32).astype(np.int64))
     heads = np.cumsum(counts) - counts
     before = np.where(heads > 0, steps[heads - 1], 0)
-    return np.repeat(unpack(row["ids"], docs, np.int64), counts), np.repeat(unpack(row["keys"], docs, np.int64), counts), steps - np.repeat(before, counts)
+    return np.repeat(unpack(row["ids"], docs, np.int64), counts), np.repeat(unpack(row["keys"], docs, np.int32), counts), steps - np.repeat(before, counts)
 
 
 def _hash_windows(length: int, bits: int):
@@ -123,7 +123,7 @@ def _rows(table: pa.Table) -> Iterator[dict]:
         yield from batch.to_pylist()
 
 
-_INTERVALS = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("begins", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32()))])
+_INTERVALS = pa.schema([("id", pa.int64()), ("key", pa.int32()), ("begins", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32()))])
 
 
 def _intervals(length: int):
@@ -173,12 +173,12 @@ def removal_intervals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     targets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hashed = _keyed(docs, id_col, text_col).mapInArrow(_hash_windows(window, bits), HASHED)
     repeats = hashed.groupBy("bucket").applyInArrow(_repeats(targets), BLOB)
-    return repeats.groupBy("bucket").applyInArrow(_intervals(window), "id long, key long, begins array<int>, ends array<int>")
+    return repeats.groupBy("bucket").applyInArrow(_intervals(window), "id long, key int, begins array<int>, ends array<int>")
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.col(text_col)
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(text).alias("key"), text.alias("text"))
+    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.hash(text).alias("key"), text.alias("text"))
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13) -> DataFrame:
