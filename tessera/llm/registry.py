@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import mixing, quality_classifier, quality_rules, substrings, url_filters
+from tessera.llm import mixing, pii, quality_classifier, quality_rules, substrings, url_filters
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_quality_classifier": quality_classifier.query,
         "op4_source_mixing": mixing.query,
         "op6_substring_dedup": substrings.query,
+        "op7_pii": pii.query,
     }
 
 
