@@ -17,8 +17,6 @@ rows. Other columns pass through `mix`.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -27,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.durable import checkpoint
-from tessera.llm.words import Words, slices
+from tessera.llm.words import Words, release, slices
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST = 3
@@ -42,6 +40,7 @@ FEW_SOURCES = 10_000
 @F.arrow_udf(T.LongType())
 def n_words(texts: pa.Array) -> pa.Array:
     parts = [Words(texts.slice(a, b - a)).counts() for a, b in slices(texts)]
+    release()
     return pa.array(np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64), pa.int64())
 
 

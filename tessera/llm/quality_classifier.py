@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.quality_rules import labelled_sample
 from tessera.llm.statistics import repeated_words
-from tessera.llm.words import Words, slices
+from tessera.llm.words import Words, release, slices
 
 SAMPLE = 6_000
 THRESHOLD = 0.3
@@ -166,7 +166,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
 def scorer(model: Model) -> Callable:
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
-        return pa.array([model.score(g) for g in indicators(texts)], pa.float64())
+        scores = [model.score(g) for g in indicators(texts)]
+        release()
+        return pa.array(scores, pa.float64())
 
     return score
 

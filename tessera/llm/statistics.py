@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-from tessera.llm.words import Words, mix, slices, window_hashes, window_starts
+from tessera.llm.words import Words, mix, release, slices, window_hashes, window_starts
 
 SYMBOLS = b"#*$%&|<>"
 REPEAT_WINDOW = 5
@@ -101,4 +101,5 @@ def of_texts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     parts = [_of_slice(texts.slice(a, b - a)) for a, b in slices(texts)]
     if not parts:
         return np.zeros((0, len(COUNTS)), dtype=np.int64), np.zeros((0, len(FEATURES)))
+    release()
     return np.concatenate([x for x, _ in parts]), np.concatenate([y for _, y in parts])

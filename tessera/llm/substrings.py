@@ -24,8 +24,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.words import Words, pack, slices, unpack, window_hashes, window_starts
+from tessera.llm.words import Words, pack, release, slices, unpack, window_hashes, window_starts
 
+#: Bytes of text to a packed slice: with larger ones the documents' ids weigh less.
+PACKED_BYTES = 4 << 20
 #: Stands for a null id, which comes last.
 NO_ID = (1 << 63) - 1
 BLOB = "bucket int, n int, n_docs int, ids binary, keys binary, counts binary, at binary"
@@ -72,7 +74,7 @@ def _hash_windows(length: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, keys = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "key"))
-            for a, b in slices(batch.column("text")):
+            for a, b in slices(batch.column("text"), PACKED_BYTES):
                 words = Words(batch.column("text").slice(a, b - a))
                 starts, counts = window_starts(words.first, length)
                 if not len(starts):
@@ -89,6 +91,8 @@ def _hash_windows(length: int, bits: int):
                         own = order[s:e]
                         rows.append(_packed(k, ids[a:b][doc[own]], keys[a:b][doc[own]], at[own]) | {"hashes": pack(hashes[own])})
                 yield pa.RecordBatch.from_pylist(rows, schema=_HASHED_SCHEMA)
+                del words, starts, hashes, doc, at, bucket, order, rows
+                release()
 
     return run
 
@@ -113,6 +117,8 @@ def _repeats(targets: int):
         order = np.lexsort((at, keys, ids, target))
         ends = np.cumsum(np.bincount(target, minlength=1))
         rows = [_packed(k, ids[order[s:e]], keys[order[s:e]], at[order[s:e]]) for k, (s, e) in enumerate(zip(np.append(0, ends[:-1]), ends, strict=True)) if e > s]
+        del hashes, same, own, least, order
+        release()
         return pa.Table.from_pylist(rows, schema=_SCHEMA)
 
     return run
@@ -165,6 +171,8 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kept.append(b" ".join(stay))
         columns = [batch.column("id"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), batch.column("begins"), batch.column("ends"), pa.array(kept, pa.binary()).cast(pa.string())]
         yield pa.RecordBatch.from_arrays(columns, schema=_KEPT)
+        del kept, columns
+        release()
 
 
 def removal_intervals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13) -> DataFrame:

@@ -6,6 +6,7 @@ depend on the bytes alone and are the same in every worker.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -15,7 +16,7 @@ import pyarrow.compute as pc
 import xxhash
 
 #: Texts are taken in slices of about so many bytes, which bounds a worker's temporary arrays.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _SEPARATOR = np.zeros(256, dtype=bool)
 _SEPARATOR[[0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20]] = True
@@ -26,6 +27,19 @@ _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _LANES = 32
 
 
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # other C libraries return memory by themselves
+    _trim = None
+
+
+def release() -> None:
+    """Hands freed memory back to the system, so that a worker between batches holds little."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
