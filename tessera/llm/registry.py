@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import mixing, pii, quality_classifier, quality_rules, substrings, url_filters
+from tessera.llm import decontamination, jaccard_join, mixing, pii, quality_classifier, quality_rules, substrings, url_filters
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,10 +17,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_source_mixing": mixing.query,
         "op6_substring_dedup": substrings.query,
         "op7_pii": pii.query,
+        "op8_decontamination": decontamination.query,
+        "op9_jaccard_join": jaccard_join.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_url_filters": url_filters.ORACLE,
+        "op8_decontamination": decontamination.ORACLE,
     }
