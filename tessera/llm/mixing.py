@@ -11,8 +11,8 @@ takes its own range of the permuted draws, and shuffles what it drew by a hash o
 source reaches the driver; every random choice comes from `seed` and hashes, so that reruns agree.
 
 Defined results. Null text: size 0. Null source: a source of its own, the last. Size 0: in the mix where its block is.
-Null or repeated ids, repeated rows: each row is a document. No document has more than `most` copies. Empty table: no
-rows. Other columns pass through `mix`.
+Rows that repeat both id and text are taken together, and count with all their words. Null ids: as one more id. No
+document has more than `most` copies. Empty table: no rows. Other columns pass through `mix`.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,7 +29,6 @@ from tessera.llm.words import Words, release, slices
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST = 3
-SHARDS = 16
 SEED = 20
 #: Documents to a block, and blocks to a source at most.
 BLOCK_DOCS, BLOCKS = 64, 1 << 16
@@ -97,24 +96,22 @@ def _fits(room: float, sizes: np.ndarray) -> np.ndarray:
 
 def _take(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values(["lot", "size"], kind="stable")
-    return pd.DataFrame({"row": pdf["row"], "took": _fits(float(pdf["room"].iloc[0]), pdf["size"].to_numpy())})
+    return pd.DataFrame({"at": pdf["at"], "lot": pdf["lot"], "took": _fits(float(pdf["room"].iloc[0]), pdf["size"].to_numpy())})
 
 
-def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, most: int = MOST, shards: int = SHARDS, seed: int = SEED, payload: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """Documents (row, id, source, size, source_size, target) and draws (row, copy, shard, place): each draw is one
-    copy of a document in a shard, whose order is by place."""
+def _marks(id_col: str, text_col: str, source_col: str, seed: int) -> tuple[Column, Column]:
+    """A document's source, told from null, and its lot: the random number that all its repeated rows share."""
+    source = F.col(source_col).cast("string")
+    return F.when(source.isNull(), "n").otherwise(F.concat(F.lit("s"), source)), F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))
+
+
+def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, most: int = MOST, shards: int | None = None, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+    """Documents (id, source, at, lot, size, source_size, target) and draws (at, lot, copy, shard, place): each draw is
+    one copy of the documents of that source and lot in a shard, whose order is by place."""
     spark = docs.sparkSession
-    text, source = F.col(text_col), F.col(source_col)
-    sized = docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.col(id_col).alias("id"),
-        source.cast("string").alias("source"),
-        F.when(source.isNull(), "n").otherwise(F.concat(F.lit("s"), source.cast("string"))).alias("at"),
-        F.xxhash64(F.lit(seed), F.col(id_col), text).alias("lot"),
-        n_words(text).alias("size"),
-        *(F.col(c) for c in payload),
-    )
-    sized = checkpoint(sized)
+    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    at, lot = _marks(id_col, text_col, source_col, seed)
+    sized = checkpoint(docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), at.alias("at"), lot.alias("lot"), n_words(F.col(text_col)).alias("size")))
     totals = {r.at: r for r in sized.groupBy("at").agg(F.sum("size").alias("size"), F.count("*").alias("docs")).collect()}
     goals = targets({(None if at == "n" else at[1:]): r.size for at, r in totals.items()}, weights, most)
     rows = []
@@ -123,11 +120,11 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
         blocks = int(min(BLOCKS, -(-int(totals[at].docs) // BLOCK_DOCS)))
         passes = min(int(goal // size) if size else 0, most)
         rows.append((at, size, goal, blocks, _stride(blocks, seed + i), passes, goal - passes * size))
-    fields = "at string, source_size long, target double, blocks int, stride int, passes int, rest double"
-    sources = spark.createDataFrame(rows, fields) if rows else spark.createDataFrame([], fields)
+    sources = spark.createDataFrame(rows, "at string, source_size long, target double, blocks int, stride int, passes int, rest double")
     small = (lambda df: F.broadcast(df)) if len(rows) <= FEW_SOURCES else (lambda df: df)
 
-    placed = sized.join(small(sources), "at").withColumn("turn", F.pmod(F.pmod(F.col("lot"), F.col("blocks")) * F.col("stride"), F.col("blocks")))
+    placed = sized.groupBy("at", "lot").agg(F.sum("size").alias("size")).join(small(sources), "at")
+    placed = placed.withColumn("turn", F.pmod(F.pmod(F.col("lot"), F.col("blocks")) * F.col("stride"), F.col("blocks")))
     in_order = Window.partitionBy("at").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
     block_rows = placed.groupBy("at", "turn", "rest").agg(F.sum("size").alias("words"))
     block_rows = block_rows.withColumn("room", F.col("rest") - F.coalesce(F.sum("words").over(in_order), F.lit(0)))
@@ -135,43 +132,33 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     state = F.when(F.col("room") <= 0, 0).when(F.col("words") <= F.col("room"), 1).otherwise(2)
     block_rows = checkpoint(block_rows.select("at", "turn", "room", state.alias("state")))
     drawn = {r.at: r.n for r in block_rows.where("state > 0").groupBy("at").agg(F.count("*").alias("n")).collect()}
-    names = [r[0] for r in rows]
     quotas = np.array([r[5] * r[3] + drawn.get(r[0], 0) for r in rows], dtype=np.int64)
-    bounds = np.cumsum(split_quotas(quotas, shards, seed), axis=0) if rows else np.zeros((shards, 0), dtype=np.int64)
-    ranges = [(at, [int(x) for x in bounds[:, i]]) for i, at in enumerate(names)]
-    ranges = spark.createDataFrame(ranges, "at string, bounds array<long>")
+    bounds = np.cumsum(split_quotas(quotas, shards, seed), axis=0)
+    ranges = spark.createDataFrame([(r[0], [int(x) for x in bounds[:, i]]) for i, r in enumerate(rows)], "at string, bounds array<long>")
 
-    docs_in = placed.join(block_rows, ["at", "turn"])
-    last = docs_in.where("state = 2").select("row", "lot", "size", "room", "at", "turn").groupBy("at", "turn").applyInPandas(_take, "row long, took boolean")
-    docs_in = docs_in.join(last, "row", "left")
+    units = placed.join(block_rows, ["at", "turn"])
+    last = units.where("state = 2").select("at", "turn", "lot", "size", "room").groupBy("at", "turn").applyInPandas(_take, "at string, lot long, took boolean")
     again = F.when((F.col("state") == 1) | F.coalesce(F.col("took"), F.lit(False)), 1).otherwise(0)
-    copies = F.col("passes") + again
-    draws = (
-        docs_in.withColumn("copies", copies)
-        .where("copies > 0")
-        .join(small(ranges), "at")
-        .select("row", "id", "size", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"), "turn", "blocks", "bounds")
-        .withColumn("shard", F.size(F.filter("bounds", lambda b: b <= F.col("copy") * F.col("blocks") + F.col("turn"))))
-        .select("row", "id", "size", "copy", "shard", F.xxhash64(F.lit(seed + 1), F.col("shard"), F.col("row"), F.col("copy")).alias("place"))
-    )
-    return placed.select("row", "id", "source", "size", "source_size", "target", *payload), draws
-
-
-def mix(docs: DataFrame, text_col: str = "text", shards: int = SHARDS, **options) -> DataFrame:
-    """The mix: `docs`, a row for each draw, with `mix_copy`, `mix_shard` and the shard's order in `mix_place`."""
-    columns = docs.columns
-    whole = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(columns)))
-    names = {x: f"c{columns.index(options.pop(x, default))}" for x, default in (("id_col", "doc_id"), ("source_col", "source"))}
-    planned, draws = plan_mix(whole, text_col=f"c{columns.index(text_col)}", shards=shards, payload=tuple(whole.columns), **names, **options)
-    mixed = planned.join(draws.select("row", "copy", "shard", "place"), "row")
-    mixed = mixed.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(columns)), F.col("copy").alias("mix_copy"), F.col("shard").alias("mix_shard"), F.col("place").alias("mix_place"))
-    return mixed.repartitionByRange(shards, "mix_shard", "mix_place").sortWithinPartitions("mix_shard", "mix_place")
+    drawn_units = units.join(last, ["at", "lot"], "left").withColumn("copies", F.col("passes") + again).where("copies > 0").join(small(ranges), "at")
+    draws = drawn_units.select("at", "lot", "turn", "blocks", "bounds", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
+    draws = draws.withColumn("shard", F.size(F.filter("bounds", lambda b: b <= F.col("copy") * F.col("blocks") + F.col("turn"))))
+    draws = draws.select("at", "lot", "copy", "shard", F.xxhash64(F.lit(seed + 1), "shard", "lot", "copy").alias("place"))
+    return sized.join(small(sources.select("at", "source_size", "target")), "at"), draws
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", shards: int | None = None, seed: int = SEED, **options) -> DataFrame:
+    """The mix: `docs`, a row for each draw, with `mix_copy`, `mix_shard` and, in `mix_place`, the shard's order."""
+    shards = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    _, draws = plan_mix(docs, id_col, text_col, source_col, shards=shards, seed=seed, **options)
+    draws = draws.select(F.col("at").alias("__at"), F.col("lot").alias("__lot"), F.col("copy").alias("mix_copy"), F.col("shard").alias("mix_shard"), F.col("place").alias("mix_place"))
+    at, lot = _marks(id_col, text_col, source_col, seed)
+    mixed = docs.withColumns({"__at": at, "__lot": lot}).join(draws, ["__at", "__lot"]).drop("__at", "__lot")
+    return mixed.repartitionById(shards, F.col("mix_shard")).sortWithinPartitions("mix_shard", "mix_place")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op4: every document's size, its source's size and target, and the words that the mix's shards take of it."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
-    planned, draws = plan_mix(docs)
-    taken = draws.groupBy("row").agg(F.sum("size").alias("taken"), F.count("*").alias("copies"))
-    columns = [F.col("id").alias("doc_id"), "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"), F.coalesce("copies", F.lit(0)).alias("copies")]
-    return planned.join(taken, "row", "left").select(*columns)
+    planned, draws = plan_mix(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source"))
+    drawn = draws.groupBy("at", "lot").agg(F.count("*").alias("copies"))
+    copies = F.coalesce("copies", F.lit(0))
+    return planned.join(drawn, ["at", "lot"], "left").select(F.col("id").alias("doc_id"), "source", "size", "source_size", "target", (F.col("size") * copies).alias("taken"), copies.alias("copies"))

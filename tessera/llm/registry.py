@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontamination, jaccard_join, mixing, pii, quality_classifier, quality_rules, substrings, url_filters
+from tessera.llm import chat, decontamination, jaccard_join, mixing, pii, quality_classifier, quality_rules, substrings, url_filters
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_quality_rules": quality_rules.query,
         "op3_quality_classifier": quality_classifier.query,
         "op4_source_mixing": mixing.query,
+        "op5_chat_formatting": chat.query,
         "op6_substring_dedup": substrings.query,
         "op7_pii": pii.query,
         "op8_decontamination": decontamination.query,
