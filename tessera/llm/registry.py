@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import chat, decontamination, jaccard_join, mixing, pii, quality_classifier, quality_rules, substrings, url_filters
+from tessera.llm import chat, decontamination, jaccard_join, mixing, pii, quality_classifier, quality_rules, substrings, suffixes, url_filters
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_pii": pii.query,
         "op8_decontamination": decontamination.query,
         "op9_jaccard_join": jaccard_join.query,
+        "op10_suffix_dedup": suffixes.query,
     }
 
 
