@@ -40,9 +40,9 @@ def gather(buckets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def pack_positions(bucket: int, ids: np.ndarray, keys: np.ndarray, at: np.ndarray) -> dict:
-    """Positions that are sorted by document, then place, as one row; `at` is kept as steps within a document."""
+    """Positions that rise within each document, as one row; `at` is kept as steps. A repeated row begins anew."""
     new = np.ones(len(at), dtype=bool)
-    new[1:] = (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])
+    new[1:] = (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1]) | (at[1:] < at[:-1])
     heads = np.flatnonzero(new)
     steps = np.diff(at, prepend=0)
     steps[heads] = at[heads]

@@ -24,50 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.packed import BLOB, NO_ID, SCHEMA, bucket_bits, gather, keyed, pack_positions, rows_of, unpack_positions
 from tessera.llm.words import Words, pack, release, slices, unpack, window_hashes, window_starts
 
 #: Bytes of text to a packed slice: with larger ones the documents' ids weigh less.
 PACKED_BYTES = 4 << 20
-#: Stands for a null id, which comes last.
-NO_ID = (1 << 63) - 1
-BLOB = "bucket int, n int, n_docs int, ids binary, keys binary, counts binary, at binary"
 HASHED = f"{BLOB}, hashes binary"
-_SCHEMA = pa.schema([("bucket", pa.int32()), ("n", pa.int32()), ("n_docs", pa.int32()), *((x, pa.binary()) for x in ("ids", "keys", "counts", "at"))])
-_HASHED_SCHEMA = _SCHEMA.append(pa.field("hashes", pa.binary()))
-
-
-def bucket_bits(df: DataFrame) -> int:
-    """As many bits of a hash as give two buckets to a shuffle partition."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(4, (2 * partitions - 1).bit_length())
-
-
-def _packed(bucket: int, ids: np.ndarray, keys: np.ndarray, at: np.ndarray) -> dict:
-    """Positions that are sorted by document, then place, as one row; `at` is kept as steps within a document."""
-    new = np.ones(len(at), dtype=bool)
-    new[1:] = (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])
-    heads = np.flatnonzero(new)
-    steps = np.diff(at, prepend=0)
-    steps[heads] = at[heads]
-    counts = np.diff(np.append(heads, len(at)))
-    return {
-        "bucket": bucket,
-        "n": len(at),
-        "n_docs": len(heads),
-        "ids": pack(ids[heads]),
-        "keys": pack(keys[heads]),
-        "counts": pack(counts.astype(np.uint32)),
-        "at": pack(steps.astype(np.uint32)),
-    }
-
-
-def _unpacked(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    n, docs = row["n"], row["n_docs"]
-    counts = unpack(row["counts"], docs, np.uint32).astype(np.int64)
-    steps = np.cumsum(unpack(row["at"], n, np.uint32).astype(np.int64))
-    heads = np.cumsum(counts) - counts
-    before = np.where(heads > 0, steps[heads - 1], 0)
-    return np.repeat(unpack(row["ids"], docs, np.int64), counts), np.repeat(unpack(row["keys"], docs, np.int32), counts), steps - np.repeat(before, counts)
+_HASHED_SCHEMA = SCHEMA.append(pa.field("hashes", pa.binary()))
 
 
 def _hash_windows(length: int, bits: int):
@@ -82,16 +45,11 @@ def _hash_windows(length: int, bits: int):
                 hashes = window_hashes(words.hashes(), starts, length)
                 doc = np.repeat(np.arange(b - a), counts)
                 at = starts - words.first[doc]
-                bucket = (hashes >> np.uint64(64 - bits)).astype(np.uint16 if bits <= 16 else np.uint32)
-                order = np.argsort(bucket, kind="stable")
-                ends = np.cumsum(np.bincount(bucket, minlength=1))
                 rows = []
-                for k, (s, e) in enumerate(zip(np.append(0, ends[:-1]), ends, strict=True)):
-                    if e > s:
-                        own = order[s:e]
-                        rows.append(_packed(k, ids[a:b][doc[own]], keys[a:b][doc[own]], at[own]) | {"hashes": pack(hashes[own])})
+                for k, own in gather(hashes >> np.uint64(64 - bits)):
+                    rows.append(pack_positions(k, ids[a:b][doc[own]], keys[a:b][doc[own]], at[own]) | {"hashes": pack(hashes[own])})
                 yield pa.RecordBatch.from_pylist(rows, schema=_HASHED_SCHEMA)
-                del words, starts, hashes, doc, at, bucket, order, rows
+                del words, starts, hashes, doc, at, rows
                 release()
 
     return run
@@ -101,34 +59,28 @@ def _repeats(targets: int):
     """Of one bucket of hashes: the windows that also start in a document with a smaller id, dealt out by document."""
 
     def run(table: pa.Table) -> pa.Table:
-        parts = [(*_unpacked(row), unpack(row["hashes"], row["n"], np.uint64)) for row in _rows(table)]
+        parts = [(*unpack_positions(row), unpack(row["hashes"], row["n"], np.uint64)) for row in rows_of(table)]
         ids, keys, at, hashes = (np.concatenate(x) for x in zip(*parts, strict=True))
         del parts
         order = np.argsort(hashes)
         same = hashes[order][1:] == hashes[order][:-1]
         own = order[np.append(same, False) | np.append(False, same)]
         if not len(own):
-            return _SCHEMA.empty_table()
+            return SCHEMA.empty_table()
         heads = np.flatnonzero(np.append(True, hashes[own][1:] != hashes[own][:-1]))
         least = np.repeat(np.minimum.reduceat(ids[own], heads), np.diff(np.append(heads, len(own))))
         own = own[ids[own] > least]
         ids, keys, at = ids[own], keys[own], at[own]
-        target = ((ids ^ keys) % targets).astype(np.int64)
-        order = np.lexsort((at, keys, ids, target))
-        ends = np.cumsum(np.bincount(target, minlength=1))
-        rows = [_packed(k, ids[order[s:e]], keys[order[s:e]], at[order[s:e]]) for k, (s, e) in enumerate(zip(np.append(0, ends[:-1]), ends, strict=True)) if e > s]
+        order = np.lexsort((at, keys, ids))
+        ids, keys, at = ids[order], keys[order], at[order]
+        rows = [pack_positions(k, ids[o], keys[o], at[o]) for k, o in gather((ids ^ keys) % targets)]
         del hashes, same, own, least, order
         release()
-        return pa.Table.from_pylist(rows, schema=_SCHEMA)
+        return pa.Table.from_pylist(rows, schema=SCHEMA)
 
     return run
 
 
-def _rows(table: pa.Table) -> Iterator[dict]:
-    for batch in table.to_batches(max_chunksize=64):
-        yield from batch.to_pylist()
-
-
 _INTERVALS = pa.schema([("id", pa.int64()), ("key", pa.int32()), ("begins", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32()))])
 
 
@@ -136,7 +88,7 @@ def _intervals(length: int):
     """Of one share of the documents: the maximal intervals of words that their removed windows cover."""
 
     def run(table: pa.Table) -> pa.Table:
-        ids, keys, at = (np.concatenate(x) for x in zip(*map(_unpacked, _rows(table)), strict=True))
+        ids, keys, at = (np.concatenate(x) for x in zip(*map(unpack_positions, rows_of(table)), strict=True))
         order = np.lexsort((at, keys, ids))
         ids, keys, at = ids[order], keys[order], at[order]
         doc = np.append(True, (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1]))
@@ -179,21 +131,16 @@ def removal_intervals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """id, key (of the text), begins, ends: the removed intervals of words of each document that has any."""
     bits = bucket_bits(docs)
     targets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hashed = _keyed(docs, id_col, text_col).mapInArrow(_hash_windows(window, bits), HASHED)
+    hashed = keyed(docs, id_col, text_col).mapInArrow(_hash_windows(window, bits), HASHED)
     repeats = hashed.groupBy("bucket").applyInArrow(_repeats(targets), BLOB)
     return repeats.groupBy("bucket").applyInArrow(_intervals(window), "id long, key int, begins array<int>, ends array<int>")
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    text = F.col(text_col)
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.hash(text).alias("key"), text.alias("text"))
-
-
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13) -> DataFrame:
     """A row for each document: its id, n_words, n_removed, removed (intervals of words, ends exclusive), kept_text
     (the other words, joined by one space)."""
     intervals = removal_intervals(docs, id_col, text_col, window)
-    joined = _keyed(docs, id_col, text_col).join(intervals, ["id", "key"], "left").select("id", "text", "begins", "ends")
+    joined = keyed(docs, id_col, text_col).join(intervals, ["id", "key"], "left").select("id", "text", "begins", "ends")
     kept = joined.mapInArrow(_keep, "id long, n_words long, n_removed long, begins array<int>, ends array<int>, kept_text string")
     spans = F.transform(F.arrays_zip("begins", "ends"), lambda x: F.struct(x["begins"].alias("begin"), x["ends"].alias("end")))
     return kept.select(

@@ -338,8 +338,10 @@ def _merged(length: int, targets: int):
         context = np.repeat(np.cumsum(lcps < width) - 1, own_sizes)
         ids, keys, places = ids[member], keys[member], places[member]
         order = np.lexsort((places, keys, ids))
+        other = np.append(False, (np.diff(ids[order]) != 0) | (np.diff(keys[order]) != 0) | (np.diff(places[order]) != 0))
         rank = np.empty(len(order), dtype=np.int64)
-        rank[order] = np.arange(len(order))
+        rank[order] = np.cumsum(other)  # repeated rows are one
+        holder = order[np.append(True, other[1:])]
         heads = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
         least = np.minimum.reduceat(rank, heads)
         known = repeats(strings, lcps[lcps < width], least, length)
@@ -349,7 +351,7 @@ def _merged(length: int, targets: int):
         edges = np.diff(np.pad(known, ((0, 0), (1, 1))).astype(np.int8), axis=1)
         who, low = np.nonzero(edges == 1)
         high = np.nonzero(edges == -1)[1] - 1
-        leader = order[least[who]]
+        leader = holder[least[who]]
         rest = np.flatnonzero(rank != least[context])
         one = np.concatenate([leader, rest])
         low, high = np.concatenate([low, first[context[rest]]]), np.concatenate([high, last[context[rest]]])
