@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.plans import evidence
+from tessera.plans import evidence, scalars
 
 FLAGSHIP = "g3_count_independent_evidence"
 
 #: Modules that export QUERIES and ORACLES.
-FAMILIES = (evidence,)
+FAMILIES = (evidence, scalars)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
