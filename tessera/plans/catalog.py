@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.plans import evidence, scalars
+from tessera.plans import evidence, parsing, scalars
 
 FLAGSHIP = "g3_count_independent_evidence"
 
 #: Modules that export QUERIES and ORACLES.
-FAMILIES = (evidence, scalars)
+FAMILIES = (evidence, scalars, parsing)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
