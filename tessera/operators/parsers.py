@@ -21,18 +21,25 @@ def parse_plain_text(docs: DataFrame) -> DataFrame:
     """Maximal runs of non-blank lines as paragraphs, numbered from 0, with their lines from 1.
 
     A fold over each document's own lines: no shuffle, and no document's state leaves its row."""
-    split = docs.select("document_id", F.split(normalize_text(F.col("text")), "\n").alias("lines"))
-    marked = split.withColumn("full", F.transform("lines", lambda line: ~is_blank(line)))
-    # A run begins at a non-blank line after a blank one, and ends at a non-blank line before a blank one.
-    at = lambda i: F.coalesce(F.get("full", i), F.lit(False))
-    numbers = F.transform("full", lambda full, i: i)
-    begins = F.filter(numbers, lambda i: at(i) & ((i == 0) | ~at(i - 1)))
-    ends = F.filter(numbers, lambda i: at(i) & ~at(i + 1))
-    runs = F.zip_with(begins, ends, lambda a, b: F.struct((a + 1).alias("line_start"), (b + 1).alias("line_end")))
-    found = marked.select("document_id", "lines", runs.alias("runs"))
-    units = found.select("document_id", "lines", F.posexplode("runs").alias("sequence_no", "r"))
-    text = F.array_join(F.slice("lines", F.col("r.line_start"), F.col("r.line_end") - F.col("r.line_start") + 1), "\n")
-    return units.select("document_id", "sequence_no", F.lit("paragraph").alias("unit_type"), text.alias("text"), F.col("r.line_start").alias("line_start"), F.col("r.line_end").alias("line_end"), (F.col("sequence_no") + 1).alias("paragraph_no"))
+    lines = F.split(normalize_text(F.col("text")), "\n")
+    no_runs = F.array().cast("array<struct<begin:int,end:int>>")
+    begin = F.struct(F.lit(0).alias("no"), F.lit(0).alias("open"), no_runs.alias("runs"))
+
+    def with_run(acc: Column) -> Column:
+        return F.when(acc["open"] > 0, F.concat(acc["runs"], F.array(F.struct(acc["open"].alias("begin"), acc["no"].alias("end"))))).otherwise(acc["runs"])
+
+    def step(acc: Column, line: Column) -> Column:
+        blank = is_blank(line)
+        opened = F.when(blank, 0).when(acc["open"] > 0, acc["open"]).otherwise(acc["no"] + 1)
+        return F.struct((acc["no"] + 1).alias("no"), opened.alias("open"), F.when(blank, with_run(acc)).otherwise(acc["runs"]).alias("runs"))
+
+    def units_of(lines: Column) -> Column:
+        runs = F.aggregate(lines, begin, step, with_run)
+        return F.transform(runs, lambda r: F.struct(r["begin"].alias("line_start"), r["end"].alias("line_end"), F.array_join(F.slice(lines, r["begin"], r["end"] - r["begin"] + 1), "\n").alias("text")))
+
+    units = F.transform(F.array(lines), units_of)[0]  # the array of one binds the lines, so that they are split once
+    found = docs.select("document_id", F.posexplode(units).alias("sequence_no", "u"))
+    return found.select("document_id", "sequence_no", F.lit("paragraph").alias("unit_type"), "u.text", "u.line_start", "u.line_end", (F.col("sequence_no") + 1).alias("paragraph_no"))
 
 
 def empty_documents(docs: DataFrame, units: DataFrame, code: str = "INGEST_EMPTY_FILE") -> DataFrame:
