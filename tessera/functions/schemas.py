@@ -75,24 +75,27 @@ REFERENCES = {
 #: References that are for audit only: a missing target doesn't break traceability.
 ADVISORY = {("evidence", "target_object_id"), ("processing_run", "output_object_ids")}
 
-LOCATOR = T.StructType.fromDDL(
-    "start_seconds double, end_seconds double, page_no int, block_no int, paragraph_no int, line_start int, line_end int, heading_path array<string>, "
-    "sheet_name string, row_no int, column_name string, css_selector string, xpath string"
-)
-UNIT = T.StructType.fromDDL("sequence_no int, unit_type string, text string, locator struct<start_seconds:double,end_seconds:double,page_no:int,block_no:int,paragraph_no:int,line_start:int,line_end:int,heading_path:array<string>,sheet_name:string,row_no:int,column_name:string,css_selector:string,xpath:string>, speaker string, parent_sequence_no int, quality_flags array<string>")
-OBJECT_RECORD = T.StructType.fromDDL(
-    "id string, object_type string, schema_version string, lifecycle_status string, workspace_id string, privacy_level string, created_by string, "
-    "created_at timestamp, updated_at timestamp, deleted_at timestamp, version int, payload string"
-)
-CANDIDATE = T.StructType.fromDDL(
-    "candidate_id string, candidate_type string, confidence double, entity_type string, canonical_name string, metric string, unit string, entity_id string, period string, "
-    "value double, measurement_context struct<measurement_kind:string,currency:string,scale_multiplier:bigint,reporting_standard:string,attribution_scope:string,consolidation_scope:string>, "
-    "statement string, claim_type string, claim_dimension string, claimant_name string, asserted_by string, time_horizon struct<start:string,end:string,precision:string>, "
-    "promotable_to_fact boolean, evidence_type string, evidence_role string, target_object_id string, target_data_point_id string, target_claim_id string, "
-    "confidence_rationale string, rejection_reason string, supporting_evidence_ids array<string>, valid_time map<string,string>, promotable boolean, "
-    "source_quote string, source_unit_id string, quote_match_mode string, quote_locator_hint string, note string, "
-    "independence_group string, source_quality_tier string, evidence_strength string, verification_status string, epistemic_status string"
-)
+_TEXT, _INT, _LONG, _DOUBLE, _FLAG, _TIME = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType(), T.BooleanType(), T.TimestampType()
+_TEXTS = T.ArrayType(_TEXT)
+
+
+def _struct(*groups: tuple[T.DataType, str]) -> T.StructType:
+    """Fields in order, given as (type, names) groups."""
+    return T.StructType([T.StructField(name, kind) for kind, names in groups for name in names.split()])
+
+
+LOCATOR = _struct((_DOUBLE, "start_seconds end_seconds"), (_INT, "page_no block_no paragraph_no line_start line_end"), (_TEXTS, "heading_path"), (_TEXT, "sheet_name"), (_INT, "row_no"), (_TEXT, "column_name css_selector xpath"))
+UNIT = _struct((_INT, "sequence_no"), (_TEXT, "unit_type text"), (LOCATOR, "locator"), (_TEXT, "speaker"), (_INT, "parent_sequence_no"), (_TEXTS, "quality_flags"))
+SEGMENT = _struct((_INT, "sequence_no"), (_TEXT, "unit_type text"), (LOCATOR, "locator"), (_TEXT, "speaker"))
+OBJECT_RECORD = _struct((_TEXT, "id object_type schema_version lifecycle_status workspace_id privacy_level created_by"), (_TIME, "created_at updated_at deleted_at"), (_INT, "version"), (_TEXT, "payload"))
+MEASUREMENT_CONTEXT = _struct((_TEXT, "measurement_kind currency"), (_LONG, "scale_multiplier"), (_TEXT, "reporting_standard attribution_scope consolidation_scope"))
+CANDIDATE = _struct(
+    (_TEXT, "candidate_id candidate_type"), (_DOUBLE, "confidence"), (_TEXT, "entity_type canonical_name metric unit entity_id period"), (_DOUBLE, "value"),
+    (MEASUREMENT_CONTEXT, "measurement_context"), (_TEXT, "statement claim_type claim_dimension claimant_name asserted_by"), (_struct((_TEXT, "start end precision")), "time_horizon"),
+    (_FLAG, "promotable_to_fact"), (_TEXT, "evidence_type evidence_role target_object_id target_data_point_id target_claim_id confidence_rationale rejection_reason"),
+    (_TEXTS, "supporting_evidence_ids"), (T.MapType(_TEXT, _TEXT), "valid_time"), (_FLAG, "promotable"), (_TEXT, "source_quote source_unit_id quote_match_mode quote_locator_hint note"),
+    (_TEXT, "independence_group source_quality_tier evidence_strength verification_status epistemic_status"),
+)
 CANDIDATE_ORDER = ("entity", "data_point", "claim", "evidence", "fact")
 
 
