@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.plans import evidence, gating, graphs, parsing, scalars
+from tessera.plans import evidence, gating, graphs, parsing, scalars, storing
 
 FLAGSHIP = "g3_count_independent_evidence"
 
 #: Modules that export QUERIES and ORACLES.
-FAMILIES = (evidence, scalars, parsing, gating, graphs)
+FAMILIES = (evidence, scalars, parsing, gating, graphs, storing)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
