@@ -240,7 +240,9 @@ def find_pii(docs: DataFrame, model: dict[str, np.ndarray] | None = None, text_c
     base = F.filter(all_found, lambda s: s["strict"])
     found = found.withColumn(into, F.struct(base.alias("base"), F.filter(all_found, lambda s: ~s["strict"]).alias("more")))
     apart = lambda spans, s: ~F.exists(spans, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    good = F.filter(F.col(into)["more"], lambda s: accepted(votes(text, s), s["kind"], model) & apart(F.col(into)["base"], s))
+    voted = F.transform(F.col(into)["more"], lambda s: F.struct(s.alias("span"), votes(text, s).alias("votes")))
+    taken = F.filter(voted, lambda x: accepted(x["votes"], x["span"]["kind"], model) & apart(F.col(into)["base"], x["span"]))
+    good = F.transform(taken, lambda x: x["span"])
     added = F.aggregate(good, F.slice(F.col(into)["more"], 1, 0), lambda acc, s: F.when(apart(acc, s), F.concat(acc, F.array(s))).otherwise(acc))
     found = found.withColumn(into, F.struct(_plain(F.col(into)["base"]).alias("base"), _plain(added).alias("added")))
     by_kind = [F.array_sort(of_kind(F.concat(F.col(into)["base"], F.col(into)["added"]), k)) for k in KINDS]
