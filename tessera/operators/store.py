@@ -194,6 +194,9 @@ class ObjectStore:
         return manifest
 
     def _digest(self, folder: str) -> str:
+        fs, path = self._fs(folder)
+        if not fs.exists(path):
+            raise StoreError("BACKUP_NOT_FOUND", folder)
         digest = hashlib.sha256()
         for row in self.spark.read.format("binaryFile").load(folder).where(F.col("path").endswith(".txt")).orderBy("path").toLocalIterator():
             digest.update(row.content)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, replace
+from fnmatch import fnmatch
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +49,19 @@ def _named(files: DataFrame) -> DataFrame:
     return files.withColumn("file_name", name).withColumn("suffix", F.lower(F.regexp_extract(name, r"(\.[^.]+)\z", 1)))
 
 
+def _empty_files(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
+    """path and length of files without a byte, which Spark's scans leave out; only these names reach the driver."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    at = hadoop.Path(path)
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(at, True)
+    names = []
+    while found.hasNext():
+        status = found.next()
+        if status.getLen() == 0 and fnmatch(status.getPath().getName(), glob or "*"):
+            names.append((status.getPath().toString(), 0))
+    return spark.createDataFrame(names, "path string, length long")
+
+
 def read_text_files(spark: SparkSession, path: str, glob: str | None = None, limits: Limits = Limits()) -> DataFrame:  # noqa: B008
     """A1, A3: path, file_name, suffix, size_bytes, text, code. Sizes are judged before contents are read: files over
     the limit come from a scan that has no content column."""
@@ -58,19 +72,22 @@ def read_text_files(spark: SparkSession, path: str, glob: str | None = None, lim
     code = F.when(F.col("text").isNull(), "INGEST_INVALID_ENCODING").when(F.col("text").contains("\0"), "INGEST_UNSUPPORTED_CONTENT").when(is_blank(F.col("text")), "INGEST_EMPTY_FILE")
     read = good.select("path", "file_name", "suffix", F.col("length").alias("size_bytes"), text.alias("text"))
     read = read.withColumn("code", code).withColumn("text", F.when(F.col("code").isNull(), F.col("text")))
-    return read.unionByName(large)
+    empty = _named(_empty_files(spark, path, glob)).select("path", "file_name", "suffix", F.col("length").alias("size_bytes"), F.lit(None).cast("string").alias("text"), F.lit("INGEST_EMPTY_FILE").alias("code"))
+    return read.unionByName(large).unionByName(empty)
 
 
 def read_binary_files(spark: SparkSession, path: str, glob: str | None = None, limits: Limits = Limits()) -> DataFrame:  # noqa: B008
     """A2: path, file_name, suffix, size_bytes, media_type, content, code."""
     files = _named(_files(spark, path, glob))
     media = F.when(F.col("suffix") == ".pdf", "application/pdf")
-    small = (F.col("length") <= limits.pdf_bytes) & (F.col("length") > 0)
+    small = F.col("length") <= limits.pdf_bytes
     rows = lambda df, content, code: df.select("path", "file_name", "suffix", F.col("length").alias("size_bytes"), media.alias("media_type"), content.alias("content"), code.alias("code"))
     magic = F.when((F.col("suffix") == ".pdf") & (F.substring("content", 1, 4) != F.lit(b"%PDF")), "PDF_PARSE_FAILED")
     good = rows(files.where(small), F.col("content"), magic)
-    bad = rows(files.where(~small), F.lit(None).cast("binary"), F.when(F.col("length") == 0, "INGEST_EMPTY_FILE").otherwise("PDF_FILE_TOO_LARGE"))
-    return good.unionByName(bad)
+    no_content = F.lit(None).cast("binary")
+    large = rows(files.where(~small), no_content, F.lit("PDF_FILE_TOO_LARGE"))
+    empty = rows(_named(_empty_files(spark, path, glob)), no_content, F.lit("INGEST_EMPTY_FILE"))
+    return good.unionByName(large).unionByName(empty)
 
 
 def url_admission(url: Column) -> Column:
