@@ -194,3 +194,14 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op9: every document's class and number of links."""
     return jaccard_classes(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+ORACLE = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i+4], ' ') AS s FROM d, unnest(range(1, len(w) - 3)) AS t(i) UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM d WHERE len(w) BETWEEN 1 AND 4),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s AS a JOIN s AS b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM shared JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b WHERE k / (x.n + y.n - k) >= 0.8),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a),
+c AS (SELECT a, min(b) AS class_id FROM reach GROUP BY a), m AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT d.doc_id, class_id, coalesce(n_links, 0) AS n_links, coalesce(n, 0) AS n_shingles FROM d JOIN c ON c.a = d.doc_id LEFT JOIN m ON m.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id"""

@@ -3,7 +3,7 @@
 Sources, in code point order with null last, weigh `weights`, repeating, and share all words; a target stops at `most`
 times its source's words, and the excess is shared again by weight until none is above. A source's documents fall by
 hash into blocks. Its quota is as many whole passes over its blocks as its target holds, then blocks in a permuted
-order until the target is met; of the block in which that happens, documents are taken in random order as they fit.
+order until the target is met; of the block in which that happens, documents are taken in random order as they fit, and one more if that comes nearer.
 
 The quotas of all sources are split between the two halves of the output shards by a multivariate-hypergeometric
 draw, each half likewise, down to single shards. So every shard gets an exact number of block draws of every source,
@@ -87,10 +87,14 @@ def _stride(blocks: int, seed: int) -> int:
 
 
 def _fits(room: float, sizes: np.ndarray) -> np.ndarray:
+    """Which documents to take, in order: those that still fit, then the smallest left if that comes nearer."""
     took = np.zeros(len(sizes), dtype=bool)
     for i, size in enumerate(sizes.tolist()):
         if size <= room:
             took[i], room = True, room - size
+    left = np.flatnonzero(~took)
+    if len(left) and abs(sizes[left].min() - room) < room:
+        took[left[sizes[left].argmin()]] = True
     return took
 
 

@@ -27,5 +27,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_url_filters": url_filters.ORACLE,
+        "op6_substring_dedup": substrings.ORACLE,
         "op8_decontamination": decontamination.ORACLE,
+        "op9_jaccard_join": jaccard_join.ORACLE,
+        "op10_suffix_dedup": suffixes.ORACLE,
     }

@@ -156,3 +156,13 @@ def query(spark, sf_dir: str) -> DataFrame:
     """op6: every document's words and kept text after 13-word windows that occur earlier are removed."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return dedup_substrings(docs).select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLE = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+x AS (SELECT doc_id, i, array_to_string(w[i:i+12], ' ') AS s FROM d, unnest(range(1, len(w) - 11)) AS t(i)),
+m AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS f FROM x),
+g AS (SELECT DISTINCT doc_id, i + k AS p FROM m, range(13) AS r(k) WHERE f < doc_id),
+p AS (SELECT doc_id, i AS p, w[i] AS word FROM d, unnest(range(1, len(w) + 1)) AS t(i)),
+k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept, count(*) AS n FROM p ANTI JOIN g USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)"""

@@ -423,3 +423,13 @@ def query(spark, sf_dir: str) -> DataFrame:
     """op10: every document's bytes after 100-byte strings that start earlier are removed."""
     kept = dedup_bytes(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return kept.select("doc_id", "n_bytes", F.col("n_removed").cast("long").alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+p AS (SELECT doc_id, i, substr(h, 2 * i + 1, 2) AS byte, CASE WHEN i + 100 <= n THEN substr(h, 2 * i + 1, 200) END AS s FROM d, unnest(range(n)) AS t(i)),
+r AS (SELECT doc_id, i, byte, s IS NOT NULL AND row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1 AS again FROM p),
+c AS (SELECT doc_id, i, byte, coalesce(i - max(CASE WHEN again THEN i END) OVER w < 100, false) AS gone FROM r WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+e AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS begins FROM c),
+k AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (begins) AS n_spans, string_agg(byte, '' ORDER BY i) FILTER (NOT gone) AS kept FROM e GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)"""
