@@ -147,13 +147,13 @@ def _verify(similarity: float):
 
 
 def _jobs(sets: DataFrame, groups: DataFrame, block: int) -> DataFrame:
-    """(sid, weight, group, block, p, q): each set once in a small group, once for each other block in a large one."""
+    """(sid, weight, group, blocks, block, p, q): each set once in a small group, once for each other block in a large one."""
     sized = groups.groupBy("component").agg(F.count("*").alias("n"))
     placed = groups.join(sized, "component").join(sets.select(F.col("sid").alias("node"), "weight"), "node")
     blocks = F.ceil(F.col("n") / block).cast("int")
     placed = placed.select(F.col("node").alias("sid"), "weight", F.col("component").alias("group"), blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    return placed.withColumn("other", other).select("sid", "weight", "group", "block", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"))
+    return placed.withColumn("other", other).select("sid", "weight", "group", "blocks", "block", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"))
 
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, length: int = SHINGLE_WORDS, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
@@ -171,7 +171,10 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wanted = groups.join(sets, groups["node"] == sets["sid"]).select(F.coalesce("least_id", F.lit((1 << 63) - 1)).alias("wanted_id")).distinct()
     texts = own.join(wanted, F.coalesce(F.col("id"), F.lit((1 << 63) - 1)) == F.col("wanted_id"), "left_semi").select("text")
     blobs = texts.mapInArrow(_shingles(length), "sid long, shingles binary")
-    jobs = _jobs(sets, groups, block).join(blobs, "sid").withColumn("bucket", F.pmod(F.xxhash64("group", "p", "q"), F.lit(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))))
+    # Small groups share buckets; a job of a large one has a bucket to itself, so that a task never holds two.
+    job, buckets = F.xxhash64("group", "p", "q"), 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bucket = F.when(F.col("blocks") > 1, job).otherwise(F.pmod(job, F.lit(buckets)))
+    jobs = _jobs(sets, groups, block).join(blobs, "sid").withColumn("bucket", bucket).drop("blocks")
     verified = checkpoint(jobs.groupBy("bucket").applyInArrow(_verify(similarity), "sid long, links long, least long"))
 
     linked = verified.groupBy("sid").agg(F.sum("links").alias("links"))

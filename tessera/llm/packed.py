@@ -68,6 +68,32 @@ def unpack_positions(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.repeat(unpack(row["ids"], docs, np.int64), counts), np.repeat(unpack(row["keys"], docs, np.int32), counts), steps - np.repeat(before, counts)
 
 
+def runs_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which equal values stand together, stable, and where in it each run of them begins."""
+    order = np.argsort(values, kind="stable")
+    return order, np.flatnonzero(np.append(True, values[order][1:] != values[order][:-1]))
+
+
+def settled(bits: int, targets: int, ids: np.ndarray, keys: np.ndarray, at: np.ndarray) -> Iterator[tuple[dict, np.ndarray]]:
+    """Positions whose answer is known before any exchange, in rows for the buckets past the last: 2**bits + target.
+
+    They skip the bucket's work, so that a hot value costs a bucket an entry for each slice and no more."""
+    order = np.lexsort((at, keys, ids))
+    ids, keys, at = ids[order], keys[order], at[order]
+    for k, own in gather((ids ^ keys) % targets):
+        yield pack_positions((1 << bits) + k, ids[own], keys[own], at[own]), order[own]
+
+
+def is_settled(table: pa.Table, bits: int) -> bool:
+    return table.column("bucket")[0].as_py() >= 1 << bits
+
+
+def as_settled(table: pa.Table, bits: int, schema: pa.Schema) -> pa.Table:
+    """Settled rows as they leave the bucket stage: dealt out by target."""
+    bucket = pa.array(np.asarray(table.column("bucket")) - (1 << bits), pa.int32())
+    return pa.Table.from_arrays([bucket, *(table.column(n) for n in schema.names[1:])], schema=schema)
+
+
 def rows_of(table: pa.Table) -> Iterator[dict]:
     for batch in table.to_batches(max_chunksize=64):
         yield from batch.to_pylist()

@@ -158,8 +158,9 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> Model:
     open_labels = labels.where(~held_out(F.col("doc_id")))
     seen = labelled_sample(docs, open_labels, label, sample, id_col, text_col)
-    rows = seen.select(F.col("id").cast("long").alias("id"), "label", "text").mapInArrow(_grams, "id long, label int, grams binary").collect()
-    rows = sorted({r.id: (r.id, bytes(r.grams), r.label) for r in sorted(rows, key=lambda r: (r.id, bytes(r.grams)))}.values())
+    grams = seen.select(F.col("id").cast("long").alias("id"), "label", "text").mapInArrow(_grams, "id long, label int, grams binary")
+    one = grams.groupBy("id").agg(F.min(F.struct("grams", "label")).alias("r"))  # rows that repeat an id count once
+    rows = sorted((r.id, bytes(r.r.grams), r.r.label) for r in one.collect())
     return fit_rows([np.frombuffer(g, dtype=np.int32).astype(np.int64) for _, g, _ in rows], np.array([x for _, _, x in rows]))
 
 

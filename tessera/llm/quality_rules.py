@@ -47,7 +47,8 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> boosting.Trees:
     seen = labelled_sample(docs, labels, "quality", sample, id_col, text_col)
     seen = seen.select(F.col("id").cast("long").alias("id"), "label", "text").mapInArrow(_features, "id long, label int, features array<double>")
-    rows = sorted((r.id, r.features, r.label) for r in seen.dropDuplicates(["id"]).collect())
+    one = seen.groupBy("id").agg(F.min(F.struct("features", "label")).alias("r"))  # rows that repeat an id count once
+    rows = sorted((r.id, r.r.features, r.r.label) for r in one.collect())
     x = np.array([r[1] for r in rows]).reshape(-1, len(FEATURES))
     return boosting.fit(x, np.array([r[2] for r in rows], dtype=float), MONOTONE)
 

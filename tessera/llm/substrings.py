@@ -5,8 +5,8 @@ starts in a document with a smaller id is removed, and neighbouring ones merge i
 
 The exchange carries each window once, as eight bytes of hash and about one of position: a slice of documents
 becomes one packed row for each bucket of hashes, in document order. A bucket holds about half of what a
-shuffle partition should hold, so `spark.sql.shuffle.partitions` is the one thing to size. A hot window is only a run
-of equal numbers in a sorted array.
+shuffle partition should hold, so `spark.sql.shuffle.partitions` is the one thing to size. Of a window that a slice holds
+in several documents only the least one's are sent to be compared, so a hot window costs its bucket an entry a slice.
 
 Windows are compared by 64-bit hash. With n windows in the corpus about n * n / 2**65 of them meet another by chance.
 
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.packed import BLOB, NO_ID, SCHEMA, bucket_bits, gather, keyed, pack_positions, rows_of, unpack_positions
+from tessera.llm.packed import BLOB, NO_ID, SCHEMA, as_settled, bucket_bits, gather, is_settled, keyed, pack_positions, rows_of, runs_of, settled, unpack_positions
 from tessera.llm.words import Words, pack, release, slices, unpack, window_hashes, window_starts
 
 #: Bytes of text to a packed slice: with larger ones the documents' ids weigh less.
@@ -33,7 +33,7 @@ HASHED = f"{BLOB}, hashes binary"
 _HASHED_SCHEMA = SCHEMA.append(pa.field("hashes", pa.binary()))
 
 
-def _hash_windows(length: int, bits: int):
+def _hash_windows(length: int, bits: int, targets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, keys = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "key"))
@@ -45,20 +45,30 @@ def _hash_windows(length: int, bits: int):
                 hashes = window_hashes(words.hashes(), starts, length)
                 doc = np.repeat(np.arange(b - a), counts)
                 at = starts - words.first[doc]
-                rows = []
-                for k, own in gather(hashes >> np.uint64(64 - bits)):
-                    rows.append(pack_positions(k, ids[a:b][doc[own]], keys[a:b][doc[own]], at[own]) | {"hashes": pack(hashes[own])})
+                doc_ids, doc_keys = ids[a:b][doc], keys[a:b][doc]
+                # Within the slice only a window's least document is in question; the others are repeats already.
+                order, heads = runs_of(hashes)
+                least = np.empty(len(order), dtype=np.int64)
+                least[order] = np.repeat(np.minimum.reduceat(doc_ids[order], heads), np.diff(np.append(heads, len(order))))
+                known = np.flatnonzero(doc_ids > least)
+                rows = [row for row, _ in settled(bits, targets, doc_ids[known], doc_keys[known], at[known])]
+                asked = np.flatnonzero(doc_ids == least)
+                for k, own in gather(hashes[asked] >> np.uint64(64 - bits)):
+                    own = asked[own]
+                    rows.append(pack_positions(k, doc_ids[own], doc_keys[own], at[own]) | {"hashes": pack(hashes[own])})
                 yield pa.RecordBatch.from_pylist(rows, schema=_HASHED_SCHEMA)
-                del words, starts, hashes, doc, at, rows
+                del words, starts, hashes, doc, at, doc_ids, doc_keys, order, heads, least, known, asked, rows
                 release()
 
     return run
 
 
-def _repeats(targets: int):
+def _repeats(targets: int, bits: int):
     """Of one bucket of hashes: the windows that also start in a document with a smaller id, dealt out by document."""
 
     def run(table: pa.Table) -> pa.Table:
+        if is_settled(table, bits):
+            return as_settled(table, bits, SCHEMA)
         parts = [(*unpack_positions(row), unpack(row["hashes"], row["n"], np.uint64)) for row in rows_of(table)]
         ids, keys, at, hashes = (np.concatenate(x) for x in zip(*parts, strict=True))
         del parts
@@ -131,8 +141,8 @@ def removal_intervals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """id, key (of the text), begins, ends: the removed intervals of words of each document that has any."""
     bits = bucket_bits(docs)
     targets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hashed = keyed(docs, id_col, text_col).mapInArrow(_hash_windows(window, bits), HASHED)
-    repeats = hashed.groupBy("bucket").applyInArrow(_repeats(targets), BLOB)
+    hashed = keyed(docs, id_col, text_col).mapInArrow(_hash_windows(window, bits, targets), HASHED)
+    repeats = hashed.groupBy("bucket").applyInArrow(_repeats(targets, bits), BLOB)
     return repeats.groupBy("bucket").applyInArrow(_intervals(window), "id long, key int, begins array<int>, ends array<int>")
 
 

@@ -9,7 +9,7 @@ precedes is equal.
 1. Each anchor sends the hash of the bytes that all its strings share to the right, packed, once. Anchors whose hash
    is alone in the corpus are done with.
 2. The others send their suffixes, cut to `length`, with the bytes before: each slice of documents is one sorted,
-   front-coded run for each bucket, in which equal suffixes are one entry.
+   front-coded run for each bucket. Equal contexts in a slice are one entry, the earliest; the others are repeats.
 3. A bucket merges its runs with a loser tree whose nodes know the common prefix with what was put out last, so that
    no known prefix is compared again, and gets a suffix array with its longest common prefixes.
 4. Over that array, for each offset, suffixes that agree far enough form classes; of a class with equal bytes before,
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.packed import BLOB, NO_ID, SCHEMA, bucket_bits, gather, keyed, pack_positions, rows_of, unpack_positions
+from tessera.llm.packed import BLOB, NO_ID, SCHEMA, as_settled, bucket_bits, gather, is_settled, keyed, pack_positions, rows_of, runs_of, settled, unpack_positions
 from tessera.llm.words import mix, pack, raw_bytes, release, slices, unpack
 
 LENGTH = 100
@@ -112,7 +112,7 @@ class Anchors:
         return np.concatenate([right, left, self.first[own][:, None].astype(np.uint8), self.last[own][:, None].astype(np.uint8)], axis=1)
 
 
-def _hash_anchors(length: int, bits: int):
+def _hash_anchors(length: int, bits: int, targets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, keys = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "key"))
@@ -121,21 +121,29 @@ def _hash_anchors(length: int, bits: int):
                 if not len(anchors.place):
                     continue
                 hashes, at = anchors.hashes(), anchors.place - anchors.bounds[anchors.text]
-                rows = []
-                for bucket, own in gather(hashes >> np.uint64(64 - bits)):
-                    text = anchors.text[own]
-                    rows.append(pack_positions(bucket, ids[a:b][text], keys[a:b][text], at[own]) | {"hashes": pack(hashes[own])})
+                doc_ids, doc_keys = ids[a:b][anchors.text], keys[a:b][anchors.text]
+                # Anchors with one hash within the slice are shared already; one of them asks for the other slices'.
+                order, heads = runs_of(hashes)
+                sizes = np.repeat(np.diff(np.append(heads, len(order))), np.diff(np.append(heads, len(order))))
+                known = order[sizes > 1]
+                rows = [row for row, _ in settled(bits, targets, doc_ids[known], doc_keys[known], at[known])]
+                asked = np.sort(order[heads])
+                for bucket, own in gather(hashes[asked] >> np.uint64(64 - bits)):
+                    own = asked[own]
+                    rows.append(pack_positions(bucket, doc_ids[own], doc_keys[own], at[own]) | {"hashes": pack(hashes[own])})
                 yield pa.RecordBatch.from_pylist(rows, schema=SCHEMA.append(pa.field("hashes", pa.binary())))
-                del anchors, hashes, at, rows
+                del anchors, hashes, at, doc_ids, doc_keys, order, heads, sizes, known, asked, rows
                 release()
 
     return run
 
 
-def _shared(targets: int):
+def _shared(targets: int, bits: int):
     """Of a bucket: the anchors whose hash another one has too, dealt out by document."""
 
     def run(table: pa.Table) -> pa.Table:
+        if is_settled(table, bits):
+            return as_settled(table, bits, SCHEMA)
         parts = [(*unpack_positions(row), unpack(row["hashes"], row["n"], np.uint64)) for row in rows_of(table)]
         ids, keys, at, hashes = (np.concatenate(x) for x in zip(*parts, strict=True))
         del parts
@@ -156,13 +164,18 @@ def _of_document(table: pa.Table) -> pa.Table:
     ids, keys, at = (np.concatenate(x) for x in zip(*map(unpack_positions, rows_of(table)), strict=True))
     order = np.lexsort((at, keys, ids))
     ids, keys, at = ids[order], keys[order], at[order]
+    once = np.append(True, (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1]) | (at[1:] != at[:-1]))
+    ids, keys, at = ids[once], keys[once], at[once]
     new = np.append(True, (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1]))
     offsets = np.append(np.flatnonzero(new), len(at)).astype(np.int32)
     return pa.Table.from_arrays([pa.array(ids[new]), pa.array(keys[new]), pa.ListArray.from_arrays(offsets, at.astype(np.int32))], names=["id", "key", "anchors"])
 
 
-RUN = "bucket int, n int, members int, lcps binary, tails binary, n_tail long, sizes binary, ids binary, keys binary, places binary"
-_RUN = pa.schema([("bucket", pa.int32()), ("n", pa.int32()), ("members", pa.int32()), ("lcps", pa.binary()), ("tails", pa.binary()), ("n_tail", pa.int64()), *((x, pa.binary()) for x in ("sizes", "ids", "keys", "places"))])
+REMOVED = f"{BLOB}, sizes binary"
+_REMOVED = SCHEMA.append(pa.field("sizes", pa.binary()))
+#: A run's strings, or settled rows of REMOVED, whose run columns are null.
+RUN = f"{REMOVED}, lcps binary, tails binary, n_tail long, places binary"
+_RUN = pa.schema([*_REMOVED, ("lcps", pa.binary()), ("tails", pa.binary()), ("n_tail", pa.int64()), ("places", pa.binary())])
 
 
 def front_code(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -174,7 +187,9 @@ def front_code(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return lcps, rows[np.arange(rows.shape[1]) >= lcps[:, None]]
 
 
-def _sorted_runs(length: int, bits: int):
+def _sorted_runs(length: int, bits: int, targets: int):
+    before = zone(length) - 1
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, keys = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "key"))
@@ -192,26 +207,32 @@ def _sorted_runs(length: int, bits: int):
                 width = contexts.shape[1]
                 text = anchors.text[own]
                 doc_ids, doc_keys, place = ids[a:b][text], keys[a:b][text], anchors.place[own] - anchors.bounds[text]
-                rows = []
+                rows, followers = [], []
                 for bucket, mine in gather(buckets):
                     mine = mine[np.lexsort((place[mine], doc_keys[mine], doc_ids[mine]))]
                     text_rows = np.ascontiguousarray(contexts[mine])
                     order = np.argsort(text_rows.view(f"V{width}").ravel().view(f"S{width}"), kind="stable")
                     mine, text_rows = mine[order], text_rows[order]
-                    lcps, _ = front_code(text_rows)
-                    new = lcps < width
+                    new = front_code(text_rows)[0] < width
                     heads = np.flatnonzero(new)
+                    # Of equal contexts in the slice the earliest asks; the others repeat it whole, but for its own double.
+                    leader = mine[heads][np.cumsum(new) - 1]
+                    double = (doc_ids[mine] == doc_ids[leader]) & (doc_keys[mine] == doc_keys[leader]) & (place[mine] == place[leader])
+                    followers.append(mine[~double])
                     lcps, tails = front_code(text_rows[heads])
+                    asks = mine[heads]
                     rows.append(
                         {
-                            "bucket": bucket, "n": len(heads), "members": len(mine), "lcps": pack(lcps),
-                            "tails": pa.compress(tails.tobytes(), codec="zstd", asbytes=True), "n_tail": tails.size,
-                            "sizes": pack(np.diff(np.append(heads, len(mine))).astype(np.uint32)), "ids": pack(doc_ids[mine]),
-                            "keys": pack(doc_keys[mine]), "places": pack(place[mine].astype(np.uint32)),
+                            "bucket": bucket, "n": len(heads), "lcps": pack(lcps), "tails": pa.compress(tails.tobytes(), codec="zstd", asbytes=True), "n_tail": tails.size,
+                            "ids": pack(doc_ids[asks]), "keys": pack(doc_keys[asks]), "places": pack(place[asks].astype(np.uint32)),
                         }
                     )
+                whole = np.concatenate(followers)
+                first, last = (contexts[whole, length + before + i].astype(np.int64) for i in range(2))
+                for row, own_rows in settled(bits, targets, doc_ids[whole], doc_keys[whole], place[whole] - last):
+                    rows.append(row | {"sizes": pack((last - first + length)[own_rows].astype(np.uint16))})
                 yield pa.RecordBatch.from_pylist(rows, schema=_RUN)
-                del anchors, contexts, rows
+                del anchors, contexts, rows, followers, whole
                 release()
 
     return run
@@ -305,38 +326,31 @@ def repeats(strings: np.ndarray, lcps: np.ndarray, rank: np.ndarray, length: int
     return out
 
 
-REMOVED = f"{BLOB}, sizes binary"
-_REMOVED = SCHEMA.append(pa.field("sizes", pa.binary()))
-
-
-def _merged(length: int, targets: int):
+def _merged(length: int, targets: int, bits: int):
     """Of a bucket of runs: the bytes that its repeats cover, as intervals dealt out by document."""
     width = length + zone(length) + 1
 
     def run(table: pa.Table) -> pa.Table:
-        runs, sizes, ids, keys, places = [], [], [], [], []
+        if is_settled(table, bits):
+            return as_settled(table, bits, _REMOVED)
+        runs, ids, keys, places = [], [], [], []
         for row in rows_of(table):
             runs.append(Run(unpack(row["lcps"], row["n"], np.uint8).tolist(), pa.decompress(row["tails"], decompressed_size=row["n_tail"], codec="zstd", asbytes=True), width))
-            sizes.append(unpack(row["sizes"], row["n"], np.uint32).astype(np.int64))
             for into, name, kind in ((ids, "ids", np.int64), (keys, "keys", np.int32), (places, "places", np.uint32)):
-                into.append(unpack(row[name], row["members"], kind))
-        offset = np.cumsum([0, *(len(s) for s in sizes)])
-        ids, keys, places, sizes = (np.concatenate(x) for x in (ids, keys, places, sizes))
-        places = places.astype(np.int64)
+                into.append(unpack(row[name], row["n"], kind))
+        offset = np.cumsum([0, *(len(i) for i in ids)])
+        ids, keys, places = (np.concatenate(x) for x in (ids, keys, places))
         entry, lcps, strings = [], [], []
         for r, string, lcp in merge_runs(runs, width):
             entry.append(offset[r] + runs[r].next - 1)
             lcps.append(lcp)
             if lcp < width:
                 strings.append(string)
+        # In the order of the suffix array; context has the number of each entry's distinct context.
         entry, lcps = np.array(entry), np.array(lcps)
         strings = np.frombuffer(b"".join(strings), dtype=np.uint8).reshape(-1, width)
-        # Members in the order of the suffix array; context has the number of each one's distinct context.
-        begins = np.cumsum(sizes) - sizes
-        own_sizes = sizes[entry]
-        member = np.arange(int(own_sizes.sum())) + np.repeat(begins[entry] - (np.cumsum(own_sizes) - own_sizes), own_sizes)
-        context = np.repeat(np.cumsum(lcps < width) - 1, own_sizes)
-        ids, keys, places = ids[member], keys[member], places[member]
+        context = np.cumsum(lcps < width) - 1
+        ids, keys, places = ids[entry], keys[entry], places[entry].astype(np.int64)
         order = np.lexsort((places, keys, ids))
         other = np.append(False, (np.diff(ids[order]) != 0) | (np.diff(keys[order]) != 0) | (np.diff(places[order]) != 0))
         rank = np.empty(len(order), dtype=np.int64)
@@ -406,12 +420,12 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     zone(length)
     targets, bits = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), bucket_bits(docs)
     texts = keyed(docs, id_col, text_col)
-    hashed = texts.mapInArrow(_hash_anchors(length, bits), f"{BLOB}, hashes binary")
-    shared = hashed.groupBy("bucket").applyInArrow(_shared(targets), BLOB)
+    hashed = texts.mapInArrow(_hash_anchors(length, bits, targets), f"{BLOB}, hashes binary")
+    shared = hashed.groupBy("bucket").applyInArrow(_shared(targets, bits), BLOB)
     chosen = shared.groupBy("bucket").applyInArrow(_of_document, "id long, key int, anchors array<int>")
     # Both joins deal out the texts alike, so that they are shuffled once.
-    runs = texts.join(chosen, ["id", "key"]).mapInArrow(_sorted_runs(length, bits), RUN)
-    removed = runs.groupBy("bucket").applyInArrow(_merged(length, targets), REMOVED)
+    runs = texts.join(chosen, ["id", "key"]).mapInArrow(_sorted_runs(length, bits, targets), RUN)
+    removed = runs.groupBy("bucket").applyInArrow(_merged(length, targets, bits), REMOVED)
     spans = removed.groupBy("bucket").applyInArrow(_intervals, "id long, key int, begins array<int>, ends array<int>")
     joined = texts.join(spans, ["id", "key"], "left").select("id", "text", "begins", "ends")
     kept = joined.mapInArrow(_keep, "id long, n_bytes long, begins array<int>, ends array<int>, kept binary")
