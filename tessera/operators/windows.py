@@ -21,17 +21,21 @@ def text_sha256() -> Column:
     return sha256(F.col("text"))
 
 
-def locator_sha256() -> Column:
-    """The hash that stands for a unit's place: of its document, id and type."""
+def locator_sha256(with_locator: bool = False) -> Column:
+    """The hash that stands for a unit's place: of its document, id and type; from schema version 1.1 on also of the
+    locator itself, which the first version left out."""
+    if with_locator:
+        return sha256(F.concat_ws("\x1f", "document_id", "unit_id", "unit_type", F.to_json("locator", {"ignoreNullFields": "false"})))
     parts = [F.lit('{"document_id": '), _quoted(F.col("document_id")), F.lit(', "unit_id": '), _quoted(F.col("unit_id")), F.lit(', "unit_type": '), _quoted(F.col("unit_type")), F.lit("}")]
     return sha256(F.concat(*parts))
 
 
 def context_windows(units: DataFrame, schema_version: str = "1.0") -> DataFrame:
     """document_id, n_units, window_sha256, problem. The order of the input doesn't matter; `problem` names a window
-    that must not be used: a unit id that occurs twice."""
+    that must not be used: a unit id that occurs twice. Schema version 1.0 hashes as data already stored did; later
+    ones need a `locator` column."""
     own = F.concat(
-        F.lit('{"locator_sha256":"'), locator_sha256(), F.lit('","sequence_no":'), F.col("sequence_no").cast("string"), F.lit(',"text_sha256":"'), text_sha256(),
+        F.lit('{"locator_sha256":"'), locator_sha256(schema_version != "1.0"), F.lit('","sequence_no":'), F.col("sequence_no").cast("string"), F.lit(',"text_sha256":"'), text_sha256(),
         F.lit('","unit_id":'), _quoted(F.col("unit_id")), F.lit(',"unit_type":'), _quoted(F.col("unit_type")), F.lit("}"),
     )
     hashed = units.select("document_id", "unit_id", F.struct("sequence_no", "unit_id", own.alias("json")).alias("u"))
