@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import unicodedata
 from urllib.parse import quote, unquote, urlsplit, urlunsplit
 
@@ -89,6 +90,39 @@ def stable_id(prefix: str, *parts: Column, length: int = 40) -> Column:
     return F.concat(F.lit(f"{prefix}_"), F.left(sha256(joined(*parts)), F.lit(length)))
 
 
+@F.arrow_udf(T.StringType())
+def _dumps(texts: pa.Array) -> pa.Array:
+    return pa.array([json.dumps(x.as_py(), ensure_ascii=False) if x.is_valid else None for x in texts], pa.string())
+
+
+#: Characters that JSON writes with a letter, and those that need a number and so Python's way of writing it.
+_ESCAPES = (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"), ("\b", "\\b"), ("\f", "\\f"))
+_NUMBERED = r"[\x00-\x07\x0b\x0e-\x1f]"
+
+
+def json_string(text: Column) -> Column:
+    """A JSON string as canonical JSON has it: nothing beyond ASCII is escaped. Null gives null."""
+    escaped = text
+    for raw, shown in _ESCAPES:
+        escaped = F.replace(escaped, F.lit(raw), F.lit(shown))
+    odd = text.rlike(_NUMBERED)
+    return F.when(odd, _dumps(F.when(odd, text))).otherwise(F.concat(F.lit('"'), escaped, F.lit('"')))
+
+
+def canonical_object(**fields: Column) -> Column:
+    """A canonical JSON object: keys sorted, no spaces, null written out. Values are strings, whole numbers or flags."""
+    parts: list[Column] = []
+    for i, name in enumerate(sorted(fields)):
+        value = fields[name]
+        parts += [F.lit(("," if i else "{") + json.dumps(name) + ":"), F.coalesce(value, F.lit("null"))]
+    return F.concat(*parts, F.lit("}"))
+
+
+def config_hash(**options: Column) -> Column:
+    """The hash of a parser's options, each given as JSON."""
+    return sha256(canonical_object(**options))
+
+
 def canonical_json(value: Column) -> Column:
     """D4, for structs whose fields stand in sorted order and hold strings, integers and arrays of such."""
     return F.to_json(value, {"ignoreNullFields": "false"})

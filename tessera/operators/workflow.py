@@ -7,6 +7,8 @@ import json
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.durable import checkpoint
+from tessera.functions import text as t
 from tessera.functions.text import sha256
 from tessera.operators import drafts, gates, graph, ingestion, windows
 from tessera.operators.store import ObjectStore, StoreError
@@ -108,6 +110,44 @@ def _record_run(store: ObjectStore, run_id: str, workspace: str, status: str, re
         store.update(spark.createDataFrame([(run_id, None, payload)], "id string, expected_version int, payload string"))
 
 
+def ingest(store: ObjectStore, docs: DataFrame, input_type: str, workspace: str, source: dict[str, str], strategy: str = "reuse", dry_run: bool = False) -> dict:
+    """Documents (input_uri, text) of one source to a source, document and unit records, in one commit.
+
+    `source` has name, source_type and, if known, key and homepage_url. What can't be parsed is reported and left out;
+    a dry run writes nothing."""
+    from tessera.sources.readers import PARSERS
+
+    lit = lambda name: F.lit(source.get(name)).cast("string")
+    key = t.canonical_source_key(lit("name"), lit("source_type"), lit("key"), lit("homepage_url"))
+    own = docs.withColumn("source_id", t.source_id(F.lit(workspace), lit("source_type"), key)).withColumn("canonical_key", key)
+    parser = PARSERS[input_type]
+    units = parser(own.select(F.col("input_uri").alias("document_id"), "text"))
+    parsed = units.select(F.col("document_id").alias("input_uri")).distinct()
+    failed = [r.input_uri for r in own.join(parsed, "input_uri", "left_anti").select("input_uri").orderBy("input_uri").limit(100).collect()]
+    no_key = F.lit(None).cast("string")
+    keyed = own.join(parsed, "input_uri", "left_semi").select(
+        F.col("input_uri").alias("input_no"), "source_id", "canonical_key",
+        t.dedupe_key(F.col("source_id"), t.content_hash(F.col("text")), F.lit(input_type), F.lit("1.0.0"), no_key).alias("dedupe_key"), t.series_key(F.col("source_id"), F.col("input_uri"), no_key).alias("series_key"),
+    )
+    field = lambda name: F.get_json_object("payload", f"$.{name}").alias(name)
+    there = store.read("document").where("deleted_at IS NULL").select(F.col("id").alias("document_id"), field("dedupe_key"), field("series_key"), F.get_json_object("payload", "$.version_no").cast("int").alias("version_no"))
+    plan = checkpoint(ingestion.plan_documents(keyed, there, strategy).join(keyed.select("input_no", "source_id", "canonical_key"), "input_no"))
+    counts = {r.action.lower(): r["count"] for r in plan.groupBy("action").count().collect()}
+    report = {"created": 0, "new_version": 0, "reused": 0, "rejected": 0} | counts | {"failed": failed, "dry_run": dry_run, "units": 0}
+    new = plan.where(F.col("action").isin("CREATED", "NEW_VERSION"))
+    if dry_run or new.isEmpty():
+        return report
+    ids = new.select(F.col("input_no").alias("__uri"), F.col("document_id").alias("__id"))
+    own_units = ingestion.with_unit_ids(units.join(ids, units["document_id"] == ids["__uri"]).withColumn("document_id", F.col("__id")).drop("__uri", "__id"))
+    unit_rows = _records(own_units.withColumnRenamed("unit_id", "id").withColumn("object_type", F.lit("content_unit")), workspace)
+    document_rows = _records(new.select(F.col("document_id").alias("id"), F.lit("document").alias("object_type"), "source_id", F.col("input_no").alias("input_uri"), "dedupe_key", "series_key", "version_no", "parent_document_id"), workspace)
+    sources = new.select(F.col("source_id").alias("id"), F.lit("source").alias("object_type"), "canonical_key", lit("name").alias("name"), lit("source_type").alias("source_type")).dropDuplicates(["id"])
+    source_rows = _records(sources.join(store.read("source").select("id"), "id", "left_anti"), workspace)
+    rows = checkpoint(unit_rows.unionByName(document_rows).unionByName(source_rows))
+    store.create(rows)
+    return report | {"units": rows.where("object_type = 'content_unit'").count()}
+
+
 def same_rows(first: DataFrame, second: DataFrame) -> bool:
     """Whether two runs gave the same rows."""
     return first.exceptAll(second).isEmpty() and second.exceptAll(first).isEmpty()

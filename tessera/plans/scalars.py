@@ -103,6 +103,17 @@ SELECT document_id, count(*) AS n_units,
 FROM h GROUP BY document_id"""
 
 
+def semantic_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.operators.windows import semantic_hashes as hashes
+
+    return hashes(_units(spark, sf_dir))
+
+
+def config_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    options = {"content_selector": F.when(F.col("doc_id") % 2 == 0, t.json_string(F.col("source"))), "budget": F.col("n_chars").cast("string")}
+    return _docs(spark, sf_dir).select("doc_id", t.config_hash(**options).alias("config_hash"))
+
+
 def natural_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.operators.drafts import independence_group, natural_key
 
@@ -136,6 +147,8 @@ QUERIES = {
     "d6_stable_id": stable_ids,
     "d8_normalize_url": normalize_urls,
     "d9_d12_document_keys": document_keys,
+    "d4_d7_config_hash": config_hashes,
+    "d7_semantic_hash": semantic_hashes,
     "d14_collapse_whitespace": collapse,
     "d15_fiscal_period": fiscal_periods,
     "d16_time_horizon": horizons,
@@ -157,6 +170,10 @@ WITH s AS (SELECT doc_id, {_SRC} AS source_id, sha256(rtrim(text, chr(10))) AS h
 k AS (SELECT doc_id, source_id, sha256(source_id || chr(31) || h || chr(31) || 'plain_text' || chr(31) || '1.0.0' || CASE WHEN doc_id % 5 = 0 THEN chr(31) || 'c5' ELSE '' END) AS dedupe_key,
              sha256(source_id || chr(31) || 'uri:mem:' || doc_id) AS series_key FROM s)
 SELECT doc_id, source_id, dedupe_key, series_key, 'doc_' || left(sha256(dedupe_key || chr(31) || series_key || chr(31) || '1'), 40) AS document_id FROM k""",
+    "d4_d7_config_hash": """SELECT doc_id, sha256('{"budget":' || n_chars || ',"content_selector":' || CASE WHEN doc_id % 2 = 0 THEN '"' || source || '"' ELSE 'null' END || '}') AS config_hash FROM documents""",
+    "d7_semantic_hash": """
+SELECT 'doc_' || conv_id AS document_id, count(*) AS n_units, sha256('[' || string_agg('{"parent_sequence_no":null,"sequence_no":' || turn || ',"text":' || CAST(to_json(text) AS VARCHAR) || ',"unit_type":"transcript_segment"}', ',' ORDER BY turn) || ']') AS semantic_hash
+FROM conversations GROUP BY conv_id""",
     "d14_collapse_whitespace": r"SELECT doc_id, sha256(regexp_replace(regexp_replace(text, '[\s\p{Z}]+', ' ', 'g'), '^ | $', '', 'g')) AS sha FROM documents",
     "d15_fiscal_period": """
 WITH p AS (SELECT o_orderkey, year(o_orderdate) AS y, quarter(o_orderdate) AS q, CASE WHEN month(o_orderdate) <= 6 THEN 1 ELSE 2 END AS h, o_orderkey % 4 AS f FROM orders)

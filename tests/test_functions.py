@@ -63,3 +63,12 @@ def test_every_type_with_references_has_a_prefix(kind):
 
 def test_registry_has_all_schemas():
     assert set(schemas.registry()) == {"locator", "unit", "object_record", "candidate"} and len(schemas.ID_PREFIXES) == 17
+
+
+def test_canonical_json_strings(spark):
+    import json
+
+    given = ["plain é", 'q"\\', "a\nb\tc\x01", "\x7f\u2028", ""]
+    assert values(spark, t.json_string, *given) == [json.dumps(x, ensure_ascii=False) for x in given]
+    whole = values(spark, lambda v: t.canonical_object(b=t.json_string(v), a=F.lit("1"), c=F.lit(None).cast("string")), "x")
+    assert whole == [json.dumps({"b": "x", "a": 1, "c": None}, sort_keys=True, separators=(",", ":"))]

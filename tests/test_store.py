@@ -146,3 +146,20 @@ def test_opinion_matrix(spark):
     evidence = spark.createDataFrame([("e1", "clm_1", "support", "g"), ("e2", "clm_1", "support", "g"), ("e3", "clm_1", "refute", "h")], "evidence_id string, target_object_id string, evidence_role string, independence_group string")
     row = workflow.opinion_matrix(claims, evidence).orderBy("claim_id").first()
     assert row.support == ["e1", "e2"] and row.n_support_groups == 1 and row.refute == ["e3"]
+
+
+def test_ingestion_writes_documents_once(spark, store):
+    docs = spark.createDataFrame([("mem:a", "one\n\ntwo"), ("mem:b", "three"), ("mem:c", " "), ("mem:d", "three\n")], "input_uri string, text string")
+    source = {"name": "Ann's Blog", "source_type": "blog"}
+    run = lambda d, **more: workflow.ingest(store, d, "text", "w", source, **more)
+    dry = run(docs, dry_run=True)
+    assert (dry["created"], dry["reused"], dry["failed"]) == (2, 1, ["mem:c"]) and store.count() == 0
+    first = run(docs)
+    assert (first["created"], first["units"]) == (2, 3) and store.count("source") == 1 and store.count("document") == 2
+    assert run(docs)["created"] == 0 and store.count() == 6
+    changed = spark.createDataFrame([("mem:a", "one\n\ntwo\n\nmore")], "input_uri string, text string")
+    assert run(changed)["created"] == 1
+    versions = sorted((json.loads(r.payload)["input_uri"], json.loads(r.payload)["version_no"]) for r in store.read("document").collect())
+    assert ("mem:a", 2) in versions and store.count("source") == 1
+    units = [json.loads(r.payload) for r in store.read("content_unit").collect()]
+    assert {u["document_id"] for u in units} == {r.id for r in store.read("document").collect()}
