@@ -34,7 +34,7 @@ SIMILARITY = 0.8
 TREES, DEPTH = 24, 12
 RECALL = 0.999
 #: Sets that are verified at once.
-BLOCK = 1024
+BLOCK = 512
 
 
 def forest_depth(trees: int, depth: int, similarity: float, recall: float) -> int:
@@ -102,14 +102,14 @@ def intersections(sets: list[np.ndarray], width: int = 2048) -> np.ndarray:
         part = np.zeros((len(sets), min(width, total - start)), dtype=np.float32)
         part[owner[a:b], column[a:b] - start] = 1
         out += part @ part.T
-    return np.rint(out).astype(np.int64)
+    return np.rint(out).astype(np.int32)
 
 
 def _reach(linked: np.ndarray, sids: np.ndarray) -> np.ndarray:
     """The least id that each set reaches over links."""
     label = sids.copy()
     while True:
-        new = np.minimum(label, np.where(linked, label[None, :], np.iinfo(np.int64).max).min(axis=1))
+        new = np.array([min(own, label[row].min(initial=own)) for own, row in zip(label, linked, strict=True)])
         if (new == label).all():
             return label
         label = new
@@ -133,7 +133,8 @@ def _verify(similarity: float):
             sets = [np.frombuffer(members[s][2], dtype=np.uint64) for s in own.tolist()]
             weight, block, sizes = np.array([members[s][1] for s in own.tolist()]), np.array([members[s][0] for s in own.tolist()]), np.array([len(s) for s in sets])
             shared = intersections(sets)
-            linked = shared / (sizes[:, None] + sizes[None, :] - shared) >= similarity
+            linked = np.stack([row / (n + sizes - row) >= similarity for row, n in zip(shared, sizes, strict=True)])  # row by row, for the memory
+            del shared, sets
             np.fill_diagonal(linked, False)
             if p != q:
                 linked &= block[:, None] != block[None, :]
