@@ -107,6 +107,7 @@ def trace_paths(graph: DataFrame, starts: DataFrame, max_depth: int = MAX_DEPTH,
     """(start, source, path, depth): every simple path of dependencies from each start (id) to a source.
 
     A path stops at its first source. More than `max_depth` steps is an error, as such a graph can't be traced."""
+    graph = checkpoint(graph)  # read at every step
     frontier = starts.select(F.col("id").alias("start"), F.col("id").alias("node"), F.array("id").alias("path")).distinct()
     done = frontier.where(F.col("node").startswith(source_prefix))
     frontier, depth = frontier.where(~F.col("node").startswith(source_prefix)), 0
@@ -125,6 +126,7 @@ def trace_paths(graph: DataFrame, starts: DataFrame, max_depth: int = MAX_DEPTH,
 
 def trace_sources(graph: DataFrame, starts: DataFrame, max_depth: int = MAX_DEPTH, source_prefix: str = "src_") -> DataFrame:
     """The sources that each start reaches, without enumerating paths: what scales on dense graphs."""
+    graph = checkpoint(graph)  # read at every step
     frontier = checkpoint(starts.select(F.col("id").alias("start"), F.col("id").alias("node")).distinct())
     reached = frontier
     for _ in range(max_depth):
