@@ -39,3 +39,20 @@ def test_results_do_not_depend_on_partitions(spark, sf_dir, name):
         assert same_rows(rows, QUERIES[name](spark, sf_dir))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@pytest.mark.parametrize("name", ["k6_all_root_sources"])
+def test_whole_table_matches_sql_on_sf001(spark, name):
+    """On sf0.01, where a cut by id shows: every row of the query and of its SQL, and every source."""
+    import duckdb
+
+    sf_dir = "/root/testdata/sf0.01"
+    wide = duckdb.connect()
+    for table in ("supplier", "documents"):
+        wide.sql(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    frame = QUERIES[name](spark, sf_dir)
+    relation = wide.sql(ORACLES[name])
+    got, expect = {tuple(r) for r in frame.select(*relation.columns).collect()}, set(relation.fetchall())
+    assert got == expect
+    if name == "k6_all_root_sources":
+        assert len(got) == wide.sql("SELECT count(*) FROM supplier").fetchall()[0][0]
