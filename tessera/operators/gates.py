@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.durable import checkpoint
 from tessera.functions.schemas import CANDIDATE, CANDIDATE_ORDER
 from tessera.functions.text import collapse_whitespace, is_blank, nfkc, strip, token_set
 
@@ -59,6 +60,18 @@ def in_order(candidates: DataFrame) -> DataFrame:
     return complete(candidates).orderBy(F.when(place > 0, place).otherwise(100), primary, F.coalesce("candidate_id", F.lit("")))
 
 
+def ranked(candidates: DataFrame) -> DataFrame:
+    """Every candidate with its rank in that order, from 1.
+
+    Each sorted partition counts its own rows; only the partitions' sizes are summed in one place."""
+    placed = checkpoint(in_order(candidates).withColumn("__at", F.monotonically_increasing_id()))
+    part = F.shiftright("__at", 33)
+    sizes = placed.groupBy(part.alias("__part")).agg(F.count("*").alias("n"))
+    before = sizes.select("__part", (F.sum("n").over(Window.orderBy("__part")) - F.col("n")).alias("__before"))
+    joined = placed.withColumn("__part", part).join(F.broadcast(before), "__part")
+    return joined.withColumn("rank", F.col("__before") + F.col("__at") - F.shiftleft("__part", 33) + 1).drop("__at", "__part", "__before")
+
+
 def _finding(code: str | Column, severity: str | Column, gate: str, detail: Column | None = None) -> Column:
     lit = lambda x: F.lit(x) if isinstance(x, str) else x
     return F.struct(lit(code).alias("code"), lit(severity).alias("severity"), F.lit(gate).alias("gate_name"), (F.lit("") if detail is None else detail).alias("detail"))

@@ -151,9 +151,30 @@ def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only the first 50, as its SQL has them; ranked has every candidate."""
     return gates.in_order(candidates(spark, sf_dir)).select("candidate_type", "candidate_id").limit(50)
 
 
+def ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate and an evidence row for each document, with primary texts that tie within a type."""
+    d, kind = F.substring_index("candidate_id", "_", -1).cast("long"), F.col("candidate_type")
+    text = lambda label, n: F.concat(F.lit(label), (d % n).cast("string"))
+    quoted = table(spark, sf_dir, "documents").select(F.concat(F.lit("ev_"), F.col("doc_id").cast("string")).alias("candidate_id"), F.lit("evidence").alias("candidate_type"))
+    rows = candidates(spark, sf_dir).select("candidate_id", "candidate_type", "statement").unionByName(quoted, allowMissingColumns=True)
+    rows = rows.withColumns({
+        "canonical_name": F.when(kind == "entity", text("name ", 7)), "metric": F.when(kind == "data_point", text("metric ", 5)),
+        "statement": F.when(kind == "claim", text("claim ", 4)).otherwise(F.col("statement")), "evidence_type": F.when(kind == "evidence", text("quote ", 3)),
+    })
+    return gates.ranked(rows).select("candidate_type", "candidate_id", "rank")
+
+
+_RANKED_SQL = """
+WITH k AS (SELECT doc_id AS d, t AS candidate_type, place, p || '_' || doc_id AS candidate_id FROM documents, (VALUES ('entity', 1, 'en'), ('data_point', 2, 'da'), ('claim', 3, 'cl'), ('evidence', 4, 'ev'), ('fact', 5, 'fa')) AS v(t, place, p)),
+q AS (SELECT *, CASE candidate_type WHEN 'entity' THEN 'name ' || d % 7 WHEN 'data_point' THEN 'metric ' || d % 5 WHEN 'claim' THEN 'claim ' || d % 4 WHEN 'evidence' THEN 'quote ' || d % 3
+        ELSE CASE d % 7 WHEN 0 THEN '公司预计增长' WHEN 1 THEN '估值偏高' ELSE 'plain' END END AS primary_text FROM k)
+SELECT candidate_type, candidate_id, row_number() OVER (ORDER BY place, primary_text, candidate_id) AS rank FROM q"""
+
+
 def preflight(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A bundle that accepts every candidate of even documents, whatever the gates say."""
     bundle = candidates(spark, sf_dir).withColumns({"accepted": F.substring_index("document_id", "_", -1).cast("long") % 2 == 0, "workspace_id": F.lit("ws"), "provider_name": F.lit("p")})
@@ -180,6 +201,7 @@ QUERIES = {
     "e4_constraints": constraints,
     "e11_review_decisions": decisions,
     "i2_candidate_order": ordered,
+    "i2_candidate_ranks": ranked,
     "l10_j7_preflight": preflight,
 }
 
@@ -202,5 +224,6 @@ WITH {_CAND_SQL}, {_SAFETY_SQL} SELECT count(*) FILTER (severity = 'ERROR') AS e
 SELECT CAST(doc_id AS VARCHAR) AS candidate_id, 'BAD_BUNDLE_HASH' AS code FROM labels WHERE doc_id % 6 = 0 UNION ALL SELECT CAST(doc_id AS VARCHAR), 'NO_REVIEWER' FROM labels WHERE doc_id % 7 = 0
 UNION ALL SELECT CAST(doc_id AS VARCHAR), 'REVISION_WITHOUT_STATEMENT' FROM labels WHERE toxic = 1 AND doc_id % 2 = 1""",
     "i2_candidate_order": "SELECT 'entity' AS candidate_type, 'en_' || doc_id AS candidate_id FROM documents ORDER BY candidate_id LIMIT 50",
+    "i2_candidate_ranks": _RANKED_SQL,
     "l10_j7_preflight": _PREFLIGHT_SQL,
 }
