@@ -72,18 +72,19 @@ def _core(graph: DataFrame) -> DataFrame:
     return core
 
 
-def cycle_members(graph: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def cycle_members(graph: DataFrame) -> DataFrame:
     """K3: (id) of every node that reaches itself, rather than paths that depend on the order of a search.
 
-    Reachability is only walked in the trimmed core, which is empty for a graph without cycles."""
+    Reachability is only walked in the trimmed core, which is empty for a graph without cycles. Walks double in length
+    each round until no new pair is found, so cycles of any length are; a core in which n nodes reach each other has
+    n * n pairs."""
     core = _core(graph)
-    reached = checkpoint(core.select(F.col("src").alias("start"), F.col("dst").alias("node")))
-    frontier, depth = reached, 1
-    while depth < max_depth and not frontier.isEmpty():
-        step = frontier.where("start <> node").join(core, frontier["node"] == core["src"]).select("start", F.col("dst").alias("node")).distinct()
+    reached = checkpoint(core.select(F.col("src").alias("start"), F.col("dst").alias("node")).distinct())
+    frontier = reached
+    while not frontier.isEmpty():
+        step = frontier.join(reached.select(F.col("start").alias("node"), F.col("node").alias("further")), "node").select("start", F.col("further").alias("node")).distinct()
         frontier = checkpoint(step.join(reached, ["start", "node"], "left_anti"))
         reached = checkpoint(reached.unionByName(frontier))
-        depth += 1
     return reached.where("start = node").select(F.col("start").alias("id")).distinct()
 
 

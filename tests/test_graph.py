@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from tessera.operators import graph
@@ -31,6 +33,30 @@ def test_cycles_are_members_only(spark):
     assert graph.cycle_members(edges(spark, ("a", "b"), ("b", "c"))).count() == 0
 
 
+def test_cycles_of_any_length(spark):
+    ring = lambda prefix, n: [(f"{prefix}{i}", f"{prefix}{(i + 1) % n}") for i in range(n)]
+    between = [("a0", "p0"), ("p0", "p1"), ("p1", "b0"), ("b1", "tail")]
+    found = [r.id for r in graph.cycle_members(edges(spark, *ring("a", 300), *ring("b", 66), *between)).collect()]
+    assert sorted(found) == sorted(x for x, _ in ring("a", 300) + ring("b", 66))
+
+
+def test_a_long_ring_is_not_valid(spark):
+    objects = spark.createDataFrame([(f"ent_{i}", "entity", [f"ent_{(i + 1) % 100}"]) for i in range(100)], "id string, object_type string, possible_same_as array<string>")
+    found = graph.validate(objects, graph.extract_edges(objects)).where("blocking").collect()
+    assert {(r.finding, r.id) for r in found} == {("DEPENDENCY_CYCLE", f"ent_{i}") for i in range(100)}
+
+
+def test_cycles_against_brute_force(spark):
+    rng = random.Random(5)
+    for n, m in ((30, 40),):
+        pairs = sorted({(f"{g}{rng.randrange(n):02}", f"{g}{rng.randrange(n):02}") for g in "xyz" for _ in range(m)} | {("x00", "y00"), ("x01", "y01"), ("z00", "y02")})
+        reach = {a: {b for c, b in pairs if c == a} for a in {x for p in pairs for x in p}}
+        while any(new - old for a, old in reach.items() for new in [set().union(*(reach[b] for b in old))]):
+            reach = {a: old.union(*(reach[b] for b in old)) for a, old in reach.items()}
+        found = [r.id for r in graph.cycle_members(edges(spark, *pairs)).collect()]
+        assert sorted(found) == sorted(a for a, to in reach.items() if a in to)
+
+
 def test_paths_and_sources(spark):
     g = edges(spark, ("clm_1", "cu_1"), ("clm_1", "cu_2"), ("cu_1", "doc_1"), ("cu_2", "doc_1"), ("doc_1", "src_1"), ("src_1", "src_0"), ("doc_1", "clm_1"))
     start = spark.createDataFrame([("clm_1",), ("src_1",)], "id string")
