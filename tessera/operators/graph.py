@@ -125,17 +125,15 @@ def trace_paths(graph: DataFrame, starts: DataFrame, max_depth: int = MAX_DEPTH,
     return done.select("start", F.col("node").alias("source"), "path", (F.size("path") - 1).alias("depth"))
 
 
-def trace_sources(graph: DataFrame, starts: DataFrame, max_depth: int = MAX_DEPTH, source_prefix: str = "src_") -> DataFrame:
-    """The sources that each start reaches, without enumerating paths: what scales on dense graphs."""
+def trace_sources(graph: DataFrame, starts: DataFrame, source_prefix: str = "src_") -> DataFrame:
+    """The sources that each start reaches, however far away, without enumerating paths: what scales on dense graphs."""
     graph = checkpoint(graph)  # read at every step
     frontier = checkpoint(starts.select(F.col("id").alias("start"), F.col("id").alias("node")).distinct())
     reached = frontier
-    for _ in range(max_depth):
+    while not frontier.isEmpty():
         open_ = frontier.where(~F.col("node").startswith(source_prefix))
         step = open_.join(graph, open_["node"] == graph["src"]).select("start", F.col("dst").alias("node")).distinct()
         frontier = checkpoint(step.join(reached, ["start", "node"], "left_anti"))
-        if frontier.isEmpty():
-            break
         reached = checkpoint(reached.unionByName(frontier))
     return reached.where(F.col("node").startswith(source_prefix)).select("start", F.col("node").alias("source"))
 
@@ -148,11 +146,12 @@ def unit_sources(units: DataFrame, documents: DataFrame) -> DataFrame:
     return joined.select("unit_id", "workspace_id", "source_id", problem.alias("problem"))
 
 
-def root_sources(sources: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def root_sources(sources: DataFrame) -> DataFrame:
     """K6: (id, root, problem). `sources`: id, workspace_id, parent_source_id, derivation_links. A source's parent is its
     parent_source_id, else its first link to a source. Cycles, missing and foreign parents have no root.
 
-    Pointers double in length each round, so a chain of n sources takes log2(n) rounds."""
+    Pointers double in length each round, so a chain of n sources takes log2(n) rounds. A round
+    that ends no pointer leaves cycles only: the longest chain left would have had one at half its length to end."""
     links = F.filter("derivation_links", lambda x: x["object_id"].startswith("src_"))
     parent = F.coalesce(F.when(F.col("parent_source_id") != "", F.col("parent_source_id")), F.get(links, F.lit(0))["object_id"])
     own = sources.select("id", "workspace_id", parent.alias("parent")).dropDuplicates(["id"])
@@ -160,12 +159,12 @@ def root_sources(sources: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     joined = own.join(other, "parent", "left")
     problem = F.when(F.col("parent").isNotNull() & F.col("parent_workspace").isNull(), "SOURCE_NOT_FOUND").when(F.col("parent_workspace") != F.col("workspace_id"), "CROSS_WORKSPACE")
     state = checkpoint(joined.select("id", F.coalesce(F.when(problem.isNull(), F.col("parent")), F.col("id")).alias("to"), problem.alias("problem"), (F.col("parent").isNull() | problem.isNotNull()).alias("ended")))
-    for _ in range(max_depth.bit_length() + 1):
-        if state.where("NOT ended").isEmpty():
-            break
+    left, before = state.where("NOT ended").count(), None
+    while left and left != before:
         ahead = state.select(F.col("id").alias("to"), F.col("to").alias("further"), F.col("problem").alias("their_problem"), F.col("ended").alias("their_end"))
         moved = state.where("NOT ended").join(ahead, "to", "left").select("id", F.coalesce("further", "to").alias("to"), F.col("their_problem").alias("problem"), F.coalesce("their_end", F.lit(True)).alias("ended"))
         state = checkpoint(state.where("ended").unionByName(moved))
+        left, before = state.where("NOT ended").count(), left
     final = F.when(~F.col("ended"), "CYCLE").otherwise(F.col("problem"))
     return state.select("id", F.when(final.isNull(), F.col("to")).alias("root"), final.alias("problem"))
 

@@ -73,3 +73,18 @@ def test_root_sources(spark):
     got = {r.id: (r.root, r.problem) for r in graph.root_sources(sources).collect()}
     assert got["src_a"] == got["src_b"] == got["src_c"] == ("src_c", None)
     assert got["src_x"] == (None, "CYCLE") and got["src_m"] == (None, "SOURCE_NOT_FOUND") and got["src_w"] == (None, "CROSS_WORKSPACE")
+
+
+def test_roots_at_the_end_of_long_chains(spark):
+    """Chains of 1 to 700 steps, and cycles of two and of 300 with a tail."""
+    chain = [(f"src_{i}", f"src_{i - 1}" if i else None) for i in range(701)]
+    ring = [(f"src_c{i}", f"src_c{(i + 1) % 300}") for i in range(300)] + [("src_d0", "src_d1"), ("src_d1", "src_d0")] + [(f"src_t{i}", f"src_t{i - 1}" if i else "src_c7") for i in range(80)]
+    sources = spark.createDataFrame([(i, "w", p, []) for i, p in chain + ring], "id string, workspace_id string, parent_source_id string, derivation_links array<struct<object_id:string,relation_type:string>>")
+    got = {r.id: (r.root, r.problem) for r in graph.root_sources(sources).collect()}
+    assert got == {i: ("src_0", None) for i, _ in chain} | {i: (None, "CYCLE") for i, _ in ring}
+
+
+def test_sources_far_away(spark):
+    g = edges(spark, *((f"ent_{i}", f"ent_{i + 1}") for i in range(65)), ("ent_65", "src_1"), ("ent_3", "src_2"), ("ent_65", "ent_0"))
+    start = spark.createDataFrame([("ent_0",)], "id string")
+    assert {tuple(r) for r in graph.trace_sources(g, start).collect()} == {("ent_0", "src_1"), ("ent_0", "src_2")}
