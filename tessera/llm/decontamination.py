@@ -1,6 +1,7 @@
 """Benchmark decontamination by size-partitioned MinHash containment search.
 
-Test items fall into classes by their number of distinct five-word shingles, up to 8, 16, 32 and so on. For a class of
+Test items fall into classes by their number of distinct five-word shingles, up to 2, 8, 16, 32 and so on. Items of up
+to two shingles are looked up by each shingle's hash, which misses none. For a larger class of
 up to L shingles a document is read as overlapping segments of 2 L shingles, one beginning every L, so that an item of
 the class lies whole in one segment and is never lost in a long document's signature: its Jaccard similarity with the
 segment is at least about 0.19. An item and a segment that agree in any of HASHES minima are a candidate; one with
@@ -31,7 +32,7 @@ from tessera.llm.words import Words, mix, release, slices, window_hashes, window
 
 CONTAINMENT = 0.8
 HASHES = 48
-SMALLEST = 8
+EXACT, SMALLEST = 2, 8
 MOST_ITEMS, MOST_CHARS = 20_000, 32_000_000
 
 FOUND = "array<struct<item:bigint,n_shingles:bigint,n_shared:bigint>>"
@@ -48,11 +49,14 @@ def full_shingles(texts: pa.Array) -> Iterator[np.ndarray]:
 
 
 def size_class(n: int) -> int:
-    return max(SMALLEST, 1 << (n - 1).bit_length())
+    return EXACT if n <= EXACT else max(SMALLEST, 1 << (n - 1).bit_length())
 
 
 def segment_minima(shingles: np.ndarray, classes: list[int], minhash: MinHash) -> Iterator[tuple[int, np.ndarray]]:
-    """For each class its segments' minima, an array (hashes, segments)."""
+    """For each class but EXACT its segments' minima, an array (hashes, segments)."""
+    classes = [c for c in classes if c > EXACT]
+    if not classes:
+        return
     step = classes[0]
     blocks = -(-len(shingles) // step)
     values = np.full((len(minhash.times), blocks * step), np.iinfo(np.uint32).max, dtype=np.uint32)
@@ -73,6 +77,10 @@ def _keys(minima: np.ndarray) -> np.ndarray:
     return (np.arange(len(minima), dtype=np.uint64)[:, None] << np.uint64(32)) | minima
 
 
+def _exact_keys(shingles: np.ndarray) -> np.ndarray:
+    return mix(shingles ^ mix(np.full(1, EXACT, dtype=np.uint64)))
+
+
 @dataclass(frozen=True)
 class Index:
     """Items by class: sorted keys of (hash, minimum), the item of each, and a bitmap that passes few other values."""
@@ -82,6 +90,7 @@ class Index:
     keys: dict[int, np.ndarray]
     items: dict[int, np.ndarray]
     bitmap: dict[int, np.ndarray]
+    exact: tuple[np.ndarray, np.ndarray]
 
     @staticmethod
     def build(ids: list, texts: pa.Array, hashes: int) -> Index:
@@ -89,7 +98,10 @@ class Index:
         kept = [(i, np.unique(s)) for i, s in zip(ids, full_shingles(texts), strict=True) if len(s)]
         keys, items, bitmap = {}, {}, {}
         sizes = np.array([size_class(len(s)) for _, s in kept], dtype=np.int64)
-        for size in sorted(set(sizes.tolist())):
+        short = [(h, i) for i in np.flatnonzero(sizes == EXACT).tolist() for h in kept[i][1]]
+        short.sort()
+        exact = np.array([h for h, _ in short], dtype=np.uint64), np.array([i for _, i in short], dtype=np.int64)
+        for size in sorted(set(sizes.tolist()) - {EXACT}):
             own = np.flatnonzero(sizes == size)
             minima = np.stack([minhash.signature(kept[i][1]) for i in own], axis=1)
             flat = _keys(minima).ravel()
@@ -97,10 +109,16 @@ class Index:
             keys[size], items[size] = flat[order], np.tile(own, hashes)[order]
             bitmap[size] = np.zeros(1 << 18, dtype=bool)
             bitmap[size][minima.ravel() >> np.uint32(14)] = True
-        return Index([i for i, _ in kept], [s for _, s in kept], keys, items, bitmap)
+        return Index([i for i, _ in kept], [s for _, s in kept], keys, items, bitmap, exact)
 
     def candidates(self, shingles: np.ndarray, minhash: MinHash) -> np.ndarray:
         found = []
+        hashes, items = self.exact
+        if len(hashes):
+            at = np.minimum(np.searchsorted(hashes, shingles), len(hashes) - 1)
+            asked = np.unique(shingles[hashes[at] == shingles])
+            begin, end = (np.searchsorted(hashes, asked, side=side) for side in ("left", "right"))
+            found += [items[a:b] for a, b in zip(begin, end, strict=True)]
         for size, minima in segment_minima(shingles, list(self.keys), minhash):
             row, column = np.nonzero(self.bitmap[size][minima >> np.uint32(14)])
             if len(row):
@@ -142,6 +160,7 @@ def _document_keys(classes: list[int], hashes: int):
             for key, shingles in zip(batch.column("key"), full_shingles(batch.column("text")), strict=True):
                 if len(shingles):
                     own = [np.unique(mix(_keys(m).ravel() ^ mix(np.full(1, size, dtype=np.uint64)))) for size, m in segment_minima(shingles, classes, minhash)]
+                    own += [_exact_keys(np.unique(shingles))] if EXACT in classes else []
                     own = np.concatenate(own).view(np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array([key.as_py()] * len(own)), pa.array(own)], names=["key", "minimum"])
 
@@ -156,7 +175,7 @@ def _item_keys(hashes: int):
                 if len(shingles):
                     own = np.unique(shingles)
                     size = size_class(len(own))
-                    keys = mix(_keys(minhash.signature(own)[:, None]).ravel() ^ mix(np.full(1, size, dtype=np.uint64))).view(np.int64)
+                    keys = _exact_keys(own).view(np.int64) if size == EXACT else mix(_keys(minhash.signature(own)[:, None]).ravel() ^ mix(np.full(1, size, dtype=np.uint64))).view(np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array([key.as_py()] * len(keys)), pa.array([size] * len(keys), pa.int32()), pa.array(keys)], names=["item_key", "size", "minimum"])
 
     return run

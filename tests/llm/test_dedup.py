@@ -231,3 +231,20 @@ def test_suffix_query_matches_brute_force(spark, sf_dir):
     expect = {i: (n, gone, spans, hashlib.sha256(kept).hexdigest()) for i, (n, gone, spans, kept) in brute_bytes(rows, 100).items()}
     assert {r.doc_id: tuple(r)[1:] for r in suffixes.query(spark, sf_dir).collect()} == expect
     assert collections.Counter(v[1] > 0 for v in expect.values())[True] > 10
+
+
+def test_short_items_are_not_missed(spark):
+    """Items of five to eight words, and of one repeated word, at the edges and in the middle of long documents."""
+    import pyarrow as pa
+
+    texts = [(i, " ".join([f"q{i}x"] * 7 if n == 4 else [f"q{i}x{j}" for j in range(5 + n)])) for i in range(600) for n in (i % 5,)]
+    filler = lambda i, n: [f"f{i}y{j}" for j in range(n)]
+    docs = [(i, " ".join(filler(i, 200 * (i % 3 > 0)) + [text] + filler(-i - 1, 200 * (i % 3 < 2)))) for i, text in texts]
+    index = decontamination.Index.build([i for i, _ in texts], pa.array([t for _, t in texts]), decontamination.HASHES)
+    minhash = decontamination.MinHash(decontamination.HASHES)
+    found = [[x["item"] for x in index.search(s, decontamination.CONTAINMENT, minhash)] for s in decontamination.full_shingles(pa.array([t for _, t in docs]))]
+    missed = [sum(own != [i] for i, own in enumerate(found) if i % 5 == n) for n in range(5)]
+    print("missed of 120 each, 5 to 8 words and one repeated:", missed)
+    assert not any(missed)
+    shuffled = decontamination.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(texts, "item_id long, text string"), most_items=0)
+    assert all([x["item"] for x in r.leaks] == [r.doc_id] for r in shuffled.collect())
