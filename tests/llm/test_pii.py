@@ -96,3 +96,11 @@ def test_redaction(documents, awkward):
     texts = {r.doc_id: r.text for r in out.collect()}
     assert texts[50].startswith("é <email>, <card>! ") and texts[50].endswith(" x") and texts[1] is None and texts[6] == dict((r[0], r[1]) for r in awkward)[6]
     assert pii.redact(documents(*awkward).limit(0)).count() == 0
+
+
+def test_long_secrets_and_addresses_are_redacted_whole(spark):
+    values = [("token=" + "a1" * 450, "<secret>"), ("token=" + "b2" * 50_000, "<secret>"), ("n" * 80 + " [at] example.com", "<email>"), ("me [at] " + "h" * 80 + ".com", "<email>")]
+    rows = [(i, f"login mail {value} end") for i, (value, _) in enumerate(values)]
+    model = {k: np.array([1.0] + [0.0] * 10) for k in pii.KINDS}
+    out = {r.doc_id: r.text for r in pii.redact(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert out == {i: f"login mail {kind} end" for i, (_, kind) in enumerate(values)}
