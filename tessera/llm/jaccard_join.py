@@ -1,8 +1,8 @@
-"""N-gram Jaccard join with a MinHash LSH forest.
+"""N-gram Jaccard join with MinHash banding.
 
-Each text's set of five-word shingles gets a signature; each tree of the forest is the sorted trie of one part of the
-signatures. Matches start at whole parts and their prefixes are shortened level by level until two sets at the
-threshold share a node of some tree with the target recall. The sets in a node are tied to the least one by a star,
+Each text's set of five-word shingles gets a signature in bands ("trees"). No tries are sorted and nothing adapts to
+the data: all bands are cut to the longest prefix at which two sets at the threshold share one with the target recall,
+which a formula gives, and a set has one node a band, the hash of that prefix. The sets in a node are tied to the least one by a star,
 never pair by pair, and the stars' components are candidate groups. In a candidate group all pairs are verified
 by exact Jaccard similarity of the shingle sets: a group of up to BLOCK sets in one go, a larger one by pairs of
 blocks, which are dealt out over the cluster. A verified block gives, for each set, the number of documents it links
