@@ -7,12 +7,28 @@ from pyspark.sql import functions as F
 
 from tessera.durable import checkpoint
 
+#: Centres of large stars are broadcast: at most so many, as each takes more than its share of all edges.
+MOST_CENTRES, LEAST_DEGREE = 10_000, 1000
+
 
 def _state(edges: DataFrame) -> tuple:
     row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
     return row.n, row.h
 
 
+def _with_least(edges: DataFrame, n: int) -> DataFrame:
+    """(u, v, m): each edge with the least v of its u.
+
+    A u with more than n / MOST_CENTRES edges would land in one task; there are fewer than MOST_CENTRES of them, so
+    these are broadcast, and only the others' edges are shuffled."""
+    least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("degree"))
+    most = max(LEAST_DEGREE, -(-n // MOST_CENTRES))
+    centres = F.broadcast(least.where(F.col("degree") > most).select("u", "m"))
+    marked = edges.join(centres, "u", "left")
+    others = marked.where("m IS NULL").select("u", "v").join(least.where(F.col("degree") <= most).select("u", "m"), "u")
+    return marked.where("m IS NOT NULL").unionByName(others)
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, component) of every node that has an edge; the component is its least node. `edges`: u, v (long).
 
@@ -22,18 +38,17 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     state = _state(edges)
     for _ in range(most_rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = small.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        edges = checkpoint(small)
+        m = F.least("u", "m")
+        large = _with_least(both, 2 * state[0]).where("v > u").select(F.col("v").alias("u"), m.alias("v")).where("u <> v")
+        large = checkpoint(large.distinct())
+        small = _with_least(large, 2 * state[0])
+        edges = checkpoint(small.select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).distinct())
         new = _state(edges)
         if new == state:
             break
         state = new
     else:
         raise RuntimeError(f"components did not settle within {most_rounds} rounds")
-    least = edges.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component")
-    roots = edges.select(F.col("v").alias("node")).distinct().join(least.select("node"), "node", "left_anti")
-    return least.unionByName(roots.select("node", F.col("node").alias("component")))
+    # Every edge now ends at its component. Least values combine before the shuffle, so that a centre's edges don't meet.
+    ends = edges.select(F.explode(F.array("u", "v")).alias("node"), F.col("v").alias("component"))
+    return ends.groupBy("node").agg(F.min("component").alias("component"))

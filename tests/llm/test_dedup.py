@@ -166,15 +166,70 @@ def test_jaccard_of_awkward_documents(documents, awkward):
     assert jaccard_join.jaccard_classes(documents(*awkward).limit(0)).count() == 0
 
 
-def test_forest_depth_shortens_until_the_recall_is_met():
+def test_prefixes_shorten_until_the_recall_is_met():
     assert jaccard_join.forest_depth(24, 12, 0.8, 0.999) == 6
     assert jaccard_join.forest_depth(24, 12, 0.8, 0.99) == 7 and jaccard_join.forest_depth(2, 12, 0.8, 0.999) == 1
+    assert jaccard_join.forest_depth(24, 9, 0.95, 0.999) == 9
+
+
+def test_neighbours_in_sorted_tries_tie_each_node_together(spark):
+    rng = random.Random(9)
+    trees, depth, least = 3, 4, 2
+    labels = {i: [[rng.randrange(2) for _ in range(depth)] for _ in range(trees)] for i in range(200)}
+    rows = [(i, b"".join(bytes([t, *own[t]]) for t in range(trees))) for i, own in labels.items()]
+    frame = spark.createDataFrame(rows, "sid long, labels binary").repartition(3)
+    ties = [(r.u, r.v, r.depth) for r in jaccard_join.sorted_tries(frame, trees, depth, least).collect()]
+    for level in range(least, depth + 1):
+        parent = {i: i for i in labels}
+
+        def root(i):
+            while parent[i] != i:
+                i = parent[i]
+            return i
+
+        for u, v, n in ties:
+            if n >= level:
+                parent[root(u)] = root(v)
+        for t in range(trees):
+            nodes = collections.defaultdict(set)
+            for i, own in labels.items():
+                nodes[tuple(own[t][:level])].add(root(i))
+            assert all(len(roots) == 1 for roots in nodes.values())
+    assert all(any(a[:n] == b[:n] for a, b in zip(labels[u], labels[v], strict=True)) for u, v, n in ties)
+    assert jaccard_join.sorted_tries(frame.limit(0), trees, depth, least).count() == 0
+
+
+def test_recall_of_pairs_just_over_the_threshold(documents):
+    """Two thousand pairs of similarity 0.8 to 0.85, each of its own words."""
+    rng = random.Random(12)
+    rows, alike = [], 0
+    for i in range(2000):
+        one = [f"a{i}w{j}" for j in range(104)]
+        two = list(one)
+        two[rng.randrange(10, 50)] = two[rng.randrange(55, 95)] = f"b{i}"  # ten of a hundred shingles differ
+        near = len(shingles(" ".join(one)) & shingles(" ".join(two))) / len(shingles(" ".join(one)) | shingles(" ".join(two)))
+        alike += 0.8 <= near <= 0.85
+        rows += [(2 * i, " ".join(one)), (2 * i + 1, " ".join(two))]
+    found = jaccard_join.jaccard_classes(documents(*rows)).where("n_links = 1").count() / 2
+    print("pairs found:", found, "of", alike)
+    assert alike == 2000 and found >= 0.998 * alike
+
+
+def test_one_document_of_each_class_whatever_its_id(documents):
+    text = lambda n: " ".join(f"t{n}w{i}" for i in range(30))
+    a, b, z = text(1), text(2), text(3)
+    kept = lambda *rows: sorted(((r.doc_id, r.text) for r in jaccard_join.keep_one(documents(*rows)).collect()), key=repr)
+    assert kept((5, a), (5, b), (3, b), (9, z)) == sorted([(5, a), (3, b), (9, z)], key=repr)
+    assert kept((5, a), (5, a)) == [(5, a)]
+    assert kept((None, a), (None, a), (None, b)) == sorted([(None, a), (None, b)], key=repr)
+    assert kept((None, a), (7, a)) == [(7, a)]
+    assert kept((1, None), (1, None), (2, ""), (2, " ")) == sorted([(1, None), (1, None), (2, ""), (2, " ")], key=repr)
 
 
 def test_components(spark):
-    pairs = [(i, i + 1) for i in range(60)] + [(100, 101), (102, 100), (7, 7)]
+    pairs = [(i, i + 1) for i in range(60)] + [(100, 101), (102, 100), (7, 7)] + [(5000, 1000 + i) for i in range(3000)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(pairs, "u long, v long")).collect()}
-    assert got == {**dict.fromkeys(range(61), 0), 100: 100, 101: 100, 102: 100}
+    assert got == {**dict.fromkeys(range(61), 0), 100: 100, 101: 100, 102: 100, **dict.fromkeys(range(1000, 4000), 1000), 5000: 1000}
     assert components.components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
