@@ -2,17 +2,24 @@
 
 Sources, in code point order with null last, weigh `weights`, repeating, and share all words; a target stops at `most`
 times its source's words, and the excess is shared again by weight until none is above. A source's documents fall by
-hash into blocks. Its quota is as many whole passes over its blocks as its target holds, then blocks in a permuted
-order until the target is met; of the block in which that happens, documents are taken in random order as they fit, and one more if that comes nearer.
+hash into blocks, which are permuted. Its quota is as many whole passes over its blocks as its target holds, then
+blocks in their permuted order until the target is met; of the block in which that happens, documents are taken in
+random order as they fit, and one more if that comes nearer.
 
 The quotas of all sources are split between the two halves of the output shards by a multivariate-hypergeometric
-draw, each half likewise, down to single shards. So every shard gets an exact number of block draws of every source,
-takes its own range of the permuted draws, and shuffles what it drew by a hash of its own. Only one row for each
-source reaches the driver; every random choice comes from `seed` and hashes, so that reruns agree.
+draw, each half likewise, down to single shards, WAYS at a time, each node of the tree in a task of its own. So every shard gets
+an exact number of block draws of every source, its own range of the source's permuted draws, and shuffles what it
+drew by a hash of its own. What the mix takes of a document is what the shards drew. Every random choice comes from
+`seed` and hashes, so that reruns agree.
+
+Nothing is collected. A row for each source passes through one task, and the tree's root is one vector over all
+sources; their table is broadcast only if a count finds it short. Blocks number at most MOST_BLOCKS a source, and ALL_BLOCKS and one a source in all, beyond which they hold more documents;
+so fewer than 10**9 draws are ever split, which the generator needs, up to 10**8 sources.
 
 Defined results. Null text: size 0. Null source: a source of its own, the last. Size 0: in the mix where its block is.
 Rows that repeat both id and text are taken together, and count with all their words. Null ids: as one more id. No
-document has more than `most` copies. Empty table: no rows. Other columns pass through `mix`.
+document has more than `most` copies. Empty table: no rows. Other columns pass through `mix`, but for mix_copy,
+mix_shard and mix_place, which it replaces: a mix can be mixed again.
 """
 
 from __future__ import annotations
@@ -30,10 +37,12 @@ from tessera.llm.words import Words, release, slices
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST = 3
 SEED = 20
-#: Documents to a block, and blocks to a source at most.
-BLOCK_DOCS, BLOCKS = 64, 1 << 16
-#: Beyond so many sources their table is joined by shuffling instead of broadcast.
-FEW_SOURCES = 10_000
+#: Documents to a block at least; blocks to a source, and to all sources, at most.
+BLOCK_DOCS, MOST_BLOCKS, ALL_BLOCKS = 64, 1 << 16, 1 << 26
+#: Up to so many sources their table is broadcast; beyond, rows of a source are dealt over SALTS parts and joined.
+FEW_SOURCES, SALTS = 10_000, 64
+#: Parts that a node of the tree is split into in one go.
+WAYS = 64
 
 
 @F.arrow_udf(T.LongType())
@@ -43,38 +52,40 @@ def n_words(texts: pa.Array) -> pa.Array:
     return pa.array(np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64), pa.int64())
 
 
-def targets(sizes: dict[str | None, int], weights: tuple[float, ...] = WEIGHTS, most: int = MOST) -> dict[str | None, float]:
-    """Each source's target in words."""
-    order = sorted((s for s in sizes if s is not None)) + [None] * (None in sizes)
-    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
-    found, left, open_ = {}, float(sum(sizes.values())), list(order)
-    while open_:
-        total = sum(weight[s] for s in open_)
-        full = [s for s in open_ if left * weight[s] / total > most * sizes[s]]
-        if not full:
-            return found | {s: left * weight[s] / total for s in open_}
-        found |= {s: float(most * sizes[s]) for s in full}
-        left -= sum(most * sizes[s] for s in full)
-        open_ = [s for s in open_ if s not in found]
+def targets(sizes: np.ndarray, weights: tuple[float, ...] = WEIGHTS, most: int = MOST) -> np.ndarray:
+    """Each source's target in words; `sizes` are in the sources' order."""
+    sizes = np.asarray(sizes, dtype=float)
+    weight = np.resize(np.array(weights, dtype=float), len(sizes))
+    found, left, open_ = np.zeros(len(sizes)), sizes.sum(), np.ones(len(sizes), dtype=bool)
+    while open_.any():
+        share = left * weight / weight[open_].sum()
+        full = open_ & (share > most * sizes)
+        if not full.any():
+            found[open_] = share[open_]
+            break
+        found[full] = most * sizes[full]
+        left -= found[full].sum()
+        open_ &= ~full
     return found
 
 
-def split_quotas(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
-    """How many of each source's block draws each shard gets: (shards, sources), with the quotas as column sums."""
-    out = np.zeros((shards, len(quotas)), dtype=np.int64)
+def split_counts(counts: np.ndarray, left: int, right: int, seed: int, ways: int) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+    """A node of the tree, the draws `counts` of each source over shards `left` to `right`, as at most `ways` nodes below
+    it: their shards, the draws of each source before them in this node, and their own. Draws are shared by numbers of shards."""
+    out = []
 
-    def split(left: int, right: int, counts: np.ndarray) -> None:
-        if right - left == 1:
-            out[left] = counts
+    def split(left: int, right: int, before: np.ndarray, counts: np.ndarray, ways: int) -> None:
+        if ways < 2 or right - left == 1:
+            out.append((left, right, before, counts))
             return
-        middle = (left + right) // 2
-        total = int(counts.sum())
+        middle, total = (left + right) // 2, int(counts.sum())
         rng = np.random.default_rng([seed, left, right])
         mine = rng.multivariate_hypergeometric(counts, total * (middle - left) // (right - left)) if total else counts
-        split(left, middle, mine)
-        split(middle, right, counts - mine)
+        split(left, middle, before, mine, ways // 2)
+        split(middle, right, before + mine, counts - mine, ways // 2)
 
-    split(0, shards, np.asarray(quotas, dtype=np.int64))
+    counts = np.asarray(counts, dtype=np.int64)
+    split(left, right, np.zeros_like(counts), counts, ways)
     return out
 
 
@@ -109,49 +120,100 @@ def _marks(id_col: str, text_col: str, source_col: str, seed: int) -> tuple[Colu
     return F.when(source.isNull(), "n").otherwise(F.concat(F.lit("s"), source)), F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))
 
 
-def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, most: int = MOST, shards: int | None = None, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+_SOURCES = "at string, source_size long, target double, blocks int, stride int, passes int, rest double"
+_NODES = "lo int, hi int, at string, first long, n long"
+
+
+def _planner(weights: tuple[float, ...], most: int, seed: int):
+    """From a row for each source, their targets, blocks and passes. "n" marks null, "s" and its name any other."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        order = np.lexsort((pdf["at"].map(lambda x: x.encode("utf-32-be")), pdf["at"] == "n"))
+        pdf = pdf.iloc[order]
+        size, docs = pdf["size"].to_numpy(dtype=np.int64), pdf["docs"].to_numpy(dtype=np.int64)
+        goal = targets(size, weights, most)
+        per_block = max(BLOCK_DOCS, -(-int(docs.sum()) // ALL_BLOCKS))
+        blocks = np.minimum(MOST_BLOCKS, -(-docs // per_block))
+        stride = [_stride(int(n), seed + i) for i, n in enumerate(blocks)]
+        passes = np.minimum(goal // np.maximum(size, 1), most).astype(np.int64)
+        return pd.DataFrame({"at": pdf["at"], "source_size": size, "target": goal, "blocks": blocks, "stride": stride, "passes": passes, "rest": goal - passes * size})
+
+    return run
+
+
+def _splitter(seed: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("at")
+        at, first = pdf["at"].to_numpy(), pdf["first"].to_numpy(dtype=np.int64)
+        parts = []
+        for lo, hi, before, counts in split_counts(pdf["n"].to_numpy(dtype=np.int64), int(pdf["lo"].iloc[0]), int(pdf["hi"].iloc[0]), seed, WAYS):
+            some = np.flatnonzero(counts)
+            parts.append(pd.DataFrame({"lo": lo, "hi": hi, "at": at[some], "first": first[some] + before[some], "n": counts[some]}))
+        return pd.concat(parts)
+
+    return run
+
+
+def shard_ranges(quotas: DataFrame, shards: int, seed: int = SEED) -> DataFrame:
+    """(at, shard, first, n): the draws of each source (at, n) that each shard gets, n from the first on, where any."""
+    nodes = quotas.where("n > 0").select(F.lit(0).alias("lo"), F.lit(shards).alias("hi"), "at", F.lit(0).cast("long").alias("first"), "n")
+    width = shards
+    while width > 1:
+        nodes = nodes.groupBy("lo", "hi").applyInPandas(_splitter(seed), _NODES)
+        width = -(-width // WAYS)
+    return nodes.select("at", F.col("lo").alias("shard"), "first", "n")
+
+
+def _by_source(rows: DataFrame, sources: DataFrame, few: bool) -> DataFrame:
+    """`rows` (at, lot) with their source's columns."""
+    if few:
+        return rows.join(F.broadcast(sources), "at")
+    salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    return rows.withColumn("salt", F.pmod("lot", F.lit(SALTS)).cast("int")).join(sources.select("*", salt), ["at", "salt"]).drop("salt")
+
+
+def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, most: int = MOST, shards: int | None = None, seed: int = SEED, few_sources: int = FEW_SOURCES) -> tuple[DataFrame, DataFrame]:
     """Documents (id, source, at, lot, size, source_size, target) and draws (at, lot, copy, shard, place): each draw is
     one copy of the documents of that source and lot in a shard, whose order is by place."""
-    spark = docs.sparkSession
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     at, lot = _marks(id_col, text_col, source_col, seed)
     sized = checkpoint(docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), at.alias("at"), lot.alias("lot"), n_words(F.col(text_col)).alias("size")))
-    totals = {r.at: r for r in sized.groupBy("at").agg(F.sum("size").alias("size"), F.count("*").alias("docs")).collect()}
-    goals = targets({(None if at == "n" else at[1:]): r.size for at, r in totals.items()}, weights, most)
-    rows = []
-    for i, at in enumerate(sorted(totals)):
-        size, goal = int(totals[at].size), goals[None if at == "n" else at[1:]]
-        blocks = int(min(BLOCKS, -(-int(totals[at].docs) // BLOCK_DOCS)))
-        passes = min(int(goal // size) if size else 0, most)
-        rows.append((at, size, goal, blocks, _stride(blocks, seed + i), passes, goal - passes * size))
-    sources = spark.createDataFrame(rows, "at string, source_size long, target double, blocks int, stride int, passes int, rest double")
-    small = (lambda df: F.broadcast(df)) if len(rows) <= FEW_SOURCES else (lambda df: df)
-
-    placed = sized.groupBy("at", "lot").agg(F.sum("size").alias("size")).join(small(sources), "at")
+    totals = sized.groupBy("at").agg(F.sum("size").alias("size"), F.count("*").alias("docs"))
+    sources = checkpoint(totals.groupBy(F.lit(0).alias("all")).applyInPandas(_planner(weights, most, seed), _SOURCES))
+    few = sources.count() <= few_sources
+
+    placed = _by_source(sized.groupBy("at", "lot").agg(F.sum("size").alias("size")), sources, few)
     placed = placed.withColumn("turn", F.pmod(F.pmod(F.col("lot"), F.col("blocks")) * F.col("stride"), F.col("blocks")))
-    in_order = Window.partitionBy("at").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
-    block_rows = placed.groupBy("at", "turn", "rest").agg(F.sum("size").alias("words"))
-    block_rows = block_rows.withColumn("room", F.col("rest") - F.coalesce(F.sum("words").over(in_order), F.lit(0)))
+    block_rows = placed.groupBy("at", "turn", "rest", "passes").agg(F.sum("size").alias("words"))
+    in_order = Window.partitionBy("at").orderBy("turn")  # at most MOST_BLOCKS rows each
+    before = F.coalesce(F.sum("words").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    block_rows = block_rows.withColumns({"room": F.col("rest") - before, "rank": F.row_number().over(in_order) - 1})
     # A block with room for all its words is drawn once more; one with room for some of them is the last.
     state = F.when(F.col("room") <= 0, 0).when(F.col("words") <= F.col("room"), 1).otherwise(2)
-    block_rows = checkpoint(block_rows.select("at", "turn", "room", state.alias("state")))
-    drawn = {r.at: r.n for r in block_rows.where("state > 0").groupBy("at").agg(F.count("*").alias("n")).collect()}
-    quotas = np.array([r[5] * r[3] + drawn.get(r[0], 0) for r in rows], dtype=np.int64)
-    bounds = np.cumsum(split_quotas(quotas, shards, seed), axis=0)
-    ranges = spark.createDataFrame([(r[0], [int(x) for x in bounds[:, i]]) for i, r in enumerate(rows)], "at string, bounds array<long>")
-
-    units = placed.join(block_rows, ["at", "turn"])
-    last = units.where("state = 2").select("at", "turn", "lot", "size", "room").groupBy("at", "turn").applyInPandas(_take, "at string, lot long, took boolean")
-    again = F.when((F.col("state") == 1) | F.coalesce(F.col("took"), F.lit(False)), 1).otherwise(0)
-    drawn_units = units.join(last, ["at", "lot"], "left").withColumn("copies", F.col("passes") + again).where("copies > 0").join(small(ranges), "at")
-    draws = drawn_units.select("at", "lot", "turn", "blocks", "bounds", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
-    draws = draws.withColumn("shard", F.size(F.filter("bounds", lambda b: b <= F.col("copy") * F.col("blocks") + F.col("turn"))))
-    draws = draws.select("at", "lot", "copy", "shard", F.xxhash64(F.lit(seed + 1), "shard", "lot", "copy").alias("place"))
-    return sized.join(small(sources.select("at", "source_size", "target")), "at"), draws
+    block_rows = checkpoint(block_rows.select("at", "turn", "rank", "room", "passes", state.alias("state")))
+
+    # Draws of a source in order: its blocks by rank, pass after pass, then the ones that are drawn once more.
+    quotas = block_rows.groupBy("at").agg(F.count("*").alias("blocks"), F.sum(F.col("passes") + (F.col("state") > 0).cast("int")).alias("n"))
+    ranges = shard_ranges(quotas.select("at", "n"), shards, seed).join(quotas.select("at", "blocks"), "at")
+    draw = F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1))
+    block_draws = ranges.select("at", "shard", "blocks", draw.alias("draw")).select("at", "shard", (F.col("draw") % F.col("blocks")).cast("int").alias("rank"), F.floor(F.col("draw") / F.col("blocks")).cast("int").alias("copy"))
+    block_draws = block_draws.join(block_rows, ["at", "rank"]).select("at", "turn", "copy", "shard", "state", "passes", "room")
+
+    drawn = placed.select("at", "turn", "lot", "size").join(block_draws, ["at", "turn"])
+    in_part = (F.col("state") == 2) & (F.col("copy") == F.col("passes"))
+    taken = drawn.where(in_part).select("at", "turn", "lot", "size", "room").groupBy("at", "turn").applyInPandas(_take, "at string, lot long, took boolean")
+    some = drawn.where(in_part).select("at", "lot", "copy", "shard").join(taken.where("took"), ["at", "lot"]).drop("took")
+    draws = drawn.where(~in_part).select("at", "lot", "copy", "shard").unionByName(some)
+    draws = draws.withColumn("place", F.xxhash64(F.lit(seed + 1), "shard", "lot", "copy"))
+    return _by_source(sized, sources.select("at", "source_size", "target"), few), draws
+
+
+MIX_COLUMNS = ("mix_copy", "mix_shard", "mix_place")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", shards: int | None = None, seed: int = SEED, **options) -> DataFrame:
     """The mix: `docs`, a row for each draw, with `mix_copy`, `mix_shard` and, in `mix_place`, the shard's order."""
+    docs = docs.drop(*MIX_COLUMNS)
     shards = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     _, draws = plan_mix(docs, id_col, text_col, source_col, shards=shards, seed=seed, **options)
     draws = draws.select(F.col("at").alias("__at"), F.col("lot").alias("__lot"), F.col("copy").alias("mix_copy"), F.col("shard").alias("mix_shard"), F.col("place").alias("mix_place"))
@@ -161,8 +223,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op4: every document's size, its source's size and target, and the words that the mix's shards take of it."""
+    """op4: every document's size, its source's size and target, and the words that the mix's shards take of it; `drawn`
+    lists the shards that drew it, by copy, each with the document's place in the shard's order."""
     planned, draws = plan_mix(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source"))
-    drawn = draws.groupBy("at", "lot").agg(F.count("*").alias("copies"))
-    copies = F.coalesce("copies", F.lit(0))
-    return planned.join(drawn, ["at", "lot"], "left").select(F.col("id").alias("doc_id"), "source", "size", "source_size", "target", (F.col("size") * copies).alias("taken"), copies.alias("copies"))
+    drawn = draws.groupBy("at", "lot").agg(F.array_sort(F.collect_list(F.struct("copy", "shard", "place"))).alias("drawn"))  # at most MOST
+    listed = F.array_join(F.transform(F.coalesce("drawn", F.array()), lambda x: F.concat_ws(":", x["shard"].cast("string"), x["place"].cast("string"))), ",")
+    copies = F.coalesce(F.size("drawn"), F.lit(0))
+    joined = planned.join(drawn, ["at", "lot"], "left")
+    return joined.select(F.col("id").alias("doc_id"), "source", "size", "source_size", "target", (F.col("size") * copies).alias("taken"), listed.alias("drawn"))

@@ -8,19 +8,71 @@ import pytest
 from tessera.llm import chat, mixing
 
 
-def test_targets():
-    got = mixing.targets({"a": 100, "b": 10, None: 50, "c": 40})
-    assert sum(got.values()) == pytest.approx(200) and got["b"] == 30
-    rest = 170 / 11  # a, c and null weigh 5, 1 and 5
-    assert got["a"] == pytest.approx(5 * rest) and got["c"] == pytest.approx(rest) and got[None] == pytest.approx(5 * rest)
-    assert mixing.targets({}) == {} and mixing.targets({"a": 0}) == {"a": 0}
+def plain_targets(sizes):
+    """Targets by name, null last, shared out again until none is above."""
+    order = sorted(s for s in sizes if s is not None) + [None] * (None in sizes)
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    goal, full = {}, set()
+    while True:
+        left, total = sum(sizes.values()) - sum(3 * sizes[s] for s in full), sum(weight[s] for s in order if s not in full)
+        goal = {s: 3 * sizes[s] if s in full else left * weight[s] / total for s in order}
+        above = {s for s in order if s not in full and goal[s] > 3 * sizes[s]}
+        if not above:
+            return goal
+        full |= above
 
 
-def test_quotas_are_split_exactly():
-    quotas = np.array([100, 7, 0, 33])
-    shards = mixing.split_quotas(quotas, 8, 1)
-    assert (shards.sum(axis=0) == quotas).all() and shards.sum(axis=1).max() - shards.sum(axis=1).min() <= 3
-    assert (shards == mixing.split_quotas(quotas, 8, 1)).all() and not (shards == mixing.split_quotas(quotas, 8, 2)).all()
+def test_targets():
+    sizes = {"a": 100, "b": 10, "c": 40, None: 50}
+    got = mixing.targets(np.array(list(sizes.values())))
+    assert got.tolist() == pytest.approx(list(plain_targets(sizes).values())) and sum(got) == pytest.approx(200) and got[1] == 30
+    assert not len(mixing.targets(np.array([]))) and mixing.targets(np.array([0])).tolist() == [0]
+
+
+def test_quotas_are_split_exactly(spark):
+    quotas = {"a": 100, "b": 7, "c": 0, "d": 33}
+    frame = spark.createDataFrame(list(quotas.items()), "at string, n long")
+    for shards in (1, 8, 100):
+        rows = mixing.shard_ranges(frame, shards, 1).collect()
+        drawn = collections.defaultdict(list)
+        for r in rows:
+            drawn[r["at"]] += [(i, r.shard) for i in range(r["first"], r["first"] + r.n)]
+        assert {k: sorted(i for i, _ in v) for k, v in drawn.items()} == {k: list(range(n)) for k, n in quotas.items() if n}
+        sizes = collections.Counter(s for v in drawn.values() for _, s in v)
+        assert set(sizes) <= set(range(shards)) and max(sizes.values()) - min(sizes[s] for s in range(shards)) <= 7
+        assert sorted(rows) == sorted(mixing.shard_ranges(frame.repartition(3), shards, 1).collect())
+    nodes = mixing.split_counts(np.array([50, 50]), 0, 8, 1, 8)
+    assert not all((a == b).all() for (*_, a), (*_, b) in zip(nodes, mixing.split_counts(np.array([50, 50]), 0, 8, 2, 8), strict=True))
+
+
+def test_many_large_sources_stay_below_the_generators_limit():
+    import pandas as pd
+
+    n = 6000
+    rows = mixing._planner(mixing.WEIGHTS, 3, 1)(pd.DataFrame({"at": [f"s{i}" for i in range(n)], "size": 10**9, "docs": 10**8}))
+    quotas = (rows["blocks"] * 3).to_numpy()
+    assert quotas.sum() < 10**9
+    assert sum(int(c.sum()) for *_, c in mixing.split_counts(quotas, 0, 4, 1, 4)) == quotas.sum()
+
+
+def test_query_against_a_plain_version(spark, sf_dir):
+    rows = mixing.query(spark, sf_dir).collect()
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    sizes, taken, shard_words = collections.Counter(), collections.Counter(), collections.Counter()
+    for r in docs.values():
+        sizes[r.source] += len((r.text or "").encode().split())
+    goal, largest = plain_targets(sizes), max(len((r.text or "").encode().split()) for r in docs.values())
+    assert sorted(r.doc_id for r in rows) == sorted(docs)
+    for r in rows:
+        drawn = [x.split(":") for x in r.drawn.split(",") if x]
+        assert r["size"] == len((docs[r.doc_id].text or "").encode().split()) and r.source_size == sizes[r.source] and r.target == pytest.approx(goal[r.source])
+        assert r.taken == len(drawn) * r["size"] <= 3 * r["size"]
+        taken[r.source] += r.taken
+        for shard, _ in drawn:
+            shard_words[int(shard)] += r["size"]
+    assert all(abs(taken[s] - g) <= largest / 2 for s, g in goal.items())
+    assert sum(shard_words.values()) == sum(taken.values()) and set(shard_words) <= set(range(int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    assert sorted(rows) == sorted(mixing.query(spark, sf_dir).collect())
 
 
 @pytest.fixture(scope="module")
@@ -48,7 +100,8 @@ def test_shards_hold_whole_draws_in_order(spark, corpus):
     for shard in range(4):
         places = [r.mix_place for r in rows if r.mix_shard == shard]
         assert places == sorted(places)
-    again = mixing.mix(corpus.repartition(7), shards=4).collect()
+    assert mixing.mix(mixed, shards=2).columns == mixed.columns
+    again = mixing.mix(corpus.repartition(7), shards=4, few_sources=0).collect()
     key = lambda r: (r.doc_id, r.mix_copy, r.mix_shard, r.mix_place)
     assert sorted(map(key, rows)) == sorted(map(key, again))
 
