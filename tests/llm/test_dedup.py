@@ -295,11 +295,36 @@ def test_short_items_are_not_missed(spark):
     texts = [(i, " ".join([f"q{i}x"] * 7 if n == 4 else [f"q{i}x{j}" for j in range(5 + n)])) for i in range(600) for n in (i % 5,)]
     filler = lambda i, n: [f"f{i}y{j}" for j in range(n)]
     docs = [(i, " ".join(filler(i, 200 * (i % 3 > 0)) + [text] + filler(-i - 1, 200 * (i % 3 < 2)))) for i, text in texts]
-    index = decontamination.Index.build([i for i, _ in texts], pa.array([t for _, t in texts]), decontamination.HASHES)
-    minhash = decontamination.MinHash(decontamination.HASHES)
-    found = [[x["item"] for x in index.search(s, decontamination.CONTAINMENT, minhash)] for s in decontamination.full_shingles(pa.array([t for _, t in docs]))]
+    index = decontamination.Index.build([i for i, _ in texts], pa.array([t for _, t in texts]), decontamination.CONTAINMENT)
+    found = [[x["item"] for x in own] for own in index.search(pa.array([t for _, t in docs]), decontamination.CONTAINMENT)]
     missed = [sum(own != [i] for i, own in enumerate(found) if i % 5 == n) for n in range(5)]
     print("missed of 120 each, 5 to 8 words and one repeated:", missed)
     assert not any(missed)
     shuffled = decontamination.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(texts, "item_id long, text string"), most_items=0)
     assert all([x["item"] for x in r.leaks] == [r.doc_id] for r in shuffled.collect())
+
+
+def test_scattered_items_are_found(documents, spark):
+    """Items whose shingles lie piece by piece all over long documents, at the least containment."""
+    rng = random.Random(14)
+    items, docs = [], []
+    for i in range(120):
+        n = rng.choice([30, 60, 150, 400, 900])
+        own = [f"i{i}w{j}" for j in range(n)]
+        items.append((i, " ".join(own)))
+        cuts = sorted(rng.sample(range(5, n - 5), max(1, (n - 4) // 25)))  # each cut loses four shingles
+        pieces = [own[a:b] for a, b in zip([0, *cuts], [*cuts, n], strict=True)]
+        rng.shuffle(pieces)
+        docs.append((i, " ".join(" ".join(p + [f"d{i}f{k}x{j}" for j in range(rng.randint(50, 400))]) for k, p in enumerate(pieces))))
+    expect = [(d, i) for (d, text), (i, item) in zip(docs, items, strict=True) if len(shingles(text) & shingles(item)) >= 0.8 * len(shingles(item))]
+    assert len(expect) > 100
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    for limit in (20_000, 0):
+        found = decontamination.find_leaks(documents(*docs), frame, most_items=limit).collect()
+        assert sorted((r.doc_id, x["item"]) for r in found for x in r.leaks) == expect
+
+
+def test_the_index_and_the_shuffle_find_the_same(spark, sf_dir):
+    docs, items = (spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("documents", "benchmark"))
+    one, other = (sorted((r.doc_id, tuple(r.leaks)) for r in decontamination.find_leaks(docs, items, most_items=limit).collect()) for limit in (20_000, 0))
+    assert one == other and any(leaks for _, leaks in one)
