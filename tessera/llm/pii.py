@@ -12,8 +12,13 @@ written so that Java's matcher runs in linear time and without recursion on text
 leftmost matches as the plain ones; each position comes from the lengths of the matches and the gaps between them. No
 pattern bounds the length of a secret or of an address; top-level domains of over 24 letters only get a vote of no.
 
+Nothing compares all matches of a text with each other or walks the text for each: positions and overlaps are running
+sums and extremes over sorted spans, taken by blocks, and a text is cut at its spans by way of pieces of PIECE characters. Texts are matched once: what was found, and how
+it was voted on, is cut off in the shared folder before the classifier is fitted.
+
 Defined results. Null or empty text: no spans. Null ids and repeated rows: each row is searched. Empty table: no rows
-and an unfitted classifier, which adds nothing. Other columns pass through.
+and an unfitted classifier, which adds nothing. Other columns pass through, but for one of the name `into`, which is
+replaced. Additions that overlap become one span, of the kind of the first, of those that begin together the longest.
 """
 
 from __future__ import annotations
@@ -25,6 +30,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.durable import checkpoint
+
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "secret")
 
@@ -52,22 +59,55 @@ CUES = {
 DECOYS = ("version", "isbn", "order", "invoice", "serial", "page")
 LABELERS = ("pattern", "structure", "gazetteer", "context", "boundary")
 ACCEPT = 0.5
+#: Characters of a text to a piece, and elements to a block of a running sum.
+PIECE, BLOCK = 1024, 64
+
+_SPAN = "struct<start:int,end:int,value:string>"
+_FOUND = "struct<kind:string,start:int,end:int>"
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """An expression over a value that is computed once, which a struct's fields in a projection are not."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def scan(values: Column, zero: int, op: Callable[[Column, Column], Column]) -> Column:
+    """What `op`, which is associative, makes of all values before each, by blocks of BLOCK: a fold that gathered an
+    array would copy it at every step."""
+    over = lambda xs: F.aggregate(xs, F.lit(zero), lambda a, b: op(a, b))
+
+    def blockwise(blocks: Column, whole: Column) -> Column:
+        before = F.transform(whole, lambda _, j: over(F.slice(whole, F.lit(1), j)))
+        return F.flatten(F.zip_with(blocks, before, lambda block, first: F.transform(block, lambda _, i: op(first, over(F.slice(block, F.lit(1), i))))))
+
+    def cut_up(v: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(v) - 1) / BLOCK).cast("int"))
+        blocks = F.transform(numbers, lambda j: F.slice(v, j * BLOCK + 1, F.lit(BLOCK)))
+        return let(blocks, lambda bs: let(F.transform(bs, over), lambda whole: blockwise(bs, whole)))
 
-_SPAN = "array<struct<start:int,end:int,value:string>>"
+    return let(values, lambda v: F.when(F.size(v) > 0, cut_up(v)).otherwise(v))
+
+
+def pieces_of(text: Column) -> Column:
+    return F.when(F.length(text) <= PIECE, F.array(text)).otherwise(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)))
+
+
+def cut(pieces: Column, start: Column, end: Column) -> Column:
+    """The characters from `start` up to `end` of a text, by its pieces."""
+    first, last = F.floor(start / PIECE).cast("int"), F.floor((end - 1) / PIECE).cast("int")
+    head = lambda n: F.substring(F.coalesce(F.get(pieces, first), F.lit("")), start - first * PIECE + 1, n)
+    whole = F.array_join(F.slice(pieces, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+    tail = F.substring(F.coalesce(F.get(pieces, last), F.lit("")), F.lit(1), end - last * PIECE)
+    return F.when(end <= start, "").when(first == last, head(end - start)).otherwise(F.concat(head(F.lit(PIECE)), whole, tail))
 
 
 def spans_of(text: Column, pattern: str, needed: Column) -> Column:
     """The leftmost non-overlapping matches with their positions in code points."""
     found, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
     steps = F.zip_with(found, F.slice(gaps, 1, F.size(found)), lambda m, g: F.struct(m.alias("value"), F.length(g).alias("gap"), F.length(m).alias("size")))
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["gap"]
-        span = F.struct(start.alias("start"), (start + x["size"]).alias("end"), x["value"].alias("value"))
-        return F.struct((start + x["size"]).alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
-
-    return F.when(needed, F.aggregate(steps, begin, step, lambda acc: acc["out"])).otherwise(F.array().cast(_SPAN))
+    span = lambda x, at: F.struct((at + x["gap"]).alias("start"), (at + x["gap"] + x["size"]).alias("end"), x["value"].alias("value"))
+    placed = lambda all_: F.zip_with(all_, scan(F.transform(all_, lambda x: x["gap"] + x["size"]), 0, lambda a, b: a + b), span)
+    return F.when(needed, let(steps, placed)).otherwise(F.array().cast(f"array<{_SPAN}>"))
 
 
 def digits(value: Column) -> Column:
@@ -143,13 +183,13 @@ def _by_kind(kind: Column, of: dict[str, Column]) -> Column:
     return out
 
 
-def votes(text: Column, span: Column) -> Column:
-    """The labelers' votes on a candidate: 1, -1 or 0."""
+def votes(pieces: Column, size: Column, span: Column) -> Column:
+    """The labelers' votes on a candidate in a text of so many characters: 1, -1 or 0."""
     yes = lambda c: F.when(c, 1).otherwise(-1)
     kind, value = span["kind"], span["value"]
     number = digits(value)
-    before = F.lower(F.substring(text, F.greatest(span["start"] - 39, F.lit(1)), F.least(span["start"], F.lit(40))))
-    after = F.substring(text, span["end"] + 1, F.lit(2))
+    before = F.lower(cut(pieces, F.greatest(span["start"] - 40, F.lit(0)), span["start"]))
+    after = cut(pieces, span["end"], F.least(span["end"] + 2, size))
     last_label = F.lower(F.regexp_extract(value, "(?<![A-Za-z0-9-])([A-Za-z0-9-]++)$", 1))
     structure = _by_kind(kind, {"email": yes(last_label.rlike("^[a-z]{2,24}$")), "ip": yes(is_ip(value)), "card": yes(is_card(value)), "phone": yes(is_phone(value)), "secret": yes(value.rlike("[0-9]") & (F.length(value) >= 24))})
     gazetteer = _by_kind(kind, {"email": yes(last_label.isin(*TOP_DOMAINS)), "ip": F.when(_starts(value, ("0.", "127.", "255.")), -1).otherwise(1), "card": yes(_starts(number, CARD_PREFIXES)), "phone": F.when(~value.startswith("+"), 0).otherwise(yes(_starts(number, CALLING_CODES))), "secret": yes(value.rlike("^(?i)(?:token|api[_-]?key|secret)"))})
@@ -199,12 +239,16 @@ def _classify(patterns: np.ndarray, counts: np.ndarray, belief: np.ndarray, l2:
     return w
 
 
-def fit(docs: DataFrame, text_col: str = "text") -> dict[str, np.ndarray]:
-    """The span classifier's weights of each kind that has candidates."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    found = docs.select(text.alias("text")).select("text", F.explode(matches(F.col("text"))).alias("span"))
-    voted = found.select(F.col("span.kind").alias("kind"), votes(F.col("text"), F.col("span")).alias("v")).select("kind", "v.*")
-    rows = sorted(tuple(r) for r in voted.groupBy("kind", *LABELERS).count().collect())
+def _voted(docs: DataFrame, text: Column, into: str) -> DataFrame:
+    """`docs` with every match and its votes in `into`: array<struct<kind, start, end, strict, votes>>."""
+    span = lambda b, s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["strict"].alias("strict"), votes(b["pieces"], b["size"], s).alias("votes"))
+    held = F.struct(matches(text).alias("found"), pieces_of(text).alias("pieces"), F.length(text).alias("size"))
+    return docs.withColumn(into, let(held, lambda b: F.transform(b["found"], lambda s: span(b, s))))
+
+
+def _fit(voted: DataFrame, into: str) -> dict[str, np.ndarray]:
+    spans = voted.select(F.explode(into).alias("span")).select(F.col("span.kind").alias("kind"), "span.votes.*")
+    rows = sorted(tuple(r) for r in spans.groupBy("kind", *LABELERS).count().collect())
     model = {}
     for kind in KINDS:
         own = [r for r in rows if r[0] == kind]
@@ -214,6 +258,16 @@ def fit(docs: DataFrame, text_col: str = "text") -> dict[str, np.ndarray]:
     return model
 
 
+def _text(text_col: str) -> Column:
+    return F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+
+
+def fit(docs: DataFrame, text_col: str = "text") -> dict[str, np.ndarray]:
+    """The span classifier's weights of each kind that has candidates."""
+    text = _text(text_col)
+    return _fit(_voted(docs.select(text.alias("text")), F.col("text"), "__pii"), "__pii")
+
+
 def accepted(vote: Column, kind: Column, model: dict[str, np.ndarray]) -> Column:
     """Whether the span classifier takes a candidate for personal data."""
     out = F.lit(False)
@@ -224,46 +278,67 @@ def accepted(vote: Column, kind: Column, model: dict[str, np.ndarray]) -> Column
     return out
 
 
-def _plain(spans: Column) -> Column:
-    return F.transform(spans, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-
-
 def of_kind(spans: Column, kind: str) -> Column:
     return F.filter(spans, lambda s: s["kind"] == kind)
 
 
-def find_pii(docs: DataFrame, model: dict[str, np.ndarray] | None = None, text_col: str = "text", into: str = "pii") -> DataFrame:
+_FAR = (1 << 31) - 1
+
+
+def _running(spans: Column, value: Callable[[Column], Column], zero: int, op: Callable[[Column, Column], Column]) -> Column:
+    return scan(F.transform(spans, value), zero, op)
+
+
+def _additions(base: Column, good: Column) -> Column:
+    """Of the candidates that were accepted, those that overlap no base span, overlapping ones as one span."""
+    mark = lambda spans, more: F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), F.lit(more).alias("more"), s["kind"].alias("kind")))
+
+    def clear(spans: Column) -> Column:
+        ended = _running(spans, lambda s: F.when(s["more"], 0).otherwise(-s["back"]), 0, F.greatest)
+        begun = F.reverse(_running(F.reverse(spans), lambda s: F.when(s["more"], _FAR).otherwise(s["start"]), _FAR, F.least))
+        around = F.zip_with(F.zip_with(spans, ended, lambda s, e: F.struct(s.alias("s"), e.alias("ended"))), begun, lambda x, b: F.struct(x["s"].alias("s"), x["ended"].alias("ended"), b.alias("begun")))
+        return F.transform(F.filter(around, lambda x: x["s"]["more"] & (x["ended"] <= x["s"]["start"]) & (-x["s"]["back"] <= x["begun"])), lambda x: x["s"])
+
+    def joined(spans: Column) -> Column:
+        before = F.zip_with(spans, _running(spans, lambda s: -s["back"], 0, F.greatest), lambda s, e: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), e.alias("before")))
+        end = F.array_max(F.transform(spans, lambda s: -s["back"]))
+        whole = lambda heads: F.transform(heads, lambda h, i: F.struct(h["kind"].alias("kind"), h["start"].alias("start"), F.coalesce(F.get(heads, i + 1)["before"], end).alias("end")))
+        return let(F.filter(before, lambda x: x["before"] <= x["start"]), whole)
+
+    return let(let(F.array_sort(F.concat(mark(base, False), mark(good, True))), clear), joined)
+
+
+def find_pii(docs: DataFrame, model: dict[str, np.ndarray] | None = None, text_col: str = "text", into: str = "pii", keep_text: bool = True) -> DataFrame:
     """`docs` with a struct column `into`: base and spans, arrays of (kind, start, end) by kind, then start."""
-    model = fit(docs, text_col) if model is None else model
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    found = docs.withColumn(into, matches(text))
-    all_found = F.col(into)
-    base = F.filter(all_found, lambda s: s["strict"])
-    found = found.withColumn(into, F.struct(base.alias("base"), F.filter(all_found, lambda s: ~s["strict"]).alias("more")))
-    apart = lambda spans, s: ~F.exists(spans, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    voted = F.transform(F.col(into)["more"], lambda s: F.struct(s.alias("span"), votes(text, s).alias("votes")))
-    taken = F.filter(voted, lambda x: accepted(x["votes"], x["span"]["kind"], model) & apart(F.col(into)["base"], x["span"]))
-    good = F.transform(taken, lambda x: x["span"])
-    added = F.aggregate(good, F.slice(F.col(into)["more"], 1, 0), lambda acc, s: F.when(apart(acc, s), F.concat(acc, F.array(s))).otherwise(acc))
-    found = found.withColumn(into, F.struct(_plain(F.col(into)["base"]).alias("base"), _plain(added).alias("added")))
-    by_kind = [F.array_sort(of_kind(F.concat(F.col(into)["base"], F.col(into)["added"]), k)) for k in KINDS]
-    return found.withColumn(into, F.struct(F.col(into)["base"].alias("base"), F.concat(*by_kind).alias("spans")))
+    voted = _voted(docs, _text(text_col), into)
+    if not keep_text:
+        voted = voted.drop(text_col)
+    if model is None:
+        voted = checkpoint(voted)  # read by the fit and by what follows it
+        model = _fit(voted, into)
+    plain = lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
+    base = F.transform(F.filter(into, lambda s: s["strict"]), plain)
+    good = F.transform(F.filter(into, lambda s: ~s["strict"] & accepted(s["votes"], s["kind"], model)), plain)
+    with_added = lambda b: F.struct(b["base"].alias("base"), F.when(F.size(b["good"]) > 0, _additions(b["base"], b["good"])).otherwise(b["good"]).alias("added"))
+    by_kind = lambda spans: F.concat(*(F.array_sort(of_kind(spans, k)) for k in KINDS))
+    whole = lambda b: F.struct(b["base"].alias("base"), let(F.concat(b["base"], b["added"]), by_kind).alias("spans"))
+    return voted.withColumn(into, let(let(F.struct(base.alias("base"), good.alias("good")), with_added), whole))
 
 
 def redact(docs: DataFrame, model: dict[str, np.ndarray] | None = None, text_col: str = "text") -> DataFrame:
     """`docs` with every span of its text replaced by its kind in angle brackets; overlapping spans are joined."""
-    into = "__pii"
-    found = find_pii(docs, model, text_col, into)
-    text = F.col(text_col)
+    into, more = "__pii", "__pieces"
+    text = F.col(text_col).cast("string")
+    found = find_pii(docs, model, text_col, into).withColumn(more, F.when(F.size(F.col(into)["spans"]) > 0, pieces_of(text)))
     ordered = F.array_sort(F.transform(F.col(into)["spans"], lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
-    def step(acc: Column, s: Column) -> Column:
-        part = F.concat(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit("<"), s["kind"], F.lit(">"))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] >= acc["at"], F.concat(acc["parts"], F.array(part))).otherwise(acc["parts"]).alias("parts"))
+    def rewritten(spans: Column) -> Column:
+        part = lambda s, at: F.when(s["start"] >= at, F.concat(cut(F.col(more), at, s["start"]), F.lit("<"), s["kind"], F.lit(">"))).otherwise("")
+        parts = F.zip_with(spans, _running(spans, lambda s: s["end"], 0, F.greatest), part)
+        last = F.array_max(F.transform(spans, lambda s: s["end"]))
+        return F.concat(F.array_join(parts, ""), cut(F.col(more), last, F.length(text)))
 
-    rewritten = F.aggregate(ordered, begin, step, lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substring(text, acc["at"] + 1, F.length(text))))
-    return found.withColumn(text_col, F.when(F.size(ordered) > 0, rewritten).otherwise(text)).drop(into)
+    return found.withColumn(text_col, F.when(F.col(more).isNotNull(), let(ordered, rewritten)).otherwise(F.col(text_col))).drop(into, more)
 
 
 def _digest(spans: Column) -> Column:
@@ -272,7 +347,7 @@ def _digest(spans: Column) -> Column:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op7: every document's counts of base spans, their digest, and all spans."""
-    found = find_pii(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    found = find_pii(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), keep_text=False)
     base, spans = F.col("pii.base"), F.col("pii.spans")
     counts = [F.size(of_kind(base, k)).cast("long").alias(f"n_{k}") for k in BASE_KINDS]
     return found.select("doc_id", *counts, F.sha2(_digest(base).cast("binary"), 256).alias("base_sha256"), _digest(spans).alias("spans"))

@@ -104,3 +104,53 @@ def test_long_secrets_and_addresses_are_redacted_whole(spark):
     model = {k: np.array([1.0] + [0.0] * 10) for k in pii.KINDS}
     out = {r.doc_id: r.text for r in pii.redact(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
     assert out == {i: f"login mail {kind} end" for i, (_, kind) in enumerate(values)}
+
+
+N_MATCHES = 100_000
+
+
+def test_a_text_with_a_hundred_thousand_matches(spark):
+    words = [("555-123-%04d x" if i % 2 else "u%d@mail.org y") % (i % 10_000) for i in range(N_MATCHES)]
+    frame = spark.createDataFrame([(1, "call " + " ".join(words))], "doc_id long, text string")
+    row = pii.redact(frame).collect()[0]
+    assert row.text == "call " + " ".join(("<phone> x" if i % 2 else "<email> y") for i in range(N_MATCHES))
+
+
+def test_pieces_are_cut_where_asked(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(7)
+    text = "".join(rng.choice("ab\né😀") for _ in range(5000))
+    cuts = [tuple(sorted((rng.randrange(5001), rng.randrange(5001)))) for _ in range(200)] + [(0, 0), (0, 5000), (1024, 2048), (1023, 1024), (5000, 5000)]
+    frame = spark.createDataFrame([(text, a, b) for a, b in cuts], "text string, a int, b int").withColumn("pieces", pii.pieces_of(F.col("text")))
+    assert [r.part for r in frame.select(pii.cut(F.col("pieces"), F.col("a"), F.col("b")).alias("part")).collect()] == [text[a:b] for a, b in cuts]
+
+
+def test_additions_overlap_nothing(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(8)
+    some = lambda: [("k", a, a + rng.randint(1, 9)) for a in (rng.randrange(80) for _ in range(rng.randint(0, 12)))]
+    rows = [(some(), some()) for _ in range(300)]
+    spans_type = f"array<{pii._FOUND}>"
+    frame = spark.createDataFrame(rows, f"base {spans_type}, good {spans_type}")
+    got = frame.select("base", "good", pii._additions(F.col("base"), F.col("good")).alias("added")).collect()
+    for r in got:
+        kept = []
+        for _, a, b in sorted(map(tuple, r.good), key=lambda s: (s[1], -s[2])):
+            if all(b <= s[1] or s[2] <= a for s in r.base):
+                if kept and a < kept[-1][2]:
+                    kept[-1][2] = max(kept[-1][2], b)
+                else:
+                    kept.append(["k", a, b])
+        assert [list(x) for x in r.added] == kept
+
+
+def test_running_sums(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(5)
+    rows = [([rng.randrange(100) for _ in range(n)],) for n in (0, 1, 63, 64, 65, 1000)]
+    got = spark.createDataFrame(rows, "v array<int>").select("v", pii.scan(F.col("v"), 0, lambda a, b: a + b).alias("sums"), pii.scan(F.col("v"), 0, F.greatest).alias("most")).collect()
+    for r in got:
+        assert list(r.sums) == [sum(r.v[:i]) for i in range(len(r.v))] and list(r.most) == [max(r.v[:i], default=0) for i in range(len(r.v))]
