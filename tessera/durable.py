@@ -10,8 +10,11 @@ from pyspark.sql import DataFrame
 def checkpoint(df: DataFrame) -> DataFrame:
     """`df` written to the shared folder that the session names in spark.checkpoint.dir.
 
-    Only where the session names none, as in tests, a temporary folder stands in."""
+    Where the session names none, a temporary folder stands in if driver and executors are one process, as in tests;
+    on a cluster that is an error, as no machine's own folder outlives it."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-checkpoint-"))
     return df.checkpoint(eager=True)

@@ -50,12 +50,15 @@ def with_object_ids(candidates: DataFrame, workspace: Column) -> DataFrame:
 
 
 def rewrite_references(candidates: DataFrame, columns: tuple[str, ...] = ("entity_id", "target_object_id")) -> DataFrame:
-    """ids of candidates as ids of the objects they become; other ids stay."""
-    ids = candidates.select(F.col("candidate_id").alias("__from"), F.col("object_id").alias("__to")).where(F.col("__to").isNotNull()).dropDuplicates(["__from"])
+    """ids of candidates as ids of the objects they become; other ids stay. A reference means its own document's
+    candidate; of two with one id there, the one whose object id comes first."""
+    document = F.coalesce("document_id", F.lit("")) if "document_id" in candidates.columns else F.lit("")
+    candidates = candidates.withColumn("__doc", document)
+    ids = candidates.where("object_id IS NOT NULL").groupBy("__doc", F.col("candidate_id").alias("__from")).agg(F.min("object_id").alias("__to"))
     for name in columns:
-        joined = candidates.join(ids, F.col(name) == F.col("__from"), "left")
+        joined = candidates.withColumn("__from", F.col(name)).join(ids, ["__doc", "__from"], "left")
         candidates = joined.withColumn(name, F.coalesce("__to", name)).drop("__from", "__to")
-    return candidates
+    return candidates.drop("__doc")
 
 
 def unresolved(candidates: DataFrame, known: DataFrame, columns: tuple[str, ...] = ("entity_id", "target_object_id")) -> DataFrame:

@@ -1,6 +1,7 @@
 """Gates over extracted candidates (survey E4-E7, E10-E11, F1-F5, G7-G9, G13, I2, J1, J2, J6, J7, L2-L10).
 
-Findings are rows (code, severity, candidate_id, gate_name, source_unit_id, detail), never exceptions. Candidates have
+Findings are rows (document_id, code, severity, candidate_id, gate_name, source_unit_id, detail), never exceptions. Ids of
+candidates are told apart by document throughout; units of another document count as such only where their id isn't the own document's too. Candidates have
 the columns of schemas.CANDIDATE, or some of them; units have document_id, unit_id, unit_type, sequence_no, text."""
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from tessera.durable import checkpoint
 from tessera.functions.schemas import CANDIDATE, CANDIDATE_ORDER
 from tessera.functions.text import collapse_whitespace, is_blank, nfkc, strip, token_set
 
-FINDING = ("code", "severity", "candidate_id", "gate_name", "source_unit_id", "detail")
+FINDING = ("document_id", "code", "severity", "candidate_id", "gate_name", "source_unit_id", "detail")
 
 #: Fields that only the engine may set, in the order of their findings. Fixed values.
 FORBIDDEN_FIELDS = ("independence_group", "source_quality_tier", "evidence_strength", "verification_status", "epistemic_status")
@@ -79,8 +80,8 @@ def _finding(code: str | Column, severity: str | Column, gate: str, detail: Colu
 
 def _explode(rows: DataFrame, findings: Column) -> DataFrame:
     """A row for each finding that isn't null, in order."""
-    found = rows.select("candidate_id", F.coalesce("source_unit_id", F.lit("")).alias("source_unit_id"), F.explode(F.array_compact(findings)).alias("f"))
-    return found.select("f.code", "f.severity", "candidate_id", "f.gate_name", "source_unit_id", "f.detail")
+    found = rows.select("document_id", "candidate_id", F.coalesce("source_unit_id", F.lit("")).alias("source_unit_id"), F.explode(F.array_compact(findings)).alias("f"))
+    return found.select("document_id", "f.code", "f.severity", "candidate_id", "f.gate_name", "source_unit_id", "f.detail")
 
 
 def resolve_quotes(candidates: DataFrame, units: DataFrame) -> DataFrame:
@@ -99,10 +100,13 @@ def resolve_quotes(candidates: DataFrame, units: DataFrame) -> DataFrame:
 
 
 def quote_findings(candidates: DataFrame, units: DataFrame) -> DataFrame:
-    """L2, F1: each candidate's first failing check; entities are skipped. A candidate's window is its document."""
-    units = units.select(F.col("document_id").alias("__doc"), F.col("unit_id").alias("__unit"), F.lower("unit_type").alias("__type"), F.col("text").alias("__text"))
+    """L2, F1: each candidate's first failing check; entities are skipped. A candidate's window is its document.
+
+    A unit is looked up in the candidate's document; only where it isn't there, whether any other has it."""
+    own = units.select("document_id", F.col("unit_id").alias("source_unit_id"), F.lit(True).alias("__own"), F.lower("unit_type").alias("__type"), F.col("text").alias("__text"))
+    elsewhere = units.select(F.col("unit_id").alias("source_unit_id")).distinct().withColumn("__known", F.lit(True))
     rows = complete(candidates).where("candidate_type <> 'entity'")
-    joined = rows.join(units, F.col("source_unit_id") == F.col("__unit"), "left")
+    joined = rows.join(own, ["document_id", "source_unit_id"], "left").join(elsewhere, "source_unit_id", "left")
     quote = F.coalesce("source_quote", F.lit(""))
     joined = joined.withColumns({"__q": nfkc(quote), "__t": nfkc(F.coalesce("__text", F.lit("")))})
     whole = (F.col("__t") != "") & collapse_whitespace(F.col("__t")).contains(collapse_whitespace(F.col("__q")))
@@ -110,8 +114,8 @@ def quote_findings(candidates: DataFrame, units: DataFrame) -> DataFrame:
     token_mode = F.coalesce(F.col("quote_match_mode") == "token_set", F.lit(False))
     code = (
         F.when(F.coalesce("source_unit_id", F.lit("")) == "", "ILLEGAL_UNIT_REFERENCE")
-        .when(F.col("__unit").isNull(), "UNIT_NOT_IN_WINDOW")
-        .when(F.col("__doc") != F.col("document_id"), "CROSS_DOCUMENT_UNIT")
+        .when(F.col("__known").isNull(), "UNIT_NOT_IN_WINDOW")
+        .when(F.col("__own").isNull(), "CROSS_DOCUMENT_UNIT")
         .when(is_blank(quote), "EMPTY_QUOTE")
         .when(token_mode & ~F.col("__type").isin("table", "table_row"), "TOKEN_SET_ON_NON_TABLE")
         .when(token_mode & ~tokens, "QUOTE_NOT_FOUND")
@@ -119,7 +123,7 @@ def quote_findings(candidates: DataFrame, units: DataFrame) -> DataFrame:
     )
     gate = F.when(F.col("code") == "ILLEGAL_UNIT_REFERENCE", "reference_gate").otherwise("quote_gate")
     found = joined.withColumn("code", code).where("code IS NOT NULL")
-    return found.select("code", F.lit("ERROR").alias("severity"), "candidate_id", gate.alias("gate_name"), F.coalesce("source_unit_id", F.lit("")).alias("source_unit_id"), F.left(quote, F.lit(80)).alias("detail"))
+    return found.select("document_id", "code", F.lit("ERROR").alias("severity"), "candidate_id", gate.alias("gate_name"), F.coalesce("source_unit_id", F.lit("")).alias("source_unit_id"), F.left(quote, F.lit(80)).alias("detail"))
 
 
 def _first_in(text: Column, words: tuple[str, ...]) -> Column:
@@ -165,9 +169,9 @@ def all_findings(candidates: DataFrame, units: DataFrame, strict: bool = True) -
 
 def verdicts(candidates: DataFrame, findings: DataFrame) -> DataFrame:
     """A row for each candidate: its codes in order, n_errors, accepted. Only errors reject."""
-    by = findings.groupBy("candidate_id").agg(F.count_if(F.col("severity") == "ERROR").alias("n_errors"), F.array_sort(F.collect_set("code")).alias("codes"))
-    joined = candidates.select("candidate_id", "candidate_type").join(by, "candidate_id", "left")
-    return joined.select("candidate_id", "candidate_type", F.coalesce("codes", F.array().cast("array<string>")).alias("codes"), F.coalesce("n_errors", F.lit(0)).alias("n_errors"), (F.coalesce("n_errors", F.lit(0)) == 0).alias("accepted"))
+    by = findings.groupBy("document_id", "candidate_id").agg(F.count_if(F.col("severity") == "ERROR").alias("n_errors"), F.array_sort(F.collect_set("code")).alias("codes"))
+    joined = candidates.select("document_id", "candidate_id", "candidate_type").join(by, ["document_id", "candidate_id"], "left")
+    return joined.select("document_id", "candidate_id", "candidate_type", F.coalesce("codes", F.array().cast("array<string>")).alias("codes"), F.coalesce("n_errors", F.lit(0)).alias("n_errors"), (F.coalesce("n_errors", F.lit(0)) == 0).alias("accepted"))
 
 
 def gate_report(findings: DataFrame) -> DataFrame:
@@ -262,19 +266,20 @@ def review_template(candidates: DataFrame) -> DataFrame:
 
 
 def preflight(bundle: DataFrame, findings: DataFrame, units: DataFrame, providers: tuple[str, ...] = ()) -> DataFrame:
-    """(check, candidate_id) of what keeps a bundle from being stored. `bundle`: candidates with accepted,
+    """(check, document_id, candidate_id) of what keeps a bundle from being stored. `bundle`: candidates with accepted,
     workspace_id, document_id and provider_name. Checks come in this order; a caller stops at the first."""
     accepted = complete(bundle).where("accepted")
-    errors = findings.where("severity = 'ERROR'").select("candidate_id").distinct()
-    known = units.select(F.col("unit_id").alias("source_unit_id"), F.col("document_id").alias("__doc"))
+    key = ["document_id", "candidate_id"]
+    errors = findings.where("severity = 'ERROR'").select(*key).distinct()
+    known = units.select(F.col("unit_id").alias("source_unit_id"), "document_id")
     checks = [
-        accepted.join(errors, "candidate_id", "left_semi").select(F.lit("ACCEPTED_WITH_ERROR").alias("check"), "candidate_id"),
-        bundle.groupBy("candidate_id").agg(F.count_distinct("accepted").alias("n")).where("n > 1").select(F.lit("ACCEPTED_AND_REJECTED").alias("check"), "candidate_id"),
-        accepted.where(reduce(lambda a, b: a | b, (F.coalesce(F.col(f), F.lit("")) != "" for f in FORBIDDEN_FIELDS))).select(F.lit("OVERRIDE_ACCEPTED").alias("check"), "candidate_id"),
-        accepted.where("candidate_type <> 'entity'").join(known, "source_unit_id", "left_anti").select(F.lit("UNIT_MISSING").alias("check"), "candidate_id"),
-        accepted.join(known, "source_unit_id").where("document_id <> __doc").select(F.lit("OTHER_DOCUMENT").alias("check"), "candidate_id"),
-        accepted.withColumn("n", F.size(F.collect_set("workspace_id").over(Window.partitionBy("document_id")))).where("n > 1").select(F.lit("MIXED_WORKSPACES").alias("check"), "candidate_id"),
-        accepted.where(~F.col("provider_name").isin(*providers)).select(F.lit("PROVIDER_NOT_ALLOWED").alias("check"), "candidate_id") if providers else None,
+        accepted.join(errors, key, "left_semi").select(F.lit("ACCEPTED_WITH_ERROR").alias("check"), *key),
+        bundle.groupBy(*key).agg(F.count_distinct("accepted").alias("n")).where("n > 1").select(F.lit("ACCEPTED_AND_REJECTED").alias("check"), *key),
+        accepted.where(reduce(lambda a, b: a | b, (F.coalesce(F.col(f), F.lit("")) != "" for f in FORBIDDEN_FIELDS))).select(F.lit("OVERRIDE_ACCEPTED").alias("check"), *key),
+        accepted.where("candidate_type <> 'entity'").join(known.select("source_unit_id"), "source_unit_id", "left_anti").select(F.lit("UNIT_MISSING").alias("check"), *key),
+        accepted.join(known.select("source_unit_id").distinct(), "source_unit_id").join(known, ["source_unit_id", "document_id"], "left_anti").select(F.lit("OTHER_DOCUMENT").alias("check"), *key),
+        accepted.withColumn("n", F.size(F.collect_set("workspace_id").over(Window.partitionBy("document_id")))).where("n > 1").select(F.lit("MIXED_WORKSPACES").alias("check"), *key),
+        accepted.where(~F.col("provider_name").isin(*providers)).select(F.lit("PROVIDER_NOT_ALLOWED").alias("check"), *key) if providers else None,
         _unaccepted_references(accepted),
     ]
     found = [c.withColumn("step", F.lit(i)) for i, c in enumerate(checks) if c is not None]
@@ -285,4 +290,4 @@ def _unaccepted_references(accepted: DataFrame) -> DataFrame:
     """Accepted candidates whose entity or target is a candidate that wasn't accepted, by the form of its id."""
     refs = accepted.select("document_id", "candidate_id", F.explode(F.array_compact(F.array("entity_id", "target_object_id", "target_claim_id"))).alias("reference")).where("reference <> ''")
     have = accepted.select("document_id", F.col("candidate_id").alias("reference"))
-    return refs.join(have, ["document_id", "reference"], "left_anti").select(F.lit("REFERENCE_NOT_ACCEPTED").alias("check"), "candidate_id")
+    return refs.join(have, ["document_id", "reference"], "left_anti").select(F.lit("REFERENCE_NOT_ACCEPTED").alias("check"), "document_id", "candidate_id")

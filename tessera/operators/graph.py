@@ -90,6 +90,7 @@ def cycle_members(graph: DataFrame) -> DataFrame:
 
 def validate(objects: DataFrame, edges: DataFrame) -> DataFrame:
     """K2, K7: (finding, id, detail, blocking) of the whole graph, without a cap on objects. No blocking row: it is ok."""
+    objects, edges = checkpoint(objects), checkpoint(edges)  # read by every part
     row = lambda df, finding, detail, blocking: df.select(F.lit(finding).alias("finding"), F.col("id"), detail.alias("detail"), F.lit(blocking).alias("blocking"))
     missing = dangling(edges, objects).withColumnRenamed("src", "id")
     parts = [
@@ -126,16 +127,18 @@ def trace_paths(graph: DataFrame, starts: DataFrame, max_depth: int = MAX_DEPTH,
 
 
 def trace_sources(graph: DataFrame, starts: DataFrame, source_prefix: str = "src_") -> DataFrame:
-    """The sources that each start reaches, however far away, without enumerating paths: what scales on dense graphs."""
-    graph = checkpoint(graph)  # read at every step
-    frontier = checkpoint(starts.select(F.col("id").alias("start"), F.col("id").alias("node")).distinct())
-    reached = frontier
+    """The sources that each start reaches, however far away, without enumerating paths: what scales on dense graphs.
+
+    Walks back from the sources, a pair of node and source once however many starts meet there; the starts are joined last."""
+    is_source = lambda c: F.col(c).startswith(source_prefix)
+    open_ = checkpoint(graph.where(~is_source("src")).select("src", "dst"))  # read at every step; a path stops at its first source
+    ends = open_.select(F.col("dst").alias("node")).unionByName(starts.select(F.col("id").alias("node"))).where(is_source("node")).distinct()
+    frontier = reached = checkpoint(ends.select("node", F.col("node").alias("source")))
     while not frontier.isEmpty():
-        open_ = frontier.where(~F.col("node").startswith(source_prefix))
-        step = open_.join(graph, open_["node"] == graph["src"]).select("start", F.col("dst").alias("node")).distinct()
-        frontier = checkpoint(step.join(reached, ["start", "node"], "left_anti"))
+        step = open_.join(frontier, open_["dst"] == frontier["node"]).select(F.col("src").alias("node"), "source").distinct()
+        frontier = checkpoint(step.join(reached, ["node", "source"], "left_anti"))
         reached = checkpoint(reached.unionByName(frontier))
-    return reached.where(F.col("node").startswith(source_prefix)).select("start", F.col("node").alias("source"))
+    return starts.select(F.col("id").alias("start")).distinct().join(reached, F.col("start") == F.col("node")).select("start", "source")
 
 
 def unit_sources(units: DataFrame, documents: DataFrame) -> DataFrame:

@@ -18,21 +18,29 @@ def review_bundle(candidates: DataFrame, units: DataFrame, strict: bool = True)
     """(candidates with accepted and their codes, findings) in the reviewers' order."""
     resolved = gates.resolve_quotes(gates.complete(candidates), units)
     findings = gates.all_findings(resolved, units, strict)
-    judged = gates.verdicts(resolved, findings).select("candidate_id", "codes", "accepted")
-    return resolved.join(judged, "candidate_id"), findings
+    judged = gates.verdicts(resolved, findings).select("document_id", "candidate_id", "codes", "accepted")
+    return resolved.join(judged, ["document_id", "candidate_id"]), findings
 
 
 def bundle_hashes(bundle: DataFrame, findings: DataFrame, units: DataFrame) -> DataFrame:
     """(document_id, bundle_sha256): a hash over each document's candidates, findings and window, all in order."""
     semantic = ("candidate_id", "candidate_type", "statement", "metric", "value", "canonical_name", "claim_type", "evidence_role", "evidence_type", "target_object_id", "source_unit_id", "source_quote", "quote_match_mode")
     own = F.to_json(F.struct(*sorted(semantic)), {"ignoreNullFields": "false"})
-    found = findings.groupBy("candidate_id").agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "code", "severity", "detail"))), ";").alias("found"))
-    rows = gates.complete(bundle).join(found, "candidate_id", "left").select("document_id", F.concat_ws("|", own, F.coalesce("found", F.lit(""))).alias("line"))
+    found = findings.groupBy("document_id", "candidate_id").agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "code", "severity", "detail"))), ";").alias("found"))
+    rows = gates.complete(bundle).join(found, ["document_id", "candidate_id"], "left").select("document_id", F.concat_ws("|", own, F.coalesce("found", F.lit(""))).alias("line"))
     hashed = rows.groupBy("document_id").agg(F.array_join(F.array_sort(F.collect_list("line")), "\n").alias("body"))
     window = windows.context_windows(units).select("document_id", "window_sha256")
     return hashed.join(window, "document_id").select("document_id", sha256(F.concat_ws("\n", "document_id", "window_sha256", "body")).alias("bundle_sha256"))
 
 
+def signed_hash(bundle: DataFrame, findings: DataFrame, units: DataFrame) -> str:
+    """What stands for a bundle of one document, its hash, or of several, a hash over theirs in order."""
+    hashes = bundle_hashes(bundle, findings, units)
+    line = F.concat_ws(":", "document_id", "bundle_sha256")
+    both = hashes.agg(F.count("*").alias("n"), F.min("bundle_sha256").alias("one"), sha256(F.array_join(F.array_sort(F.collect_list(line)), "\n")).alias("all")).first()
+    return both["one"] if both["n"] == 1 else both["all"]
+
+
 def independence_groups(units: DataFrame, documents: DataFrame, sources: DataFrame, workspace: str) -> DataFrame:
     """(source_unit_id, independence_group, problem): one resolution for each unit, by its root source."""
     chain = graph.unit_sources(units, documents)
@@ -42,9 +50,13 @@ def independence_groups(units: DataFrame, documents: DataFrame, sources: DataFra
     return joined.select(F.col("unit_id").alias("source_unit_id"), drafts.independence_group(F.col("root"), F.lit(workspace)).alias("independence_group"), problem.alias("problem"))
 
 
-def persist_drafts(store: ObjectStore, bundle: DataFrame, findings: DataFrame, units: DataFrame, groups: DataFrame, workspace: str, bundle_hash: str, dry_run: bool = False) -> dict:
+def persist_drafts(store: ObjectStore, bundle: DataFrame, findings: DataFrame, units: DataFrame, groups: DataFrame, workspace: str, bundle_hash: str, dry_run: bool = False, providers: tuple[str, ...] = ()) -> dict:
     """Accepted candidates as draft objects, all or none.
 
+    The bundle's own workspace_id and provider_name, where it has them, are checked against `workspace` and `providers`.
+    `bundle_hash` is what the reviewers signed: of a bundle of one document it must equal `bundle_hashes`, of several the hash of
+    theirs in order; a bundle that changed since is refused.
+
     The bundle's operation key makes it idempotent: a success is returned as it was, a running one conflicts, a failed
     one is tried again. Its run is recorded before and after in commits of their own, so that a failure leaves a
     failed run and nothing else. Objects whose natural key is there already are reused."""
@@ -61,7 +73,14 @@ def persist_drafts(store: ObjectStore, bundle: DataFrame, findings: DataFrame, u
     if not dry_run:
         _record_run(store, run_id, workspace, "running", None, last is None)
     try:
-        problems = gates.preflight(bundle.withColumn("workspace_id", F.lit(workspace)).withColumn("provider_name", F.lit("")), findings, units)
+        if bundle_hash != signed_hash(bundle, findings, units):
+            raise StoreError("BUNDLE_HASH_MISMATCH", bundle_hash)
+        lacks = {c: v for c, v in (("workspace_id", F.lit(workspace)), ("provider_name", F.lit(""))) if c not in bundle.columns}
+        checked = bundle.withColumns(lacks)
+        foreign = checked.where(~F.col("workspace_id").eqNullSafe(workspace)).first()
+        if foreign:
+            raise StoreError("OTHER_WORKSPACE", f"{foreign.document_id}: {foreign.candidate_id}")
+        problems = gates.preflight(checked, findings, units, providers)
         first = problems.orderBy("step", "check").first()
         if first:
             raise StoreError("PREFLIGHT_FAILED", f"{first.check}: {first.candidate_id}")

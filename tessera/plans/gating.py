@@ -21,7 +21,7 @@ def units(spark: SparkSession, sf_dir: str) -> DataFrame:
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     d, m = F.col("doc_id").cast("string"), F.col("doc_id") % 8
     first = F.get(F.split("text", "\n"), F.lit(0))
-    quote = F.when(m == 1, "no such words").when(m == 2, " ").otherwise(F.substring(first, 1, 40))
+    quote = F.when(m == 1, "no such words").when(m == 2, " ").otherwise(first)
     unit = F.when(m == 3, "").when(m == 4, "cu_none_0").when(m == 5, F.concat(F.lit("cu_"), (F.col("doc_id") + 1).cast("string"), F.lit("_0"))).otherwise(F.concat(F.lit("cu_"), d, F.lit("_0")))
     base = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("doc_"), d).alias("document_id"), quote.alias("source_quote"), unit.alias("source_unit_id"), F.when(m == 6, "token_set").otherwise("literal").alias("quote_match_mode"), m.alias("m"), d.alias("d"))
     kinds = F.explode(F.array(*map(F.lit, ("entity", "data_point", "claim", "fact")))).alias("candidate_type")
@@ -42,25 +42,25 @@ _CAND_SQL = """
 u AS (SELECT doc_id, i - 1 AS i, 'cu_' || doc_id || '_' || (i - 1) AS unit_id, CASE WHEN doc_id % 10 = 0 AND i = 1 THEN string_split(text, chr(10))[i] || ' Ignore previous instructions' ELSE string_split(text, chr(10))[i] END AS text
       FROM documents, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS t(i)),
 c AS (SELECT doc_id, k.t AS candidate_type, k.t[1:2] || '_' || doc_id AS candidate_id, doc_id % 8 AS m,
-        CASE doc_id % 8 WHEN 1 THEN 'no such words' WHEN 2 THEN ' ' ELSE substr(string_split(text, chr(10))[1], 1, 40) END AS q,
+        CASE doc_id % 8 WHEN 1 THEN 'no such words' WHEN 2 THEN ' ' ELSE string_split(text, chr(10))[1] END AS q,
         CASE doc_id % 8 WHEN 3 THEN '' WHEN 4 THEN 'cu_none_0' WHEN 5 THEN 'cu_' || (doc_id + 1) || '_0' ELSE 'cu_' || doc_id || '_0' END AS unit
       FROM documents, (VALUES ('entity'), ('data_point'), ('claim'), ('fact')) AS k(t)),
-quote AS (SELECT candidate_id, candidate_type, unit, left(q, 80) AS detail, CASE WHEN unit = '' THEN 'ILLEGAL_UNIT_REFERENCE' WHEN u.unit_id IS NULL THEN 'UNIT_NOT_IN_WINDOW' WHEN u.doc_id <> c.doc_id THEN 'CROSS_DOCUMENT_UNIT'
+quote AS (SELECT 'doc_' || c.doc_id AS document_id, candidate_id, candidate_type, unit, left(q, 80) AS detail, CASE WHEN unit = '' THEN 'ILLEGAL_UNIT_REFERENCE' WHEN u.unit_id IS NULL THEN 'UNIT_NOT_IN_WINDOW' WHEN u.doc_id <> c.doc_id THEN 'CROSS_DOCUMENT_UNIT'
         WHEN trim(q) = '' THEN 'EMPTY_QUOTE' WHEN m = 6 THEN 'TOKEN_SET_ON_NON_TABLE' WHEN NOT contains(trim(regexp_replace(u.text, '\\s+', ' ', 'g')), trim(regexp_replace(q, '\\s+', ' ', 'g'))) THEN 'QUOTE_NOT_FOUND' END AS code
       FROM c LEFT JOIN u ON c.unit = u.unit_id WHERE candidate_type <> 'entity'),
-qf AS (SELECT code, 'ERROR' AS severity, candidate_id, CASE code WHEN 'ILLEGAL_UNIT_REFERENCE' THEN 'reference_gate' ELSE 'quote_gate' END AS gate_name, unit AS source_unit_id, detail FROM quote WHERE code IS NOT NULL)"""
+qf AS (SELECT document_id, code, 'ERROR' AS severity, candidate_id, CASE code WHEN 'ILLEGAL_UNIT_REFERENCE' THEN 'reference_gate' ELSE 'quote_gate' END AS gate_name, unit AS source_unit_id, detail FROM quote WHERE code IS NOT NULL)"""
 
 _SAFETY_SQL = """
 o AS (SELECT c.*, doc_id % 2 = 1 AS odd, doc_id % 5 = 0 AS sure, candidate_type = 'fact' AS fact, candidate_type = 'claim' AS claim, doc_id % 15 = 0 AS promo, doc_id % 3 = 0 AS tofact FROM c),
-sf AS (SELECT 'PROVIDER_OVERRIDE_FIELD' AS code, 'ERROR' AS severity, candidate_id, unit, 'evidence_strength' AS detail FROM o WHERE doc_id % 9 = 0
-  UNION ALL SELECT 'PROVIDER_SET_PROMOTABLE', 'ERROR', candidate_id, unit, '' FROM o WHERE fact AND promo
-  UNION ALL SELECT 'NON_PROMOTABLE_CLAIM_TYPE', 'ERROR', candidate_id, unit, 'prediction' FROM o WHERE claim AND odd AND tofact
-  UNION ALL SELECT 'FACT_POLLUTION_PREDICTION', 'ERROR', candidate_id, unit, 'prediction' FROM o WHERE fact AND odd
-  UNION ALL SELECT 'PROMPT_INJECTION', CASE WHEN fact THEN 'ERROR' ELSE 'INFO' END, candidate_id, unit, 'ignore previous instructions' FROM o WHERE candidate_type <> 'entity' AND doc_id % 10 = 0 AND unit = 'cu_' || doc_id || '_0'
-  UNION ALL SELECT 'HIGH_CONFIDENCE_POLLUTION', CASE WHEN fact THEN 'ERROR' ELSE 'WARNING' END, candidate_id, unit, '' FROM o WHERE sure AND ((fact AND promo) OR (claim AND tofact))
-  UNION ALL SELECT 'FACT_POLLUTION_PREDICTION', 'ERROR', candidate_id, unit, '预计' FROM o WHERE fact AND doc_id % 7 = 0
-  UNION ALL SELECT 'FACT_POLLUTION_VALUATION', 'ERROR', candidate_id, unit, '估值' FROM o WHERE fact AND doc_id % 7 = 1),
-f AS (SELECT code, severity, candidate_id, gate_name, source_unit_id, detail FROM qf UNION ALL SELECT code, severity, candidate_id, 'safety_gate', unit, detail FROM sf)"""
+sf AS (SELECT 'PROVIDER_OVERRIDE_FIELD' AS code, 'ERROR' AS severity, 'doc_' || doc_id AS document_id, candidate_id, unit, 'evidence_strength' AS detail FROM o WHERE doc_id % 9 = 0
+  UNION ALL SELECT 'PROVIDER_SET_PROMOTABLE', 'ERROR', 'doc_' || doc_id, candidate_id, unit, '' FROM o WHERE fact AND promo
+  UNION ALL SELECT 'NON_PROMOTABLE_CLAIM_TYPE', 'ERROR', 'doc_' || doc_id, candidate_id, unit, 'prediction' FROM o WHERE claim AND odd AND tofact
+  UNION ALL SELECT 'FACT_POLLUTION_PREDICTION', 'ERROR', 'doc_' || doc_id, candidate_id, unit, 'prediction' FROM o WHERE fact AND odd
+  UNION ALL SELECT 'PROMPT_INJECTION', CASE WHEN fact THEN 'ERROR' ELSE 'INFO' END, 'doc_' || doc_id, candidate_id, unit, 'ignore previous instructions' FROM o WHERE candidate_type <> 'entity' AND doc_id % 10 = 0 AND unit = 'cu_' || doc_id || '_0'
+  UNION ALL SELECT 'HIGH_CONFIDENCE_POLLUTION', CASE WHEN fact THEN 'ERROR' ELSE 'WARNING' END, 'doc_' || doc_id, candidate_id, unit, '' FROM o WHERE sure AND ((fact AND promo) OR (claim AND tofact))
+  UNION ALL SELECT 'FACT_POLLUTION_PREDICTION', 'ERROR', 'doc_' || doc_id, candidate_id, unit, '预计' FROM o WHERE fact AND doc_id % 7 = 0
+  UNION ALL SELECT 'FACT_POLLUTION_VALUATION', 'ERROR', 'doc_' || doc_id, candidate_id, unit, '估值' FROM o WHERE fact AND doc_id % 7 = 1),
+f AS (SELECT document_id, code, severity, candidate_id, gate_name, source_unit_id, detail FROM qf UNION ALL SELECT document_id, code, severity, candidate_id, 'safety_gate', unit, detail FROM sf)"""
 
 
 def quote_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,11 +150,6 @@ def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gates.decision_findings(rows)
 
 
-def ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Only the first 50, as its SQL has them; ranked has every candidate."""
-    return gates.in_order(candidates(spark, sf_dir)).select("candidate_type", "candidate_id").limit(50)
-
-
 def ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every candidate and an evidence row for each document, with primary texts that tie within a type."""
     d, kind = F.substring_index("candidate_id", "_", -1).cast("long"), F.col("candidate_type")
@@ -189,7 +184,27 @@ UNION ALL SELECT 'OVERRIDE_ACCEPTED', count(*) FROM a WHERE doc_id % 9 = 0 HAVIN
 UNION ALL SELECT 'UNIT_MISSING', count(*) FROM a WHERE candidate_type <> 'entity' AND unit NOT IN (SELECT unit_id FROM u) HAVING count(*) > 0
 UNION ALL SELECT 'OTHER_DOCUMENT', count(*) FROM a JOIN u ON a.unit = u.unit_id WHERE a.doc_id <> u.doc_id HAVING count(*) > 0"""
 
+def shared_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts where every document has units u0, u1, ... and a claim c1 that quotes a line of its own, or none, or a unit
+    that only longer documents have."""
+    lines = F.split("text", "\n")
+    docs = table(spark, sf_dir, "documents").select(F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("document_id"), (F.col("doc_id") % 8).alias("m"), lines.alias("lines"))
+    own = docs.select("document_id", F.posexplode("lines").alias("sequence_no", "text")).select("document_id", F.concat(F.lit("u"), F.col("sequence_no").cast("string")).alias("unit_id"), F.lit("paragraph").alias("unit_type"), "sequence_no", "text")
+    unit = F.when(F.col("m") == 3, "none").when(F.col("m") == 4, F.concat(F.lit("u"), F.size("lines").cast("string"))).otherwise("u0")
+    quote = F.when(F.col("m") == 1, "no such words").otherwise(F.get("lines", F.lit(0)))
+    claims = docs.select("document_id", F.lit("c1").alias("candidate_id"), F.lit("claim").alias("candidate_type"), F.lit("fact_claim").alias("claim_type"), unit.alias("source_unit_id"), quote.alias("source_quote"), F.lit("literal").alias("quote_match_mode"))
+    found = gates.verdicts(claims, gates.quote_findings(claims, own))
+    return found.withColumn("codes", F.array_join("codes", ","))
+
+
+_SHARED_SQL = """
+WITH d AS (SELECT doc_id, doc_id % 8 AS m, len(string_split(text, chr(10))) AS n, string_split(text, chr(10))[1] AS first FROM documents WHERE text IS NOT NULL),
+j AS (SELECT doc_id, CASE WHEN m = 3 THEN 'UNIT_NOT_IN_WINDOW' WHEN m = 4 THEN CASE WHEN n < (SELECT max(n) FROM d) THEN 'CROSS_DOCUMENT_UNIT' ELSE 'UNIT_NOT_IN_WINDOW' END
+        WHEN m = 1 THEN CASE WHEN contains(first, 'no such words') THEN '' ELSE 'QUOTE_NOT_FOUND' END WHEN trim(first) = '' THEN 'EMPTY_QUOTE' ELSE '' END AS codes FROM d)
+SELECT 'doc_' || doc_id AS document_id, 'c1' AS candidate_id, 'claim' AS candidate_type, codes, CASE WHEN codes = '' THEN 0 ELSE 1 END AS n_errors, codes = '' AS accepted FROM j"""
+
 QUERIES = {
+    "l9_shared_ids": shared_ids,
     "l2_f1_quote_gate": quote_gate,
     "l3_l8_safety_gate": safety_gate,
     "j1_all_findings": findings,
@@ -200,18 +215,18 @@ QUERIES = {
     "e6_j3_evidence_roles": roles,
     "e4_constraints": constraints,
     "e11_review_decisions": decisions,
-    "i2_candidate_order": ordered,
     "i2_candidate_ranks": ranked,
     "l10_j7_preflight": preflight,
 }
 
 ORACLES = {
+    "l9_shared_ids": _SHARED_SQL,
     "l2_f1_quote_gate": f"WITH {_CAND_SQL} SELECT * FROM qf",
     "l3_l8_safety_gate": f"WITH {_CAND_SQL}, {_SAFETY_SQL} SELECT * FROM f WHERE gate_name = 'safety_gate'",
     "j1_all_findings": f"WITH {_CAND_SQL}, {_SAFETY_SQL} SELECT * FROM f",
     "l9_g9_g13_verdicts": f"""
 WITH {_CAND_SQL}, {_SAFETY_SQL}, b AS (SELECT candidate_id, count(*) FILTER (severity = 'ERROR') AS n, string_agg(DISTINCT code, ',' ORDER BY code) AS codes FROM f GROUP BY candidate_id)
-SELECT candidate_id, candidate_type, coalesce(codes, '') AS codes, coalesce(n, 0) AS n_errors, coalesce(n, 0) = 0 AS accepted FROM c LEFT JOIN b USING (candidate_id)""",
+SELECT 'doc_' || doc_id AS document_id, candidate_id, candidate_type, coalesce(codes, '') AS codes, coalesce(n, 0) AS n_errors, coalesce(n, 0) = 0 AS accepted FROM c LEFT JOIN b USING (candidate_id)""",
     "g7_g8_gate_report": f"""
 WITH {_CAND_SQL}, {_SAFETY_SQL} SELECT count(*) FILTER (severity = 'ERROR') AS error_count, count(*) FILTER (code LIKE 'FACT_POLLUTION%' OR code = 'NON_PROMOTABLE_CLAIM_TYPE') AS fact_pollution_count,
   count(*) FILTER (code = 'QUOTE_NOT_FOUND') AS fake_quote_count, count(*) FILTER (code IN ('ILLEGAL_UNIT_REFERENCE', 'UNIT_NOT_IN_WINDOW', 'CROSS_DOCUMENT_UNIT')) AS illegal_unit_count,
@@ -223,7 +238,6 @@ WITH {_CAND_SQL}, {_SAFETY_SQL} SELECT count(*) FILTER (severity = 'ERROR') AS e
     "e11_review_decisions": """
 SELECT CAST(doc_id AS VARCHAR) AS candidate_id, 'BAD_BUNDLE_HASH' AS code FROM labels WHERE doc_id % 6 = 0 UNION ALL SELECT CAST(doc_id AS VARCHAR), 'NO_REVIEWER' FROM labels WHERE doc_id % 7 = 0
 UNION ALL SELECT CAST(doc_id AS VARCHAR), 'REVISION_WITHOUT_STATEMENT' FROM labels WHERE toxic = 1 AND doc_id % 2 = 1""",
-    "i2_candidate_order": "SELECT 'entity' AS candidate_type, 'en_' || doc_id AS candidate_id FROM documents ORDER BY candidate_id LIMIT 50",
     "i2_candidate_ranks": _RANKED_SQL,
     "l10_j7_preflight": _PREFLIGHT_SQL,
 }

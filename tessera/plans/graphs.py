@@ -111,23 +111,16 @@ def _roots(sources: DataFrame) -> DataFrame:
 
 
 def root_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Only the suppliers up to 89, as its SQL has them; all_root_sources has every one."""
-    return _roots(_suppliers(spark, sf_dir).where("s_suppkey <= 89"))
-
-
-def all_root_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every supplier; a ring that the end of the table cuts off is SOURCE_NOT_FOUND."""
     return _roots(_suppliers(spark, sf_dir))
 
 
 _ROOTS_SQL = """
-WITH RECURSIVE p AS (SELECT s_suppkey AS id, CASE WHEN s_suppkey <= 1 THEN NULL WHEN s_suppkey = 7 THEN -1 WHEN s_suppkey > 80 AND s_suppkey % 10 < 3 THEN s_suppkey - s_suppkey % 10 + (s_suppkey % 10 + 1) % 3 ELSE s_suppkey // 2 END AS parent FROM supplier WHERE s_suppkey <= 89),
+WITH RECURSIVE p AS (SELECT s_suppkey AS id, CASE WHEN s_suppkey <= 1 THEN NULL WHEN s_suppkey = 7 THEN -1 WHEN s_suppkey > 80 AND s_suppkey % 10 < 3 THEN s_suppkey - s_suppkey % 10 + (s_suppkey % 10 + 1) % 3 ELSE s_suppkey // 2 END AS parent FROM supplier),
 w AS (SELECT id AS start, id AS node, 0 AS d FROM p UNION ALL SELECT start, p.parent, d + 1 FROM w JOIN p ON w.node = p.id WHERE p.parent IS NOT NULL AND d < 40),
 e AS (SELECT start, max(d) AS d, max(CASE WHEN node = -1 OR node NOT IN (SELECT id FROM p) THEN 1 ELSE 0 END) AS gone, arg_max(node, d) AS last FROM w GROUP BY start)
 SELECT 'src_' || start AS id, CASE WHEN gone = 1 OR d >= 40 THEN '' ELSE 'src_' || last END AS root, CASE WHEN d >= 40 THEN 'CYCLE' WHEN gone = 1 THEN 'SOURCE_NOT_FOUND' ELSE '' END AS problem FROM e"""
 
-_ALL_ROOTS_SQL = _ROOTS_SQL.replace(" WHERE s_suppkey <= 89", "")
-
 QUERIES = {
     "k1_j4_edges": lambda s, d: edges(s, d).groupBy("field", "dependency").agg(F.count("*").alias("n"), F.count_distinct("dst").alias("n_targets")),
     "g6_duplicate_ids": duplicates,
@@ -139,7 +132,6 @@ QUERIES = {
     "k4_trace_sources": trace_sources,
     "f8_unit_sources": unit_sources,
     "k6_root_sources": root_sources,
-    "k6_all_root_sources": all_root_sources,
 }
 
 ORACLES = {
@@ -161,5 +153,4 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey AND l_orderkey % 97 <> 0 JO
 SELECT CASE WHEN l_orderkey % 97 = 0 THEN '' ELSE 'ent_c' || o_custkey END AS source_id, CASE WHEN l_orderkey % 97 = 0 THEN 'DOCUMENT_NOT_FOUND' ELSE '' END AS problem, count(*) AS n
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL""",
     "k6_root_sources": _ROOTS_SQL,
-    "k6_all_root_sources": _ALL_ROOTS_SQL,
 }

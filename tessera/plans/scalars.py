@@ -131,20 +131,13 @@ def json_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tag_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Only the first twelve words, as its SQL has them; whole_tag_merge has all."""
-    words = F.slice(F.split("text", " "), 1, 12)
-    tags = t.ordered_distinct(F.array("lang", "source"), F.transform(words, lambda w: F.lower(w)), F.array("lang"))
-    return _docs(spark, sf_dir).select("doc_id", F.array_join(tags, ",").alias("tags"))
-
-
-def whole_tag_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tags of every word of the text."""
     tags = t.ordered_distinct(F.array("lang", "source"), F.transform(F.split("text", " "), lambda w: F.lower(w)), F.array("lang"))
     return _docs(spark, sf_dir).select("doc_id", F.array_join(tags, ",").alias("tags"))
 
 
 def identity_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _docs(spark, sf_dir).select("doc_id", t.identity_text(F.substring_index("text", "\n", 1)).alias("identity"))
+    return _docs(spark, sf_dir).select("doc_id", t.identity_text(F.col("text")).alias("identity"))
 
 
 QUERIES = {
@@ -164,7 +157,6 @@ QUERIES = {
     "d22_d23_natural_key": natural_keys,
     "d24_d27_d29_json_path": json_path,
     "d26_ordered_distinct": tag_merge,
-    "d26_ordered_distinct_whole": whole_tag_merge,
 }
 
 _SRC = "'src_' || " + _ID_SQL.format(parts="'ws' || chr(31) || 'blog' || chr(31) || 'name:blog:' || source")
@@ -200,9 +192,6 @@ SELECT DISTINCT 'ev_' || l_orderkey || '_' || l_linenumber AS candidate_id,
   sha256('tessera/v1|independence_group|src_' || l_suppkey || '|ws') AS group_key FROM lineitem""",
     "d24_d27_d29_json_path": "SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS k, count(*) AS n, max(left(event_type || ':' || props, 20)) AS label FROM events GROUP BY ALL",
     "d26_ordered_distinct": """
-WITH w AS (SELECT doc_id, list_concat([lang, source], list_transform(string_split(text, ' ')[1:12], lambda x: lower(x)), [lang]) AS a FROM documents)
-SELECT doc_id, array_to_string(list_filter(a, lambda x, i: list_position(a, x) = i), ',') AS tags FROM w""",
-    "d26_ordered_distinct_whole": """
 WITH w AS (SELECT doc_id, list_concat([lang, source], list_transform(string_split(text, ' '), lambda x: lower(x)), [lang]) AS a FROM documents),
 u AS (SELECT doc_id, unnest(a) AS x, unnest(range(len(a))) AS i FROM w), f AS (SELECT doc_id, x, min(i) AS i FROM u GROUP BY doc_id, x)
 SELECT doc_id, string_agg(x, ',' ORDER BY i) AS tags FROM f GROUP BY doc_id""",

@@ -41,7 +41,7 @@ def test_results_do_not_depend_on_partitions(spark, sf_dir, name):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-@pytest.mark.parametrize("name", ["k6_all_root_sources", "i2_candidate_ranks", "d26_ordered_distinct_whole"])
+@pytest.mark.parametrize("name", ["k6_root_sources", "i2_candidate_ranks", "d26_ordered_distinct"])
 def test_whole_table_matches_sql_on_sf001(spark, name):
     """On sf0.01, where a cut by id shows: every row of the query and of its SQL, and every source."""
     import duckdb
@@ -54,5 +54,5 @@ def test_whole_table_matches_sql_on_sf001(spark, name):
     relation = wide.sql(ORACLES[name])
     got, expect = {tuple(r) for r in frame.select(*relation.columns).collect()}, set(relation.fetchall())
     assert got == expect
-    if name == "k6_all_root_sources":
+    if name == "k6_root_sources":
         assert len(got) == wide.sql("SELECT count(*) FROM supplier").fetchall()[0][0]

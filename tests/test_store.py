@@ -96,8 +96,8 @@ def test_next_step(status, step):
     assert ingestion.next_step(status) == step
 
 
-def draft_inputs(spark, statement="s"):
-    units = spark.createDataFrame([("doc_1", "cu_1", "paragraph", 0, "revenue grew")], "document_id string, unit_id string, unit_type string, sequence_no int, text string")
+def draft_inputs(spark, statement="s", more=()):
+    units = spark.createDataFrame([("doc_1", "cu_1", "paragraph", 0, "revenue grew"), *(("doc_1", "cu_x", "paragraph", 1 + i, text) for i, text in enumerate(more[:1]))], "document_id string, unit_id string, unit_type string, sequence_no int, text string")
     fields = ["document_id", *CANDIDATE.names]
     rows = [
         {"candidate_id": "n1", "candidate_type": "entity", "entity_type": "company", "canonical_name": "Acme"},
@@ -115,14 +115,23 @@ def draft_inputs(spark, statement="s"):
 def test_drafts_are_stored_once_and_traceable(spark, store):
     bundle, findings, units, groups = draft_inputs(spark)
     assert {r.candidate_id: r.accepted for r in bundle.collect()} == {"n1": True, "c1": True, "e1": True, "f1": False}
-    run = lambda: workflow.persist_drafts(store, bundle, findings, units, groups, "w", "h" * 64)
+    run = lambda: workflow.persist_drafts(store, bundle, findings, units, groups, "w", workflow.signed_hash(bundle, findings, units))
     assert run()["created"] == 3
     assert run()["repeated"] and store.count() == 4  # three objects and the run
     evidence = json.loads(store.read("evidence").first().payload)
     claim = store.read("claim").first()
     assert evidence["target_object_id"] == claim.id and claim.id.startswith("clm_") and json.loads(claim.payload)["claim_dimension"] == "risk"
     assert evidence["source_refs"] == ["cu_1"] and evidence["independence_group"] == "g"
-    again = workflow.persist_drafts(store, bundle, findings, units, groups, "w", "i" * 64)
+    other = draft_inputs(spark, more=("noted", "x"))
+    again = workflow.persist_drafts(store, *other[:3], groups, "w", workflow.signed_hash(*other[:3]))
+    with pytest.raises(StoreError, match="BUNDLE_HASH_MISMATCH"):
+        workflow.persist_drafts(store, bundle, findings, units, groups, "w", "h" * 64)
+    elsewhere = bundle.withColumn("workspace_id", F.lit("v"))
+    with pytest.raises(StoreError, match="OTHER_WORKSPACE"):
+        workflow.persist_drafts(store, elsewhere, findings, units, groups, "w", workflow.signed_hash(elsewhere, findings, units), dry_run=True)
+    provided = bundle.withColumn("provider_name", F.lit("p"))
+    with pytest.raises(StoreError, match="PROVIDER_NOT_ALLOWED"):
+        workflow.persist_drafts(store, provided, findings, units, groups, "w", workflow.signed_hash(bundle, findings, units), dry_run=True, providers=("q",))
     assert (again["created"], again["reused"]) == (0, 3)
 
 
@@ -130,9 +139,9 @@ def test_a_failed_run_leaves_no_objects_and_can_be_tried_again(spark, store):
     bundle, findings, units, groups = draft_inputs(spark)
     broken = groups.withColumn("problem", F.lit("SOURCE_NOT_FOUND"))
     with pytest.raises(StoreError, match="SOURCE_GRAPH"):
-        workflow.persist_drafts(store, bundle, findings, units, broken, "w", "h" * 64)
+        workflow.persist_drafts(store, bundle, findings, units, broken, "w", workflow.signed_hash(bundle, findings, units))
     assert [json.loads(r.payload)["run_status"] for r in store.read().collect()] == ["failed"]
-    assert workflow.persist_drafts(store, bundle, findings, units, groups, "w", "h" * 64)["created"] == 3
+    assert workflow.persist_drafts(store, bundle, findings, units, groups, "w", workflow.signed_hash(bundle, findings, units))["created"] == 3
 
 
 def test_bundle_hash_follows_content_only(spark):
@@ -163,3 +172,23 @@ def test_ingestion_writes_documents_once(spark, store):
     assert ("mem:a", 2) in versions and store.count("source") == 1
     units = [json.loads(r.payload) for r in store.read("content_unit").collect()]
     assert {u["document_id"] for u in units} == {r.id for r in store.read("document").collect()}
+
+
+def test_an_update_takes_each_id_once(spark, store):
+    store.create(record(spark, "clm_1", payload="{}"))
+    twice = spark.createDataFrame([("clm_1", None, "{}"), ("clm_1", 1, "[]")], "id string, expected_version int, payload string")
+    for change in (store.update, store.soft_delete, store.restore_deleted):
+        with pytest.raises(StoreError, match="DUPLICATE_CHANGE"):
+            change(twice)
+    assert store.read().count() == 1 and store.record_version("clm_1") == 1
+
+
+def test_references_mean_the_own_documents_candidate(spark):
+    from tessera.operators import drafts
+
+    rows = [(d, "c1", "claim", None, f"statement {d}") for d in ("d1", "d2")] + [(d, "e1", "evidence", "c1", None) for d in ("d1", "d2")]
+    frame = spark.createDataFrame(rows, "document_id string, candidate_id string, candidate_type string, target_object_id string, statement string")
+    keyed = drafts.with_object_ids(frame.withColumns({c: F.lit(None).cast("string") for c in ("entity_id",)}), F.lit("w"))
+    ids = {r.document_id: r.object_id for r in keyed.where("candidate_type = 'claim'").collect()}
+    found = {r.document_id: r.target_object_id for r in drafts.rewrite_references(keyed).where("candidate_type = 'evidence'").collect()}
+    assert found == ids and len(set(ids.values())) == 2
