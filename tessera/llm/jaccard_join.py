@@ -42,6 +42,8 @@ TREES, DEPTH = 24, 9
 RECALL, MARGIN = 0.999, 0.05
 #: Sets that are verified at once.
 BLOCK = 512
+#: Parts that a group's sets are dealt to in joins.
+SALTS = 16
 
 
 def forest_depth(trees: int, depth: int, similarity: float, recall: float) -> int:
@@ -214,9 +216,19 @@ def _jobs(sets: DataFrame, groups: DataFrame, block: int) -> DataFrame:
     return placed.withColumn("other", other).select("sid", "weight", "group", "blocks", "block", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"))
 
 
-def _sized(groups: DataFrame) -> DataFrame:
-    """(node, component, n): groups with their sizes."""
-    return groups.join(groups.groupBy("component").agg(F.count("*").alias("n")), "component")
+def _salted(rows: DataFrame, node: str, of_component: DataFrame) -> DataFrame:
+    """`rows` with the columns of their component, whose rows are dealt over SALTS parts as they may be most of all."""
+    salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    return rows.withColumn("salt", F.pmod(F.xxhash64(node), F.lit(SALTS)).cast("int")).join(of_component.select("*", salt), ["component", "salt"]).drop("salt")
+
+
+def _sized(groups: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """(node, component, n, grown): groups with their sizes, and whether `before` has another size or no such group."""
+    sizes = groups.groupBy("component").agg(F.count("*").alias("n"))
+    if before is None:
+        return _salted(groups, "node", sizes.withColumn("grown", F.lit(True)))
+    old = before.groupBy("component").agg(F.count("*").alias("old"))
+    return _salted(groups, "node", sizes.join(old, "component", "left").select("component", "n", (~F.col("old").eqNullSafe(F.col("n"))).alias("grown")))
 
 
 def _verified(sets: DataFrame, groups: DataFrame, blobs: DataFrame, similarity: float, block: int) -> DataFrame:
@@ -252,8 +264,8 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, similarity: float = SI
         if wanted_depth == matched:
             break
         matched = wanted_depth
-        wider = checkpoint(_sized(components(ties.where(F.col("depth") >= matched).select("u", "v"))))
-        grown = wider.join(groups.select("component", "n").distinct(), ["component", "n"], "left_anti")
+        wider = checkpoint(_sized(components(ties.where(F.col("depth") >= matched).select("u", "v")), groups))
+        grown = wider.where("grown")
         again = _verified(sets, grown, blobs, similarity, block)
         verified = verified.join(grown.select(F.col("node").alias("sid")), "sid", "left_anti").unionByName(again)
         groups = wider
@@ -263,7 +275,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, similarity: float = SI
     of_set = sets.join(linked, "sid", "left").join(classes.withColumnRenamed("node", "sid"), "sid", "left")
     of_set = of_set.select("sid", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "sid").alias("component"), "least_id")
     named = of_set.groupBy("component").agg(F.min("least_id").alias("class_id"))
-    return sketched.drop("labels").join(of_set.join(named, "component").drop("least_id"), "sid", "left")
+    return sketched.drop("labels").join(_salted(of_set, "sid", named).drop("least_id"), "sid", "left")
 
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
