@@ -53,8 +53,11 @@ ORACLE_SQL = None
 
 
 def _folder(spark: SparkSession) -> str:
-    """A fresh folder in the shared place the session names; a temporary one only where it names none, as in tests."""
-    shared = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tessera-pipeline-")
+    """A fresh folder in the shared place the session names; a temporary one only where it names none in local mode, as in tests."""
+    shared = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    shared = shared or tempfile.mkdtemp(prefix="tessera-pipeline-")
     return f"{shared.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
 
 
