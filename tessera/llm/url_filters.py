@@ -81,16 +81,14 @@ def winning_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
 
     at_height = Window.partitionBy("part", "height").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     topped = raised.withColumn("top", F.last("rule", ignorenulls=True).over(at_height))
-    # The top at a height on entering a partition: the last opening there in any partition before.
-    left_open = (
-        raised.where("step = 1")
-        .groupBy("part", "height")
-        .agg(F.max_by("rule", F.struct("at", "key")).alias("rule"))
-    )
-    stacks = left_open.groupBy("height").agg(F.array_sort(F.collect_list(F.struct("part", "rule"))).alias("openings"))
-    asked = topped.where("step = 0 AND height > 0").join(F.broadcast(stacks), "height", "left")
-    earlier = F.filter("openings", lambda x: x["part"] < F.col("part"))
-    rule = F.coalesce("top", F.element_at(F.when(F.size(earlier) > 0, earlier), -1)["rule"])
+    # The top at a height on entering a partition: the last opening there in any partition before. Of each partition one
+    # row a height counts, so that a window never sees more rows than there are partitions.
+    last_opening = F.max_by("rule", F.when(F.col("step") == 1, F.struct("at", "key"))).alias("rule")
+    at_heights = raised.where("step = 1 OR (step = 0 AND height > 0)").groupBy("part", "height").agg(last_opening)
+    earlier = Window.partitionBy("height").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    entering = at_heights.select("part", "height", F.last("rule", ignorenulls=True).over(earlier).alias("below"))
+    asked = topped.where("step = 0 AND height > 0").join(entering, ["part", "height"], "left")
+    rule = F.coalesce("top", "below")
     best = asked.select("host", "path", rule.alias("rule")).groupBy("host", "path").agg(F.max("rule").alias("rule"))
     return best.select("host", "path", F.col("rule.name").alias("rule"), F.col("rule.verdict").alias("verdict"))
 
