@@ -217,9 +217,11 @@ def _jobs(sets: DataFrame, groups: DataFrame, block: int) -> DataFrame:
 
 
 def _salted(rows: DataFrame, node: str, of_component: DataFrame) -> DataFrame:
-    """`rows` with the columns of their component, whose rows are dealt over SALTS parts as they may be most of all."""
+    """`rows` with the columns of their component, whose rows are dealt over SALTS parts as they may be most of all.
+
+    By merging: were `rows` broadcast, those of a component would come out where its own row and its copies stand."""
     salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-    return rows.withColumn("salt", F.pmod(F.xxhash64(node), F.lit(SALTS)).cast("int")).join(of_component.select("*", salt), ["component", "salt"]).drop("salt")
+    return rows.withColumn("salt", F.pmod(F.xxhash64(node), F.lit(SALTS)).cast("int")).join(of_component.select("*", salt).hint("merge"), ["component", "salt"]).drop("salt")
 
 
 def _sized(groups: DataFrame, before: DataFrame | None = None) -> DataFrame:
