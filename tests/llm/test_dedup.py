@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.durable import checkpoint
 from tessera.llm import components, decontamination, jaccard_join, substrings, suffixes, words
 from tessera.llm.suffixes import Run, front_code, merge_runs
 
@@ -328,3 +329,17 @@ def test_the_index_and_the_shuffle_find_the_same(spark, sf_dir):
     docs, items = (spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("documents", "benchmark"))
     one, other = (sorted((r.doc_id, tuple(r.leaks)) for r in decontamination.find_leaks(docs, items, most_items=limit).collect()) for limit in (20_000, 0))
     assert one == other and any(leaks for _, leaks in one)
+
+
+def test_rows_of_a_large_group_stay_spread(spark):
+    rows = spark.range(6400).select(F.col("id").alias("node"), F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("component"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        sized = jaccard_join._sized(checkpoint(rows.repartition(64, "node")))
+        counts = [r["count"] for r in checkpoint(sized).groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(counts) == 6400 and max(counts) < 1000
