@@ -234,6 +234,25 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_components_stop_at_stars(spark, monkeypatch):
+    steps, with_least = [], components._with_least
+    monkeypatch.setattr(components, "_with_least", lambda edges, n: steps.append(n) or with_least(edges, n))
+    pairs = {"stars": [(3, 1), (4, 1), (1, 5), (9, 8), (8, 9)], "two above": [(3, 1), (3, 2)], "chain": [(3, 2), (2, 1)]}
+    for name, edges in pairs.items():
+        steps.clear()
+        got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
+        assert got == ({1: 1, 3: 1, 4: 1, 5: 1, 8: 8, 9: 8} if name == "stars" else {1: 1, 2: 1, 3: 1})
+        assert len(steps) == (0 if name == "stars" else 2)  # one round: two stars
+    rng = random.Random(5)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)]
+    least = {x: x for edge in edges for x in edge if edge[0] != edge[1]}
+    for _ in least:
+        for u, v in edges:
+            if u != v:
+                least[u] = least[v] = min(least[u], least[v])
+    assert {r.node: r.component for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()} == least
+
+
 @pytest.fixture(scope="module")
 def benchmark(spark):
     rng = random.Random(8)
