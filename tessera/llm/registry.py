@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import chat, decontamination, jaccard_join, mixing, pii, quality_classifier, quality_rules, substrings, suffixes, url_filters
+from tessera.llm import chat, decontamination, jaccard_join, merkle, mixing, pii, quality_classifier, quality_rules, substrings, suffixes, url_filters
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontamination": decontamination.query,
         "op9_jaccard_join": jaccard_join.query,
         "op10_suffix_dedup": suffixes.query,
+        "op11_merkle_manifest": merkle.query,
     }
 
 
@@ -31,4 +32,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_decontamination": decontamination.ORACLE,
         "op9_jaccard_join": jaccard_join.ORACLE,
         "op10_suffix_dedup": suffixes.ORACLE,
+        "op11_merkle_manifest": merkle.ORACLE,
     }
