@@ -78,12 +78,15 @@ def slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int]
 
 
 class Words:
-    """The words of some texts: where each begins and ends in `data`; text i has words first[i] to first[i + 1]."""
+    """The words of some texts: where each begins and ends in `data`; text i has words first[i] to first[i + 1].
 
-    def __init__(self, texts: pa.Array):
+    `separator` marks the bytes between words, `fold` replaces every byte by another first."""
+
+    def __init__(self, texts: pa.Array, separator: np.ndarray = _SEPARATOR, fold: np.ndarray | None = None):
         data, bounds = raw_bytes(texts)
+        data = data if fold is None else fold[data]
         self.data, self.bounds = data, bounds
-        apart = _SEPARATOR[data]
+        apart = separator[data]
         before, after = np.ones(len(data), dtype=bool), np.ones(len(data), dtype=bool)
         before[1:], after[:-1] = apart[:-1], apart[1:]
         full = bounds[1:] > bounds[:-1]
