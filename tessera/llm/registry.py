@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import chat, collocations, decontamination, jaccard_join, merkle, mixing, pii, quality_classifier, quality_rules, substrings, suffixes, url_filters
+from tessera.llm import chat, collocations, decontamination, jaccard_join, merkle, mixing, pii, quality_classifier, quality_rules, substrings, suffixes, toxicity, url_filters
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_jaccard_join": jaccard_join.query,
         "op10_suffix_dedup": suffixes.query,
         "op11_merkle_manifest": merkle.query,
+        "op12_toxicity": toxicity.query,
         "op13_phrase_collocations": collocations.query,
     }
 
