@@ -9,7 +9,7 @@ import sys
 from pyspark.sql import functions as F
 
 from tessera.functions.schemas import registry
-from tessera.operators.store import ObjectStore, StoreError, upgrade_payload
+from tessera.operators.store import SHOWN, ObjectStore, StoreError, upgrade_payload
 from tessera.session import local_session
 from tessera.sources import readers
 
@@ -20,8 +20,9 @@ def _parse(args: argparse.Namespace) -> dict:
     docs = files.where("code IS NULL").select(F.col("path").alias("document_id"), "text")
     units = readers.PARSERS[args.type](docs)
     units.write.mode("errorifexists").parquet(args.out)
-    failed = [r.asDict() for r in files.where("code IS NOT NULL").select("path", "code").limit(100).collect()]
-    return {"status": "ok", "units": spark.read.parquet(args.out).count(), "failed": failed}
+    unread = files.where("code IS NOT NULL").select("path", "code")
+    failed = [r.asDict() for r in unread.orderBy("path").limit(SHOWN).collect()]
+    return {"status": "ok", "units": spark.read.parquet(args.out).count(), "failed": failed, "failed_count": unread.count()}
 
 
 def _schemas(args: argparse.Namespace) -> dict:

@@ -1,4 +1,4 @@
-"""Draft identities and mapping of candidates to objects (survey D22, D23, F9-F11, L11, N10)."""
+"""Draft identities and mapping of candidates to objects (survey D22, D23, F9, F11, L11, N10)."""
 
 from __future__ import annotations
 
@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from tessera.functions.schemas import ENUMS
 from tessera.functions.text import enum_cast, fiscal_period, sha256
+from tessera.operators.joins import null_safe
 
 NAMESPACE = "tessera/v1"
+UNIT_PREFIX = "cu_"
 
 #: What makes up a candidate's identity, by type; confidence and epistemic fields never do. Fixed values.
 SEMANTIC_FIELDS = {
@@ -61,19 +63,25 @@ def rewrite_references(candidates: DataFrame, columns: tuple[str, ...] = ("entit
     return candidates.drop("__doc")
 
 
-def unresolved(candidates: DataFrame, known: DataFrame, columns: tuple[str, ...] = ("entity_id", "target_object_id")) -> DataFrame:
-    """(candidate_id, field, reference) of references to nothing that is a candidate or in `known` (id)."""
-    refs = candidates.select("candidate_id", F.explode(F.array(*(F.struct(F.lit(c).alias("field"), F.col(c).alias("reference")) for c in columns))).alias("r")).select("candidate_id", "r.*")
-    have = known.select(F.col("id").alias("reference")).unionByName(candidates.select(F.col("candidate_id").alias("reference"))).unionByName(candidates.select(F.col("object_id").alias("reference")))
-    return refs.where("reference IS NOT NULL AND reference <> ''").join(have, "reference", "left_anti")
+def apart(candidates: DataFrame) -> Column:
+    """A candidate's unit as its natural key has it: ids of stored units stand alone, as they come from their document's;
+    any other, such as u1, is told apart by document."""
+    unit = F.coalesce("source_unit_id", F.lit(""))
+    if "document_id" not in candidates.columns:
+        return unit
+    return F.when((unit == "") | unit.startswith(UNIT_PREFIX) | F.col("document_id").isNull(), unit).otherwise(F.concat(F.col("document_id"), F.lit("/"), unit))
 
 
 def map_candidates(candidates: DataFrame, groups: DataFrame, workspace: str) -> DataFrame:
-    """Objects from accepted candidates, in one shape; `groups` maps source_unit_id to independence_group.
+    """Objects from accepted candidates, in one shape; `groups` maps document_id, if it has that, and source_unit_id to
+    independence_group. Units of two documents are two, whatever their ids: `apart` says how.
 
     Claims start under review and keep their dimension; evidence starts at S5, E1 and unknown directness."""
-    keyed = rewrite_references(with_object_ids(candidates.where(F.col("candidate_type").isin(*MAPPED)), F.lit(workspace)))
-    grouped = keyed.drop("independence_group").join(groups.select("source_unit_id", "independence_group"), "source_unit_id", "left")
+    mapped = candidates.where(F.col("candidate_type").isin(*MAPPED)).withColumn("__unit", F.col("source_unit_id"))
+    keyed = with_object_ids(mapped.withColumn("source_unit_id", apart(mapped)), F.lit(workspace)).withColumn("source_unit_id", F.col("__unit")).drop("__unit")
+    keyed = rewrite_references(keyed).drop("independence_group")
+    both = ["document_id", "source_unit_id"] if "document_id" in groups.columns and "document_id" in keyed.columns else ["source_unit_id"]
+    grouped = null_safe(keyed, groups.select(*both, "independence_group"), both)
     kind, period = F.col("candidate_type"), fiscal_period(F.col("period"))
     return grouped.select(
         F.col("object_id").alias("id"), kind.alias("object_type"), F.lit(workspace).alias("workspace_id"), "natural_key", "candidate_id",

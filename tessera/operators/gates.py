@@ -1,11 +1,13 @@
 """Gates over extracted candidates (survey E4-E7, E10-E11, F1-F5, G7-G9, G13, I2, J1, J2, J6, J7, L2-L10).
 
 Findings are rows (document_id, code, severity, candidate_id, gate_name, source_unit_id, detail), never exceptions. Ids of
-candidates are told apart by document throughout; units of another document count as such only where their id isn't the own document's too. Candidates have
+candidates are told apart by document throughout, null ids among themselves too, so that no finding loses its candidate; units of another
+document count as such only where their id isn't the own document's too. Candidates have
 the columns of schemas.CANDIDATE, or some of them; units have document_id, unit_id, unit_type, sequence_no, text."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,7 +16,10 @@ from pyspark.sql import functions as F
 from tessera.durable import checkpoint
 from tessera.functions.schemas import CANDIDATE, CANDIDATE_ORDER
 from tessera.functions.text import collapse_whitespace, is_blank, nfkc, strip, token_set
+from tessera.operators.joins import lacking, null_safe
 
+#: What tells candidates apart.
+KEY = ("document_id", "candidate_id")
 FINDING = ("document_id", "code", "severity", "candidate_id", "gate_name", "source_unit_id", "detail")
 
 #: Fields that only the engine may set, in the order of their findings. Fixed values.
@@ -135,8 +140,8 @@ def safety_findings(candidates: DataFrame, units: DataFrame, strict: bool = True
     rows = complete(candidates)
     texts = units.select(F.col("document_id"), F.col("unit_id").alias("__unit"), F.lower("text").alias("__text"))
     claims = rows.where("candidate_type = 'claim'").select("document_id", F.col("candidate_id").alias("__claim"), F.lower(F.coalesce("claim_type", F.lit(""))).alias("__claim_type"))
-    rows = rows.join(texts.withColumnRenamed("__unit", "source_unit_id"), ["document_id", "source_unit_id"], "left")
-    rows = rows.join(claims.withColumnRenamed("__claim", "target_claim_id"), ["document_id", "target_claim_id"], "left")
+    rows = null_safe(rows, texts.withColumnRenamed("__unit", "source_unit_id").where("source_unit_id IS NOT NULL"), ["document_id", "source_unit_id"])
+    rows = null_safe(rows, claims.withColumnRenamed("__claim", "target_claim_id").where("target_claim_id IS NOT NULL"), ["document_id", "target_claim_id"])
     kind, gate = F.col("candidate_type"), "safety_gate"
     fact, claim = kind == "fact", kind == "claim"
     promotable, to_fact = F.coalesce("promotable", F.lit(False)), F.coalesce("promotable_to_fact", F.lit(False))
@@ -169,8 +174,8 @@ def all_findings(candidates: DataFrame, units: DataFrame, strict: bool = True) -
 
 def verdicts(candidates: DataFrame, findings: DataFrame) -> DataFrame:
     """A row for each candidate: its codes in order, n_errors, accepted. Only errors reject."""
-    by = findings.groupBy("document_id", "candidate_id").agg(F.count_if(F.col("severity") == "ERROR").alias("n_errors"), F.array_sort(F.collect_set("code")).alias("codes"))
-    joined = candidates.select("document_id", "candidate_id", "candidate_type").join(by, ["document_id", "candidate_id"], "left")
+    by = findings.groupBy(*KEY).agg(F.count_if(F.col("severity") == "ERROR").alias("n_errors"), F.array_sort(F.collect_set("code")).alias("codes"))
+    joined = null_safe(candidates.select(*KEY, "candidate_type"), by, KEY)
     return joined.select("document_id", "candidate_id", "candidate_type", F.coalesce("codes", F.array().cast("array<string>")).alias("codes"), F.coalesce("n_errors", F.lit(0)).alias("n_errors"), (F.coalesce("n_errors", F.lit(0)) == 0).alias("accepted"))
 
 
@@ -265,29 +270,62 @@ def review_template(candidates: DataFrame) -> DataFrame:
     return in_order(candidates).select("candidate_id", "candidate_type", F.lit("REJECT").alias("action"), F.lit("").alias("reviewer"), F.lit("").alias("revised_statement"))
 
 
-def preflight(bundle: DataFrame, findings: DataFrame, units: DataFrame, providers: tuple[str, ...] = ()) -> DataFrame:
-    """(check, document_id, candidate_id) of what keeps a bundle from being stored. `bundle`: candidates with accepted,
-    workspace_id, document_id and provider_name. Checks come in this order; a caller stops at the first."""
+@dataclass(frozen=True)
+class Policy:
+    """What a bundle may come from, and what it may refer to besides its own candidates.
+
+    Empty `providers` allow all; versions of None aren't checked. `known` (id) are the ids of stored objects."""
+
+    providers: tuple[str, ...] = ()
+    provider_versions: tuple[str, ...] | None = None
+    profile_versions: tuple[str, ...] | None = None
+    known: DataFrame | None = None
+
+
+def preflight(bundle: DataFrame, findings: DataFrame, units: DataFrame, providers: tuple[str, ...] = (), policy: Policy | None = None) -> DataFrame:
+    """(check, document_id, candidate_id, step) of what keeps a bundle from being stored. `bundle`: candidates with
+    accepted, workspace_id, document_id, provider_name and, if it has them, provider_version and profile_version. Checks
+    come in the order of their steps; a caller stops at the first."""
+    policy = policy or Policy(providers)
     accepted = complete(bundle).where("accepted")
-    key = ["document_id", "candidate_id"]
-    errors = findings.where("severity = 'ERROR'").select(*key).distinct()
+    errors = findings.where("severity = 'ERROR'").select(*KEY).distinct()
     known = units.select(F.col("unit_id").alias("source_unit_id"), "document_id")
+    empty = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
+    kind = F.col("candidate_type")
+    fails = lambda rows, check: rows.select(F.lit(check).alias("check"), *KEY)
+    versions = lambda column, allowed: [(f"{column.upper()}_EMPTY", empty(column))] + [(f"{column.upper()}_NOT_ALLOWED", ~empty(column) & ~F.col(column).isin(*allowed))] * (allowed is not None) if column in bundle.columns else []
+    by_row = [
+        ("EMPTY_TARGET", (kind == "evidence") & empty("target_object_id")),
+        ("EMPTY_ENTITY", (kind == "data_point") & empty("entity_id")),
+        *versions("provider_version", policy.provider_versions),
+        *versions("profile_version", policy.profile_versions),
+    ]
+    several = null_safe(accepted, accepted.groupBy("document_id").agg(F.count_distinct("workspace_id").alias("__n")).where("__n > 1"), ["document_id"], "inner")
     checks = [
-        accepted.join(errors, key, "left_semi").select(F.lit("ACCEPTED_WITH_ERROR").alias("check"), *key),
-        bundle.groupBy(*key).agg(F.count_distinct("accepted").alias("n")).where("n > 1").select(F.lit("ACCEPTED_AND_REJECTED").alias("check"), *key),
-        accepted.where(reduce(lambda a, b: a | b, (F.coalesce(F.col(f), F.lit("")) != "" for f in FORBIDDEN_FIELDS))).select(F.lit("OVERRIDE_ACCEPTED").alias("check"), *key),
-        accepted.where("candidate_type <> 'entity'").join(known.select("source_unit_id"), "source_unit_id", "left_anti").select(F.lit("UNIT_MISSING").alias("check"), *key),
-        accepted.join(known.select("source_unit_id").distinct(), "source_unit_id").join(known, ["source_unit_id", "document_id"], "left_anti").select(F.lit("OTHER_DOCUMENT").alias("check"), *key),
-        accepted.withColumn("n", F.size(F.collect_set("workspace_id").over(Window.partitionBy("document_id")))).where("n > 1").select(F.lit("MIXED_WORKSPACES").alias("check"), *key),
-        accepted.where(~F.col("provider_name").isin(*providers)).select(F.lit("PROVIDER_NOT_ALLOWED").alias("check"), *key) if providers else None,
-        _unaccepted_references(accepted),
+        fails(null_safe(accepted, errors, KEY, "left_semi"), "ACCEPTED_WITH_ERROR"),
+        fails(bundle.groupBy(*KEY).agg(F.count_distinct("accepted").alias("n")).where("n > 1"), "ACCEPTED_AND_REJECTED"),
+        fails(accepted.where(reduce(lambda a, b: a | b, (~empty(f) for f in FORBIDDEN_FIELDS))), "OVERRIDE_ACCEPTED"),
+        fails(accepted.where("candidate_type <> 'entity'").join(known.select("source_unit_id"), "source_unit_id", "left_anti"), "UNIT_MISSING"),
+        fails(accepted.join(known.select("source_unit_id").distinct(), "source_unit_id").join(known, ["source_unit_id", "document_id"], "left_anti"), "OTHER_DOCUMENT"),
+        fails(several, "MIXED_WORKSPACES"),
+        fails(accepted.where(~F.coalesce(F.col("provider_name").isin(*policy.providers), F.lit(False))), "PROVIDER_NOT_ALLOWED") if policy.providers else None,
+        fails(unresolved(accepted, policy.known), "REFERENCE_NOT_ACCEPTED"),
+        *(fails(accepted.where(test), check) for check, test in by_row),
     ]
     found = [c.withColumn("step", F.lit(i)) for i, c in enumerate(checks) if c is not None]
     return reduce(lambda a, b: a.unionByName(b), found).distinct()
 
 
-def _unaccepted_references(accepted: DataFrame) -> DataFrame:
-    """Accepted candidates whose entity or target is a candidate that wasn't accepted, by the form of its id."""
-    refs = accepted.select("document_id", "candidate_id", F.explode(F.array_compact(F.array("entity_id", "target_object_id", "target_claim_id"))).alias("reference")).where("reference <> ''")
-    have = accepted.select("document_id", F.col("candidate_id").alias("reference"))
-    return refs.join(have, ["document_id", "reference"], "left_anti").select(F.lit("REFERENCE_NOT_ACCEPTED").alias("check"), "document_id", "candidate_id")
+#: Fields that refer to candidates of the same document or to stored objects.
+REFERRING = ("entity_id", "target_object_id", "target_claim_id")
+
+
+def unresolved(candidates: DataFrame, known: DataFrame | None = None, columns: tuple[str, ...] = REFERRING) -> DataFrame:
+    """(document_id, candidate_id, field, reference) of references to neither a candidate of the same document nor,
+    as its own id or that of the object it becomes, an object in `known` (id), which may be a whole store."""
+    fields = [F.struct(F.lit(c).alias("field"), F.col(c).alias("reference")) for c in columns]
+    refs = candidates.select(*KEY, F.explode(F.array(*fields)).alias("r")).select(*KEY, "r.*").where("reference IS NOT NULL AND reference <> ''")
+    ids = ["candidate_id"] + ["object_id"] * ("object_id" in candidates.columns)
+    have = candidates.select("document_id", F.explode(F.array_compact(F.array(*ids))).alias("reference"))
+    open_ = null_safe(refs, have, ["document_id", "reference"], "left_anti")
+    return open_ if known is None else lacking(open_, "reference", known, "id")

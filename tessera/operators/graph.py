@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.durable import checkpoint
+from tessera.durable import Scratch, checkpoint
 from tessera.functions.schemas import ADVISORY, ID_PREFIXES, REFERENCES
+from tessera.operators.components import cycle_components
+from tessera.operators.joins import lacking
 
 MAX_DEPTH = 64
 _KNOWN = rf"\A(?:{'|'.join(ID_PREFIXES.values())})"
@@ -57,35 +59,17 @@ def dependency_graph(edges: DataFrame, objects: DataFrame) -> DataFrame:
     return edges.where("dependency").select("src", "dst").distinct().join(objects.select(F.col("id").alias("dst")), "dst", "left_semi").select("src", "dst")
 
 
-def _core(graph: DataFrame) -> DataFrame:
-    """The edges left when nodes without a way in or out are trimmed again and again: cycles, and paths between them."""
-    core = checkpoint(graph)
-    n = core.count()
-    while n:
-        inner = core.join(core.select(F.col("src").alias("dst")).distinct(), "dst", "left_semi")
-        inner = inner.join(core.select(F.col("dst").alias("src")).distinct(), "src", "left_semi").select("src", "dst")
-        core = checkpoint(inner)
-        left = core.count()
-        if left == n:
-            return core
-        n = left
-    return core
+def cycle_members(graph: DataFrame) -> DataFrame:
+    """K3: (id) of every node that reaches itself, rather than paths that depend on the order of a search. No bound on length."""
+    return cycle_components(graph).select("id")
 
 
-def cycle_members(graph: DataFrame) -> DataFrame:
-    """K3: (id) of every node that reaches itself, rather than paths that depend on the order of a search.
-
-    Reachability is only walked in the trimmed core, which is empty for a graph without cycles. Walks double in length
-    each round until no new pair is found, so cycles of any length are; a core in which n nodes reach each other has
-    n * n pairs."""
-    core = _core(graph)
-    reached = checkpoint(core.select(F.col("src").alias("start"), F.col("dst").alias("node")).distinct())
-    frontier = reached
-    while not frontier.isEmpty():
-        step = frontier.join(reached.select(F.col("start").alias("node"), F.col("node").alias("further")), "node").select("start", F.col("further").alias("node")).distinct()
-        frontier = checkpoint(step.join(reached, ["start", "node"], "left_anti"))
-        reached = checkpoint(reached.unionByName(frontier))
-    return reached.where("start = node").select(F.col("start").alias("id")).distinct()
+def known_starts(starts: DataFrame, objects: DataFrame) -> DataFrame:
+    """Distinct starts (id); one that is no object is an error, as a trace from it would just be empty."""
+    unknown = lacking(starts.select("id"), "id", objects, "id").limit(5).collect()
+    if unknown:
+        raise LookupError(f"OBJECT_NOT_FOUND: {', '.join(str(r.id) for r in unknown)}")
+    return starts.select("id").distinct()
 
 
 def validate(objects: DataFrame, edges: DataFrame) -> DataFrame:
@@ -105,10 +89,12 @@ def validate(objects: DataFrame, edges: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def trace_paths(graph: DataFrame, starts: DataFrame, max_depth: int = MAX_DEPTH, source_prefix: str = "src_") -> DataFrame:
+def trace_paths(graph: DataFrame, starts: DataFrame, objects: DataFrame, max_depth: int = MAX_DEPTH, source_prefix: str = "src_") -> DataFrame:
     """(start, source, path, depth): every simple path of dependencies from each start (id) to a source.
 
-    A path stops at its first source. More than `max_depth` steps is an error, as such a graph can't be traced."""
+    A path stops at its first source. A start that isn't among `objects` is an error, and so are more than `max_depth`
+    nodes on a path, as such a graph can't be traced."""
+    starts = known_starts(starts, objects)
     graph = checkpoint(graph)  # read at every step
     frontier = starts.select(F.col("id").alias("start"), F.col("id").alias("node"), F.array("id").alias("path")).distinct()
     done = frontier.where(F.col("node").startswith(source_prefix))
@@ -119,17 +105,19 @@ def trace_paths(graph: DataFrame, starts: DataFrame, max_depth: int = MAX_DEPTH,
         if step.isEmpty():
             break
         depth += 1
-        if depth > max_depth:
-            raise RuntimeError(f"paths are longer than {max_depth} steps")
+        if depth >= max_depth:
+            raise RuntimeError(f"paths have more than {max_depth} nodes")
         done = done.unionByName(step.where(F.col("node").startswith(source_prefix)))
         frontier = step.where(~F.col("node").startswith(source_prefix))
     return done.select("start", F.col("node").alias("source"), "path", (F.size("path") - 1).alias("depth"))
 
 
-def trace_sources(graph: DataFrame, starts: DataFrame, source_prefix: str = "src_") -> DataFrame:
-    """The sources that each start reaches, however far away, without enumerating paths: what scales on dense graphs.
+def trace_sources(graph: DataFrame, starts: DataFrame, objects: DataFrame, source_prefix: str = "src_") -> DataFrame:
+    """The sources that each start reaches, however far away, without enumerating paths: what scales on dense graphs. A start
+    that isn't among `objects` is an error.
 
     Walks back from the sources, a pair of node and source once however many starts meet there; the starts are joined last."""
+    starts = known_starts(starts, objects)
     is_source = lambda c: F.col(c).startswith(source_prefix)
     open_ = checkpoint(graph.where(~is_source("src")).select("src", "dst"))  # read at every step; a path stops at its first source
     ends = open_.select(F.col("dst").alias("node")).unionByName(starts.select(F.col("id").alias("node"))).where(is_source("node")).distinct()
@@ -138,15 +126,15 @@ def trace_sources(graph: DataFrame, starts: DataFrame, source_prefix: str = "src
         step = open_.join(frontier, open_["dst"] == frontier["node"]).select(F.col("src").alias("node"), "source").distinct()
         frontier = checkpoint(step.join(reached, ["node", "source"], "left_anti"))
         reached = checkpoint(reached.unionByName(frontier))
-    return starts.select(F.col("id").alias("start")).distinct().join(reached, F.col("start") == F.col("node")).select("start", "source")
+    return starts.select(F.col("id").alias("start")).join(reached, F.col("start") == F.col("node")).select("start", "source")
 
 
 def unit_sources(units: DataFrame, documents: DataFrame) -> DataFrame:
-    """F8: (unit_id, workspace_id, source_id, problem): a unit's document's source within its workspace, or why not."""
+    """F8: (unit_id, document_id, workspace_id, source_id, problem): a unit's document's source within its workspace, or why not."""
     docs = documents.select(F.col("id").alias("document_id"), F.col("workspace_id"), F.col("source_id"), F.lit(True).alias("there"))
     joined = units.select(F.col("id").alias("unit_id"), "workspace_id", "document_id").join(docs, ["document_id", "workspace_id"], "left")
     problem = F.when(F.coalesce("document_id", F.lit("")) == "", "UNIT_WITHOUT_DOCUMENT").when(F.col("there").isNull(), "DOCUMENT_NOT_FOUND").when(F.coalesce("source_id", F.lit("")) == "", "DOCUMENT_WITHOUT_SOURCE")
-    return joined.select("unit_id", "workspace_id", "source_id", problem.alias("problem"))
+    return joined.select("unit_id", "document_id", "workspace_id", "source_id", problem.alias("problem"))
 
 
 def root_sources(sources: DataFrame) -> DataFrame:
@@ -161,12 +149,13 @@ def root_sources(sources: DataFrame) -> DataFrame:
     other = own.select(F.col("id").alias("parent"), F.col("workspace_id").alias("parent_workspace"))
     joined = own.join(other, "parent", "left")
     problem = F.when(F.col("parent").isNotNull() & F.col("parent_workspace").isNull(), "SOURCE_NOT_FOUND").when(F.col("parent_workspace") != F.col("workspace_id"), "CROSS_WORKSPACE")
-    state = checkpoint(joined.select("id", F.coalesce(F.when(problem.isNull(), F.col("parent")), F.col("id")).alias("to"), problem.alias("problem"), (F.col("parent").isNull() | problem.isNotNull()).alias("ended")))
+    scratch = Scratch(sources.sparkSession)
+    state = scratch.put(joined.select("id", F.coalesce(F.when(problem.isNull(), F.col("parent")), F.col("id")).alias("to"), problem.alias("problem"), (F.col("parent").isNull() | problem.isNotNull()).alias("ended")), "pointers")
     left, before = state.where("NOT ended").count(), None
     while left and left != before:
         ahead = state.select(F.col("id").alias("to"), F.col("to").alias("further"), F.col("problem").alias("their_problem"), F.col("ended").alias("their_end"))
         moved = state.where("NOT ended").join(ahead, "to", "left").select("id", F.coalesce("further", "to").alias("to"), F.col("their_problem").alias("problem"), F.coalesce("their_end", F.lit(True)).alias("ended"))
-        state = checkpoint(state.where("ended").unionByName(moved))
+        state = scratch.put(state.where("ended").unionByName(moved), "pointers")
         left, before = state.where("NOT ended").count(), left
     final = F.when(~F.col("ended"), "CYCLE").otherwise(F.col("problem"))
     return state.select("id", F.when(final.isNull(), F.col("to")).alias("root"), final.alias("problem"))

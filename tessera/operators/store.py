@@ -20,6 +20,8 @@ from tessera.functions.schemas import OBJECT_RECORD
 from tessera.functions.text import redact_url_password
 
 MOST_ROWS, MOST_RAW_ROWS = 1000, 10_000
+#: Ids that a report lists at most; its counts cover all.
+SHOWN = 100
 
 
 class StoreError(RuntimeError):
@@ -220,7 +222,7 @@ class ObjectStore:
         selected = self.read(version=base).where(F.col("schema_version") == from_version) if base else self.spark.createDataFrame([], OBJECT_RECORD)
         upgraded = selected.withColumn("__new", upgrade(F.col("payload"), F.col("object_type")))
         counts = upgraded.agg(F.count("*").alias("n"), F.count("__new").alias("ok")).first()
-        failed = [r.id for r in upgraded.where("__new IS NULL").select("id").orderBy("id").limit(100).collect()]
+        failed = [r.id for r in upgraded.where("__new IS NULL").select("id").orderBy("id").limit(SHOWN).collect()]
         report = {"selected_count": counts.n, "migrated_count": 0 if dry_run else counts.ok, "would_migrate_count": counts.ok, "failed_count": counts.n - counts.ok, "failed_ids": failed, "dry_run": dry_run}
         if not dry_run and counts.ok:
             if backup_folder:
@@ -240,11 +242,13 @@ class ObjectStore:
         lines = self.spark.read.text(f"{folder}/objects").select(parsed.alias("x")).select("x.*")
         now = self.read(version=base)
         joined = lines.select("id", F.col("payload").alias("__p"), F.col("schema_version").alias("__s")).join(now, "id", "left")
-        missing = [r.id for r in joined.where("version IS NULL").select("id").orderBy("id").limit(100).collect()]
+        missing = joined.where("version IS NULL").select("id")
+        failed = [r.id for r in missing.orderBy("id").limit(SHOWN).collect()]
+        n_failed = missing.count()
         back = joined.where("version IS NOT NULL").withColumn("payload", F.col("__p")).withColumn("schema_version", F.col("__s")).drop("__p", "__s")
         n = back.count()
         self._replace(base, folders, _touched(back))
-        return {"restored_count": n, "failed_count": len(missing), "failed_ids": missing}
+        return {"restored_count": n, "failed_count": n_failed, "failed_ids": failed}
 
 
 def _touched(rows: DataFrame) -> DataFrame:

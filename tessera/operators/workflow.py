@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+from dataclasses import replace
+from hashlib import sha256 as digest
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,51 +13,65 @@ from tessera.durable import checkpoint
 from tessera.functions import text as t
 from tessera.functions.text import sha256
 from tessera.operators import drafts, gates, graph, ingestion, windows
-from tessera.operators.store import ObjectStore, StoreError
+from tessera.operators.joins import null_safe
+from tessera.operators.store import SHOWN, ObjectStore, StoreError
 
 
 def review_bundle(candidates: DataFrame, units: DataFrame, strict: bool = True) -> tuple[DataFrame, DataFrame]:
     """(candidates with accepted and their codes, findings) in the reviewers' order."""
     resolved = gates.resolve_quotes(gates.complete(candidates), units)
     findings = gates.all_findings(resolved, units, strict)
-    judged = gates.verdicts(resolved, findings).select("document_id", "candidate_id", "codes", "accepted")
-    return resolved.join(judged, ["document_id", "candidate_id"]), findings
+    judged = gates.verdicts(resolved, findings).select(*gates.KEY, "codes", "accepted").dropDuplicates(list(gates.KEY))
+    return null_safe(resolved, judged, gates.KEY, "inner"), findings
 
 
 def bundle_hashes(bundle: DataFrame, findings: DataFrame, units: DataFrame) -> DataFrame:
     """(document_id, bundle_sha256): a hash over each document's candidates, findings and window, all in order."""
     semantic = ("candidate_id", "candidate_type", "statement", "metric", "value", "canonical_name", "claim_type", "evidence_role", "evidence_type", "target_object_id", "source_unit_id", "source_quote", "quote_match_mode")
     own = F.to_json(F.struct(*sorted(semantic)), {"ignoreNullFields": "false"})
-    found = findings.groupBy("document_id", "candidate_id").agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "code", "severity", "detail"))), ";").alias("found"))
-    rows = gates.complete(bundle).join(found, ["document_id", "candidate_id"], "left").select("document_id", F.concat_ws("|", own, F.coalesce("found", F.lit(""))).alias("line"))
+    found = findings.groupBy(*gates.KEY).agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "code", "severity", "detail"))), ";").alias("found"))
+    rows = null_safe(gates.complete(bundle), found, gates.KEY).select("document_id", F.concat_ws("|", own, F.coalesce("found", F.lit(""))).alias("line"))
     hashed = rows.groupBy("document_id").agg(F.array_join(F.array_sort(F.collect_list("line")), "\n").alias("body"))
     window = windows.context_windows(units).select("document_id", "window_sha256")
-    return hashed.join(window, "document_id").select("document_id", sha256(F.concat_ws("\n", "document_id", "window_sha256", "body")).alias("bundle_sha256"))
+    whole = sha256(F.concat_ws("\n", F.coalesce("document_id", F.lit("")), F.coalesce("window_sha256", F.lit("")), "body"))
+    return null_safe(hashed, window, ["document_id"]).select("document_id", whole.alias("bundle_sha256"))
 
 
-def signed_hash(bundle: DataFrame, findings: DataFrame, units: DataFrame) -> str:
-    """What stands for a bundle of one document, its hash, or of several, a hash over theirs in order."""
-    hashes = bundle_hashes(bundle, findings, units)
-    line = F.concat_ws(":", "document_id", "bundle_sha256")
-    both = hashes.agg(F.count("*").alias("n"), F.min("bundle_sha256").alias("one"), sha256(F.array_join(F.array_sort(F.collect_list(line)), "\n")).alias("all")).first()
-    return both["one"] if both["n"] == 1 else both["all"]
+#: Lines that one hash of the tree over documents covers, about.
+FAN = 1000
+
+
+def signed_hash(bundle: DataFrame, findings: DataFrame, units: DataFrame, fan: int = FAN) -> str:
+    """What stands for a bundle of one document, its hash, or of several, the root of a tree of hashes: lines of document and
+    hash, or of the level below, are dealt by their own hash to about n / `fan` nodes, in order within each."""
+    hashes = checkpoint(bundle_hashes(bundle, findings, units))
+    lines = hashes.select(F.concat_ws(":", F.coalesce("document_id", F.lit("")), "bundle_sha256").alias("line"))
+    n = lines.count()
+    if n == 1:
+        return hashes.first().bundle_sha256
+    while True:
+        nodes = -(-n // fan)
+        lines = checkpoint(lines.groupBy(F.pmod(F.xxhash64("line"), F.lit(nodes)).alias("node")).agg(sha256(F.array_join(F.array_sort(F.collect_list("line")), "\n")).alias("line")).select("line"))
+        n = lines.count()
+        if nodes <= 1:
+            return lines.first().line if n else digest(b"").hexdigest()
 
 
 def independence_groups(units: DataFrame, documents: DataFrame, sources: DataFrame, workspace: str) -> DataFrame:
-    """(source_unit_id, independence_group, problem): one resolution for each unit, by its root source."""
+    """(document_id, source_unit_id, independence_group, problem): one resolution for each unit, by its root source."""
     chain = graph.unit_sources(units, documents)
     roots = graph.root_sources(sources).select(F.col("id").alias("source_id"), "root", F.col("problem").alias("root_problem"))
     joined = chain.join(roots, "source_id", "left")
     problem = F.coalesce("problem", "root_problem", F.when(F.col("root").isNull(), "SOURCE_NOT_FOUND"))
-    return joined.select(F.col("unit_id").alias("source_unit_id"), drafts.independence_group(F.col("root"), F.lit(workspace)).alias("independence_group"), problem.alias("problem"))
+    return joined.select("document_id", F.col("unit_id").alias("source_unit_id"), drafts.independence_group(F.col("root"), F.lit(workspace)).alias("independence_group"), problem.alias("problem"))
 
 
-def persist_drafts(store: ObjectStore, bundle: DataFrame, findings: DataFrame, units: DataFrame, groups: DataFrame, workspace: str, bundle_hash: str, dry_run: bool = False, providers: tuple[str, ...] = ()) -> dict:
+def persist_drafts(store: ObjectStore, bundle: DataFrame, findings: DataFrame, units: DataFrame, groups: DataFrame, workspace: str, bundle_hash: str, dry_run: bool = False, providers: tuple[str, ...] = (), policy: gates.Policy | None = None) -> dict:
     """Accepted candidates as draft objects, all or none.
 
-    The bundle's own workspace_id and provider_name, where it has them, are checked against `workspace` and `providers`.
-    `bundle_hash` is what the reviewers signed: of a bundle of one document it must equal `bundle_hashes`, of several the hash of
-    theirs in order; a bundle that changed since is refused.
+    The bundle's own workspace_id and provider_name, where it has them, are checked against `workspace` and `providers`, or the
+    whole `policy`. References may go to the bundle's own candidates or to live objects of the workspace in the store.
+    `bundle_hash` is what the reviewers signed, as `signed_hash` gives it; a bundle that changed since is refused.
 
     The bundle's operation key makes it idempotent: a success is returned as it was, a running one conflicts, a failed
     one is tried again. Its run is recorded before and after in commits of their own, so that a failure leaves a
@@ -80,13 +96,17 @@ def persist_drafts(store: ObjectStore, bundle: DataFrame, findings: DataFrame, u
         foreign = checked.where(~F.col("workspace_id").eqNullSafe(workspace)).first()
         if foreign:
             raise StoreError("OTHER_WORKSPACE", f"{foreign.document_id}: {foreign.candidate_id}")
-        problems = gates.preflight(checked, findings, units, providers)
+        policy = policy or gates.Policy(providers)
+        stored = store.read().where((F.col("workspace_id") == workspace) & F.col("deleted_at").isNull()).select("id")
+        known = stored if policy.known is None else stored.unionByName(policy.known.select("id"))
+        problems = gates.preflight(checked, findings, units, policy=replace(policy, known=known))
         first = problems.orderBy("step", "check").first()
         if first:
             raise StoreError("PREFLIGHT_FAILED", f"{first.check}: {first.candidate_id}")
         accepted = bundle.where("accepted")
-        used = accepted.where("candidate_type = 'evidence'").select("source_unit_id").distinct()
-        broken = groups.join(used, "source_unit_id", "left_semi").where("problem IS NOT NULL").first()
+        both = ["document_id", "source_unit_id"] if "document_id" in groups.columns else ["source_unit_id"]
+        used = accepted.where("candidate_type = 'evidence'").select(*both).distinct()
+        broken = null_safe(groups, used, both, "left_semi").where("problem IS NOT NULL").first()
         if broken:
             raise StoreError("SOURCE_GRAPH", f"{broken.problem}: {broken.source_unit_id}")
         objects = drafts.map_candidates(accepted, groups, workspace)
@@ -132,8 +152,8 @@ def _record_run(store: ObjectStore, run_id: str, workspace: str, status: str, re
 def ingest(store: ObjectStore, docs: DataFrame, input_type: str, workspace: str, source: dict[str, str], strategy: str = "reuse", dry_run: bool = False) -> dict:
     """Documents (input_uri, text) of one source to a source, document and unit records, in one commit.
 
-    `source` has name, source_type and, if known, key and homepage_url. What can't be parsed is reported and left out;
-    a dry run writes nothing."""
+    `source` has name, source_type and, if known, key and homepage_url. What can't be parsed is left out and counted, the
+    first `SHOWN` of it by name; a dry run writes nothing."""
     from tessera.sources.readers import PARSERS
 
     lit = lambda name: F.lit(source.get(name)).cast("string")
@@ -142,7 +162,8 @@ def ingest(store: ObjectStore, docs: DataFrame, input_type: str, workspace: str,
     parser = PARSERS[input_type]
     units = parser(own.select(F.col("input_uri").alias("document_id"), "text"))
     parsed = units.select(F.col("document_id").alias("input_uri")).distinct()
-    failed = [r.input_uri for r in own.join(parsed, "input_uri", "left_anti").select("input_uri").orderBy("input_uri").limit(100).collect()]
+    unparsed = own.join(parsed, "input_uri", "left_anti").select("input_uri")
+    failed = [r.input_uri for r in unparsed.orderBy("input_uri").limit(SHOWN).collect()]
     no_key = F.lit(None).cast("string")
     keyed = own.join(parsed, "input_uri", "left_semi").select(
         F.col("input_uri").alias("input_no"), "source_id", "canonical_key",
@@ -152,7 +173,7 @@ def ingest(store: ObjectStore, docs: DataFrame, input_type: str, workspace: str,
     there = store.read("document").where("deleted_at IS NULL").select(F.col("id").alias("document_id"), field("dedupe_key"), field("series_key"), F.get_json_object("payload", "$.version_no").cast("int").alias("version_no"))
     plan = checkpoint(ingestion.plan_documents(keyed, there, strategy).join(keyed.select("input_no", "source_id", "canonical_key"), "input_no"))
     counts = {r.action.lower(): r["count"] for r in plan.groupBy("action").count().collect()}
-    report = {"created": 0, "new_version": 0, "reused": 0, "rejected": 0} | counts | {"failed": failed, "dry_run": dry_run, "units": 0}
+    report = {"created": 0, "new_version": 0, "reused": 0, "rejected": 0} | counts | {"failed": failed, "failed_count": unparsed.count(), "dry_run": dry_run, "units": 0}
     new = plan.where(F.col("action").isin("CREATED", "NEW_VERSION"))
     if dry_run or new.isEmpty():
         return report

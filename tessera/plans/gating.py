@@ -182,6 +182,7 @@ WITH {_CAND_SQL}, {_SAFETY_SQL}, a AS (SELECT * FROM c WHERE doc_id % 2 = 0)
 SELECT 'ACCEPTED_WITH_ERROR' AS "check", count(*) AS n FROM a WHERE candidate_id IN (SELECT candidate_id FROM f WHERE severity = 'ERROR') HAVING count(*) > 0
 UNION ALL SELECT 'OVERRIDE_ACCEPTED', count(*) FROM a WHERE doc_id % 9 = 0 HAVING count(*) > 0
 UNION ALL SELECT 'UNIT_MISSING', count(*) FROM a WHERE candidate_type <> 'entity' AND unit NOT IN (SELECT unit_id FROM u) HAVING count(*) > 0
+UNION ALL SELECT 'EMPTY_ENTITY', count(*) FROM a WHERE candidate_type = 'data_point' HAVING count(*) > 0
 UNION ALL SELECT 'OTHER_DOCUMENT', count(*) FROM a JOIN u ON a.unit = u.unit_id WHERE a.doc_id <> u.doc_id HAVING count(*) > 0"""
 
 def shared_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators import graph
+from tessera.operators import components, graph
 from tessera.session import table
 
 OBJECTS = "id string, object_type string, document_id string, source_id string, possible_same_as array<string>"
@@ -72,22 +72,64 @@ def cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _CYCLES_SQL = """
 WITH RECURSIVE e AS (SELECT s_suppkey AS a, CASE WHEN s_suppkey % 10 < 3 THEN s_suppkey - s_suppkey % 10 + (s_suppkey % 10 + 1) % 3 ELSE s_suppkey // 2 END AS b FROM supplier),
-r AS (SELECT a, b, 1 AS d FROM e UNION SELECT r.a, e.b, r.d + 1 FROM r JOIN e ON r.b = e.a WHERE r.d < 12)
+r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
 SELECT DISTINCT 'src_' || a AS id FROM r WHERE a = b"""
 
 
+def _long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in blocks of 1000: a ring of 300, a chain of 400 into it, a ring of 200 with chords, 100 below its first."""
+    i = F.col("doc_id") % 1000
+    first = F.col("doc_id") - i
+    to = F.when(i < 300, (i + 1) % 300).when(i < 700, i - 1).when(i < 900, 700 + (i - 699) % 200).otherwise(F.lit(700))
+    chord = F.when((i >= 700) & (i < 900), 700 + (i - 697) % 200)
+    name = lambda c: F.concat(F.lit("doc_"), c.cast("string"))
+    both = F.explode(F.array_compact(F.array(to, chord))).alias("to")
+    return table(spark, sf_dir, "documents").select("doc_id", first.alias("first"), both).select(name(F.col("doc_id")).alias("src"), name(F.col("first") + F.col("to")).alias("dst"))
+
+
+def long_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: the nodes on cycles, and how many share theirs."""
+    parts = components.cycle_components(_long(spark, sf_dir))
+    return parts.join(parts.groupBy("component").agg(F.count("*").alias("n")), "component").select("id", "n")
+
+
+_LONG_SQL = """
+WITH RECURSIVE d AS (SELECT doc_id AS a, doc_id % 1000 AS i, doc_id - doc_id % 1000 AS f FROM documents),
+e AS (SELECT a, f + CASE WHEN i < 300 THEN (i + 1) % 300 WHEN i < 700 THEN i - 1 WHEN i < 900 THEN 700 + (i - 699) % 200 ELSE 700 END AS b FROM d UNION SELECT a, f + 700 + (i - 697) % 200 FROM d WHERE i >= 700 AND i < 900),
+r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+m AS (SELECT x.a, x.b FROM r x JOIN r y ON x.a = y.b AND x.b = y.a)
+SELECT 'doc_' || a AS id, count(DISTINCT b) AS n FROM m GROUP BY a"""
+
+
+def long_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: documents in chains of 72, the last of each chain being a source; how far the sources are isn't bounded."""
+    i = F.col("doc_id") % 72
+    name = lambda c, n: F.concat(F.when(n == 71, "src_").otherwise("doc_"), c.cast("string"))
+    docs = table(spark, sf_dir, "documents").select(name(F.col("doc_id"), i).alias("id"), F.when(i < 71, name(F.col("doc_id") + 1, i + 1)).alias("dst"))
+    ids = docs.select("id")
+    links = docs.where("dst IS NOT NULL").select(F.col("id").alias("src"), "dst").join(ids.withColumnRenamed("id", "dst"), "dst", "left_semi").select("src", "dst")
+    return graph.trace_sources(links, ids, ids)
+
+
+_LONG_TRACES_SQL = """
+SELECT CASE WHEN a.doc_id % 72 = 71 THEN 'src_' ELSE 'doc_' END || a.doc_id AS start, 'src_' || s.doc_id AS source
+FROM documents a JOIN documents s ON s.doc_id = a.doc_id - a.doc_id % 72 + 71"""
+
+
 def _starts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return objects(spark, sf_dir).where("object_type = 'document'").select("id")
 
 
 def trace_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paths = graph.trace_paths(graph.dependency_graph(edges(spark, sf_dir), objects(spark, sf_dir)), _starts(spark, sf_dir))
+    there = objects(spark, sf_dir)
+    paths = graph.trace_paths(graph.dependency_graph(edges(spark, sf_dir), there), _starts(spark, sf_dir), there)
     return paths.select("start", "source", F.array_join("path", ">").alias("path"), F.col("depth").cast("long").alias("depth"))
 
 
 def trace_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    units = objects(spark, sf_dir).where("object_type = 'content_unit'").select("id")
-    found = graph.trace_sources(graph.dependency_graph(edges(spark, sf_dir), objects(spark, sf_dir)), units)
+    there = objects(spark, sf_dir)
+    units = there.where("object_type = 'content_unit'").select("id")
+    found = graph.trace_sources(graph.dependency_graph(edges(spark, sf_dir), there), units, there)
     return found.groupBy("source").agg(F.count("*").alias("n"))
 
 
@@ -128,6 +170,8 @@ QUERIES = {
     "f7_dependency_graph": dependency_graph,
     "k2_k7_validate_graph": validate,
     "k3_cycle_members": cycles,
+    "k3_long_cycles": long_cycles,
+    "k4_long_traces": long_traces,
     "k4_j5_trace_paths": trace_paths,
     "k4_trace_sources": trace_sources,
     "f8_unit_sources": unit_sources,
@@ -143,6 +187,8 @@ ORACLES = {
 WITH {_OBJECTS_SQL} SELECT 'DUPLICATE_ID' AS finding, true AS blocking, count(*) AS n FROM (SELECT id FROM obj GROUP BY id HAVING count(*) > 1)
 UNION ALL SELECT 'DANGLING_REFERENCE', true, count(*) FROM edge WHERE dst NOT IN (SELECT id FROM obj)""",
     "k3_cycle_members": _CYCLES_SQL,
+    "k3_long_cycles": _LONG_SQL,
+    "k4_long_traces": _LONG_TRACES_SQL,
     "k4_j5_trace_paths": """
 SELECT 'doc_' || o_orderkey AS start, 'src_r' || n_regionkey AS source, 'doc_' || o_orderkey || '>ent_c' || c_custkey || '>ent_n' || n_nationkey || '>src_r' || n_regionkey AS path, 3 :: BIGINT AS depth
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""",

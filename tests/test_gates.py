@@ -107,3 +107,44 @@ def test_preflight_names_what_is_wrong(candidates, units):
     rows = candidates(claim("c1", quote="nope"), claim("c2", target_object_id="c9")).withColumns({"accepted": F.lit(True), "workspace_id": F.lit("w"), "provider_name": F.lit("p")})
     found = gates.preflight(rows, gates.all_findings(rows, units), units, providers=("other",))
     assert {(r.check, r.candidate_id) for r in found.collect()} == {("ACCEPTED_WITH_ERROR", "c1"), ("PROVIDER_NOT_ALLOWED", "c1"), ("PROVIDER_NOT_ALLOWED", "c2"), ("REFERENCE_NOT_ACCEPTED", "c2")}
+
+
+def test_null_ids_lose_no_finding(candidates, units):
+    """A claim without document or without id keeps its findings in verdicts, the preflight, the bundle and its hash."""
+    from tessera.operators import workflow
+
+    rows = candidates(claim(None, quote="nope"), claim("c1", quote="nope", document_id=None), claim("c2", "u4", "亿元 收入"), claim(None, "u4", "亿元 收入", document_id="doc_b"))
+    found = gates.all_findings(rows, units)
+    judged = {(r.document_id, r.candidate_id): (r.n_errors > 0, r.accepted) for r in gates.verdicts(rows, found).collect()}
+    assert judged[None, "c1"] == judged["doc_a", None] == (True, False) and len(judged) == 4
+    bundle, findings = workflow.review_bundle(rows, units)
+    assert bundle.count() == 4 and {(r.document_id, r.candidate_id): r.accepted for r in bundle.collect()} == {k: v for k, (_, v) in judged.items()}
+    forced = bundle.withColumns({"accepted": F.lit(True), "workspace_id": F.lit("w"), "provider_name": F.lit("p")})
+    stopped = {(r.document_id, r.candidate_id) for r in gates.preflight(forced, findings, units).where("check = 'ACCEPTED_WITH_ERROR'").collect()}
+    assert stopped >= {(None, "c1"), ("doc_a", None)}
+    hashes = {r.document_id: r.bundle_sha256 for r in workflow.bundle_hashes(bundle, findings, units).collect()}
+    without = {r.document_id: r.bundle_sha256 for r in workflow.bundle_hashes(bundle, findings.limit(0), units).collect()}
+    assert set(hashes) == {"doc_a", "doc_b", None} and hashes[None] != without[None] and hashes["doc_a"] != without["doc_a"]
+
+
+def test_preflight_finds_stored_objects_and_empty_targets(spark, candidates, units):
+    evidence = lambda i, target: {"candidate_id": i, "candidate_type": "evidence", "target_object_id": target, "source_unit_id": "u1", "source_quote": "x"}
+    point = lambda i, entity: {"candidate_id": i, "candidate_type": "data_point", "entity_id": entity, "source_unit_id": "u1", "source_quote": "x"}
+    rows = candidates({"candidate_id": "n1", "candidate_type": "entity", "canonical_name": "a"}, point("d1", "n1"), point("d2", "ent_stored"), point("d3", "ent_unknown"), point("d4", ""), evidence("e1", "clm_stored"), evidence("e2", None))
+    rows = rows.withColumns({"accepted": F.lit(True), "workspace_id": F.lit("w"), "provider_name": F.lit("p"), "provider_version": F.when(F.col("candidate_id") == "d1", "").otherwise("2"), "profile_version": F.lit("7")})
+    known = spark.range(5000).selectExpr("concat('ent_', id) AS id").union(spark.sql("SELECT * FROM VALUES ('ent_stored'), ('clm_stored') AS t(id)"))
+    policy = gates.Policy(provider_versions=("1",), profile_versions=("7",), known=known)
+    found = {(r.check, r.candidate_id) for r in gates.preflight(rows, gates.all_findings(rows, units).limit(0), units, policy=policy).collect()}
+    old = {(f"PROVIDER_VERSION_{w}", c) for w, cs in (("EMPTY", ["d1"]), ("NOT_ALLOWED", ["n1", "d2", "d3", "d4", "e1", "e2"])) for c in cs}
+    assert found == {("REFERENCE_NOT_ACCEPTED", "d3"), ("EMPTY_ENTITY", "d4"), ("EMPTY_TARGET", "e2")} | old
+
+
+def test_bitmap_keeps_every_key(spark):
+    from tessera.operators import joins
+
+    large = spark.range(20_000).selectExpr("concat('k', id) AS k", "id")
+    few = spark.range(0, 20_000, 97).selectExpr("concat('k', id) AS key").union(spark.sql("SELECT CAST(NULL AS STRING)"))
+    kept = [r.id for r in joins.may_hold(large, "k", few, "key").collect()]
+    assert set(range(0, 20_000, 97)) <= set(kept) and len(kept) < 1.1 * 20_000 / 97 + 10
+    refs = spark.sql("SELECT * FROM VALUES ('k1'), ('k20001'), (CAST(NULL AS STRING)) AS t(r)")
+    assert sorted(str(r.r) for r in joins.lacking(refs, "r", large, "k").collect()) == ["None", "k20001"]

@@ -46,24 +46,62 @@ def test_a_long_ring_is_not_valid(spark):
     assert {(r.finding, r.id) for r in found} == {("DEPENDENCY_CYCLE", f"ent_{i}") for i in range(100)}
 
 
-def test_cycles_against_brute_force(spark):
+def plain_components(pairs):
+    reach = {}
+    for a in {x for p in pairs for x in p}:
+        reach[a], todo = set(), [a]
+        while todo:
+            for b in [d for c, d in pairs if c == todo[-1]] if todo else []:
+                if b not in reach[a]:
+                    reach[a].add(b)
+                    todo.insert(0, b)
+            todo.pop()
+    return {frozenset(b for b in reach[a] if a in reach[b]) for a in reach if a in reach[a]}
+
+
+def test_components_against_brute_force(spark):
+    """Thirty random graphs at once, of all densities, some joined by one-way edges; loops, chains, ladders, repeated edges."""
     rng = random.Random(5)
-    for n, m in ((30, 40),):
-        pairs = sorted({(f"{g}{rng.randrange(n):02}", f"{g}{rng.randrange(n):02}") for g in "xyz" for _ in range(m)} | {("x00", "y00"), ("x01", "y01"), ("z00", "y02")})
-        reach = {a: {b for c, b in pairs if c == a} for a in {x for p in pairs for x in p}}
-        while any(new - old for a, old in reach.items() for new in [set().union(*(reach[b] for b in old))]):
-            reach = {a: old.union(*(reach[b] for b in old)) for a, old in reach.items()}
-        found = [r.id for r in graph.cycle_members(edges(spark, *pairs)).collect()]
-        assert sorted(found) == sorted(a for a, to in reach.items() if a in to)
+    groups = []
+    for g in range(30):
+        n = rng.randint(2, 25)
+        groups.append([(f"{g}.{rng.randrange(n)}", f"{g}.{rng.randrange(n)}") for _ in range(int(n * rng.choice((0.7, 1, 1.3, 2, 3))))])
+    ladder = [(f"l{i}", f"l{i}{k}") for i in range(20) for k in "ab"] + [(f"l{i}{k}", f"l{i + 1}") for i in range(20) for k in "ab"]
+    pairs = [p for g in groups for p in g] + [(groups[i][0][0], groups[i + 1][0][0]) for i in range(0, 28, 3)] + ladder + [("l20", "m"), ("m", "l3"), ("m", "m")]
+    want = set().union(*(plain_components(g) for g in groups), plain_components([*ladder, ("l20", "m"), ("m", "l3"), ("m", "m")]))
+    found = {}
+    for r in graph.cycle_components(edges(spark, *pairs)).collect():
+        found.setdefault(r.component, []).append(r.id)
+    assert all(c in ids for c, ids in found.items()) and sum(map(len, found.values())) == len(set().union(*want))
+    assert {frozenset(ids) for ids in found.values()} == want
+
+
+def test_a_long_chain_into_a_ring_takes_few_rounds(spark, monkeypatch):
+    from tessera.operators.components import Scratch
+
+    rounds, put = [], Scratch.put
+    monkeypatch.setattr(Scratch, "put", lambda self, df, name="": rounds.append(name) or put(self, df, name))
+    n = 2000
+    ring = spark.range(n).selectExpr("concat('r', id) AS src", f"concat('r', (id + 1) % {n}) AS dst")
+    chain = spark.range(n).selectExpr("concat('c', id) AS src", f"CASE WHEN id = {n - 1} THEN 'r0' ELSE concat('c', id + 1) END AS dst")
+    found = graph.cycle_components(ring.unionByName(chain))
+    assert found.where("id LIKE 'r%'").count() == found.count() == n and found.select("component").distinct().count() == 1
+    assert len(rounds) < 100
 
 
 def test_paths_and_sources(spark):
     g = edges(spark, ("clm_1", "cu_1"), ("clm_1", "cu_2"), ("cu_1", "doc_1"), ("cu_2", "doc_1"), ("doc_1", "src_1"), ("src_1", "src_0"), ("doc_1", "clm_1"))
     start = spark.createDataFrame([("clm_1",), ("src_1",)], "id string")
-    assert {(r.start, ">".join(r.path)) for r in graph.trace_paths(g, start).collect()} == {("clm_1", "clm_1>cu_1>doc_1>src_1"), ("clm_1", "clm_1>cu_2>doc_1>src_1"), ("src_1", "src_1")}
-    assert {tuple(r) for r in graph.trace_sources(g, start).collect()} == {("clm_1", "src_1"), ("src_1", "src_1")}
+    there = g.selectExpr("explode(array(src, dst)) AS id").distinct()
+    assert {(r.start, ">".join(r.path)) for r in graph.trace_paths(g, start, there).collect()} == {("clm_1", "clm_1>cu_1>doc_1>src_1"), ("clm_1", "clm_1>cu_2>doc_1>src_1"), ("src_1", "src_1")}
+    assert {tuple(r) for r in graph.trace_sources(g, start, there).collect()} == {("clm_1", "src_1"), ("src_1", "src_1")}
     with pytest.raises(RuntimeError):
-        graph.trace_paths(g, start, max_depth=2)
+        graph.trace_paths(g, start, there, max_depth=3)
+    assert graph.trace_paths(g, start, there, max_depth=4).count() == 3
+    unknown = spark.createDataFrame([("clm_1",), ("clm_9",)], "id string")
+    for trace in (graph.trace_paths, graph.trace_sources):
+        with pytest.raises(LookupError, match="OBJECT_NOT_FOUND: clm_9"):
+            trace(g, unknown, there)
 
 
 def test_root_sources(spark):
@@ -87,4 +125,4 @@ def test_roots_at_the_end_of_long_chains(spark):
 def test_sources_far_away(spark):
     g = edges(spark, *((f"ent_{i}", f"ent_{i + 1}") for i in range(65)), ("ent_65", "src_1"), ("ent_3", "src_2"), ("ent_65", "ent_0"))
     start = spark.createDataFrame([("ent_0",)], "id string")
-    assert {tuple(r) for r in graph.trace_sources(g, start).collect()} == {("ent_0", "src_1"), ("ent_0", "src_2")}
+    assert {tuple(r) for r in graph.trace_sources(g, start, start).collect()} == {("ent_0", "src_1"), ("ent_0", "src_2")}

@@ -41,7 +41,7 @@ def test_results_do_not_depend_on_partitions(spark, sf_dir, name):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-@pytest.mark.parametrize("name", ["k6_root_sources", "i2_candidate_ranks", "d26_ordered_distinct"])
+@pytest.mark.parametrize("name", ["k6_root_sources", "i2_candidate_ranks", "d26_ordered_distinct", "k3_long_cycles", "k4_long_traces"])
 def test_whole_table_matches_sql_on_sf001(spark, name):
     """On sf0.01, where a cut by id shows: every row of the query and of its SQL, and every source."""
     import duckdb

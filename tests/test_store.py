@@ -192,3 +192,52 @@ def test_references_mean_the_own_documents_candidate(spark):
     ids = {r.document_id: r.object_id for r in keyed.where("candidate_type = 'claim'").collect()}
     found = {r.document_id: r.target_object_id for r in drafts.rewrite_references(keyed).where("candidate_type = 'evidence'").collect()}
     assert found == ids and len(set(ids.values())) == 2
+
+
+def test_counts_cover_more_than_a_report_lists(spark, store, tmp_path):
+    rows = spark.range(260).selectExpr("concat('clm_', id) AS id", "'claim' AS object_type", "CASE WHEN id < 130 THEN '{\"schema_version\":\"1.0\"}' ELSE 'broken' END AS payload")
+    rows = record(spark, "clm_x").drop("id", "object_type", "payload").crossJoin(rows).select(*record(spark, "clm_x").columns)
+    store.create(rows)
+    report = store.migrate(upgrade_payload, "1.0", "1.1", dry_run=True)
+    assert (report["would_migrate_count"], report["failed_count"], len(report["failed_ids"])) == (130, 130, 100)
+    manifest = store.backup(f"file://{tmp_path}/all")
+    other = type(store)(spark, f"file://{tmp_path}/other")
+    other.create(rows.where("substring(id, 5) < '2'"))
+    n = other.count()
+    done = other.restore(f"file://{tmp_path}/all", manifest["sha256"])
+    assert (done["restored_count"], done["failed_count"], len(done["failed_ids"])) == (n, 260 - n, 100) and 260 - n > 140
+    blank = spark.range(250).selectExpr("concat('mem:', id) AS input_uri", "CASE WHEN id = 0 THEN 'text' ELSE ' ' END AS text")
+    took = workflow.ingest(store, blank, "text", "w", {"name": "n", "source_type": "blog"}, dry_run=True)
+    assert (took["created"], took["failed_count"], len(took["failed"])) == (1, 249, 100)
+
+
+def test_documents_stay_apart_to_the_end(spark, store):
+    """Two documents with a unit u1, the same candidates and quotes, and sources of their own; the second's data point is of a stored entity."""
+    from tessera.operators import drafts
+
+    units = spark.createDataFrame([(d, "u1", "paragraph", 0, "revenue grew") for d in ("doc_1", "doc_2")], "document_id string, unit_id string, unit_type string, sequence_no int, text string")
+    store.create(record(spark, "ent_stored").withColumn("object_type", F.lit("entity")))
+    base = {"source_quote": "revenue", "source_unit_id": "u1", "quote_match_mode": "literal"}
+    rows = [{"document_id": d, **base, **r} for d in ("doc_1", "doc_2") for r in (
+        {"candidate_id": "c1", "candidate_type": "claim", "claim_type": "fact_claim", "statement": "s"},
+        {"candidate_id": "e1", "candidate_type": "evidence", "evidence_type": "direct_quote", "evidence_role": "support", "target_object_id": "c1"},
+    )] + [{"document_id": "doc_2", **base, "candidate_id": "d1", "candidate_type": "data_point", "metric": "m", "value": 1.0, "unit": "USD", "entity_id": "ent_stored"}]
+    schema = CANDIDATE.__class__([CANDIDATE.fields[0].__class__("document_id", CANDIDATE.fields[0].dataType), *CANDIDATE.fields])
+    bundle, findings = workflow.review_bundle(spark.createDataFrame([tuple(r.get(f) for f in schema.names) for r in rows], schema), units)
+    groups = spark.createDataFrame([("doc_1", "u1", "g1", None), ("doc_2", "u1", "g2", None), ("doc_3", "u1", None, "SOURCE_NOT_FOUND")], "document_id string, source_unit_id string, independence_group string, problem string")
+    report = workflow.persist_drafts(store, bundle, findings, units, groups, "w", workflow.signed_hash(bundle, findings, units))
+    assert report["created"] == 5
+    evidence = [json.loads(r.payload) for r in store.read("evidence").collect()]
+    assert sorted(e["independence_group"] for e in evidence) == ["g1", "g2"] and len({e["target_object_id"] for e in evidence}) == 2
+    assert {e["target_object_id"] for e in evidence} == {r.id for r in store.read("claim").collect()}
+    assert {u for e in evidence for u in e["source_refs"]} == {"u1"} and json.loads(store.read("data_point").first().payload)["entity_id"] == "ent_stored"
+    assert drafts.map_candidates(bundle, groups, "w").count() == 5
+
+
+def test_signed_hash_is_a_tree_over_documents(spark):
+    units = spark.range(40).selectExpr("concat('d', id) AS document_id", "concat('u', id) AS unit_id", "'paragraph' AS unit_type", "0 AS sequence_no", "'x' AS text")
+    claims = units.selectExpr("document_id", "'c' AS candidate_id", "'claim' AS candidate_type", "'s' AS statement")
+    none = spark.createDataFrame([], "document_id string, candidate_id string, code string, severity string, detail string")
+    signed = {workflow.signed_hash(claims.repartition(k), none, units, fan=3) for k in (1, 5)}
+    changed = claims.withColumn("statement", F.when(F.col("document_id") == "d7", "t").otherwise(F.col("statement")))
+    assert len(signed) == 1 and workflow.signed_hash(changed, none, units, fan=3) not in signed
