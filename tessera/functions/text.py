@@ -128,6 +128,28 @@ def canonical_json(value: Column) -> Column:
     return F.to_json(value, {"ignoreNullFields": "false"})
 
 
+def _canonical(text: str | None) -> str | None:
+    if text is None:
+        return None
+    try:
+        return json.dumps(json.loads(text), ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+    except ValueError:
+        return None
+
+
+@F.arrow_udf(T.StringType())
+def canonical_text(texts: pa.Array) -> pa.Array:
+    """JSON text in its canonical form: keys sorted at every level, no spaces, nothing beyond ASCII escaped, and numbers
+    as Python prints them: the shortest that reads back as the same double. Of repeated keys the last counts. Null for null
+    and for what isn't JSON."""
+    return pa.array([_canonical(x.as_py()) for x in texts], pa.string())
+
+
+def canonical_value(value: Column) -> Column:
+    """D4, for structs, maps and arrays of any depth, VARIANT among them; null members and elements are written out."""
+    return canonical_text(F.to_json(value, {"ignoreNullFields": "false"}))
+
+
 def _normal_url(value: str | None) -> str | None:
     if value is None:
         return None

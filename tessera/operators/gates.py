@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tessera.durable import checkpoint
 from tessera.functions.schemas import CANDIDATE, CANDIDATE_ORDER
 from tessera.functions.text import collapse_whitespace, is_blank, nfkc, strip, token_set
+from tessera.operators import quotes
 from tessera.operators.joins import lacking, null_safe
 
 #: What tells candidates apart.
@@ -58,12 +59,15 @@ def complete(candidates: DataFrame) -> DataFrame:
     return candidates.select(*candidates.columns, *(F.lit(None).cast(f.dataType).alias(f.name) for f in CANDIDATE.fields if f.name not in have))
 
 
+def order_key() -> tuple[Column, Column]:
+    """A candidate's place by type, and its primary text."""
+    place = F.array_position(F.array(*map(F.lit, CANDIDATE_ORDER)), F.col("candidate_type"))
+    return F.when(place > 0, place).otherwise(100), F.coalesce("statement", "metric", "canonical_name", "evidence_type", F.lit(""))
+
+
 def in_order(candidates: DataFrame) -> DataFrame:
     """By type, then primary text, then id."""
-    kinds = F.array(*map(F.lit, CANDIDATE_ORDER))
-    place = F.array_position(kinds, F.col("candidate_type"))
-    primary = F.coalesce("statement", "metric", "canonical_name", "evidence_type", F.lit(""))
-    return complete(candidates).orderBy(F.when(place > 0, place).otherwise(100), primary, F.coalesce("candidate_id", F.lit("")))
+    return complete(candidates).orderBy(*order_key(), F.coalesce("candidate_id", F.lit("")))
 
 
 def ranked(candidates: DataFrame) -> DataFrame:
@@ -92,15 +96,9 @@ def _explode(rows: DataFrame, findings: Column) -> DataFrame:
 def resolve_quotes(candidates: DataFrame, units: DataFrame) -> DataFrame:
     """source_unit_id of candidates that lack one: the first unit of their document that holds the quote
     as it is, else with white space collapsed, else (token_set, tables only) all its tokens."""
-    units = units.select("document_id", F.col("unit_id").alias("__unit"), F.col("sequence_no").alias("__seq"), F.lower("unit_type").alias("__type"), nfkc(F.col("text")).alias("__text"))
-    units = units.withColumns({"__flat": collapse_whitespace(F.col("__text")), "__tokens": token_set(F.col("__text"))})
-    open_ = candidates.where(F.coalesce("source_unit_id", F.lit("")) == "").withColumn("__quote", nfkc(F.coalesce("source_quote", F.lit(""))))
-    open_ = open_.withColumns({"__flat_quote": collapse_whitespace(F.col("__quote")), "__quote_tokens": token_set(F.col("__quote"))})
-    tokens = (F.col("quote_match_mode") == "token_set") & F.col("__type").isin("table", "table_row") & (F.size("__quote_tokens") > 0) & (F.size(F.array_except("__quote_tokens", "__tokens")) == 0)
-    rank = F.when(F.col("__text").contains(F.col("__quote")), 1).when(F.col("__flat").contains(F.col("__flat_quote")), 2).when(tokens, 3)
-    hits = open_.join(units, "document_id").withColumn("__pass", rank).where("__pass IS NOT NULL")
-    best = hits.groupBy("document_id", "candidate_id").agg(F.min_by("__unit", F.struct("__pass", "__seq", "__unit")).alias("__found"))
-    joined = candidates.join(best, ["document_id", "candidate_id"], "left")
+    open_ = candidates.where(F.coalesce("source_unit_id", F.lit("")) == "").select(*KEY, "source_quote", "quote_match_mode")
+    found = quotes.first_units(open_, units).groupBy(*KEY).agg(F.min("unit").alias("__found"))
+    joined = null_safe(candidates, found, KEY)
     return joined.withColumn("source_unit_id", F.when(F.coalesce("source_unit_id", F.lit("")) != "", F.col("source_unit_id")).otherwise(F.coalesce("__found", F.lit("")))).drop("__found")
 
 

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Mapping
 from dataclasses import replace
 from hashlib import sha256 as digest
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.durable import checkpoint
 from tessera.functions import text as t
+from tessera.functions.schemas import CANDIDATE
 from tessera.functions.text import sha256
 from tessera.operators import drafts, gates, graph, ingestion, windows
 from tessera.operators.joins import null_safe
@@ -25,26 +27,49 @@ def review_bundle(candidates: DataFrame, units: DataFrame, strict: bool = True)
     return null_safe(resolved, judged, gates.KEY, "inner"), findings
 
 
-def bundle_hashes(bundle: DataFrame, findings: DataFrame, units: DataFrame) -> DataFrame:
-    """(document_id, bundle_sha256): a hash over each document's candidates, findings and window, all in order."""
-    semantic = ("candidate_id", "candidate_type", "statement", "metric", "value", "canonical_name", "claim_type", "evidence_role", "evidence_type", "target_object_id", "source_unit_id", "source_quote", "quote_match_mode")
-    own = F.to_json(F.struct(*sorted(semantic)), {"ignoreNullFields": "false"})
-    found = findings.groupBy(*gates.KEY).agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "code", "severity", "detail"))), ";").alias("found"))
-    rows = null_safe(gates.complete(bundle), found, gates.KEY).select("document_id", F.concat_ws("|", own, F.coalesce("found", F.lit(""))).alias("line"))
-    hashed = rows.groupBy("document_id").agg(F.array_join(F.array_sort(F.collect_list("line")), "\n").alias("body"))
-    window = windows.context_windows(units).select("document_id", "window_sha256")
-    whole = sha256(F.concat_ws("\n", F.coalesce("document_id", F.lit("")), F.coalesce("window_sha256", F.lit("")), "body"))
-    return null_safe(hashed, window, ["document_id"]).select("document_id", whole.alias("bundle_sha256"))
+#: What a bundle's hash covers besides candidates, findings and windows, with what stands for a run that doesn't say. Fixed values.
+RUN = {
+    "run_id": "", "provider_name": "", "provider_version": "", "deterministic_mode": True, "schema_version": "1.0", "case_id": "", "prompt_version": "placeholder",
+    "profile_version": "placeholder", "provider_response_hash": "", "errors": (),
+}
+
+
+def _candidate_json() -> Column:
+    """A candidate's own fields, null ones among them, as canonical JSON; what the review adds doesn't count."""
+    return t.canonical_value(F.struct(*(F.col(f) for f in sorted(CANDIDATE.names))))
+
+
+def bundle_hashes(bundle: DataFrame, findings: DataFrame, units: DataFrame, run: Mapping = RUN) -> DataFrame:
+    """(document_id, bundle_sha256): a hash over the canonical JSON of each document's bundle: what the run says of
+    itself, candidates in the reviewers' order, findings, the window's hash, unit ids and errors in order.
+
+    Bundle ids and times don't count. A document's bundle is one JSON text, so a document is the most that a task holds."""
+    run = RUN | dict(run)
+    place, primary = gates.order_key()
+    own = gates.complete(bundle).select("document_id", F.struct(place.alias("place"), primary.alias("primary"), F.coalesce("candidate_id", F.lit("")).alias("id"), _candidate_json().alias("json")).alias("c"))
+    listed = lambda name: F.concat(F.lit("["), F.array_join(F.transform(F.coalesce(name, F.array().cast("array<string>")), lambda x: x), ","), F.lit("]"))
+    found = t.canonical_object(**{f: t.json_string(F.col(f)) for f in gates.FINDING if f != "document_id"})
+    by = own.groupBy("document_id").agg(F.transform(F.array_sort(F.collect_list("c")), lambda c: c["json"]).alias("candidates"))
+    by = null_safe(by, findings.select("document_id", found.alias("json")).groupBy("document_id").agg(F.array_sort(F.collect_list("json")).alias("findings")), ["document_id"])
+    by = null_safe(by, windows.context_windows(units).select("document_id", "window_sha256"), ["document_id"])
+    by = null_safe(by, units.select("document_id", t.json_string(F.col("unit_id")).alias("json")).groupBy("document_id").agg(F.array_sort(F.collect_list("json")).alias("units")), ["document_id"])
+    text = lambda name: t.json_string(F.lit(str(run[name])))
+    body = t.canonical_object(
+        **{k: text(k) for k in run if k not in ("deterministic_mode", "errors")}, deterministic_mode=F.lit(json.dumps(bool(run["deterministic_mode"]))), errors=F.lit(json.dumps(sorted(run["errors"]), ensure_ascii=False, separators=(",", ":"))),
+        document_id=t.json_string(F.col("document_id")), candidates=listed("candidates"), validation_findings=listed("findings"), content_unit_ids=listed("units"),
+        context_hashes=t.canonical_object(window_sha256=t.json_string(F.col("window_sha256"))),
+    )
+    return by.select("document_id", sha256(body).alias("bundle_sha256"))
 
 
 #: Lines that one hash of the tree over documents covers, about.
 FAN = 1000
 
 
-def signed_hash(bundle: DataFrame, findings: DataFrame, units: DataFrame, fan: int = FAN) -> str:
+def signed_hash(bundle: DataFrame, findings: DataFrame, units: DataFrame, run: Mapping = RUN, fan: int = FAN) -> str:
     """What stands for a bundle of one document, its hash, or of several, the root of a tree of hashes: lines of document and
     hash, or of the level below, are dealt by their own hash to about n / `fan` nodes, in order within each."""
-    hashes = checkpoint(bundle_hashes(bundle, findings, units))
+    hashes = checkpoint(bundle_hashes(bundle, findings, units, run))
     lines = hashes.select(F.concat_ws(":", F.coalesce("document_id", F.lit("")), "bundle_sha256").alias("line"))
     n = lines.count()
     if n == 1:
@@ -66,12 +91,12 @@ def independence_groups(units: DataFrame, documents: DataFrame, sources: DataFra
     return joined.select("document_id", F.col("unit_id").alias("source_unit_id"), drafts.independence_group(F.col("root"), F.lit(workspace)).alias("independence_group"), problem.alias("problem"))
 
 
-def persist_drafts(store: ObjectStore, bundle: DataFrame, findings: DataFrame, units: DataFrame, groups: DataFrame, workspace: str, bundle_hash: str, dry_run: bool = False, providers: tuple[str, ...] = (), policy: gates.Policy | None = None) -> dict:
+def persist_drafts(store: ObjectStore, bundle: DataFrame, findings: DataFrame, units: DataFrame, groups: DataFrame, workspace: str, bundle_hash: str, dry_run: bool = False, providers: tuple[str, ...] = (), policy: gates.Policy | None = None, run: Mapping = RUN) -> dict:
     """Accepted candidates as draft objects, all or none.
 
     The bundle's own workspace_id and provider_name, where it has them, are checked against `workspace` and `providers`, or the
     whole `policy`. References may go to the bundle's own candidates or to live objects of the workspace in the store.
-    `bundle_hash` is what the reviewers signed, as `signed_hash` gives it; a bundle that changed since is refused.
+    `bundle_hash` is what the reviewers signed, as `signed_hash` gives it for the `run`; a bundle that changed since is refused.
 
     The bundle's operation key makes it idempotent: a success is returned as it was, a running one conflicts, a failed
     one is tried again. Its run is recorded before and after in commits of their own, so that a failure leaves a
@@ -89,7 +114,7 @@ def persist_drafts(store: ObjectStore, bundle: DataFrame, findings: DataFrame, u
     if not dry_run:
         _record_run(store, run_id, workspace, "running", None, last is None)
     try:
-        if bundle_hash != signed_hash(bundle, findings, units):
+        if bundle_hash != signed_hash(bundle, findings, units, run):
             raise StoreError("BUNDLE_HASH_MISMATCH", bundle_hash)
         lacks = {c: v for c, v in (("workspace_id", F.lit(workspace)), ("provider_name", F.lit(""))) if c not in bundle.columns}
         checked = bundle.withColumns(lacks)

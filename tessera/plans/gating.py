@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.schemas import CANDIDATE
 from tessera.operators import gates
 from tessera.session import table
 
@@ -204,7 +205,80 @@ j AS (SELECT doc_id, CASE WHEN m = 3 THEN 'UNIT_NOT_IN_WINDOW' WHEN m = 4 THEN C
         WHEN m = 1 THEN CASE WHEN contains(first, 'no such words') THEN '' ELSE 'QUOTE_NOT_FOUND' END WHEN trim(first) = '' THEN 'EMPTY_QUOTE' ELSE '' END AS codes FROM d)
 SELECT 'doc_' || doc_id AS document_id, 'c1' AS candidate_id, 'claim' AS candidate_type, codes, CASE WHEN codes = '' THEN 0 ELSE 1 END AS n_errors, codes = '' AS accepted FROM j"""
 
+def null_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts of claims of which every fifth has no document and every seventh no id of its own."""
+    d = F.col("doc_id")
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.get(F.split(F.coalesce("text", F.lit("")), "\n"), F.lit(0)).alias("first"), F.concat(F.lit("cu_"), d.cast("string")).alias("unit"))
+    own = docs.select(F.concat(F.lit("doc_"), d.cast("string")).alias("document_id"), F.col("unit").alias("unit_id"), F.lit("paragraph").alias("unit_type"), F.lit(0).alias("sequence_no"), F.concat(F.lit("> "), "first").alias("text"))
+    claims = docs.select(
+        F.when(d % 5 != 0, F.concat(F.lit("doc_"), d.cast("string"))).alias("document_id"), F.when(d % 7 != 0, F.concat(F.lit("c_"), d.cast("string"))).alias("candidate_id"), F.lit("claim").alias("candidate_type"),
+        F.lit("fact_claim").alias("claim_type"), F.col("unit").alias("source_unit_id"), F.when(d % 3 == 0, "no such words").otherwise("> ").alias("source_quote"), F.lit("literal").alias("quote_match_mode"),
+    )
+    found = gates.verdicts(claims, gates.all_findings(claims, own))
+    return found.withColumn("codes", F.array_join("codes", ","))
+
+
+_NULLS_SQL = """
+WITH r AS (SELECT CASE WHEN doc_id % 5 <> 0 THEN 'doc_' || doc_id END AS document_id, CASE WHEN doc_id % 7 <> 0 THEN 'c_' || doc_id END AS candidate_id,
+    CASE WHEN doc_id % 5 = 0 THEN 'CROSS_DOCUMENT_UNIT' WHEN doc_id % 3 = 0 AND NOT contains(string_split(coalesce(text, ''), chr(10))[1], 'no such words') THEN 'QUOTE_NOT_FOUND' END AS code FROM documents),
+k AS (SELECT document_id, candidate_id, count(code) AS n_errors, coalesce(string_agg(DISTINCT code, ',' ORDER BY code), '') AS codes FROM r GROUP BY ALL)
+SELECT r.document_id, r.candidate_id, 'claim' AS candidate_type, codes, n_errors, n_errors = 0 AS accepted
+FROM r JOIN k ON r.document_id IS NOT DISTINCT FROM k.document_id AND r.candidate_id IS NOT DISTINCT FROM k.candidate_id"""
+
+
+def stored_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as data points of customers, which are in the bundle (every third key), in the store (even keys) or in neither."""
+    c, o = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
+    name = lambda column: F.concat(F.lit("ent_"), F.col(column).cast("string"))
+    document = lambda column: F.concat(F.lit("doc_"), (F.col(column) % 25).cast("string"))
+    entities = c.where("c_custkey % 3 = 0").select(document("c_custkey").alias("document_id"), name("c_custkey").alias("candidate_id"), F.lit("entity").alias("candidate_type"))
+    points = o.select(document("o_custkey").alias("document_id"), F.concat(F.lit("d_"), F.col("o_orderkey").cast("string")).alias("candidate_id"), F.lit("data_point").alias("candidate_type"), name("o_custkey").alias("entity_id"))
+    found = gates.unresolved(gates.complete(points).unionByName(gates.complete(entities)), c.where("c_custkey % 2 = 0").select(name("c_custkey").alias("id")))
+    return found.groupBy("document_id", "field", "reference").agg(F.count("*").alias("n"))
+
+
+_STORED_SQL = """
+SELECT 'doc_' || o_custkey % 25 AS document_id, 'entity_id' AS field, 'ent_' || o_custkey AS reference, count(*) AS n FROM orders
+WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 = 0 OR c_custkey % 2 = 0) GROUP BY ALL"""
+
+
+def bundle_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document as a unit and two claims with doubles, maps and nulls, and a finding for every third."""
+    from tessera.operators import workflow
+
+    d = F.col("doc_id")
+    docs = table(spark, sf_dir, "documents").select(d, F.concat(F.lit("doc_"), d.cast("string")).alias("document_id"), F.coalesce("source", F.lit("")).alias("source"), F.concat(F.lit("cu_"), d.cast("string")).alias("unit_id"), F.coalesce("text", F.lit("")).alias("text"))
+    own = docs.select("document_id", "unit_id", F.lit("paragraph").alias("unit_type"), F.lit(0).alias("sequence_no"), "text")
+    claims = docs.select(
+        "doc_id", "document_id", F.explode(F.array(F.lit("c2"), F.lit("c1"))).alias("candidate_id"), F.lit("claim").alias("candidate_type"), (d / 7).alias("confidence"), F.col("source").alias("statement"),
+        F.create_map(F.lit("to"), F.col("source"), F.lit("from"), F.lit(None).cast("string")).alias("valid_time"), F.when(d % 2 == 0, True).alias("promotable"), F.col("unit_id").alias("source_unit_id"),
+    )
+    found = docs.where("doc_id % 3 = 0").select("document_id", F.lit("X").alias("code"), F.lit("INFO").alias("severity"), F.lit("c1").alias("candidate_id"), F.lit("g").alias("gate_name"), F.col("unit_id").alias("source_unit_id"), F.lit("").alias("detail"))
+    return workflow.bundle_hashes(claims, found, own, {"run_id": "run_1", "provider_name": "p", "errors": ("late", "early")})
+
+
+def _candidate_sql(name: str) -> str:
+    given = {
+        "candidate_id": "'\"' || c || '\"'", "candidate_type": "'\"claim\"'", "confidence": "CAST(CAST(doc_id AS DOUBLE) / 7 AS VARCHAR)", "statement": "'\"' || s || '\"'", "valid_time": "'{\"from\":null,\"to\":\"' || s || '\"}'",
+        "promotable": "CASE WHEN doc_id % 2 = 0 THEN 'true' ELSE 'null' END", "source_unit_id": "'\"cu_' || doc_id || '\"'",
+    }
+    return f"'\"{name}\":' || " + given.get(name, "'null'")
+
+
+_BUNDLE_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS s, coalesce(text, '') AS t FROM documents),
+c AS (SELECT doc_id, '{{' || {" || ',' || ".join(_candidate_sql(n) for n in sorted(CANDIDATE.names))} || '}}' AS j, c FROM d, (VALUES ('c1'), ('c2')) AS v(c)),
+a AS (SELECT doc_id, string_agg(j, ',' ORDER BY c) AS j FROM c GROUP BY doc_id),
+w AS (SELECT doc_id, sha256('{{"context_schema_version":"1.0","document_id":"doc_' || doc_id || '","units":[{{"locator_sha256":"' || sha256('{{"document_id": "doc_' || doc_id || '", "unit_id": "cu_' || doc_id || '", "unit_type": "paragraph"}}')
+  || '","sequence_no":0,"text_sha256":"' || sha256(t) || '","unit_id":"cu_' || doc_id || '","unit_type":"paragraph"}}]}}') AS h FROM d)
+SELECT 'doc_' || doc_id AS document_id, sha256('{{"candidates":[' || a.j || '],"case_id":"","content_unit_ids":["cu_' || doc_id || '"],"context_hashes":{{"window_sha256":"' || h || '"}},"deterministic_mode":true,"document_id":"doc_' || doc_id
+  || '","errors":["early","late"],"profile_version":"placeholder","prompt_version":"placeholder","provider_name":"p","provider_response_hash":"","provider_version":"","run_id":"run_1","schema_version":"1.0","validation_findings":['
+  || CASE WHEN doc_id % 3 = 0 THEN '{{"candidate_id":"c1","code":"X","detail":"","gate_name":"g","severity":"INFO","source_unit_id":"cu_' || doc_id || '"}}' ELSE '' END || ']}}') AS bundle_sha256 FROM a JOIN w USING (doc_id)"""
+
 QUERIES = {
+    "l9_null_ids": null_ids,
+    "f10_l10_stored_references": stored_references,
+    "d21_bundle_hashes": bundle_hashes,
     "l9_shared_ids": shared_ids,
     "l2_f1_quote_gate": quote_gate,
     "l3_l8_safety_gate": safety_gate,
@@ -221,6 +295,9 @@ QUERIES = {
 }
 
 ORACLES = {
+    "l9_null_ids": _NULLS_SQL,
+    "f10_l10_stored_references": _STORED_SQL,
+    "d21_bundle_hashes": _BUNDLE_SQL,
     "l9_shared_ids": _SHARED_SQL,
     "l2_f1_quote_gate": f"WITH {_CAND_SQL} SELECT * FROM qf",
     "l3_l8_safety_gate": f"WITH {_CAND_SQL}, {_SAFETY_SQL} SELECT * FROM f WHERE gate_name = 'safety_gate'",

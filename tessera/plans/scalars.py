@@ -140,7 +140,26 @@ def identity_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _docs(spark, sf_dir).select("doc_id", t.identity_text(F.col("text")).alias("identity"))
 
 
+def canonical_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with a nested customer, maps, doubles, nulls and lists, and events' own JSON with its keys turned around."""
+    o = table(spark, sf_dir, "orders")
+    price = F.col("o_totalprice").cast("double")
+    nested = F.struct(
+        price.alias("z_price"), (F.col("o_orderkey") / 7).alias("Ratio"), F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderstatus")).alias("maybe"),
+        F.create_map(F.lit("y"), F.col("o_custkey"), F.lit("b"), F.lit(None).cast("long")).alias("m"), F.array(F.struct(F.lit(1e20).alias("two"), F.lit('é "q"').alias("one")), F.lit(None)).alias("list"),
+    )
+    return o.select("o_orderkey", t.canonical_value(nested).alias("json"))
+
+
+def canonical_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON texts with spaces, keys out of order and numbers that can be written shorter."""
+    text = F.concat(F.lit('{ "z": 1.50, "k" : '), F.col("props"), F.lit(', "a": ["'), F.col("event_type"), F.lit('", 1e2, true , null]}'))
+    return table(spark, sf_dir, "events").select("event_id", t.canonical_text(text).alias("json"))
+
+
 QUERIES = {
+    "d4_canonical_values": canonical_values,
+    "d4_canonical_texts": canonical_texts,
     "d1_normalize_text": normalize_text,
     "d3_content_hash": content_hash,
     "d5_identity_text": identity_texts,
@@ -161,6 +180,10 @@ QUERIES = {
 
 _SRC = "'src_' || " + _ID_SQL.format(parts="'ws' || chr(31) || 'blog' || chr(31) || 'name:blog:' || source")
 ORACLES = {
+    "d4_canonical_values": """
+SELECT o_orderkey, '{"Ratio":' || CAST(CAST(o_orderkey AS DOUBLE) / 7 AS VARCHAR) || ',"list":[{"one":"é \\"q\\"","two":1e+20},null],"m":{"b":null,"y":' || o_custkey || '},"maybe":' || CASE WHEN o_orderkey % 3 = 0 THEN '"' || o_orderstatus || '"' ELSE 'null' END
+  || ',"z_price":' || CAST(CAST(o_totalprice AS DOUBLE) AS VARCHAR) || '}' AS json FROM orders""",
+    "d4_canonical_texts": """SELECT event_id, '{"a":["' || event_type || '",100.0,true,null],"k":' || replace(props, ' ', '') || ',"z":1.5}' AS json FROM events""",
     "d1_normalize_text": f"SELECT doc_id, length({_NORMAL_SQL}) AS n, sha256({_NORMAL_SQL}) AS sha FROM documents",
     "d3_content_hash": f"SELECT doc_id, sha256(rtrim({_NORMAL_SQL}, chr(10))) AS content_hash FROM documents",
     "d6_stable_id": "SELECT doc_id, 'doc_' || " + _ID_SQL.format(parts="coalesce(source, 'None') || chr(31) || doc_id || chr(31) || CASE WHEN doc_id % 3 = 0 THEN 'None' ELSE lang END") + " AS id FROM documents",

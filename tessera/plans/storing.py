@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.durable import shared_folder
 from tessera.functions import text as t
 from tessera.operators import drafts, ingestion, store
+from tessera.operators.gates import complete
 from tessera.session import table
 
 
@@ -136,8 +140,6 @@ SELECT operation_key, coalesce(run_status, '') AS run_status FROM k LEFT JOIN l
 
 def mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as entities, their orders as data points that refer to them by candidate id."""
-    from tessera.operators.gates import complete
-
     c = table(spark, sf_dir, "customer").select(F.concat(F.lit("c_"), F.col("c_custkey").cast("string")).alias("candidate_id"), F.lit("entity").alias("candidate_type"), F.when(F.col("c_custkey") % 9 == 0, "alien").otherwise("company").alias("entity_type"), F.col("c_name").alias("canonical_name"), F.lit("cu_1").alias("source_unit_id"))
     o = table(spark, sf_dir, "orders").select(F.concat(F.lit("d_"), F.col("o_orderkey").cast("string")).alias("candidate_id"), F.lit("data_point").alias("candidate_type"), F.lit("totalprice").alias("metric"), F.lit(1.0).alias("value"), F.lit("USD").alias("unit"), F.concat(F.lit("c_"), F.col("o_custkey").cast("string")).alias("entity_id"), F.concat(F.year("o_orderdate").cast("string"), F.lit("Q"), F.quarter("o_orderdate").cast("string")).alias("period"), F.lit("cu_2").alias("source_unit_id"))
     both = complete(c).unionByName(complete(o))
@@ -169,7 +171,74 @@ def accepted_or_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labels.groupBy("source").agg(F.array_join(F.array_sort(F.collect_set(F.col("quality").cast("string"))), ",").alias("actions")).join(accepted.groupBy("source").agg(F.count("*").alias("accepted")), "source", "left").join(both.groupBy("source").agg(F.count("*").alias("overlap")), "source", "left").na.fill(0)
 
 
+def documents_apart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document has a unit u1, a claim c1 and an evidence e1 for it; groups are by document, one for each source."""
+    docs = table(spark, sf_dir, "documents").select(F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("document_id"), F.coalesce("source", F.lit("none")).alias("g"))
+    kinds = docs.select("document_id", F.lit("u1").alias("source_unit_id"), F.lit("q").alias("source_quote"), F.explode(F.array(F.lit("claim"), F.lit("evidence"))).alias("candidate_type"))
+    is_claim = F.col("candidate_type") == "claim"
+    rows = kinds.select("*", F.when(is_claim, "c1").otherwise("e1").alias("candidate_id"), F.when(is_claim, "fact_claim").alias("claim_type"), F.when(is_claim, "s").alias("statement"), F.when(~is_claim, "support").alias("evidence_role"), F.when(~is_claim, "direct_quote").alias("evidence_type"), F.when(~is_claim, "c1").alias("target_object_id"))
+    groups = docs.select("document_id", F.lit("u1").alias("source_unit_id"), F.col("g").alias("independence_group"))
+    objects = drafts.map_candidates(complete(rows), groups, "ws")
+    claims = objects.where("object_type = 'claim'").select(F.col("id").alias("target_object_id"))
+    evidence = objects.where("object_type = 'evidence'").join(claims, "target_object_id", "left_semi")
+    return evidence.groupBy("independence_group").agg(F.count("*").alias("n"), F.count_distinct("id").alias("n_ids"), F.count_distinct("target_object_id").alias("n_targets"), F.max(F.array_join("source_refs", ",")).alias("units"))
+
+
+def _stored(spark: SparkSession, sf_dir: str) -> tuple[store.ObjectStore, DataFrame]:
+    """A fresh store with all orders as claims, and the rows: payloads of every tenth can't be upgraded."""
+    o = F.col("o_orderkey")
+    payload = F.when(o % 10 == 0, F.lit("broken")).otherwise(F.concat(F.lit('{"schema_version":"1.0","external_ids":{"k":"'), (o % 50).cast("string"), F.lit('"}}')))
+    day = F.col("o_orderdate").cast("timestamp")
+    rows = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("clm_"), o.cast("string")).alias("id"), F.lit("claim").alias("object_type"), F.lit("1.0").alias("schema_version"), F.lit("active").alias("lifecycle_status"), F.lit("w").alias("workspace_id"), F.lit("private").alias("privacy_level"),
+        F.lit("u").alias("created_by"), day.alias("created_at"), day.alias("updated_at"), F.lit(None).cast("timestamp").alias("deleted_at"), F.lit(1).alias("version"), payload.alias("payload"), o.alias("o"),
+    )
+    fresh = store.ObjectStore(spark, f"{shared_folder(spark).rstrip('/')}/store-{uuid.uuid4().hex}")
+    fresh.create(rows)
+    return fresh, rows
+
+
+def store_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders are stored, a third get new payloads, then a quarter are deleted and some of those restored."""
+    kept, rows = _stored(spark, sf_dir)
+    changes = lambda when, version: rows.where(when).select("id", F.lit(version).cast("int").alias("expected_version"))
+    kept.update(changes("o % 3 = 0", 1).withColumn("payload", F.lit('{"external_ids":{"k":"new"}}')))
+    kept.soft_delete(changes("o % 4 = 0", None))
+    kept.restore_deleted(changes("o % 8 = 0", None))
+    new = kept.by_external_id("claim", "w", "k", "new").select("id", F.lit(True).alias("new"))
+    return kept.read().join(new, "id", "left").groupBy("version", "lifecycle_status", F.coalesce("new", F.lit(False)).alias("new")).agg(F.count("*").alias("n"))
+
+
+_UPDATES_SQL = """
+SELECT CAST(1 + CAST(o_orderkey % 3 = 0 AS INTEGER) + CAST(o_orderkey % 4 = 0 AS INTEGER) + CAST(o_orderkey % 8 = 0 AS INTEGER) AS INTEGER) AS version, CASE WHEN o_orderkey % 4 = 0 AND o_orderkey % 8 <> 0 THEN 'deleted' ELSE 'active' END AS lifecycle_status,
+  o_orderkey % 3 = 0 AND NOT (o_orderkey % 4 = 0 AND o_orderkey % 8 <> 0) AS new, count(*) AS n FROM orders GROUP BY ALL"""
+
+
+def backup_restore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A backup of all orders, a migration, and the backup restored, also to a store that lacks every third order:
+    how many rows each step took and left, counted in full."""
+    kept, rows = _stored(spark, sf_dir)
+    folder = f"{kept.root}-backup"
+    saved = kept.backup(folder)
+    moved = kept.migrate(store.upgrade_payload, "1.0", "1.1")
+    back = kept.restore(folder, saved["sha256"])
+    other = store.ObjectStore(spark, f"{kept.root}-other")
+    other.create(rows.where("o % 3 <> 0"))
+    there = other.restore(folder, saved["sha256"])
+    reports = [("backup", saved["count"], 0), ("migrate", moved["migrated_count"], moved["failed_count"]), ("restore", back["restored_count"], back["failed_count"]), ("restore elsewhere", there["restored_count"], there["failed_count"])]
+    counted = spark.createDataFrame(reports, "step string, n long, failed long")
+    again = kept.read().join(rows.select("id", F.col("payload").alias("before")), "id").agg(F.lit("same payloads").alias("step"), F.count_if(F.col("payload") == F.col("before")).alias("n"), F.count_if(F.col("payload") != F.col("before")).alias("failed"))
+    return counted.unionByName(again)
+
+
+_BACKUP_SQL = """
+SELECT 'backup' AS step, count(*) AS n, 0 :: BIGINT AS failed FROM orders UNION ALL SELECT 'migrate', count(*) FILTER (o_orderkey % 10 <> 0), count(*) FILTER (o_orderkey % 10 = 0) FROM orders
+UNION ALL SELECT 'restore', count(*), 0 FROM orders UNION ALL SELECT 'restore elsewhere', count(*) FILTER (o_orderkey % 3 <> 0), count(*) FILTER (o_orderkey % 3 = 0) FROM orders UNION ALL SELECT 'same payloads', count(*), 0 FROM orders"""
+
 QUERIES = {
+    "n10_documents_apart": documents_apart,
+    "b1_n1_n2_store_updates": store_updates,
+    "b2_n4_n5_backup_restore": backup_restore,
     "e1_i1_list_objects": list_objects,
     "e2_e3_external_ids": external_ids,
     "g1_counts": counts,
@@ -187,6 +256,9 @@ QUERIES = {
 _KIND = "CASE o_orderkey % 3 WHEN 0 THEN 'data_point' WHEN 1 THEN 'claim' ELSE 'document' END"
 _SPACE = "CASE WHEN o_orderkey % 2 = 0 THEN 'a' ELSE 'b' END"
 ORACLES = {
+    "n10_documents_apart": "SELECT coalesce(source, 'none') AS independence_group, count(*) AS n, count(*) AS n_ids, count(*) AS n_targets, 'u1' AS units FROM documents GROUP BY ALL",
+    "b1_n1_n2_store_updates": _UPDATES_SQL,
+    "b2_n4_n5_backup_restore": _BACKUP_SQL,
     "e1_i1_list_objects": "SELECT 'obj_' || o_orderkey AS id, 'claim' AS object_type, 'a' AS workspace_id FROM orders WHERE o_orderkey % 3 = 1 AND o_orderkey % 2 = 0 AND o_orderkey % 11 <> 0 ORDER BY o_orderdate, id LIMIT 100 OFFSET 20",
     "e2_e3_external_ids": f"SELECT {_KIND} AS object_type, count(*) AS n, min('obj_' || o_orderkey) AS first_id FROM orders WHERE o_orderkey % 2 = 1 AND o_orderkey % 11 <> 0 AND (o_orderkey % 100 = 7 OR o_orderpriority = '1-URGENT') GROUP BY ALL",
     "g1_counts": f"SELECT {_KIND} AS object_type, {_SPACE} AS workspace_id, count(*) AS n_all, count(*) FILTER (o_orderkey % 11 <> 0) AS n_live FROM orders GROUP BY ALL",

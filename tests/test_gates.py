@@ -148,3 +148,57 @@ def test_bitmap_keeps_every_key(spark):
     assert set(range(0, 20_000, 97)) <= set(kept) and len(kept) < 1.1 * 20_000 / 97 + 10
     refs = spark.sql("SELECT * FROM VALUES ('k1'), ('k20001'), (CAST(NULL AS STRING)) AS t(r)")
     assert sorted(str(r.r) for r in joins.lacking(refs, "r", large, "k").collect()) == ["None", "k20001"]
+
+
+def plain_unit(quote, mode, units):
+    """The first unit by brute force: as it is, else with white space collapsed, else all tokens in tables."""
+    import unicodedata
+
+    q = unicodedata.normalize("NFKC", quote or "")
+    found = []
+    for unit, kind, seq, text in units:
+        if text is None:
+            continue
+        t = unicodedata.normalize("NFKC", text)
+        tokens = mode == "token_set" and kind.lower() in ("table", "table_row") and q.split() and set(q.split()) <= set(t.split())
+        rank = 1 if q in t else 2 if " ".join(q.split()) in " ".join(t.split()) else 3 if tokens else None
+        if rank:
+            found.append((rank, seq, unit))
+    return min(found)[2] if found else ""
+
+
+def test_resolution_against_brute_force(spark):
+    import random
+
+    rng = random.Random(11)
+    words = ["revenue", "grew", "by", "12%", "ＡＢＣ", "收入增长", "é", "a", "the company", "risk"]
+    line = lambda n: "".join(rng.choice(words) + rng.choice([" ", "  ", "\t", "", "　"]) for _ in range(n))
+    units = {d: [(f"{d}u{i}", rng.choice(["paragraph", "TABLE", "table_row"]), rng.randrange(9), rng.choice([None, "", line(1), line(9), line(9), line(40)])) for i in range(25)] for d in ("d1", "d2", "d3")}
+    quotes = []
+    for d in units:
+        for k in range(60):
+            text = rng.choice([t for _, _, _, t in units[d] if t])
+            a = rng.randrange(len(text))
+            part = text[a : a + rng.choice([0, 1, 3, 8, 14, 15, 16, 30, 90])]
+            part = rng.choice([part, part.replace(" ", "   "), part + "x", " ".join(reversed(part.split())), None, " "])
+            quotes.append((d, f"c{k}", part, rng.choice(["literal", "token_set"])))
+    frame = spark.createDataFrame([(d, *u) for d, us in units.items() for u in us] + [(None, "n", "paragraph", 0, "revenue grew")], "document_id string, unit_id string, unit_type string, sequence_no int, text string")
+    asked = spark.createDataFrame([(d, c, q, m, "") for d, c, q, m in quotes] + [("d9", "c", "revenue", "literal", ""), (None, "c", "revenue", "literal", None)], "document_id string, candidate_id string, source_quote string, quote_match_mode string, source_unit_id string")
+    got = {(r.document_id, r.candidate_id): r.source_unit_id for r in gates.resolve_quotes(asked, frame).collect()}
+    assert got == {(d, c): plain_unit(q, m, units[d]) for d, c, q, m in quotes} | {("d9", "c"): "", (None, "c"): ""}
+    assert sum(u != "" for u in got.values()) > 60
+
+
+def test_many_quotes_of_one_document_are_looked_up(spark):
+    """20,000 units, half of them a line that all share, and as many quotes: pairs stay near the number of quotes."""
+    from tessera.operators import quotes
+
+    n = 20_000
+    units = spark.range(n).selectExpr("'d' AS document_id", "concat('u', id) AS unit_id", "'paragraph' AS unit_type", "cast(id AS int) AS sequence_no", "CASE WHEN id % 2 = 0 THEN 'All rights reserved by the company.' ELSE concat('Revenue of division ', id, ' grew to ', id * 7, ' in the year.') END AS text")
+    asked = spark.range(n).selectExpr("'d' AS document_id", "concat('c', id) AS candidate_id", "CASE WHEN id % 2 = 0 THEN 'rights reserved by' ELSE concat('division ', id, ' grew to ', id * 7) END AS source_quote", "'literal' AS quote_match_mode")
+    found = quotes.first_units(asked, units)
+    wrong = found.where("unit <> CASE WHEN cast(substring(candidate_id, 2) AS int) % 2 = 0 THEN 'u0' ELSE concat('u', substring(candidate_id, 2)) END")
+    assert found.count() == n and wrong.isEmpty()
+    texts = units.selectExpr("sequence_no + 0L AS id", "1L AS salt", "text")
+    some = asked.where("source_quote LIKE 'div%'").selectExpr("cast(substring(candidate_id, 2) AS long) AS id", "1L AS salt", "source_quote AS text")
+    assert quotes._pairs(spark, some, texts).count() < 10 * n

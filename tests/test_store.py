@@ -237,7 +237,7 @@ def test_documents_stay_apart_to_the_end(spark, store):
 def test_signed_hash_is_a_tree_over_documents(spark):
     units = spark.range(40).selectExpr("concat('d', id) AS document_id", "concat('u', id) AS unit_id", "'paragraph' AS unit_type", "0 AS sequence_no", "'x' AS text")
     claims = units.selectExpr("document_id", "'c' AS candidate_id", "'claim' AS candidate_type", "'s' AS statement")
-    none = spark.createDataFrame([], "document_id string, candidate_id string, code string, severity string, detail string")
+    none = spark.createDataFrame([], "document_id string, code string, severity string, candidate_id string, gate_name string, source_unit_id string, detail string")
     signed = {workflow.signed_hash(claims.repartition(k), none, units, fan=3) for k in (1, 5)}
     changed = claims.withColumn("statement", F.when(F.col("document_id") == "d7", "t").otherwise(F.col("statement")))
     assert len(signed) == 1 and workflow.signed_hash(changed, none, units, fan=3) not in signed
