@@ -8,6 +8,7 @@ import sys
 
 from pyspark.sql import functions as F
 
+from tessera.functions.objects import CURRENT_VERSION, TYPES, json_schema
 from tessera.functions.schemas import registry
 from tessera.operators.store import SHOWN, ObjectStore, StoreError, upgrade_payload
 from tessera.session import local_session
@@ -26,7 +27,7 @@ def _parse(args: argparse.Namespace) -> dict:
 
 
 def _schemas(args: argparse.Namespace) -> dict:
-    return {"status": "ok", "schemas": registry()}
+    return {"status": "ok", "schemas": registry(), "objects": {kind: json_schema(kind) for kind in TYPES}, "latest": CURRENT_VERSION}
 
 
 def _backup(args: argparse.Namespace) -> dict:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.durable import shared_folder
 from tessera.functions import text as t
-from tessera.operators import drafts, ingestion, store
+from tessera.operators import drafts, gates, golden, ingestion, payloads, store
 from tessera.operators.gates import complete
 from tessera.session import table
 
@@ -157,18 +157,83 @@ UNION ALL SELECT 'data_point', c_name, '', count(*), CAST(min(make_date(year(o_o
 
 def collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys that two sections share."""
-    sections = [table(spark, sf_dir, n).select(F.col(k).cast("long").alias("id"), F.lit(n).alias("section")) for n, k in (("part", "p_partkey"), ("supplier", "s_suppkey"), ("customer", "c_custkey"))]
-    union = sections[0].unionByName(sections[1]).unionByName(sections[2])
-    return union.groupBy("id").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set("section")), ",").alias("sections")).where("n > 1")
+    sections = [table(spark, sf_dir, n).select(F.col(k).cast("long").alias("item_id"), F.lit(n).alias("section"), F.lit("all").alias("case_id")) for n, k in (("part", "p_partkey"), ("supplier", "s_suppkey"), ("customer", "c_custkey"))]
+    found = golden.id_collisions(sections[0].unionByName(sections[1]).unionByName(sections[2]))
+    return found.select(F.col("item_id").alias("id"), "n", F.array_join("sections", ",").alias("sections"))
 
 
 def accepted_or_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labels as verdicts: accepted without findings, their difference and overlap by source."""
+    """Labels as decisions and toxic ones as errors: actions seen, accepted ones and those in both sets, by source."""
     labels = table(spark, sf_dir, "labels").join(table(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id")
-    rejected = labels.where("toxic = 1").select("doc_id")
-    accepted = labels.where("quality = 1").join(rejected, "doc_id", "left_anti")
-    both = labels.where("quality = 1").join(rejected, "doc_id", "left_semi")
-    return labels.groupBy("source").agg(F.array_join(F.array_sort(F.collect_set(F.col("quality").cast("string"))), ",").alias("actions")).join(accepted.groupBy("source").agg(F.count("*").alias("accepted")), "source", "left").join(both.groupBy("source").agg(F.count("*").alias("overlap")), "source", "left").na.fill(0)
+    name = F.col("doc_id").cast("string")
+    candidates = labels.where("quality = 1").select(F.col("source").alias("document_id"), name.alias("candidate_id"), F.lit("claim").alias("candidate_type"))
+    errors = labels.where("toxic = 1").select(F.col("source").alias("document_id"), name.alias("candidate_id"), F.lit("X").alias("code"), F.lit("ERROR").alias("severity"))
+    judged = gates.verdicts(candidates, errors).groupBy(F.col("document_id").alias("source")).agg(F.count_if("accepted").alias("accepted"), F.count_if(~F.col("accepted")).alias("overlap"))
+    seen = golden.seen_values(labels.withColumn("action", F.col("quality").cast("string")), "source", "action")
+    return seen.select("source", F.array_join("seen", ",").alias("actions")).join(judged, "source", "left").na.fill(0)
+
+
+def golden_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each source is a case; a document gives it an entity, a data point, a claim, evidence, a fact candidate, a reject
+    and a decision, with what is wrong by the number of the document; its first line is a frozen unit."""
+    d = F.col("doc_id")
+    n = d.cast("string")
+    docs = table(spark, sf_dir, "documents").where("source IS NOT NULL").select("doc_id", F.col("source").alias("case_id"), F.concat(F.lit("x"), F.get(F.split(F.coalesce("text", F.lit("")), "\n"), F.lit(0))).alias("line"))
+    unit, quote = F.concat(F.lit("cu_"), n), F.when(d % 11 == 0, "no such words").otherwise("x")
+    has = lambda section, prefix, **fields: golden.complete(docs.select("case_id", F.lit(section).alias("section"), F.concat(F.lit(prefix), n).alias("item_id"), *(v.alias(k) for k, v in fields.items())))
+    parts = [
+        has("entity", "e"), has("entity", "e").where(F.expr("cast(substring(item_id, 2) AS long) % 29 = 0")),
+        has("data_point", "p", entity_id=F.concat(F.when(d % 7 == 0, "z").otherwise("e"), n), measurement_kind=F.when(d % 5 == 0, "odd").otherwise("ratio"), quote=quote, source_unit_id=unit),
+        has("claim", "c", claim_type=F.when(d % 3 == 0, "prediction").otherwise("opinion"), horizon_precision=F.when(d % 6 == 0, "exact"), promotable_to_fact=F.lit(False), quote=F.lit("x"), source_unit_id=F.when(d % 13 == 0, "").otherwise(unit), quote_match_mode=F.when(d % 17 == 0, "fuzzy")),
+        has("evidence", "v", target_object_id=F.concat(F.when(d % 2 == 0, "c").otherwise("p"), n), quote=F.lit("x"), source_unit_id=unit, evidence_role=F.lit("support")),
+        has("fact_candidate", "f", target_claim_id=F.when(d % 2 == 0, F.concat(F.lit("c"), n)), target_data_point_id=F.when(d % 3 == 0, F.concat(F.lit("p"), n)), supporting_evidence_ids=F.array(F.concat(F.lit("v"), n), F.when(d % 19 == 0, "v_none")), promotable=d % 4 == 0, valid_time=F.lit("2024"), confidence_rationale=F.when(d % 8 == 0, "r"), rejection_reason=F.lit("r")),
+        has("review_decision", "r", target_id=F.concat(F.lit("f"), n), action=F.when(d % 2 == 0, "APPROVE").otherwise("REVISE_AND_APPROVE"), revised_statement=F.when(d % 5 != 0, "s")),
+    ]
+    items = parts[0]
+    for more in parts[1:]:
+        items = items.unionByName(more)
+    units = docs.select("case_id", unit.alias("unit_id"), F.lit("paragraph").alias("unit_type"), F.lit(0).alias("sequence_no"), F.col("line").alias("text"))
+    i = F.regexp_extract("case_id", r"(\d+)", 1).cast("int")
+    cases = docs.select("case_id").distinct().select("case_id", F.when(i % 2 == 0, "a").alias("reviewed_by"), F.lit("2024-02-29T10:00:00Z").alias("annotated_at"), F.when(i % 3 == 0, "2023-02-29T10:00:00Z").otherwise("2024-01-01T00:00:00").alias("reviewed_at"))
+    return golden.golden_findings(items, units, cases).groupBy("section", "code").agg(F.count("*").alias("n"), F.count_distinct("case_id").alias("n_cases"))
+
+
+_GOLDEN_SQL = """
+WITH d AS (SELECT doc_id AS d, source AS s, CASE WHEN contains('x' || string_split(coalesce(text, ''), chr(10))[1], 'no such words') THEN 1 ELSE 0 END AS odd FROM documents WHERE source IS NOT NULL),
+c AS (SELECT DISTINCT s, CAST(regexp_extract(s, '([0-9]+)', 1) AS INTEGER) AS i FROM d),
+f AS (SELECT 'data_point' AS section, 'REFERENCE_NOT_FOUND' AS code, s FROM d WHERE d % 7 = 0 UNION ALL SELECT 'data_point', 'NOT_A_MEMBER', s FROM d WHERE d % 5 = 0
+  UNION ALL SELECT 'data_point', 'QUOTE_NOT_FOUND', s FROM d WHERE d % 11 = 0 AND odd = 0 UNION ALL SELECT 'entity', 'ID_COLLISION', s FROM d WHERE d % 29 = 0
+  UNION ALL SELECT 'claim', 'PREDICTION_WITHOUT_HORIZON', s FROM d WHERE d % 3 = 0 AND d % 6 <> 0 UNION ALL SELECT 'claim', 'ILLEGAL_UNIT_REFERENCE', s FROM d WHERE d % 13 = 0 AND d % 17 <> 0 UNION ALL SELECT 'claim', 'BAD_MATCH_MODE', s FROM d WHERE d % 17 = 0
+  UNION ALL SELECT 'fact_candidate', 'NO_TARGET', s FROM d WHERE d % 2 <> 0 AND d % 3 <> 0 UNION ALL SELECT 'fact_candidate', 'TWO_TARGETS', s FROM d WHERE d % 6 = 0 UNION ALL SELECT 'fact_candidate', 'REFERENCE_NOT_FOUND', s FROM d WHERE d % 19 = 0
+  UNION ALL SELECT 'fact_candidate', 'PROMOTABLE_WITHOUT_RATIONALE', s FROM d WHERE d % 4 = 0 AND d % 8 <> 0 UNION ALL SELECT 'review_decision', 'REVISION_WITHOUT_STATEMENT', s FROM d WHERE d % 2 = 1 AND d % 5 = 0
+  UNION ALL SELECT 'case', 'NO_REVIEWER', s FROM c WHERE i % 2 = 1 UNION ALL SELECT 'case', 'BAD_TIME', s FROM c WHERE i % 3 = 0 UNION ALL SELECT 'review_decision', 'ACTION_NOT_COVERED', NULL)
+SELECT section, code, count(*) AS n, count(DISTINCT s) AS n_cases FROM f GROUP BY ALL"""
+
+
+def payloads_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as payloads of claims and data points, wrong in a way of their own by key."""
+    o = F.col("o_orderkey")
+    way = (o % 16).cast("int")
+    head = lambda kind, version="1.1": F.concat(F.lit(f'{{"object_type":"{kind}","schema_version":"{version}","created_at":"'), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit('T00:00:00Z","external_ids":{"erp":"'), o.cast("string"), F.lit('"}'))
+    claim = ',"claim_type":"fact_claim","statement":"s","asserted_by":"a","source_ref":"cu_1"'
+    point = ',"metric":"totalprice","unit":"USD","entity_id":"ent_1","source_ref":"cu_1","period":{"start":"1995-01-01","end":"1995-03-31","precision":"quarter"},"value":'
+    with_point = lambda more: F.concat(head("data_point"), F.lit(point), F.col("o_totalprice").cast("string"), F.lit(more + "}"))
+    with_claim = lambda more, version="1.1", kind="claim", body=claim: F.concat(head(kind, version), F.lit(body + more + "}"))
+    forms = [
+        with_point(""), with_claim(""), with_claim("", version="1.0"), F.lit("{broken"), with_claim("", version="2.0"), with_claim("", kind="thing"), with_claim(',"extra":1'), with_claim("", body=claim.replace(',"statement":"s"', "")), with_claim(',"tags":null'),
+        with_claim(',"direct_quote":"yes"'), with_claim(',"status":"gone"'), with_claim("", body=claim.replace('"s"', '" "')), with_claim("", body=claim.replace("fact_claim", "prediction")), with_point(',"measurement_context":{"currency":"usd","scale_multiplier":0}'),
+        with_claim(',"provenance":{"origin_type":"derived","derivation_links":[]}'), with_claim(',"updated_at":"1990-01-01T00:00:00Z"'),
+    ]
+    rows = table(spark, sf_dir, "orders").select(o.cast("string").alias("id"), F.element_at(F.array(*forms), way + 1).alias("payload"))
+    found = payloads.payload_findings(rows)
+    return found.groupBy("code", "path").agg(F.count("*").alias("n"), F.min(F.col("id").cast("long")).alias("first_id"))
+
+
+_PAYLOADS_SQL = """
+WITH k(way, code, path) AS (VALUES (3, 'INVALID_JSON', ''), (4, 'UNSUPPORTED_VERSION', ''), (5, 'UNSUPPORTED_TYPE', ''), (6, 'UNKNOWN_FIELD', 'extra'), (7, 'MISSING_FIELD', 'statement'), (8, 'NULL_FIELD', 'tags'),
+  (9, 'WRONG_TYPE', 'direct_quote'), (10, 'NOT_A_MEMBER', 'status'), (11, 'TOO_SMALL', 'statement'), (12, 'PREDICTION_WITHOUT_HORIZON', ''), (13, 'BAD_CURRENCY', ''), (13, 'TOO_SMALL', 'measurement_context.scale_multiplier'),
+  (14, 'DERIVED_WITHOUT_ORIGINS', ''), (15, 'UPDATED_BEFORE_CREATED', ''))
+SELECT code, path, count(*) AS n, min(o_orderkey) AS first_id FROM orders JOIN k ON o_orderkey % 16 = way GROUP BY code, path"""
 
 
 def documents_apart(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,6 +301,8 @@ SELECT 'backup' AS step, count(*) AS n, 0 :: BIGINT AS failed FROM orders UNION
 UNION ALL SELECT 'restore', count(*), 0 FROM orders UNION ALL SELECT 'restore elsewhere', count(*) FILTER (o_orderkey % 3 <> 0), count(*) FILTER (o_orderkey % 3 = 0) FROM orders UNION ALL SELECT 'same payloads', count(*), 0 FROM orders"""
 
 QUERIES = {
+    "l12_f19_golden_gate": golden_gate,
+    "b4_e4_payloads": payloads_checked,
     "n10_documents_apart": documents_apart,
     "b1_n1_n2_store_updates": store_updates,
     "b2_n4_n5_backup_restore": backup_restore,
@@ -256,6 +323,8 @@ QUERIES = {
 _KIND = "CASE o_orderkey % 3 WHEN 0 THEN 'data_point' WHEN 1 THEN 'claim' ELSE 'document' END"
 _SPACE = "CASE WHEN o_orderkey % 2 = 0 THEN 'a' ELSE 'b' END"
 ORACLES = {
+    "l12_f19_golden_gate": _GOLDEN_SQL,
+    "b4_e4_payloads": _PAYLOADS_SQL,
     "n10_documents_apart": "SELECT coalesce(source, 'none') AS independence_group, count(*) AS n, count(*) AS n_ids, count(*) AS n_targets, 'u1' AS units FROM documents GROUP BY ALL",
     "b1_n1_n2_store_updates": _UPDATES_SQL,
     "b2_n4_n5_backup_restore": _BACKUP_SQL,
