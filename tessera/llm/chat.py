@@ -12,7 +12,8 @@ seams. The partitioned turns are cut off in the shared folder, so that both pass
 
 Defined results. Null or unknown role: renamed to what fits. Null text: empty. Null conversation id: one more
 conversation. Null turn: after all turns. Equal turns: ordered by a hash of role and text. Repeated rows: all stay.
-Empty table: no rows. Other columns are not read.
+Turns are integers, or text that holds one; any other is an error. Very long texts are carried whole. Empty table: no
+rows. Other columns are not read.
 """
 
 from __future__ import annotations

@@ -14,7 +14,7 @@ candidates with the items. Both give the same candidates.
 
 Defined results. Item ids are integers, or text that holds one; any other is an error. Null text, or fewer than five
 words, on either side: no shingles, nothing found. Null ids: kept as they are. Repeated items or documents: each is
-reported. Empty tables: no rows. Other columns pass through, but for one of the name `into`, which is replaced.
+reported. Very long texts are read whole, in slices. Empty tables: no rows. Other columns pass through, but for one of the name `into`, which is replaced.
 """
 
 from __future__ import annotations
@@ -185,18 +185,21 @@ def _bitmap(hashes: DataFrame):
 
 
 def _by_shuffle(docs: DataFrame, items: DataFrame, text_col: str, into: str, containment: float) -> DataFrame:
-    """The same search with the items spread out."""
+    """The same search with the items spread out. Only hashes that pass the bitmap are shuffled, never texts; each item is
+    met over SALTS parts of the documents, so that a passage in most of them comes to no single task."""
     digest = lambda text: F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
-    texts = docs.select(digest(F.col(text_col)).alias("key"), F.col(text_col).cast("string").alias("text")).dropDuplicates(["key"])
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salted = lambda rows: rows.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))
+    texts = docs.select(digest(F.col(text_col)).alias("key"), F.col(text_col).cast("string").alias("text"))
     item_keys = items.select("item", "text", digest(F.col("text")).alias("item_key"))
     item_rows = checkpoint(item_keys.select("item_key", "text").dropDuplicates(["item_key"]).mapInArrow(_item_shingles(containment), "item_key binary, hash long, kept boolean, need int, n long"))
-    held = checkpoint(texts.mapInArrow(_document_shingles(_bitmap(item_rows)), "key binary, hash long"))
-    sketches = item_rows.where("kept").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    looked_up = held.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")).join(sketches, ["hash", "salt"])
+    held = checkpoint(texts.mapInArrow(_document_shingles(_bitmap(item_rows)), "key binary, hash long").distinct())
+    sketches = item_rows.where("kept").withColumn("salt", salts)
+    looked_up = salted(held).join(sketches, ["hash", "salt"])
     near = looked_up.groupBy("key", "item_key").agg(F.count("*").alias("held"), F.min("need").alias("need")).where("held >= need").select("key", "item_key")
-    shared = near.join(item_rows.select("item_key", "hash", "n"), "item_key").join(held, ["key", "hash"])
+    shared = salted(near).join(item_rows.select("item_key", "hash", "n").withColumn("salt", salts), ["item_key", "salt"]).join(held, ["key", "hash"])
     verified = shared.groupBy("key", "item_key").agg(F.count("*").alias("n_shared"), F.min("n").alias("n_shingles")).where(F.col("n_shared") >= containment * F.col("n_shingles"))
-    named = verified.join(item_keys.select("item", "item_key"), "item_key")
+    named = salted(verified).join(item_keys.select("item", "item_key").withColumn("salt", salts), ["item_key", "salt"])
     found = named.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("item", "n_shingles", "n_shared"))).alias("__found"))
     joined = docs.withColumn("__key", digest(F.col(text_col))).join(found.withColumnRenamed("key", "__key"), "__key", "left")
     return joined.withColumn(into, F.coalesce("__found", F.array().cast(FOUND))).drop("__key", "__found")

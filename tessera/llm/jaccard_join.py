@@ -18,7 +18,7 @@ compared by 64-bit hash: with n sets about n * n / 2**65 pairs meet by chance.
 
 Defined results. Ids are integers, or text that holds one; any other is an error. Null text or text without words: a
 class of its own, no links. Fewer than five words: one shingle, all the words. Null id: the class takes the least id
-that isn't null. Repeated rows or ids: each row counts as a document. Empty table: no rows. Other columns are not
+that isn't null. Repeated rows or ids: each row counts as a document. Very long texts are read whole. Empty table: no rows. Other columns are not
 read, and pass through `keep_one`.
 """
 

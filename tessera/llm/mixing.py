@@ -18,7 +18,7 @@ so fewer than 10**9 draws are ever split, which the generator needs, up to 10**8
 
 Defined results. Null text: size 0. Null source: a source of its own, the last. Size 0: in the mix where its block is.
 Rows that repeat both id and text are taken together, and count with all their words. Null ids: as one more id. No
-document has more than `most` copies. Empty table: no rows. Other columns pass through `mix`, but for mix_copy,
+document has more than `most` copies. Very long texts are one row as any. Empty table: no rows. Other columns pass through `mix`, but for mix_copy,
 mix_shard and mix_place, which it replaces: a mix can be mixed again.
 """
 

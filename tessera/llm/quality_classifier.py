@@ -10,7 +10,8 @@ crc32(id as text) mod 5 is not 0. Labels, language, source and id are never inpu
 
 Defined results. Null or empty text: no n-grams, so it gets the score of the bare intercept. Null id: never held out
 (no remainder), scored like any other. Repeated rows: each is scored. No usable labels, or labels of one kind: the
-score is their smoothed share, 0.5 without any. Very long texts are read whole. Empty table: no rows.
+score is their smoothed share, 0.5 without any. Very long texts are read whole. Ids of labelled rows are integers; others
+are an error. Empty table: no rows. Other columns pass through; one named as `into` (score) is replaced.
 """
 
 from __future__ import annotations

@@ -6,7 +6,8 @@ constraints). It is kept if it passes the limits and the trees give it a chance
 
 Defined results. Null or empty text: no words, so it fails the limits. Null id: scored like any other. Repeated rows:
 each is scored. No labels, or labels of one kind: the trees keep everything. A document labelled twice counts by its
-highest label; null labels don't count. Empty table: no rows. Other columns pass through untouched.
+highest label; null labels don't count. Ids of labelled rows are integers; others are an error. Very long texts are read
+whole. Empty table: no rows. Other columns pass through; one named as `into` (judged) is replaced by `judge_quality`.
 """
 
 from __future__ import annotations

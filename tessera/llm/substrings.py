@@ -12,7 +12,8 @@ Windows are compared by 64-bit hash. With n windows in the corpus about n * n /
 
 Defined results. Null text: no words. Text shorter than the window: nothing is removed. Null id: after all ids, and
 never before another null. Rows with the same id: they never remove each other's words. Repeated rows: each gets the
-same result. Empty table: no rows. Other columns are not read.
+same result. Very long texts are read whole, one to a slice. Ids are integers, or text that holds one; any other is an error. Empty table: no rows.
+Other columns are not read.
 """
 
 from __future__ import annotations

@@ -20,7 +20,8 @@ before an anchor is compared by hash.
 
 Defined results. Null text: empty. Texts shorter than `length`: nothing removed. Null id: after all ids. Rows with one
 id: one document after the other, in the order of a hash of their texts; rows that repeat id and text are one document
-and get the same result. Empty table: no rows. Other columns are not read.
+and get the same result. Ids are integers, or text that holds one; any other is an error. Very long texts are read whole,
+one to a slice. Empty table: no rows. Other columns are not read.
 """
 
 from __future__ import annotations

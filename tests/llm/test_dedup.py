@@ -362,3 +362,20 @@ def test_rows_of_a_large_group_stay_spread(spark):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert sum(counts) == 6400 and max(counts) < 1000
+
+
+def test_a_passage_in_most_documents_is_met_in_parts(spark):
+    """The shuffle form on whole tables of sf0.01 gives the SQL's rows; a passage that every document holds is dealt over the salts."""
+    import duckdb
+
+    sf = "/root/testdata/sf0.01"
+    docs, items = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "benchmark"))
+    found = decontamination.find_leaks(docs.select("doc_id", "text"), items, most_items=0).selectExpr("doc_id", "explode(leaks) AS l").selectExpr("doc_id", "l.item AS item_id", "l.n_shingles", "l.n_shared")
+    wide = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        wide.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+    assert {tuple(r) for r in found.collect()} == set(wide.sql(decontamination.ORACLE).fetchall())
+    passage = "one two three four five six seven eight nine ten eleven twelve thirteen"
+    many = spark.range(3000).selectExpr("id AS doc_id", f"concat('w', id, ' ', '{passage}', ' v', id) AS text")
+    hot = decontamination.find_leaks(many, spark.createDataFrame([(1, passage), (2, passage)], "item_id long, text string"), most_items=0)
+    assert hot.where("size(leaks) = 2").count() == 3000

@@ -93,3 +93,46 @@ def test_dual_coordinate_descent_separates():
     rows = [np.array([i % 2, 5]) for i in range(40)]
     model = quality_classifier.fit_rows(rows, np.array([i % 2 for i in range(40)]))
     assert model.score(np.array([1, 5])) > 0.8 > 0.2 > model.score(np.array([0, 5]))
+
+
+def test_descent_matches_a_plain_solver():
+    """The dual is a concave program in a box: projected gradient steps to the same weights."""
+    rng = np.random.default_rng(3)
+    rows = [np.unique(rng.integers(0, 12, 6)) for _ in range(60)]
+    y = np.where([(r < 6).mean() + 0.2 * rng.standard_normal() > 0.5 for r in rows], 1.0, -1.0)
+    ratio = np.zeros(quality_classifier.SIZE)
+    ratio[:12] = rng.uniform(-2, 2, 12)
+    cost = np.where(y > 0, 0.7, 1.1)
+    weights, intercept = quality_classifier._descend(rows, y, ratio, cost, 2000)
+    x = np.zeros((60, 13))
+    for i, r in enumerate(rows):
+        x[i, r], x[i, 12] = ratio[r] / np.sqrt(len(r)), 1.0
+    gram = (x * y[:, None]) @ (x * y[:, None]).T
+    alpha, step = np.zeros(60), 1 / np.linalg.eigvalsh(gram).max()
+    for _ in range(200_000):
+        alpha = np.clip(alpha - step * (gram @ alpha - 1), 0, cost)
+    w = (x * y[:, None]).T @ alpha
+    loss = lambda v: 0.5 * v @ v + (cost * np.maximum(0, 1 - y * (x @ v))).sum()
+    mine = np.append(weights[:12] / np.where(ratio[:12] == 0, 1, ratio[:12]), intercept)
+    assert abs(loss(mine) - loss(w)) < 0.01 * loss(w) and np.abs(mine - w).max() < 0.05
+
+
+def test_indicators_match_sets(awkward):
+    import pyarrow as pa
+
+    def plain(text):
+        data = (text or "").encode()
+        if not data:
+            return set()
+        hashed = lambda v, bits: ((v * 2654435761) % (1 << 32)) >> (32 - bits)
+        kind = lambda b: 6 if b >= 128 else 1 if 97 <= b < 123 else 2 if 65 <= b < 91 else 3 if 48 <= b < 58 else 4 if b in b".,;:!?" else 5 if b in b"#*$%&|<>=_@~^" else 0
+        grams = {hashed(data[i] | data[i + 1] << 8 | data[i + 2] << 16, 17) for i in range(len(data) - 2)}
+        words = re.findall(rb"[^\x20\x09-\x0D]+", data)
+        shape = [((kind(w[0]) * 7 + kind(w[-1])) * 8 + min(len(w), 7)) * 2 + (i > 0 and w == words[i - 1]) for i, w in enumerate(words)]
+        shapes = {(1 << 17) + hashed(a * 1024 + b, 15) for a, b in zip(shape[:-1], shape[1:], strict=True)}
+        share = brute(text)[4] / max(len(words), 1)
+        return grams | shapes | {quality_classifier.SIZE - 16 + k for k in range(int(10 * share) + 1)}
+
+    texts = [t for _, t in awkward] + ["a b. C d9 $x x x", "one two " * 9]
+    got = [set(next(quality_classifier.indicators(pa.array([t], pa.string()))).tolist()) for t in texts]
+    assert got == [plain(t) for t in texts]
