@@ -112,6 +112,33 @@ def trace_paths(graph: DataFrame, starts: DataFrame, objects: DataFrame, max_dep
     return done.select("start", F.col("node").alias("source"), "path", (F.size("path") - 1).alias("depth"))
 
 
+def trace_dag(graph: DataFrame, starts: DataFrame, objects: DataFrame, max_depth: int = MAX_DEPTH, source_prefix: str = "src_") -> DataFrame:
+    """K4 without enumerating: (start, src, dst, n): the dependencies on the paths from each start, and how many paths lead to src.
+
+    A row for each start and dependency, whatever the number of paths: those of one node are counted together at each step.
+    Paths of more than `max_depth` nodes, which a cycle always gives, are an error, and so are unknown starts."""
+    graph = checkpoint(graph.where(~F.col("src").startswith(source_prefix)))  # read at every step; a path stops at its first source
+    scratch = Scratch(graph.sparkSession)
+    one = F.lit(1).cast("decimal(38,0)")
+    level = scratch.put(known_starts(starts, objects).select(F.col("id").alias("start"), F.col("id").alias("node"), one.alias("n")))
+    levels = [level]
+    while True:
+        step = level.join(graph, level["node"] == graph["src"]).groupBy("start", F.col("dst").alias("node")).agg(F.sum("n").cast("decimal(38,0)").alias("n"))
+        level = scratch.put(step)
+        if level.isEmpty():
+            break
+        levels.append(level)
+        if len(levels) > max_depth:
+            raise RuntimeError(f"paths have more than {max_depth} nodes")
+    reached = reduce(DataFrame.unionByName, levels).groupBy("start", "node").agg(F.sum("n").cast("decimal(38,0)").alias("n"))
+    return reached.join(graph, reached["node"] == graph["src"]).select("start", "src", "dst", "n")
+
+
+def path_counts(dag: DataFrame, source_prefix: str = "src_") -> DataFrame:
+    """(start, source, n_paths) from a `trace_dag`: how many paths `trace_paths` would list. A start that is a source has none here."""
+    return dag.where(F.col("dst").startswith(source_prefix)).groupBy("start", F.col("dst").alias("source")).agg(F.sum("n").cast("decimal(38,0)").alias("n_paths"))
+
+
 def trace_sources(graph: DataFrame, starts: DataFrame, objects: DataFrame, source_prefix: str = "src_") -> DataFrame:
     """The sources that each start reaches, however far away, without enumerating paths: what scales on dense graphs. A start
     that isn't among `objects` is an error.

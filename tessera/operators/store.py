@@ -1,9 +1,11 @@
 """A versioned object store on plain Parquet (survey A9-A12, B1-B3, D27, E1-E3, G1, G11, I1, N1-N6).
 
-A store is a folder. Data files are written once under data/; a manifest, which maps each object type to its current
-data, is one small text file with the next number, created only if no such file is there. A commit therefore replaces
-whole object types, is seen at once or not at all, and fails if another writer was first. Readers resolve the newest
-manifest. Paths go through the cluster's own file systems, so any store that Spark can write will do; exclusive
+A store is a folder. Data files are written once under data/; a manifest, which maps each object type and bucket of ids to
+its current data, is one small text file with the next number, created only if no such file is there. A commit therefore
+replaces whole buckets, those that its ids fall into and no others, is seen at once or not at all, and fails if another
+writer was first. A look-up of an id reads one bucket of each type. The number of buckets is fixed with the first commit.
+Readers resolve the newest manifest; one that maps whole types is read too, and its types are dealt into buckets when a
+commit touches them. Paths go through the cluster's own file systems, so any store that Spark can write will do; exclusive
 creation is as atomic as the file system makes it."""
 
 from __future__ import annotations
@@ -11,7 +13,9 @@ from __future__ import annotations
 import hashlib
 import json
 import uuid
-from functools import reduce
+import zlib
+
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +26,10 @@ from tessera.functions.text import redact_url_password
 MOST_ROWS, MOST_RAW_ROWS = 1000, 10_000
 #: Ids that a report lists at most; its counts cover all.
 SHOWN = 100
+#: Buckets of each object type in a new store.
+BUCKETS = 16
+#: Entries of a manifest that aren't data: the number of buckets, and a migration that is under way.
+_BUCKETS, _MIGRATION = "__buckets", "__migration"
 
 
 class StoreError(RuntimeError):
@@ -33,8 +41,8 @@ class StoreError(RuntimeError):
 
 
 class ObjectStore:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
 
     # Files
 
@@ -50,7 +58,7 @@ class ObjectStore:
         return sorted(int(s.getPath().getName()) for s in fs.listStatus(folder) if s.getPath().getName().isdigit())
 
     def manifest(self, version: int | None = None) -> tuple[int, dict[str, str]]:
-        """The version (0: empty) and the data folder of each object type."""
+        """The version (0: empty) and the data folder of each type and bucket, as type/bucket."""
         versions = self._versions()
         version = version if version is not None else (versions[-1] if versions else 0)
         if not version:
@@ -77,11 +85,27 @@ class ObjectStore:
 
     # Reading
 
+    def _count(self, folders: dict[str, str]) -> int:
+        return int(folders.get(_BUCKETS, self.buckets))
+
+    @staticmethod
+    def _paths(folders: dict[str, str], types: Iterable[str] = (), buckets: Iterable[int] | None = None) -> list[str]:
+        """The folders of some types and buckets; a folder of a whole type counts for each of its buckets."""
+        types, buckets = set(types), None if buckets is None else set(buckets)
+        parts = [(key.partition("/"), path) for key, path in sorted(folders.items()) if not key.startswith("__")]
+        return [path for (kind, _, bucket), path in parts if (not types or kind in types) and (buckets is None or not bucket or int(bucket) in buckets)]
+
+    def _load(self, paths: list[str]) -> DataFrame:
+        return self.spark.read.schema(OBJECT_RECORD).parquet(*paths) if paths else self.spark.createDataFrame([], OBJECT_RECORD)
+
     def read(self, *types: str, version: int | None = None) -> DataFrame:
         """All records, or those of some types only: other types' files aren't touched."""
         _, folders = self.manifest(version)
-        wanted = [path for kind, path in sorted(folders.items()) if not types or kind in types]
-        return self.spark.read.schema(OBJECT_RECORD).parquet(*wanted) if wanted else self.spark.createDataFrame([], OBJECT_RECORD)
+        return self._load(self._paths(folders, types))
+
+    def _touched_by(self, folders: dict[str, str], ids: DataFrame) -> list[int]:
+        """The buckets that ids (id) fall into."""
+        return sorted(r.b for r in ids.select(bucket_of(F.col("id"), self._count(folders)).alias("b")).distinct().collect())
 
     def list(self, object_type: str | None = None, workspace_id: str | None = None, status: str | None = None, include_deleted: bool = False, limit: int = 100, offset: int = 0) -> DataFrame:
         """Filtered, ordered by creation and id, with bounds of 1 to 1000 and 0."""
@@ -97,8 +121,10 @@ class ObjectStore:
         return self.read().where(F.col("schema_version") == schema_version).orderBy("created_at", "id").offset(offset).limit(limit)
 
     def get(self, object_id: str) -> dict | None:
-        """A11."""
-        row = self.read().where(F.col("id") == object_id).first()
+        """One bucket of each type is read."""
+        _, folders = self.manifest()
+        paths = self._paths(folders, buckets=[zlib.crc32(object_id.encode()) % self._count(folders)])
+        row = self._load(paths).where(F.col("id") == object_id).first()
         return row.asDict() if row else None
 
     def get_required(self, object_id: str) -> dict:
@@ -128,28 +154,34 @@ class ObjectStore:
 
     # Writing
 
-    def _commit(self, base: int, folders: dict[str, str], changed: dict[str, DataFrame]) -> int:
-        folders = dict(folders)
-        for kind, rows in changed.items():
+    def _replace(self, base: int, folders: dict[str, str], rows: DataFrame, notes: dict[str, str] | None = None) -> int:
+        """Commits rows that add to, or replace by id, what is there: their buckets are written anew, once a type."""
+        n = self._count(folders)
+        bucket = bucket_of(F.col("id"), n)
+        own: dict[str, set[int]] = {}
+        for r in rows.select("object_type", bucket.alias("b")).distinct().collect():
+            own.setdefault(r.object_type, set()).add(r.b)
+        if not own:
+            return base
+        folders = folders | {_BUCKETS: str(n)} | (notes or {})
+        for kind, buckets in sorted(own.items()):
+            if kind in folders:  # of a manifest that maps whole types
+                buckets = set(range(n))
+            new = rows.where(F.col("object_type") == kind).select(*OBJECT_RECORD.names)
+            old = self._load(self._paths(folders, [kind], buckets)).join(new.select("id"), "id", "left_anti").select(*OBJECT_RECORD.names)
             path = f"{self.root}/data/{uuid.uuid4().hex}/{kind}"
-            rows.select(*OBJECT_RECORD.names).write.parquet(path)
-            folders[kind] = path
+            old.unionByName(new).withColumn("bucket", bucket).repartition(n, "bucket").write.partitionBy("bucket").parquet(path)
+            folders.pop(kind, None)
+            fs, folder = self._fs(path)
+            written = {s.getPath().getName() for s in fs.listStatus(folder)}
+            folders |= {f"{kind}/{b}": f"{path}/bucket={b}" for b in buckets if f"bucket={b}" in written}
         return self._switch(base + 1, folders)
 
-    def _replace(self, base: int, folders: dict[str, str], rows: DataFrame) -> int:
-        """Commits rows that add to, or replace by id, what is there, one new folder for each type they have."""
-        changed = {}
-        for kind in sorted(r[0] for r in rows.select("object_type").distinct().collect()):
-            own = rows.where(F.col("object_type") == kind)
-            old = self.spark.read.schema(OBJECT_RECORD).parquet(folders[kind]) if kind in folders else None
-            changed[kind] = old.join(own.select("id"), "id", "left_anti").select(*OBJECT_RECORD.names).unionByName(own.select(*OBJECT_RECORD.names)) if old is not None else own
-        return self._commit(base, folders, changed) if changed else base
-
     def create(self, rows: DataFrame) -> int:
         """B1: inserts; ids that are there, or come twice, are an error and nothing is written."""
         base, folders = self.manifest()
         twice = rows.groupBy("id").count().where("count > 1").select("id")
-        there = rows.select("id").join(self.read(version=base) if base else self.spark.createDataFrame([], OBJECT_RECORD), "id", "left_semi")
+        there = rows.select("id").join(self._load(self._paths(folders, buckets=self._touched_by(folders, rows))), "id", "left_semi")
         bad = [r.id for r in twice.unionByName(there).limit(5).collect()]
         if bad:
             raise StoreError("DUPLICATE_OBJECT", ", ".join(bad))
@@ -161,7 +193,7 @@ class ObjectStore:
         if twice:
             raise StoreError("DUPLICATE_CHANGE", ", ".join(map(str, twice)))
         base, folders = self.manifest()
-        now = self.read(version=base) if base else self.spark.createDataFrame([], OBJECT_RECORD)
+        now = self._load(self._paths(folders, buckets=self._touched_by(folders, changes)))
         joined = changes.select("id", "expected_version").join(now, "id", "left")
         wrong = joined.where(F.col("version").isNull() | (F.col("expected_version").isNotNull() & (F.col("expected_version") != F.col("version")))).limit(5).collect()
         if wrong:
@@ -214,22 +246,53 @@ class ObjectStore:
         """A report as one JSON line."""
         self.spark.createDataFrame([(json.dumps(content, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(folder)
 
-    def migrate(self, upgrade, from_version: str, to_version: str, dry_run: bool = False, backup_folder: str | None = None) -> dict:
+    def migrate(
+        self, upgrade, from_version: str, to_version: str, dry_run: bool = False, backup_folder: str | None = None,
+        batch: int | None = None, fail_fast: bool = False, object_type: str | None = None, workspace_id: str | None = None,
+    ) -> dict:
         """Upgrades payloads (a Column function) of one schema version; rows whose upgrade is null fail and stay.
 
-        The backup comes first; a dry run writes nothing."""
+        The backup comes first; a dry run writes nothing. `batch` buckets are committed at a time, all at once if null, and each
+        commit notes in the manifest which buckets are done and the counts so far: a run that was killed goes on where it was
+        when called again, with its first backup. With `fail_fast` the first batch with a failure stops the run; those before it stay."""
         base, folders = self.manifest()
-        selected = self.read(version=base).where(F.col("schema_version") == from_version) if base else self.spark.createDataFrame([], OBJECT_RECORD)
-        upgraded = selected.withColumn("__new", upgrade(F.col("payload"), F.col("object_type")))
-        counts = upgraded.agg(F.count("*").alias("n"), F.count("__new").alias("ok")).first()
-        failed = [r.id for r in upgraded.where("__new IS NULL").select("id").orderBy("id").limit(SHOWN).collect()]
-        report = {"selected_count": counts.n, "migrated_count": 0 if dry_run else counts.ok, "would_migrate_count": counts.ok, "failed_count": counts.n - counts.ok, "failed_ids": failed, "dry_run": dry_run}
-        if not dry_run and counts.ok:
-            if backup_folder:
-                report["backup"] = self.backup(backup_folder, from_version)
-            moved = upgraded.where("__new IS NOT NULL").withColumn("payload", F.col("__new")).withColumn("schema_version", F.lit(to_version)).drop("__new")
-            self._replace(base, folders, _touched(moved))
-        return report
+        run = f"{from_version}>{to_version}:{object_type or ''}:{workspace_id or ''}"
+        state = json.loads(folders.get(_MIGRATION, "{}"))
+        if state and state["run"] != run:
+            raise StoreError("MIGRATION_RUNNING", state["run"])
+        state = state or {"run": run, "done": [], "migrated": 0, "failed": 0, "backup": None}
+
+        def upgraded(buckets: Iterable[int] | None) -> DataFrame:
+            rows = self._load(self._paths(folders, [object_type] * bool(object_type), buckets)).where(F.col("schema_version") == from_version)
+            rows = rows if buckets is None else rows.where(bucket_of(F.col("id"), self._count(folders)).isin(*buckets))
+            return repository_filter(rows, None, workspace_id, None, True).withColumn("__new", upgrade(F.col("payload"), F.col("object_type")))
+
+        failing = upgraded(None).where("__new IS NULL")
+        total = upgraded(None).agg(F.count("*").alias("n"), F.count("__new").alias("ok")).first()
+        report = {"selected_count": total.n, "would_migrate_count": total.ok, "failed_count": total.n - total.ok, "failed_ids": [r.id for r in failing.select("id").orderBy("id").limit(SHOWN).collect()], "dry_run": dry_run, "migrated_count": 0}
+        if dry_run or not (total.ok or state["done"]):
+            return report
+        if backup_folder and not state["backup"]:
+            state["backup"] = self.backup(backup_folder, from_version)
+        left = [b for b in range(self._count(folders)) if b not in state["done"]]
+        size = batch or len(left) or 1
+        for k in range(0, len(left), size):
+            buckets = left[k : k + size]
+            rows = upgraded(buckets)
+            counts = rows.agg(F.count("*").alias("n"), F.count("__new").alias("ok")).first()
+            if fail_fast and counts.ok < counts.n:
+                raise StoreError("MIGRATION_FAILED", ", ".join(r.id for r in rows.where("__new IS NULL").select("id").orderBy("id").limit(5).collect()))
+            state["done"], state["migrated"] = state["done"] + buckets, state["migrated"] + counts.ok
+            last = k + size >= len(left)
+            if counts.ok:
+                moved = rows.where("__new IS NOT NULL").withColumn("payload", F.col("__new")).withColumn("schema_version", F.lit(to_version)).drop("__new")
+                folders = {key: v for key, v in folders.items() if key != _MIGRATION}
+                base = self._replace(base, folders, _touched(moved), {} if last else {_MIGRATION: json.dumps(state)})
+            elif last and _MIGRATION in folders:
+                base = self._switch(base + 1, {key: v for key, v in folders.items() if key != _MIGRATION})
+            _, folders = self.manifest(base)
+        report["migrated_count"] = state["migrated"]
+        return report | ({"backup": state["backup"]} if state["backup"] else {})
 
     def restore(self, folder: str, sha256: str, current_backup: str | None = None) -> dict:
         """Payloads from a backup, verified before any line is read; lines without a record are errors."""
@@ -240,7 +303,7 @@ class ObjectStore:
         base, folders = self.manifest()
         parsed = F.from_json("value", "id string, payload string, record_version int, schema_version string", {"mode": "FAILFAST"})
         lines = self.spark.read.text(f"{folder}/objects").select(parsed.alias("x")).select("x.*")
-        now = self.read(version=base)
+        now = self._load(self._paths(folders))
         joined = lines.select("id", F.col("payload").alias("__p"), F.col("schema_version").alias("__s")).join(now, "id", "left")
         missing = joined.where("version IS NULL").select("id")
         failed = [r.id for r in missing.orderBy("id").limit(SHOWN).collect()]
@@ -251,6 +314,10 @@ class ObjectStore:
         return {"restored_count": n, "failed_count": n_failed, "failed_ids": failed}
 
 
+def bucket_of(object_id: Column, n: int) -> Column:
+    return F.coalesce(F.crc32(object_id) % n, F.lit(0)).cast("int")
+
+
 def _touched(rows: DataFrame) -> DataFrame:
     return rows.withColumn("version", (F.col("version") + 1).cast("int")).withColumn("updated_at", F.current_timestamp())
 

@@ -116,6 +116,22 @@ SELECT CASE WHEN a.doc_id % 72 = 71 THEN 'src_' ELSE 'doc_' END || a.doc_id AS s
 FROM documents a JOIN documents s ON s.doc_id = a.doc_id - a.doc_id % 72 + 71"""
 
 
+def path_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: documents in ladders of 33 diamonds, each with a source at its end, and how many paths lead there."""
+    i = F.col("doc_id") % 100
+    name = lambda c: F.concat(F.when(c % 100 == 99, "src_").otherwise("doc_"), c.cast("string"))
+    steps = F.explode(F.when(i % 3 == 0, F.array(F.lit(1), F.lit(2))).when(i % 3 == 1, F.array(F.lit(2))).otherwise(F.array(F.lit(1)))).alias("step")
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    links = docs.where(i < 99).select("doc_id", steps).select(name(F.col("doc_id")).alias("src"), name(F.col("doc_id") + F.col("step")).alias("dst"))
+    starts = docs.where((i % 3 == 0) & (i < 99)).select(name(F.col("doc_id")).alias("id"))
+    counted = graph.path_counts(graph.trace_dag(links, starts, docs.select(name(F.col("doc_id")).alias("id")), max_depth=100))
+    return counted.select("start", "source", F.col("n_paths").cast("long").alias("n_paths"))
+
+
+_PATH_COUNTS_SQL = """
+SELECT 'doc_' || doc_id AS start, 'src_' || (doc_id - doc_id % 100 + 99) AS source, 1 :: BIGINT << CAST(33 - (doc_id % 100) // 3 AS BIGINT) AS n_paths FROM documents WHERE doc_id % 100 < 99 AND doc_id % 100 % 3 = 0"""
+
+
 def _starts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return objects(spark, sf_dir).where("object_type = 'document'").select("id")
 
@@ -172,6 +188,7 @@ QUERIES = {
     "k3_cycle_members": cycles,
     "k3_long_cycles": long_cycles,
     "k4_long_traces": long_traces,
+    "k4_path_counts": path_counts,
     "k4_j5_trace_paths": trace_paths,
     "k4_trace_sources": trace_sources,
     "f8_unit_sources": unit_sources,
@@ -189,6 +206,7 @@ UNION ALL SELECT 'DANGLING_REFERENCE', true, count(*) FROM edge WHERE dst NOT IN
     "k3_cycle_members": _CYCLES_SQL,
     "k3_long_cycles": _LONG_SQL,
     "k4_long_traces": _LONG_TRACES_SQL,
+    "k4_path_counts": _PATH_COUNTS_SQL,
     "k4_j5_trace_paths": """
 SELECT 'doc_' || o_orderkey AS start, 'src_r' || n_regionkey AS source, 'doc_' || o_orderkey || '>ent_c' || c_custkey || '>ent_n' || n_nationkey || '>src_r' || n_regionkey AS path, 3 :: BIGINT AS depth
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""",

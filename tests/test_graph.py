@@ -126,3 +126,18 @@ def test_sources_far_away(spark):
     g = edges(spark, *((f"ent_{i}", f"ent_{i + 1}") for i in range(65)), ("ent_65", "src_1"), ("ent_3", "src_2"), ("ent_65", "ent_0"))
     start = spark.createDataFrame([("ent_0",)], "id string")
     assert {tuple(r) for r in graph.trace_sources(g, start, start).collect()} == {("ent_0", "src_1"), ("ent_0", "src_2")}
+
+
+def test_paths_are_counted_without_being_listed(spark):
+    ladder = [(f"l{i}", f"l{i}{k}") for i in range(40) for k in "ab"] + [(f"l{i}{k}", f"l{i + 1}" if i < 39 else "src_1") for i in range(40) for k in "ab"]
+    short = [("x", "y"), ("x", "z"), ("y", "z"), ("z", "src_2"), ("y", "src_2"), ("src_2", "src_3")]
+    g = edges(spark, *ladder, *short)
+    there = g.selectExpr("explode(array(src, dst)) AS id").distinct()
+    start = spark.createDataFrame([("l0",), ("l38",), ("x",), ("src_2",)], "id string")
+    dag = graph.trace_dag(g, start, there, max_depth=90)
+    assert {tuple(r) for r in graph.path_counts(dag).collect()} == {("l0", "src_1", 2**40), ("l38", "src_1", 4), ("x", "src_2", 3)}
+    assert dag.where("start = 'l0'").count() == len(ladder)
+    listed = graph.trace_paths(g, start.where("id <> 'l0' AND id <> 'src_2'"), there).groupBy("start", "source").count()
+    assert {tuple(r) for r in listed.collect()} == {("l38", "src_1", 4), ("x", "src_2", 3)}
+    with pytest.raises(RuntimeError):
+        graph.trace_dag(edges(spark, ("a", "b"), ("b", "a")), spark.createDataFrame([("a",)], "id string"), spark.createDataFrame([("a",), ("b",)], "id string"), max_depth=5)

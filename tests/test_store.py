@@ -241,3 +241,65 @@ def test_signed_hash_is_a_tree_over_documents(spark):
     signed = {workflow.signed_hash(claims.repartition(k), none, units, fan=3) for k in (1, 5)}
     changed = claims.withColumn("statement", F.when(F.col("document_id") == "d7", "t").otherwise(F.col("statement")))
     assert len(signed) == 1 and workflow.signed_hash(changed, none, units, fan=3) not in signed
+
+
+def test_a_commit_writes_its_buckets_only(spark, store):
+    """Of 200 records in 16 buckets, a change of one replaces one folder, and a look-up reads one bucket of each type."""
+    store.create(record(spark, *(f"clm_{i}" for i in range(200))))
+    store.create(record(spark, "src_1", kind="source"))
+    _, before = store.manifest()
+    store.update(change(spark, ("clm_7", 1, "{}")))
+    _, after = store.manifest()
+    changed = {k for k in after if after[k] != before.get(k)}
+    assert len(changed) == 1 and changed < {k for k in after if k.startswith("claim/")} and len([k for k in after if k.startswith("claim/")]) == 16
+    files = {f.rsplit("/", 2)[1] for f in store._load([after[k] for k in changed]).inputFiles()}
+    assert len(files) == 1 and store.get("clm_7")["version"] == 2 and store.get("clm_8")["version"] == 1
+    read, load = [], store._load
+    store._load = lambda paths: read.append(len(paths)) or load(paths)
+    assert store.get("clm_9")["id"] == "clm_9" and read[0] <= 2
+    assert ObjectStore(spark, store.root, buckets=5).count() == 201  # the number of the first commit counts
+
+
+def test_a_manifest_of_whole_types_is_dealt_into_buckets(spark, store):
+    path = f"{store.root}/data/old/claim"
+    record(spark, *(f"clm_{i}" for i in range(40))).select(*store.read().columns).write.parquet(path)
+    store._switch(1, {"claim": path})
+    assert store.count() == 40 and store.get("clm_3")["id"] == "clm_3"
+    store.update(change(spark, ("clm_3", 1, "{}")))
+    _, folders = store.manifest()
+    assert "claim" not in folders and store.count() == 40 and store.record_version("clm_3") == 2
+
+
+def test_a_killed_migration_goes_on(spark, store, tmp_path):
+    ids = [f"clm_{i}" for i in range(120)]
+    store.create(record(spark, *ids, payload='{"schema_version":"1.0"}'))
+    store.create(record(spark, "clm_bad", payload="broken"))
+    commits, switch = [], store._switch
+
+    def dying(version, folders):
+        if len(commits) == 2:
+            raise KeyboardInterrupt
+        commits.append(version)
+        return switch(version, folders)
+
+    store._switch = dying
+    folder = f"file://{tmp_path}/b"
+    with pytest.raises(KeyboardInterrupt):
+        store.migrate(upgrade_payload, "1.0", "1.1", backup_folder=folder, batch=4)
+    store._switch = switch
+    half = store.read().where("schema_version = '1.1'").count()
+    assert 0 < half < 120
+    with pytest.raises(StoreError, match="MIGRATION_RUNNING"):
+        store.migrate(upgrade_payload, "1.1", "1.2")
+    done = ObjectStore(spark, store.root).migrate(upgrade_payload, "1.0", "1.1", backup_folder=folder, batch=4)
+    assert (done["selected_count"], done["migrated_count"], done["failed_count"], done["backup"]["count"]) == (121 - half, 120, 1, 121)
+    assert {(r.version, r.schema_version) for r in store.read().where("id <> 'clm_bad'").collect()} == {(2, "1.1")} and "__migration" not in store.manifest()[1]
+    assert store.restore(folder, done["backup"]["sha256"])["restored_count"] == 121
+
+
+def test_a_migration_can_stop_at_the_first_failure(spark, store):
+    store.create(record(spark, *(f"clm_{i}" for i in range(60)), payload='{"schema_version":"1.0"}'))
+    store.create(record(spark, "clm_bad", payload="broken"))
+    with pytest.raises(StoreError, match="MIGRATION_FAILED: clm_bad"):
+        store.migrate(upgrade_payload, "1.0", "1.1", batch=1, fail_fast=True)
+    assert store.read().where("id = 'clm_bad'").first().version == 1
