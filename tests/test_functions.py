@@ -72,3 +72,16 @@ def test_canonical_json_strings(spark):
     assert values(spark, t.json_string, *given) == [json.dumps(x, ensure_ascii=False) for x in given]
     whole = values(spark, lambda v: t.canonical_object(b=t.json_string(v), a=F.lit("1"), c=F.lit(None).cast("string")), "x")
     assert whole == [json.dumps({"b": "x", "a": 1, "c": None}, sort_keys=True, separators=(",", ":"))]
+
+
+def test_canonical_json_of_nested_values(spark):
+    import json
+
+    canonical = lambda x: json.dumps(x, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+    texts = ['{"b": 1.50, "a": [1e2, null, {"z": "é\\u0001\\n", "y": {}}]}', "[5e-324, 0.1, 1e16, 123456789012345678901234567890, -0.0, 2e-3]", '"x"', "{", "", '{"a":1,"a":2}']
+    expect = [canonical(json.loads(x)) if x not in ("{", "") else None for x in texts]
+    assert values(spark, t.canonical_text, *texts, None) == [*expect, None]
+    nested = spark.sql("""SELECT struct(map('k', array(struct(CAST(0.1 AS DOUBLE) AS d, CAST(NULL AS STRING) AS a)), 'j', NULL) AS m, CAST(1e22 AS DOUBLE) AS big, CAST(NULL AS INT) AS none,
+      parse_json('{"v": [1.0, {"y": 1, "x": null}]}') AS v) AS s""")
+    got = nested.select(t.canonical_value(F.col("s")).alias("j")).first().j
+    assert json.loads(got)["m"] == {"j": None, "k": [{"a": None, "d": 0.1}]} and got.startswith('{"big":1e+22,"m":{"j":null,"k":[{"a":null,"d":0.1}]},"none":null,"v":{"v":[1') and got == canonical(json.loads(got))

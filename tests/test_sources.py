@@ -73,7 +73,7 @@ PAGES = {
 def test_fetch():
     resolver = lambda host, port: ["10.0.0.1"] if host == "private" else ["8.8.8.8"]
     limits = readers.Limits(text_bytes=100, redirects=2)
-    got = {u: web.fetch(u, limits, resolver, lambda url, timeout: PAGES[url]) for u in (*PAGES, "http://private/", "http://u@ok/")}
+    got = {u: web.fetch(u, limits, resolver, lambda url, timeout, address: PAGES[url]) for u in (*PAGES, "http://private/", "http://u@ok/")}
     assert got["http://hop/"]["text"] == "<p>x" and got["http://hop/"]["final_url"] == "http://ok/"
     assert {u.split("/")[2]: r["code"] for u, r in got.items() if r["code"]} == {
         "loop": "WEB_TOO_MANY_REDIRECTS", "in": "WEB_PRIVATE_ADDRESS_BLOCKED", "bin": "WEB_UNSUPPORTED_CONTENT_TYPE", "big": "WEB_RESPONSE_TOO_LARGE", "said": "WEB_RESPONSE_TOO_LARGE",
@@ -86,6 +86,67 @@ def test_fetch_over_rows(spark):
     assert {r.code for r in web.fetch_urls(urls).collect()} == {"WEB_PRIVATE_ADDRESS_BLOCKED", "WEB_INVALID_URL"}
 
 
+def fixed_resolver(host, port):
+    return ["10.0.0.1"] if host == "private" else ["8.8.8.8"]
+
+
+def fixed_transport(url, timeout, address):
+    assert address == "8.8.8.8"
+    return PAGES[url]
+
+
+def test_pages_as_a_data_source(spark):
+    web.register(spark)
+    read = spark.read.format("tessera_pages").options(resolver="tests.test_sources:fixed_resolver", transport="tests.test_sources:fixed_transport", maxBytes="100", redirects="2", partitions="3")
+    urls = [*PAGES, "http://private/", "nonsense", "http://ok/"]
+    frame = read.option("urls", "\n".join(urls)).load()
+    rows = frame.collect()
+    assert sorted(r.url for r in rows) == sorted(urls) and frame.rdd.getNumPartitions() == 3
+    by = {r.url: r for r in rows}
+    assert by["http://hop/"].redirects == ["http://hop/"] and by["http://hop/"].text == "<p>x" and by["http://ok/"].code is None
+    assert (by["http://private/"].code, by["nonsense"].code, by["http://in/"].code) == ("WEB_PRIVATE_ADDRESS_BLOCKED", "WEB_INVALID_URL", "WEB_PRIVATE_ADDRESS_BLOCKED")
+
+
+def test_one_host_is_asked_slowly():
+    import time
+
+    urls = ["http://a/1", "http://b/1", "http://a/2", "http://b/2", "http://a/3"]
+    reader = web.PageReader({"urls": "\n".join(urls), "partitions": "2"})
+    assert sorted(p.value for p in reader.partitions()) == [["http://a/1", "http://a/2", "http://a/3"], ["http://b/1", "http://b/2"]]
+    began = time.monotonic()
+    rows = list(web._politely(iter(urls), readers.Limits(), fixed_resolver, lambda *_: page(), 0.1))
+    assert len(rows) == 5 and time.monotonic() - began >= 0.2
+
+
+def test_the_connection_goes_to_the_checked_address():
+    """The name in the url resolves to nothing; the page comes from the address given, asked for by that name."""
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    class Page(BaseHTTPRequestHandler):
+        def do_GET(self):  # noqa: N802
+            body = f"{self.headers['Host']} {self.path}".encode()
+            self.send_response(200)
+            self.send_header("Content-Length", str(len(body)))
+            self.send_header("ETag", "e1")
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *_):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Page)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        url = f"http://name.invalid:{server.server_port}/x?y=1"
+        status, headers, read = web.transport(url, 5.0, "127.0.0.1")
+        assert (status, headers["etag"], read(100).decode()) == (200, "e1", f"name.invalid:{server.server_port} /x?y=1")
+        with pytest.raises(OSError):
+            web.transport(url, 0.5, "192.0.2.1")
+    finally:
+        server.shutdown()
+
+
 def test_streaming_ingest(spark, tmp_path):
     rows = spark.createDataFrame([("a", "one\n\ntwo"), ("b", "one\n\ntwo\n"), ("c", "three")], "document_id string, text string").withColumn("arrived_at", F.lit("2024-01-01").cast("timestamp"))
     rows.write.parquet(f"{tmp_path}/in")
