@@ -298,7 +298,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     own_id, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")
     tagged = docs.withColumns({"__no_id": own_id.isNull(), "__id": F.coalesce(own_id, F.lit(0)), "__hash": F.xxhash64(text)})
     has_words: Column = F.coalesce(text, F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    kept = checkpoint(tagged.where(has_words).join(first, key))  # two uses
+    kept = tagged.where(has_words).join(first, key)  # twice used: its exchange of texts is made once, and they aren't written between
     single = kept.where("__n = 1").unionByName(kept.where("__n > 1").dropDuplicates(key))
     return single.drop(*key, "__n").unionByName(docs.where(~has_words))
 
