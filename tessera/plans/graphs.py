@@ -117,14 +117,16 @@ FROM documents a JOIN documents s ON s.doc_id = a.doc_id - a.doc_id % 72 + 71"""
 
 
 def path_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K4: documents in ladders of 33 diamonds, each with a source at its end, and how many paths lead there."""
+    """K4: documents in ladders of 33 diamonds, each with a source at its end, and how many paths lead there. A ladder
+    is whole if it has one document, wherever the table ends."""
     i = F.col("doc_id") % 100
     name = lambda c: F.concat(F.when(c % 100 == 99, "src_").otherwise("doc_"), c.cast("string"))
     steps = F.explode(F.when(i % 3 == 0, F.array(F.lit(1), F.lit(2))).when(i % 3 == 1, F.array(F.lit(2))).otherwise(F.array(F.lit(1)))).alias("step")
     docs = table(spark, sf_dir, "documents").select("doc_id")
-    links = docs.where(i < 99).select("doc_id", steps).select(name(F.col("doc_id")).alias("src"), name(F.col("doc_id") + F.col("step")).alias("dst"))
+    rungs = docs.select((F.col("doc_id") - i).alias("first")).distinct().select(F.explode(F.sequence(F.col("first"), F.col("first") + 99)).alias("doc_id"))
+    links = rungs.where(i < 99).select("doc_id", steps).select(name(F.col("doc_id")).alias("src"), name(F.col("doc_id") + F.col("step")).alias("dst"))
     starts = docs.where((i % 3 == 0) & (i < 99)).select(name(F.col("doc_id")).alias("id"))
-    counted = graph.path_counts(graph.trace_dag(links, starts, docs.select(name(F.col("doc_id")).alias("id")), max_depth=100))
+    counted = graph.path_counts(graph.trace_dag(links, starts, rungs.select(name(F.col("doc_id")).alias("id")), max_depth=100))
     return counted.select("start", "source", F.col("n_paths").cast("long").alias("n_paths"))
 
 

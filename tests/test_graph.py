@@ -141,3 +141,11 @@ def test_paths_are_counted_without_being_listed(spark):
     assert {tuple(r) for r in listed.collect()} == {("l38", "src_1", 4), ("x", "src_2", 3)}
     with pytest.raises(RuntimeError):
         graph.trace_dag(edges(spark, ("a", "b"), ("b", "a")), spark.createDataFrame([("a",)], "id string"), spark.createDataFrame([("a",), ("b",)], "id string"), max_depth=5)
+
+
+def test_ladders_are_whole_where_the_table_ends(spark, tmp_path):
+    from tessera.plans import graphs
+
+    spark.range(150).withColumnRenamed("id", "doc_id").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.start, r.source, r.n_paths) for r in graphs.path_counts(spark, str(tmp_path)).collect()}
+    assert got == {(f"doc_{d}", f"src_{d - d % 100 + 99}", 1 << (33 - d % 100 // 3)) for d in range(150) if d % 100 < 99 and d % 100 % 3 == 0}
