@@ -117,12 +117,16 @@ def config_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def natural_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.operators.drafts import independence_group, natural_key
 
-    line = table(spark, sf_dir, "lineitem").select(
+    # Rows that make one key are told by the columns that go into it, which are far shorter than its hashes.
+    both = F.col("l_orderkey").isNotNull() & F.col("l_linenumber").isNotNull()
+    own = lambda c: F.when(both, F.col(c)).alias(c)
+    distinct = table(spark, sf_dir, "lineitem").select(own("l_orderkey"), own("l_linenumber"), "l_partkey", "l_suppkey").distinct()
+    line = distinct.select(
         F.lit("evidence").alias("candidate_type"), F.concat(F.lit("ev_"), F.col("l_orderkey").cast("string"), F.lit("_"), F.col("l_linenumber").cast("string")).alias("candidate_id"),
         F.lit("direct_quote").alias("evidence_type"), F.lit("support").alias("evidence_role"), F.concat(F.lit("clm_"), F.col("l_partkey").cast("string")).alias("target_object_id"),
         F.lit("cu_1").alias("source_unit_id"), F.lit("q").alias("source_quote"), "l_suppkey",
     )
-    return line.select("candidate_id", natural_key(F.lit("ws"), line).alias("natural_key"), independence_group(F.concat(F.lit("src_"), F.col("l_suppkey").cast("string")), F.lit("ws")).alias("group_key")).distinct()
+    return line.select("candidate_id", natural_key(F.lit("ws"), line).alias("natural_key"), independence_group(F.concat(F.lit("src_"), F.col("l_suppkey").cast("string")), F.lit("ws")).alias("group_key"))
 
 
 def json_path(spark: SparkSession, sf_dir: str) -> DataFrame:
