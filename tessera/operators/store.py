@@ -168,7 +168,7 @@ class ObjectStore:
             if kind in folders:  # of a manifest that maps whole types
                 buckets = set(range(n))
             new = rows.where(F.col("object_type") == kind).select(*OBJECT_RECORD.names)
-            old = self._load(self._paths(folders, [kind], buckets)).join(new.select("id"), "id", "left_anti").select(*OBJECT_RECORD.names)
+            old = self._load(self._paths(folders, [kind], buckets)).join(_merged(new.select("id")), "id", "left_anti").select(*OBJECT_RECORD.names)
             path = f"{self.root}/data/{uuid.uuid4().hex}/{kind}"
             old.unionByName(new).withColumn("bucket", bucket).repartition(n, "bucket").write.partitionBy("bucket").parquet(path)
             folders.pop(kind, None)
@@ -181,7 +181,7 @@ class ObjectStore:
         """B1: inserts; ids that are there, or come twice, are an error and nothing is written."""
         base, folders = self.manifest()
         twice = rows.groupBy("id").count().where("count > 1").select("id")
-        there = rows.select("id").join(self._load(self._paths(folders, buckets=self._touched_by(folders, rows))), "id", "left_semi")
+        there = rows.select("id").join(_merged(self._load(self._paths(folders, buckets=self._touched_by(folders, rows))).select("id")), "id", "left_semi")
         bad = [r.id for r in twice.unionByName(there).limit(5).collect()]
         if bad:
             raise StoreError("DUPLICATE_OBJECT", ", ".join(bad))
@@ -194,7 +194,7 @@ class ObjectStore:
             raise StoreError("DUPLICATE_CHANGE", ", ".join(map(str, twice)))
         base, folders = self.manifest()
         now = self._load(self._paths(folders, buckets=self._touched_by(folders, changes)))
-        joined = changes.select("id", "expected_version").join(now, "id", "left")
+        joined = changes.select("id", "expected_version").join(_merged(now), "id", "left")
         wrong = joined.where(F.col("version").isNull() | (F.col("expected_version").isNotNull() & (F.col("expected_version") != F.col("version")))).limit(5).collect()
         if wrong:
             code = "OBJECT_NOT_FOUND" if wrong[0]["version"] is None else "CONCURRENT_UPDATE"
@@ -204,7 +204,7 @@ class ObjectStore:
     def update(self, changes: DataFrame) -> int:
         """New payloads (id, expected_version, payload) by compare and swap; versions and times move on."""
         base, folders, now = self._checked(changes)
-        joined = now.drop("payload", "expected_version").join(changes.select("id", "payload"), "id")
+        joined = now.drop("payload", "expected_version").join(_merged(changes.select("id", "payload")), "id")
         return self._replace(base, folders, _touched(joined))
 
     def soft_delete(self, changes: DataFrame) -> int:
@@ -304,7 +304,7 @@ class ObjectStore:
         parsed = F.from_json("value", "id string, payload string, record_version int, schema_version string", {"mode": "FAILFAST"})
         lines = self.spark.read.text(f"{folder}/objects").select(parsed.alias("x")).select("x.*")
         now = self._load(self._paths(folders))
-        joined = lines.select("id", F.col("payload").alias("__p"), F.col("schema_version").alias("__s")).join(now, "id", "left")
+        joined = lines.select("id", F.col("payload").alias("__p"), F.col("schema_version").alias("__s")).join(_merged(now), "id", "left")
         missing = joined.where("version IS NULL").select("id")
         failed = [r.id for r in missing.orderBy("id").limit(SHOWN).collect()]
         n_failed = missing.count()
@@ -314,6 +314,11 @@ class ObjectStore:
         return {"restored_count": n, "failed_count": n_failed, "failed_ids": failed}
 
 
+def _merged(rows: DataFrame) -> DataFrame:
+    """Rows whose joins are sorted and merged: Parquet's size on disk says little of theirs, and broadcast they'd pass the driver whole."""
+    return rows.hint("merge")
+
+
 def bucket_of(object_id: Column, n: int) -> Column:
     return F.coalesce(F.crc32(object_id) % n, F.lit(0)).cast("int")
 

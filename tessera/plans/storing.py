@@ -271,7 +271,7 @@ def store_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept.soft_delete(changes("o % 4 = 0", None))
     kept.restore_deleted(changes("o % 8 = 0", None))
     new = kept.by_external_id("claim", "w", "k", "new").select("id", F.lit(True).alias("new"))
-    return kept.read().join(new, "id", "left").groupBy("version", "lifecycle_status", F.coalesce("new", F.lit(False)).alias("new")).agg(F.count("*").alias("n"))
+    return kept.read().join(new.hint("merge"), "id", "left").groupBy("version", "lifecycle_status", F.coalesce("new", F.lit(False)).alias("new")).agg(F.count("*").alias("n"))
 
 
 _UPDATES_SQL = """
@@ -292,7 +292,7 @@ def backup_restore(spark: SparkSession, sf_dir: str) -> DataFrame:
     there = other.restore(folder, saved["sha256"])
     reports = [("backup", saved["count"], 0), ("migrate", moved["migrated_count"], moved["failed_count"]), ("restore", back["restored_count"], back["failed_count"]), ("restore elsewhere", there["restored_count"], there["failed_count"])]
     counted = spark.createDataFrame(reports, "step string, n long, failed long")
-    again = kept.read().join(rows.select("id", F.col("payload").alias("before")), "id").agg(F.lit("same payloads").alias("step"), F.count_if(F.col("payload") == F.col("before")).alias("n"), F.count_if(F.col("payload") != F.col("before")).alias("failed"))
+    again = kept.read().join(rows.select("id", F.col("payload").alias("before")).hint("merge"), "id").agg(F.lit("same payloads").alias("step"), F.count_if(F.col("payload") == F.col("before")).alias("n"), F.count_if(F.col("payload") != F.col("before")).alias("failed"))
     return counted.unionByName(again)
 
 

@@ -303,3 +303,18 @@ def test_a_migration_can_stop_at_the_first_failure(spark, store):
     with pytest.raises(StoreError, match="MIGRATION_FAILED: clm_bad"):
         store.migrate(upgrade_payload, "1.0", "1.1", batch=1, fail_fast=True)
     assert store.read().where("id = 'clm_bad'").first().version == 1
+
+
+def test_rows_of_a_store_are_not_broadcast(spark, tmp_path):
+    """Their number isn't bounded, and the size of their files says little of it: no join may send them through the driver."""
+    from tessera.plans import storing
+
+    key = "spark.sql.maxBroadcastTableSize"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1b")
+    try:
+        got = {(r.step, r.n) for r in storing.backup_restore(spark, "/root/testdata/sf0.001").collect()}
+        storing.store_updates(spark, "/root/testdata/sf0.001").collect()
+    finally:
+        spark.conf.set(key, before)
+    assert ("restore", 1500) in got and ("same payloads", 1500) in got
