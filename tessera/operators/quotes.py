@@ -2,9 +2,10 @@
 
 An inverted index of minimizers: of every `WINDOW` neighbouring strings of `GRAM` bytes in a text the one that hashes lowest.
 A unit that holds a quote of `LEAST` bytes or more has all minimizers of the quote, so the quote is looked up by the one
-that the fewest units have; shorter quotes are looked up as they are. Token sets are looked up by their rarest token. Only
-what a bitmap of fixed size of the quotes' keys lets pass leaves a unit's task. An exact check follows, so hashes can't
-make or lose a match. Equal texts of a document are indexed once, under their first unit, and equal quotes asked once."""
+that the fewest units have; shorter quotes are looked up as they are. Token sets are looked up by their rarest token. A unit
+meets the places of its own document's keys, and only keys at such a place leave its task, so that the index grows with the
+quotes and not with all text. An exact check follows, so hashes can't make or lose a match. Equal texts of a document are
+indexed once, under their first unit, and equal quotes asked once."""
 
 from __future__ import annotations
 
@@ -15,13 +16,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.durable import checkpoint
+from tessera.durable import Scratch
 from tessera.functions.text import collapse_whitespace, nfkc, token_set
+from tessera.operators.joins import may_hold
 
 GRAM, WINDOW = 8, 8
 LEAST = GRAM + WINDOW - 1
-#: Bits of the bitmap of keys that quotes ask for: 1 MB. With more keys it lets more rows pass, never fewer.
-BITS = 1 << 23
+#: Places of a document's keys, 8 kB at most. With more keys than places more pass, never fewer.
+PLACES = 1 << 12
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -59,37 +61,29 @@ def _own(data: bytes) -> np.ndarray:
     return minimizers(data) if len(data) >= LEAST else strings(data, len(data))
 
 
-def _keys(build, wanted: np.ndarray | None = None):
-    """(id, salt: a hash of the document, text) -> (id, key); keys that the bitmap `wanted` lacks are left out."""
+def _keys(build):
+    """(id, salt: a hash of the document, text and maybe places) -> (id, salt, key); of rows with places the keys at one of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             salts = batch.column("salt").to_numpy().view(np.uint64)
+            places = batch.column("places") if "places" in batch.schema.names else None
             ids, keys = [], []
             for i, text in enumerate(batch.column("text")):
                 own = _mix(build((text.as_py() or "").encode()) ^ salts[i])
-                if wanted is not None:
-                    place = own % np.uint64(BITS)
-                    own = own[(wanted[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1]
+                if places is not None:
+                    wanted = np.zeros(PLACES, dtype=bool)
+                    wanted[places[i].values.to_numpy()] = True
+                    own = own[wanted[(own % np.uint64(PLACES)).astype(np.int64)]]
                 ids.append(np.full(len(own), i))
                 keys.append(own)
-            at = np.concatenate(ids).astype(np.int64) if ids else np.zeros(0, dtype=np.int64)
+            at = pa.array(np.concatenate(ids).astype(np.int64) if ids else np.zeros(0, dtype=np.int64))
             found = np.concatenate(keys).view(np.int64) if keys else np.zeros(0, dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(at)), pa.array(found)], names=["id", "key"])
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(at), batch.column("salt").take(at), pa.array(found)], names=["id", "salt", "key"])
 
     return run
 
 
-def _bitmap(keys: DataFrame) -> np.ndarray:
-    """A bit for each key, put together in Spark; its size doesn't depend on their number."""
-    place = F.expr(f"cast(pmod(key, {BITS}) as bigint)")  # BITS divides 2**64, so signs make no difference
-    rows = keys.select(place.alias("p")).groupBy(F.expr("p div 32768").alias("row")).agg(F.bitmap_construct_agg(F.col("p") % 32768).alias("bits")).collect()
-    out = np.zeros(BITS // 8, dtype=np.uint8)
-    for r in rows:
-        out[r["row"] * 4096 : (r["row"] + 1) * 4096] = np.frombuffer(bytes(r.bits), dtype=np.uint8)
-    return out
-
-
 def _rarest(asked: DataFrame, postings: DataFrame) -> DataFrame:
     """(quote, unit) pairs: each quote by that of its keys which the fewest units have; one that a key of has none is in none."""
     n = postings.groupBy("key").agg(F.count("*").alias("n"))
@@ -99,19 +93,23 @@ def _rarest(asked: DataFrame, postings: DataFrame) -> DataFrame:
 
 def _pairs(spark: SparkSession, quotes: DataFrame, units: DataFrame) -> DataFrame:
     """(quote, unit) of texts (id, salt, text) that may hold a quote (id, salt, text)."""
-    asked = checkpoint(quotes.mapInArrow(_keys(_own), "id long, key long"))
+    scratch = Scratch(spark)
+    kind = "id long, salt long, key long"
+    asked = scratch.put(quotes.mapInArrow(_keys(_own), kind))
     lengths = sorted(r.n for r in quotes.select(F.octet_length("text").alias("n")).where(F.col("n") < LEAST).distinct().collect())
-    wanted = _bitmap(asked)
+    place = F.pmod("key", F.lit(PLACES)).cast("short")  # PLACES divides 2**64, so signs make no difference
+    wanted = asked.groupBy("salt").agg(F.collect_set(place).alias("places"))
 
     def all_keys(data: bytes) -> np.ndarray:
         return np.unique(np.concatenate([minimizers(data), *(strings(data, n) for n in lengths)]))
 
-    postings = checkpoint(units.mapInArrow(_keys(all_keys, wanted), "id long, key long"))
+    met = units.join(wanted.hint("merge"), "salt")
+    postings = scratch.put(met.mapInArrow(_keys(all_keys), kind))
     return _rarest(asked, postings)
 
 
-def _numbered(rows: DataFrame) -> DataFrame:
-    return checkpoint(rows.withColumn("id", F.monotonically_increasing_id()))
+def _numbered(scratch: Scratch, rows: DataFrame) -> DataFrame:
+    return scratch.put(rows.withColumn("id", F.monotonically_increasing_id()))
 
 
 def first_units(quotes: DataFrame, units: DataFrame) -> DataFrame:
@@ -119,23 +117,27 @@ def first_units(quotes: DataFrame, units: DataFrame) -> DataFrame:
     the document that holds the quote as it is, else with white space collapsed, else (token_set, tables only) all its
     tokens. Units: document_id, unit_id, unit_type, sequence_no, text. Rows without a document have no unit."""
     spark = quotes.sparkSession
+    scratch = Scratch(spark)
     table = F.lower("unit_type").isin("table", "table_row")
     texts = units.where("document_id IS NOT NULL AND text IS NOT NULL").groupBy("document_id", F.coalesce(table, F.lit(False)).alias("tabular"), "text").agg(F.min(F.struct("sequence_no", "unit_id")).alias("first"))
     texts = texts.withColumn("text", nfkc(F.col("text")))
-    texts = _numbered(texts.withColumns({"flat": collapse_whitespace(F.col("text")), "salt": F.xxhash64("document_id")}))
+    texts = _numbered(scratch, texts.withColumn("salt", F.xxhash64("document_id"))).withColumn("flat", collapse_whitespace(F.col("text")))
     asked = quotes.where("document_id IS NOT NULL").withColumn("quote", nfkc(F.coalesce("source_quote", F.lit(""))))
     asked = asked.withColumn("by_tokens", F.coalesce(F.col("quote_match_mode") == "token_set", F.lit(False)))
     each = asked.select("document_id", "quote", "by_tokens").distinct()
-    each = _numbered(each.withColumns({"flat_quote": collapse_whitespace(F.col("quote")), "salt": F.xxhash64("document_id")}))
+    each = _numbered(scratch, each.withColumns({"flat_quote": collapse_whitespace(F.col("quote")), "salt": F.xxhash64("document_id")}))
     as_quote = each.where("flat_quote <> ''").select("id", "salt", F.col("flat_quote").alias("text"))
     pairs = _pairs(spark, as_quote, texts.select("id", "salt", F.col("flat").alias("text")))
     tokens = lambda rows, text: rows.select("id", F.explode(token_set(F.col(text))).alias("token"), "salt").select("id", F.xxhash64("salt", "token").alias("key"))
-    words = checkpoint(tokens(each.where("by_tokens"), "quote"))
-    tabular = checkpoint(tokens(texts.where("tabular"), "text").join(words.select("key").distinct(), "key", "left_semi"))
+    by_tokens = each.where("by_tokens")
+    words = scratch.put(tokens(by_tokens, "quote"))
+    tabular = scratch.put(tokens(may_hold(texts.where("tabular"), "salt", by_tokens.select(F.col("salt").alias("asked")), "asked"), "text").join(words.select("key").distinct(), "key", "left_semi"))
     pairs = pairs.unionByName(_rarest(words, tabular))
     blank = each.where("flat_quote = ''").select(F.col("id").alias("quote"), "document_id").join(texts.select("document_id", F.col("id").alias("unit")), "document_id").select("quote", "unit")
-    both = pairs.unionByName(blank).distinct().join(each.select(F.col("id").alias("quote"), F.col("document_id"), F.col("quote").alias("raw"), "flat_quote", "by_tokens"), "quote")
-    both = both.join(texts.select(F.col("id").alias("unit"), F.col("document_id").alias("unit_document"), "tabular", "text", "flat", "first"), "unit").where("document_id = unit_document")
+    pairs = scratch.put(pairs.unionByName(blank).distinct())
+    both = pairs.join(each.select(F.col("id").alias("quote"), F.col("document_id"), F.col("quote").alias("raw"), "flat_quote", "by_tokens"), "quote")
+    held = may_hold(texts, "id", pairs, "unit")
+    both = both.join(held.select(F.col("id").alias("unit"), F.col("document_id").alias("unit_document"), "tabular", "text", "flat", "first").hint("merge"), "unit").where("document_id = unit_document")
     all_tokens = F.col("by_tokens") & F.col("tabular") & (F.size(token_set(F.col("raw"))) > 0) & (F.size(F.array_except(token_set(F.col("raw")), token_set(F.col("text")))) == 0)
     rank = F.when(F.contains(F.col("text"), F.col("raw")), 1).when(F.contains(F.col("flat"), F.col("flat_quote")), 2).when(all_tokens, 3)
     best = both.withColumn("rank", rank).where("rank IS NOT NULL").groupBy("document_id", "raw", "by_tokens").agg(F.min(F.struct("rank", "first")).alias("best"))

@@ -202,3 +202,19 @@ def test_many_quotes_of_one_document_are_looked_up(spark):
     texts = units.selectExpr("sequence_no + 0L AS id", "1L AS salt", "text")
     some = asked.where("source_quote LIKE 'div%'").selectExpr("cast(substring(candidate_id, 2) AS long) AS id", "1L AS salt", "source_quote AS text")
     assert quotes._pairs(spark, some, texts).count() < 10 * n
+
+
+def test_the_index_grows_with_the_quotes(spark, monkeypatch):
+    """2,000 documents of one short quote and 30 long lines each: the index holds few keys beyond those asked for."""
+    from tessera.durable import Scratch
+    from tessera.operators import quotes
+
+    written = []
+    put = Scratch.put
+    monkeypatch.setattr(Scratch, "put", lambda self, df, name="": written.append(put(self, df, name)) or written[-1])
+    units = spark.range(60_000).selectExpr("concat('d', id % 2000) AS document_id", "concat('u', id) AS unit_id", "'paragraph' AS unit_type", "cast(id AS int) AS sequence_no", "sha2(cast(id AS string), 512) AS text")
+    asked = units.where("sequence_no < 2000").selectExpr("document_id", "concat('c', sequence_no) AS candidate_id", "substring(text, 20, 40) AS source_quote", "'literal' AS quote_match_mode")
+    found = quotes.first_units(asked, units)
+    assert found.where("substring(candidate_id, 2) = substring(unit, 2)").count() == 2000
+    keys = [df.count() for df in written if df.columns == ["id", "salt", "key"]]
+    assert keys and keys[1] < 2 * keys[0]
