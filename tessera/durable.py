@@ -27,11 +27,16 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Bytes of Parquet up to which a scratch table may be broadcast.
+SMALL = 1 << 18
+
+
 class Scratch:
     """Tables of one iterative job, as Parquet in the shared folder.
 
     A table that is read again has its true size. A checkpoint keeps its plan's estimate, which joins multiply: after some
-    twenty rounds of joins with itself, planning such a number takes longer than the round."""
+    twenty rounds of joins with itself, planning such a number takes longer than the round. As the size on disk is far below
+    that of the rows, larger tables than SMALL are joined by merging: many rounds of broadcasts would go through the driver."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
@@ -47,8 +52,14 @@ class Scratch:
             paths.append(path)
             while len(paths) > 2:
                 self._drop(paths.pop(0))
-        return self.spark.read.schema(df.schema).parquet(path)
+        rows = self.spark.read.schema(df.schema).parquet(path)
+        fs, folder = self._fs(path)
+        return rows if fs.getContentSummary(folder).getLength() <= SMALL else rows.hint("merge")
 
-    def _drop(self, path: str) -> None:
+    def _fs(self, path: str):
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()), folder
+
+    def _drop(self, path: str) -> None:
+        fs, folder = self._fs(path)
+        fs.delete(folder, True)
