@@ -95,13 +95,17 @@ def trace_paths(graph: DataFrame, starts: DataFrame, objects: DataFrame, max_dep
     A path stops at its first source. A start that isn't among `objects` is an error, and so are more than `max_depth`
     nodes on a path, as such a graph can't be traced."""
     starts = known_starts(starts, objects)
-    graph = checkpoint(graph)  # read at every step
+    scratch = Scratch(graph.sparkSession)
+    whole = scratch.put(graph.select("src", "dst"))
+    # Read at every step, so without the edges of nodes that are no start and that none leads to.
+    met = starts.select(F.col("id").alias("src")).unionByName(whole.select(F.col("dst").alias("src"))).distinct()
+    graph = scratch.put(whole.distinct().join(met, "src", "left_semi"))
     frontier = starts.select(F.col("id").alias("start"), F.col("id").alias("node"), F.array("id").alias("path")).distinct()
     done = frontier.where(F.col("node").startswith(source_prefix))
     frontier, depth = frontier.where(~F.col("node").startswith(source_prefix)), 0
     while True:
         step = frontier.join(graph, frontier["node"] == graph["src"]).where(~F.array_contains("path", F.col("dst")))
-        step = checkpoint(step.select("start", F.col("dst").alias("node"), F.concat("path", F.array("dst")).alias("path")).distinct())
+        step = scratch.put(step.select("start", F.col("dst").alias("node"), F.concat("path", F.array("dst")).alias("path")))
         if step.isEmpty():
             break
         depth += 1
