@@ -150,14 +150,19 @@ def trace_sources(graph: DataFrame, starts: DataFrame, objects: DataFrame, sourc
     Walks back from the sources, a pair of node and source once however many starts meet there; the starts are joined last."""
     starts = known_starts(starts, objects)
     is_source = lambda c: F.col(c).startswith(source_prefix)
-    open_ = checkpoint(graph.where(~is_source("src")).select("src", "dst"))  # read at every step; a path stops at its first source
+    scratch = Scratch(graph.sparkSession)
+    open_ = scratch.put(graph.where(~is_source("src")).select("src", "dst"))  # a path stops at its first source
+    # Only nodes that another leads to are passed on the way back; the edges of all others are joined once, at the end.
+    inner = scratch.put(open_.join(open_.select(F.col("dst").alias("src")).distinct(), "src", "left_semi"))
     ends = open_.select(F.col("dst").alias("node")).unionByName(starts.select(F.col("id").alias("node"))).where(is_source("node")).distinct()
-    frontier = reached = checkpoint(ends.select("node", F.col("node").alias("source")))
+    frontier = reached = scratch.put(ends.select("node", F.col("node").alias("source")))
     while not frontier.isEmpty():
-        step = open_.join(frontier, open_["dst"] == frontier["node"]).select(F.col("src").alias("node"), "source").distinct()
-        frontier = checkpoint(step.join(reached, ["node", "source"], "left_anti"))
-        reached = checkpoint(reached.unionByName(frontier))
-    return starts.select(F.col("id").alias("start")).join(reached, F.col("start") == F.col("node")).select("start", "source")
+        step = inner.join(frontier, inner["dst"] == frontier["node"]).select(F.col("src").alias("node"), "source").distinct()
+        frontier = scratch.put(step.join(reached, ["node", "source"], "left_anti"))
+        reached = scratch.put(reached.unionByName(frontier), "reached")
+    begun = starts.select(F.col("id").alias("start"))
+    outer = begun.join(open_, begun["start"] == open_["src"]).join(reached, F.col("dst") == F.col("node")).select("start", "source")
+    return begun.where(is_source("start")).select("start", F.col("start").alias("source")).unionByName(outer.distinct())
 
 
 def unit_sources(units: DataFrame, documents: DataFrame) -> DataFrame:

@@ -149,3 +149,34 @@ def test_ladders_are_whole_where_the_table_ends(spark, tmp_path):
     spark.range(150).withColumnRenamed("id", "doc_id").write.parquet(f"{tmp_path}/documents.parquet")
     got = {(r.start, r.source, r.n_paths) for r in graphs.path_counts(spark, str(tmp_path)).collect()}
     assert got == {(f"doc_{d}", f"src_{d - d % 100 + 99}", 1 << (33 - d % 100 // 3)) for d in range(150) if d % 100 < 99 and d % 100 % 3 == 0}
+
+
+def test_large_scratch_tables_are_not_broadcast(spark):
+    from tessera.durable import Scratch
+
+    scratch = Scratch(spark)
+    plan = lambda n: scratch.put(spark.range(n)).join(scratch.put(spark.range(n)), "id")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan(100) and "BroadcastHashJoin" not in plan(200_000)
+
+
+def test_traces_carry_no_nodes_that_nothing_leads_to(spark, monkeypatch):
+    """500 leaves above one chain: the tables of each step hold the chain, and the leaves are joined once."""
+    from tessera.durable import Scratch
+
+    pairs = [(f"cu_{i}", "doc_0") for i in range(500)] + [(f"doc_{i}", f"doc_{i + 1}") for i in range(5)] + [("doc_5", "src_1")]
+    rows, put = [], Scratch.put
+
+    def counted(self, df, name=""):
+        out = put(self, df, name)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(Scratch, "put", counted)
+    objects = spark.createDataFrame([(x,) for x in sorted({x for p in pairs for x in p})], "id string")
+    found = graph.trace_sources(edges(spark, *pairs), objects, objects).collect()
+    assert sorted(r.start for r in found) == sorted({x for p in pairs for x in p}) and {r.source for r in found} == {"src_1"}
+    assert sum(n > 100 for n in rows) == 1  # the graph itself
+    rows.clear()
+    starts = spark.createDataFrame([("doc_3",)], "id string")
+    assert [r.path for r in graph.trace_paths(edges(spark, *pairs), starts, objects).collect()] == [["doc_3", "doc_4", "doc_5", "src_1"]]
+    assert sum(n > 100 for n in rows) == 1
