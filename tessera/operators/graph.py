@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tessera.durable import Scratch, checkpoint
 from tessera.functions.schemas import ADVISORY, ID_PREFIXES, REFERENCES
 from tessera.operators.components import cycle_components
-from tessera.operators.joins import lacking
+from tessera.operators.joins import lacking, may_hold
 
 MAX_DEPTH = 64
 _KNOWN = rf"\A(?:{'|'.join(ID_PREFIXES.values())})"
@@ -72,20 +72,40 @@ def known_starts(starts: DataFrame, objects: DataFrame) -> DataFrame:
     return starts.select("id").distinct()
 
 
+def _on_typed_cycles(edges: DataFrame) -> DataFrame:
+    """The edges whose types, by the prefixes of their ids, may lie on a cycle; ids of no known type are one more type.
+
+    A cycle of nodes is a cycle of their types, so an edge is on none unless its target's type leads back to its own. At most
+    a row for each two types is collected, and nothing is shuffled but those."""
+    kind = lambda c: F.regexp_extract(c, _KNOWN, 0)
+    pairs = {tuple(r) for r in edges.where("src IS NOT NULL AND dst IS NOT NULL").select(kind("src"), kind("dst")).distinct().collect()}
+    leads, kinds = set(pairs), {k for pair in pairs for k in pair}
+    for via in kinds:
+        leads |= {(a, b) for a in kinds for b in kinds if (a, via) in leads and (via, b) in leads}
+    return edges.where(F.concat_ws(">", kind("src"), kind("dst")).isin([f"{a}>{b}" for a, b in pairs if (b, a) in leads]))
+
+
 def validate(objects: DataFrame, edges: DataFrame) -> DataFrame:
-    """K2, K7: (finding, id, detail, blocking) of the whole graph, without a cap on objects. No blocking row: it is ok."""
-    objects, edges = checkpoint(objects), checkpoint(edges)  # read by every part
-    row = lambda df, finding, detail, blocking: df.select(F.lit(finding).alias("finding"), F.col("id"), detail.alias("detail"), F.lit(blocking).alias("blocking"))
-    missing = dangling(edges, objects).withColumnRenamed("src", "id")
+    """K2, K7: (finding, id, detail, blocking) of the whole graph, without a cap on objects. No blocking row: it is ok.
+
+    Of the objects only ids are moved, once for both duplicates and references; of the edges, those that by their types may be on
+    a cycle are searched for one."""
+    edges = Scratch(edges.sparkSession).put(edges)  # read by every part
+    row = lambda df, finding, detail, blocking: df.select(finding.alias("finding"), F.col("id"), detail.alias("detail"), blocking.alias("blocking"))
+    yes = F.lit(True)
+    # The join asks for ids that aren't null; asked for here, they are one exchange for the join and the duplicates.
+    counted, nameless = (objects.where(f"id IS {which}").groupBy("id").agg(F.count("*").alias("n")) for which in ("NOT NULL", "NULL"))
+    missing = edges.withColumnRenamed("src", "__src").join(counted.withColumnRenamed("id", "dst"), "dst", "left").where("n IS NULL AND dependency IS NOT NULL").withColumnRenamed("__src", "id")
+    typed = _on_typed_cycles(edges.where("dependency")).select("src", "dst")
+    there = typed.join(may_hold(objects.select(F.col("id").alias("dst")), "dst", typed, "dst"), "dst", "left_semi").select("src", "dst")
     parts = [
-        row(duplicate_ids(objects), "DUPLICATE_ID", F.col("n").cast("string"), True),
-        row(missing.where("dependency"), "DANGLING_REFERENCE", F.concat_ws(":", "field", "dst"), True),
-        row(missing.where("NOT dependency"), "ADVISORY_REFERENCE", F.concat_ws(":", "field", "dst"), False),
-        row(cycle_members(dependency_graph(edges, objects)), "DEPENDENCY_CYCLE", F.lit(""), True),
+        *(row(ids.where("n > 1"), F.lit("DUPLICATE_ID"), F.col("n").cast("string"), yes) for ids in (counted, nameless)),
+        row(missing, F.when(F.col("dependency"), "DANGLING_REFERENCE").otherwise("ADVISORY_REFERENCE"), F.concat_ws(":", "field", "dst"), F.col("dependency")),
+        row(cycle_members(there), F.lit("DEPENDENCY_CYCLE"), F.lit(""), yes),
     ]
     if {"origin_type", "origin_object_ids", "derivation_links"} <= set(objects.columns):
         bare = objects.where("origin_type = 'derived' AND size(coalesce(origin_object_ids, array())) = 0 AND size(coalesce(derivation_links, array())) = 0")
-        parts.append(row(bare, "DERIVED_WITHOUT_ORIGINS", F.lit(""), True))
+        parts.append(row(bare, F.lit("DERIVED_WITHOUT_ORIGINS"), F.lit(""), yes))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 

@@ -27,6 +27,22 @@ def test_validation(spark):
     assert found == {("DUPLICATE_ID", "clm_1", True), ("DANGLING_REFERENCE", "clm_2", True)}
 
 
+def test_validation_searches_cycles_only_where_types_allow_one(spark, monkeypatch):
+    """Units lead to documents and never back, so 500 of their edges aren't searched; entities and claims lead to each other."""
+    searched, members = [], graph.cycle_members
+    monkeypatch.setattr(graph, "cycle_members", lambda g: searched.extend(tuple(r) for r in g.collect()) or members(g))
+    units = [(f"cu_{i}", "content_unit", f"doc_{i % 9}", None, None, None) for i in range(500)] + [(f"doc_{i}", "document", None, None, None, None) for i in range(8)]
+    rings = [("ent_a", "entity", None, ["clm_a"], None, None), ("clm_a", "claim", None, None, ["ent_a"], None), ("ent_b", "entity", None, ["clm_gone"], None, None), ("odd", "claim", None, None, ["ent_a"], None)]
+    others = [("evi_1", "evidence", None, None, None, "clm_none"), (None, "entity", None, None, None, None), (None, "entity", None, None, None, None)]
+    objects = spark.createDataFrame([*units, *rings, *others, units[0]], "id string, object_type string, document_id string, possible_same_as array<string>, subject_entity_ids array<string>, target_object_id string")
+    loose = spark.createDataFrame([("clm_gone", "ent_b", "subject_entity_ids", True), (None, "ent_a", "x", True)], "src string, dst string, field string, dependency boolean")
+    found = graph.validate(objects, graph.extract_edges(objects).unionByName(loose)).collect()
+    assert sorted(searched) == [("clm_a", "ent_a"), ("clm_gone", "ent_b"), ("ent_a", "clm_a")]
+    want = [("DANGLING_REFERENCE", f"cu_{i}", "document_id:doc_8", True) for i in range(8, 500, 9)] + [("DANGLING_REFERENCE", "ent_b", "possible_same_as:clm_gone", True), ("ADVISORY_REFERENCE", "evi_1", "target_object_id:clm_none", False)]
+    want += [("DUPLICATE_ID", "cu_0", "2", True), ("DUPLICATE_ID", None, "2", True), ("DEPENDENCY_CYCLE", "ent_a", "", True), ("DEPENDENCY_CYCLE", "clm_a", "", True)]
+    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, want))
+
+
 def test_cycles_are_members_only(spark):
     found = graph.cycle_members(edges(spark, ("a", "b"), ("b", "c"), ("c", "a"), ("z", "a"), ("c", "d"), ("d", "e"), ("e", "d"), ("s", "s")))
     assert {r.id for r in found.collect()} == {"a", "b", "c", "d", "e", "s"}
