@@ -15,6 +15,9 @@ from tessera.operators.joins import lacking, may_hold
 
 MAX_DEPTH = 64
 _KNOWN = rf"\A(?:{'|'.join(ID_PREFIXES.values())})"
+#: Parts that edges are dealt into: so many times the session's shuffle partitions, but not raised beyond the second number, up
+#: to which Spark's writers sort nothing. Being given, they aren't merged into larger ones.
+_PARTS = (4, 200)
 
 
 def extract_edges(objects: DataFrame) -> DataFrame:
@@ -41,6 +44,9 @@ def extract_edges(objects: DataFrame) -> DataFrame:
     kind = "array<struct<rank:int,dst:string,field:string,dependency:boolean>>"
     edges = F.concat(*(F.coalesce(f.cast(kind), F.array().cast(kind)) for f in found))
     rows = objects.select(F.col("id").alias("src"), F.explode(edges).alias("e")).select("src", "e.*").where(F.col("dst").rlike(_KNOWN))
+    # Dealt out first: a task then sorts its part of the edges, rather than all of its split of the objects before that too.
+    n = int(objects.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(max(n, min(_PARTS[0] * n, _PARTS[1])), "src", "dst", "dependency")
     return rows.groupBy("src", "dst", "dependency").agg(F.min_by("field", "rank").alias("field")).select("src", "dst", "field", "dependency")
 
 

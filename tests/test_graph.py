@@ -21,6 +21,16 @@ def test_edges_keep_the_first_field_and_known_ids(spark):
     }
 
 
+def test_edges_are_dealt_out_before_they_are_told_apart(spark):
+    """No task sorts or groups its split of the objects, and edges are dealt into more parts than the session's; the first field wins across rows too."""
+    objects = spark.createDataFrame([("clm_1", "claim", "cu_1", None), ("clm_1", "claim", None, ["cu_1", "cu_2"]), (None, "claim", "cu_1", None), (None, "claim", "cu_1", None)], "id string, object_type string, source_ref string, source_refs array<string>")
+    found = graph.extract_edges(objects)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" in plan[: plan.index("Exchange")] and "Aggregate" not in plan[plan.index("Exchange") :]
+    assert found.rdd.getNumPartitions() == 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, [("clm_1", "cu_1", "source_refs", True), ("clm_1", "cu_2", "source_refs", True), (None, "cu_1", "source_ref", True)]))
+
+
 def test_validation(spark):
     objects = spark.createDataFrame([("clm_1", "claim", "cu_1"), ("clm_1", "claim", "cu_1"), ("cu_1", "content_unit", None), ("clm_2", "claim", "cu_9")], "id string, object_type string, source_ref string")
     found = {(r.finding, r.id, r.blocking) for r in graph.validate(objects, graph.extract_edges(objects)).collect()}
