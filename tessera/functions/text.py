@@ -75,9 +75,14 @@ def identity_text(text: Column) -> Column:
     return _beyond_ascii(_casefold, collapsed, F.lower(collapsed))
 
 
+def tokens_of(normalized: Column) -> Column:
+    """The distinct tokens between white space of a text that has been through NFKC, which changes nothing the second time."""
+    return F.array_distinct(F.filter(F.split(normalized, rf"(?U){SPACE}+"), lambda x: x != ""))
+
+
 def token_set(text: Column) -> Column:
     """The distinct tokens between white space, after NFKC."""
-    return F.array_distinct(F.filter(F.split(nfkc(text), rf"(?U){SPACE}+"), lambda x: x != ""))
+    return tokens_of(nfkc(text))
 
 
 def joined(*parts: Column, by: str = UNIT_SEPARATOR) -> Column:

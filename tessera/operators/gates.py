@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera.durable import checkpoint
 from tessera.functions.schemas import CANDIDATE, CANDIDATE_ORDER
-from tessera.functions.text import collapse_whitespace, is_blank, nfkc, strip, token_set
+from tessera.functions.text import collapse_whitespace, is_blank, nfkc, strip, tokens_of
 from tessera.operators import quotes
 from tessera.operators.joins import lacking, null_safe
 
@@ -113,7 +113,7 @@ def quote_findings(candidates: DataFrame, units: DataFrame) -> DataFrame:
     quote = F.coalesce("source_quote", F.lit(""))
     joined = joined.withColumns({"__q": nfkc(quote), "__t": nfkc(F.coalesce("__text", F.lit("")))})
     whole = (F.col("__t") != "") & collapse_whitespace(F.col("__t")).contains(collapse_whitespace(F.col("__q")))
-    tokens = (F.size(token_set(F.col("__q"))) > 0) & (F.size(F.array_except(token_set(F.col("__q")), token_set(F.col("__t")))) == 0)
+    tokens = (F.size(tokens_of(F.col("__q"))) > 0) & (F.size(F.array_except(tokens_of(F.col("__q")), tokens_of(F.col("__t")))) == 0)
     token_mode = F.coalesce(F.col("quote_match_mode") == "token_set", F.lit(False))
     code = (
         F.when(F.coalesce("source_unit_id", F.lit("")) == "", "ILLEGAL_UNIT_REFERENCE")
@@ -125,8 +125,9 @@ def quote_findings(candidates: DataFrame, units: DataFrame) -> DataFrame:
         .when(~token_mode & ~whole, "QUOTE_NOT_FOUND")
     )
     gate = F.when(F.col("code") == "ILLEGAL_UNIT_REFERENCE", "reference_gate").otherwise("quote_gate")
-    found = joined.withColumn("code", code).where("code IS NOT NULL")
-    return found.select("document_id", "code", F.lit("ERROR").alias("severity"), "candidate_id", gate.alias("gate_name"), F.coalesce("source_unit_id", F.lit("")).alias("source_unit_id"), F.left(quote, F.lit(80)).alias("detail"))
+    # Not a filter on the code: that would be pushed below it, and every text would pass Python once for each.
+    found = joined.select("document_id", "candidate_id", "source_unit_id", F.explode(F.array_compact(F.array(code))).alias("code"), quote.alias("__quote"))
+    return found.select("document_id", "code", F.lit("ERROR").alias("severity"), "candidate_id", gate.alias("gate_name"), F.coalesce("source_unit_id", F.lit("")).alias("source_unit_id"), F.left("__quote", F.lit(80)).alias("detail"))
 
 
 def _first_in(text: Column, words: tuple[str, ...]) -> Column:

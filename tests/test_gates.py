@@ -82,6 +82,14 @@ def test_quote_gate(candidates, units, row, code):
     assert [r.code for r in gates.quote_findings(candidates(row), units).collect()] == [code] * bool(code)
 
 
+def test_quotes_and_units_pass_python_once(candidates, units):
+    """One step through Python, so a task has one Python worker; tokens of texts beyond ASCII are told apart all the same."""
+    rows = candidates(claim("a", "u4", "亿元　收入", quote_match_mode="token_set"), claim("b", "u4", "ＡＢＣ", quote_match_mode="token_set"), claim("c", "u9", "ABC  ｔｅｘｔ", document_id="doc_b"), claim("d", "u9", "ＡＢＤ", document_id="doc_b"))
+    found = gates.quote_findings(rows, units)
+    assert found._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert {(r.candidate_id, r.code, r.detail) for r in found.collect()} == {("b", "QUOTE_NOT_FOUND", "ＡＢＣ"), ("d", "QUOTE_NOT_FOUND", "ＡＢＤ")}
+
+
 def test_resolution_takes_the_first_unit_and_the_strictest_match(candidates, units):
     rows = candidates(claim("a", None, "估值偏高"), claim("b", None, "Other document ABC", document_id="doc_b"), claim("c", None, "亿元 收入", quote_match_mode="token_set"), claim("d", None, "nowhere"), claim("e", "u2", "kept"))
     assert {r.candidate_id: r.source_unit_id for r in gates.resolve_quotes(rows, units).collect()} == {"a": "u2", "b": "u9", "c": "u4", "d": "", "e": "u2"}
