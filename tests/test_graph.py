@@ -115,6 +115,56 @@ def test_a_long_chain_into_a_ring_takes_few_rounds(spark, monkeypatch):
     assert len(rounds) < 100
 
 
+def chords(n):
+    """A ring with chords, none of whose nodes has one way only."""
+    return [(f"n{i:04}", f"n{(i + k) % n:04}") for i in range(n) for k in (1, 3)]
+
+
+@pytest.mark.parametrize("near, most", [(True, 20), (False, 100)])
+def test_a_ring_with_chords_takes_few_rounds(spark, monkeypatch, near, most):
+    """By ranges of ids, and without them, as where ids are in no order."""
+    from tessera.operators import components
+
+    rounds, put = [], components.Scratch.put
+    monkeypatch.setattr(components.Scratch, "put", lambda self, df, name="": rounds.append(name) or put(self, df, name))
+    if not near:
+        monkeypatch.setattr(components, "_merged_in_parts", lambda scratch, e, parts: (e, e.selectExpr("src AS node", "src AS into").limit(0)))
+    found = components.cycle_components(edges(spark, *chords(300), ("n0007", "tail"), ("head", "n0009"))).collect()
+    assert {r.id for r in found} == {a for a, _ in chords(300)} and len(found) == 300 and len({r.component for r in found}) == 1
+    assert len(rounds) < most
+
+
+@pytest.mark.parametrize("part", [1, None])
+def test_components_without_whole_parts(spark, monkeypatch, part):
+    """Ranges of about one edge, and none, against brute force."""
+    from tessera.operators import components
+
+    rng = random.Random(9)
+    pairs = [(f"{g}.{rng.randrange(12)}", f"{g}.{rng.randrange(12)}") for g in range(12) for _ in range(rng.choice((10, 14, 20)))] + chords(24)
+    want = plain_components(pairs)
+    if part:
+        monkeypatch.setattr(components, "_PART", part)
+    else:
+        monkeypatch.setattr(components, "_merged_in_parts", lambda scratch, e, parts: (e, e.selectExpr("src AS node", "src AS into").limit(0)))
+    found = {}
+    for r in components.cycle_components(edges(spark, *pairs)).collect():
+        found.setdefault(r.component, []).append(r.id)
+    assert all(c in ids for c, ids in found.items()) and sum(map(len, found.values())) == len(set().union(*want))
+    assert {frozenset(ids) for ids in found.values()} == want
+
+
+def test_a_part_of_too_many_edges_closes_nothing(monkeypatch):
+    import pyarrow as pa
+
+    from tessera.operators import components
+
+    batches = [pa.RecordBatch.from_pylist([{"src": a, "dst": b}]) for a, b in (("a", "b"), ("b", "a"), ("c", "a"), ("c", "d"), ("d", None))]
+    changed = lambda: [tuple(r.values()) for out in components._components_of_part(iter(batches)) for r in out.to_pylist()]
+    assert sorted(changed()) == [("a", "a", True), ("b", "a", True), ("c", "c", True), ("d", "d", True)]
+    monkeypatch.setattr(components, "_PART", 1)
+    assert changed() == [("b", "a", False)]
+
+
 def test_paths_and_sources(spark):
     g = edges(spark, ("clm_1", "cu_1"), ("clm_1", "cu_2"), ("cu_1", "doc_1"), ("cu_2", "doc_1"), ("doc_1", "src_1"), ("src_1", "src_0"), ("doc_1", "clm_1"))
     start = spark.createDataFrame([("clm_1",), ("src_1",)], "id string")
