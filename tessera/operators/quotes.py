@@ -3,8 +3,8 @@
 An inverted index of minimizers: of every `WINDOW` neighbouring strings of `GRAM` bytes in a text the one that hashes lowest.
 A unit that holds a quote of `LEAST` bytes or more has all minimizers of the quote, so the quote is looked up by the one
 that the fewest units have; shorter quotes are looked up as they are. Token sets are looked up by their rarest token. A unit
-meets the places of its own document's keys, and only keys at such a place leave its task, so that the index grows with the
-quotes and not with all text. An exact check follows, so hashes can't make or lose a match. Equal texts of a document are
+meets the places of its own document's keys and the sizes of its quotes; only keys of such a size and place leave its task, so that
+the index grows with the quotes and not with all text. An exact check follows, so hashes can't make or lose a match. Equal texts of a document are
 indexed once, under their first unit, and equal quotes asked once."""
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ GRAM, WINDOW = 8, 8
 LEAST = GRAM + WINDOW - 1
 #: Places of a document's keys, 8 kB at most. With more keys than places more pass, never fewer.
 PLACES = 1 << 12
+#: Bytes of text that are hashed at once, if more than one unit.
+CHUNK = 1 << 19
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -61,27 +63,71 @@ def _own(data: bytes) -> np.ndarray:
     return minimizers(data) if len(data) >= LEAST else strings(data, len(data))
 
 
-def _keys(build):
-    """(id, salt: a hash of the document, text and maybe places) -> (id, salt, key); of rows with places the keys at one of them."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            salts = batch.column("salt").to_numpy().view(np.uint64)
-            places = batch.column("places") if "places" in batch.schema.names else None
-            ids, keys = [], []
-            for i, text in enumerate(batch.column("text")):
-                own = _mix(build((text.as_py() or "").encode()) ^ salts[i])
-                if places is not None:
-                    wanted = np.zeros(PLACES, dtype=bool)
-                    wanted[places[i].values.to_numpy()] = True
-                    own = own[wanted[(own % np.uint64(PLACES)).astype(np.int64)]]
-                ids.append(np.full(len(own), i))
-                keys.append(own)
-            at = pa.array(np.concatenate(ids).astype(np.int64) if ids else np.zeros(0, dtype=np.int64))
-            found = np.concatenate(keys).view(np.int64) if keys else np.zeros(0, dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("id").take(at), batch.column("salt").take(at), pa.array(found)], names=["id", "salt", "key"])
-
-    return run
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Quotes (id, salt: a hash of the document, text) -> (id, salt, key)."""
+    for batch in batches:
+        salts = batch.column("salt").to_numpy().view(np.uint64)
+        each = [_mix(_own((text.as_py() or "").encode()) ^ salt) for text, salt in zip(batch.column("text"), salts, strict=True)]
+        yield _postings(batch, np.repeat(np.arange(len(each)), np.array([len(k) for k in each], dtype=np.int64)), np.concatenate([np.zeros(0, dtype=np.uint64), *each]))
+
+
+def _postings(batch: pa.RecordBatch, rows: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
+    at = pa.array(rows.astype(np.int64))
+    return pa.RecordBatch.from_arrays([batch.column("id").take(at), batch.column("salt").take(at), pa.array(keys.view(np.int64))], names=["id", "salt", "key"])
+
+
+def _chunk_keys(texts: list[bytes], salts: np.ndarray, document: np.ndarray, wanted: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, key) of texts, once: keys of the sizes that the quotes of a row's document have, at a place that they have. Documents
+    are rows of `wanted`, by place, and of `sizes`.
+
+    All texts at once, as one string; what begins in a text and ends in the next is passed over."""
+    n = np.array([len(t) for t in texts])
+    row, data = np.repeat(np.arange(len(texts)), n), b"".join(texts)
+    left = np.cumsum(n)[row] - np.arange(len(data))
+    lanes = _lanes(data)
+    rows, keys = [], []
+    for size in np.flatnonzero(sizes.any(axis=0)):
+        at = np.flatnonzero(sizes[document, size][row] & (left >= size))
+        if size == LEAST:
+            hashes = _mix(lanes)
+            own = hashes[at]
+            for k in range(1, WINDOW):
+                own = np.minimum(own, hashes[at + k])
+            new = np.ones(len(at), dtype=bool)  # neighbouring windows mostly have one minimum
+            new[1:] = (own[1:] != own[:-1]) | (row[at[1:]] != row[at[:-1]])
+            at, own = at[new], own[new]
+        else:
+            first = lanes[at] & np.uint64((1 << (8 * min(int(size), 8))) - 1)
+            rest = lanes[at + 8] & np.uint64((1 << (8 * (int(size) - 8))) - 1) if size > 8 else np.uint64(0)
+            own = _mix(_mix(first + np.uint64(size)) ^ rest)
+        of = row[at]
+        own = _mix(own ^ salts[of])
+        met = wanted[document[of], (own % np.uint64(PLACES)).astype(np.int64)]
+        rows.append(of[met])
+        keys.append(own[met])
+    if not rows:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+    found = np.unique(np.rec.fromarrays([np.concatenate(rows), np.concatenate(keys)], names="row,key"))
+    return found["row"], found["key"]
+
+
+def _unit_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Units (id, salt, text, places of their document's keys, sizes of its quotes, LEAST for larger) -> (id, salt, key): the keys at one of the places."""
+    for batch in batches:
+        salts = batch.column("salt").to_numpy().view(np.uint64)
+        texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
+        ends = np.cumsum([len(t) for t in texts])
+        start = 0
+        while start < len(texts):
+            end = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + CHUNK, side="right")))
+            _, first, document = np.unique(salts[start:end], return_index=True, return_inverse=True)
+            wanted, sizes = np.zeros((len(first), PLACES), dtype=bool), np.zeros((len(first), LEAST + 1), dtype=bool)
+            for i, f in enumerate(first):
+                wanted[i, batch.column("places")[start + int(f)].values.to_numpy()] = True
+                sizes[i, batch.column("sizes")[start + int(f)].values.to_numpy()] = True
+            part = batch.slice(start, end - start)
+            yield _postings(part, *_chunk_keys(texts[start:end], salts[start:end], document, wanted, sizes))
+            start = end
 
 
 def _rarest(asked: DataFrame, postings: DataFrame) -> DataFrame:
@@ -95,16 +141,12 @@ def _pairs(spark: SparkSession, quotes: DataFrame, units: DataFrame) -> DataFram
     """(quote, unit) of texts (id, salt, text) that may hold a quote (id, salt, text)."""
     scratch = Scratch(spark)
     kind = "id long, salt long, key long"
-    asked = scratch.put(quotes.mapInArrow(_keys(_own), kind))
-    lengths = sorted(r.n for r in quotes.select(F.octet_length("text").alias("n")).where(F.col("n") < LEAST).distinct().collect())
+    asked = scratch.put(quotes.mapInArrow(_keys, kind))
     place = F.pmod("key", F.lit(PLACES)).cast("short")  # PLACES divides 2**64, so signs make no difference
-    wanted = asked.groupBy("salt").agg(F.collect_set(place).alias("places"))
-
-    def all_keys(data: bytes) -> np.ndarray:
-        return np.unique(np.concatenate([minimizers(data), *(strings(data, n) for n in lengths)]))
-
-    met = units.join(wanted.hint("merge"), "salt")
-    postings = scratch.put(met.mapInArrow(_keys(all_keys), kind))
+    sizes = quotes.groupBy("salt").agg(F.collect_set(F.least(F.octet_length("text"), F.lit(LEAST)).cast("short")).alias("sizes"))
+    wanted = asked.groupBy("salt").agg(F.collect_set(place).alias("places")).join(sizes, "salt")
+    met = units.join(wanted.hint("merge"), "salt").select("id", "salt", "text", "places", "sizes")
+    postings = scratch.put(met.mapInArrow(_unit_keys, kind))
     return _rarest(asked, postings)
 
 

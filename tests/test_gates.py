@@ -226,3 +226,31 @@ def test_the_index_grows_with_the_quotes(spark, monkeypatch):
     assert found.where("substring(candidate_id, 2) = substring(unit, 2)").count() == 2000
     keys = [df.count() for df in written if df.columns == ["id", "salt", "key"]]
     assert keys and keys[1] < 2 * keys[0]
+
+
+def test_units_are_hashed_for_the_sizes_of_their_own_quotes_only(monkeypatch):
+    """All texts of a chunk at once gives what text by text does; chunks of any size."""
+    import random
+
+    import numpy as np
+    import pyarrow as pa
+
+    from tessera.operators import quotes
+
+    rng = random.Random(4)
+    rows = []
+    for d in range(12):
+        places, sizes = [p for p in range(quotes.PLACES) if rng.random() < 0.4], rng.sample(range(1, quotes.LEAST + 1), rng.randint(1, 4))
+        rows += [{"id": 100 * d + i, "salt": d * (1 << 59) - (1 << 62), "text": "".join(rng.choice("abc é") for _ in range(n)), "places": places, "sizes": sizes} for i, n in enumerate((0, 1, 7, 8, 9, 14, 15, 16, 90, 0))]
+    rows.append(rows[-1] | {"id": 9999, "text": None})
+    kind = pa.schema([("id", pa.int64()), ("salt", pa.int64()), ("text", pa.string()), ("places", pa.list_(pa.int16())), ("sizes", pa.list_(pa.int16()))])
+    want = set()
+    for r in rows:
+        data = (r["text"] or "").encode()
+        for size in r["sizes"]:
+            own = quotes._mix((quotes.minimizers(data) if size == quotes.LEAST else quotes.strings(data, size)) ^ np.array([r["salt"]]).view(np.uint64))
+            want |= {(r["id"], r["salt"], int(k)) for k in own[np.isin(own % np.uint64(quotes.PLACES), r["places"])].view(np.int64)}
+    for chunk in (1, 50, quotes.CHUNK):
+        monkeypatch.setattr(quotes, "CHUNK", chunk)
+        found = [tuple(x.values()) for out in quotes._unit_keys(iter([pa.RecordBatch.from_pylist(rows, kind), pa.RecordBatch.from_pylist([], kind)])) for x in out.to_pylist()]
+        assert len(found) == len(want) and set(found) == want
